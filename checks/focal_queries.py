@@ -17,7 +17,9 @@ _OFFSETS = {
     "Wedge": (rt.Wedge(4, 300, 60), _SQUARE.format(n=4) + """ WHERE dx * dx + dy * dy <= 16 AND
         ((dx = 0 AND dy = 0) OR (degrees(atan2(-dy, dx)) BETWEEN -60 AND 60))"""),
 }
-_NEAR = """FROM grid g, offs o JOIN fx1b0 f ON f.x = g.x + o.dx AND f.y = g.y + o.dy"""
+# every data cell is sent to the cells that see it
+_NEAR = """FROM grid g JOIN (SELECT x - dx AS x, y - dy AS y, v FROM fx1b0, offs) f
+    ON f.x = g.x AND f.y = g.y"""
 _STATS = {
     "Sum": "CAST(sum(f.v) AS BIGINT)", "Min": "min(f.v)", "Max": "max(f.v)",
     "Mean": "round(avg(f.v), 6)", "StandardDeviation": "round(stddev_pop(f.v), 5)",

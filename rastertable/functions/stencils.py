@@ -109,12 +109,14 @@ def reduce_stack(method: str, stack, fx: int, fy: int):
 
 def gradient(padded, cell_width: float, cell_height: float, z: float):
     """Rise to the east and to the south per map unit (Horn 1981); missing neighbours count as
-    the centre."""
+    the centre, a missing centre has no gradient."""
     centre = _view(padded, 0, 0, 1)
 
+    gap = np.isnan(centre)
+
     def at(dx, dy):
         v = _view(padded, dx, dy, 1)
-        return np.where(np.isnan(v), centre, v)
+        return np.where(gap | np.isnan(v), centre, v)
 
     nw, n, ne, w, e, sw, s, se = (at(*d) for d in (
         (-1, -1), (0, -1), (1, -1), (-1, 0), (1, 0), (-1, 1), (0, 1), (1, 1)))
@@ -141,8 +143,7 @@ def aspect(cell_width, cell_height):
     """Direction the slope faces, degrees clockwise from north in [0, 360); flat cells are -1."""
     def run(padded):
         east, south = gradient(padded, cell_width, cell_height, 1.0)
-        centre = _view(padded, 0, 0, 1)
-        return np.where(np.isnan(centre), np.nan, _aspect(east, south))
+        return np.where(np.isnan(east), np.nan, _aspect(east, south))
     return run
 
 
