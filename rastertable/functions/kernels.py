@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 # Method name -> half-width of its kernel in cells.
 SUPPORT = {"Bilinear": 1, "CubicConvolution": 2, "CubicSpline": 2, "Lanczos": 3}
 
+# Smallest weight the data cells around a point must carry. Kernels with negative
+# lobes need a good part of it, or renormalising would magnify values.
+LEAST_WEIGHT = {"Bilinear": 1e-9, "CubicConvolution": 0.3, "CubicSpline": 1e-9, "Lanczos": 0.3}
+
 # Names of the aggregating methods.
 AGGREGATES = ("Average", "Mode", "Median", "Max", "Min")
 
@@ -20,6 +24,10 @@ def support(method: str) -> int:
     return SUPPORT[method]
 
 
+def least_weight(method: str) -> float:
+    return LEAST_WEIGHT[method]
+
+
 def kernel_weight(method: str, distance: Column) -> Column:
     """Weight of a sample: linear tent, cubic convolution with a = -1/2 (Keys 1981), cubic
     B-spline, or windowed sinc with three lobes (Lanczos)."""

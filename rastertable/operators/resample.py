@@ -8,7 +8,7 @@ no gathered window, and nothing that grows with the layer in one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import replace
 
 import numpy as np
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import projection, stencils
-from ..functions.kernels import AGGREGATES, kernel_weight, support
+from ..functions.kernels import AGGREGATES, kernel_weight, least_weight, support
 from ..model import (CellType, Extent, GlobalLayout, Layer, Layout, LocalLayout, Meta,
                      global_level)
 from ..plans.lineage import run_folder, through_table
@@ -31,13 +31,6 @@ METHODS = ("NearestNeighbor", "Bilinear", "CubicConvolution", "CubicSpline", "La
 # Methods whose results are values of the source.
 SELECTING = ("NearestNeighbor", "Mode", "Max", "Min")
 
-Warp = Callable[[Column, Column], tuple[Column, Column]]
-
-
-def _identity(x: Column, y: Column) -> tuple[Column, Column]:
-    return x, y
-
-
 def _blocks(layer: Layer) -> tuple[DataFrame, list[str]]:
     """Source blocks and the columns that tell their results apart."""
     instant = ["instant"] if layer.meta.temporal else []
@@ -59,25 +52,35 @@ def _blocks(layer: Layer) -> tuple[DataFrame, list[str]]:
     return df, instant
 
 
-def _target_cells(blocks: DataFrame, target: Layout, forward: Warp, inverse: Warp,
+def _target_cells(blocks: DataFrame, target: Layout, warp: tuple[int, int],
                   margin: int) -> DataFrame:
     """Target cells whose centre falls in a block widened by ``margin`` source cells.
 
-    Adds the target cell (x, y) and its place (u, v) in source cells.
+    ``warp`` is the CRS of the source and of the target. Adds the target cell (x, y) and its place
+    (u, v) in source cells.
     """
+    source, goal = warp
     x0 = F.col("left") + (F.col("ox") - margin) * F.col("cw")
     x1 = F.col("left") + (F.col("ox") + F.col("cols") + margin) * F.col("cw")
     y1 = F.col("top") - (F.col("oy") - margin) * F.col("ch")
     y0 = F.col("top") - (F.col("oy") + F.col("rows") + margin) * F.col("ch")
-    if forward is _identity:
-        places, slack = [(x0, y0), (x1, y1)], F.lit(0.0)
-    else:
-        xm, ym = (x0 + x1) / 2, (y0 + y1) / 2
-        places = [forward(x, y) for x in (x0, xm, x1) for y in (y0, ym, y1)]
-        slack = F.lit(0.1)  # of the range: borders may bulge between the sampled points
-    gx, gy = zip(*[target.to_grid(x, y) for x, y in places])
-    frame = blocks.withColumns({"_gx0": F.least(*gx), "_gx1": F.greatest(*gx),
-                                "_gy0": F.least(*gy), "_gy1": F.greatest(*gy)})
+    mids = [] if source == goal else [0.5]
+    at = F.array(*[F.struct((x0 + (x1 - x0) * i).alias("x"), (y0 + (y1 - y0) * j).alias("y"))
+                   for i in (0.0, *mids, 1.0) for j in (0.0, *mids, 1.0)])
+
+    def placed(p: Column) -> Column:
+        gx, gy = target.to_grid(*projection.transform_xy(p["x"], p["y"], source, goal))
+        return F.struct(gx.alias("gx"), gy.alias("gy"))
+
+    places = F.transform(at, placed)
+    ends = {"_gx0": F.array_min(F.transform(places, lambda p: p["gx"])),
+            "_gx1": F.array_max(F.transform(places, lambda p: p["gx"])),
+            "_gy0": F.array_min(F.transform(places, lambda p: p["gy"])),
+            "_gy1": F.array_max(F.transform(places, lambda p: p["gy"]))}
+    frame = blocks.select("*", F.inline(F.array(F.struct(
+        *[c.alias(n) for n, c in ends.items()]))))
+    # borders may bulge between the sampled points
+    slack = F.lit(0.0 if source == goal else 0.1)
 
     def limits(a: str, b: str, top: int) -> tuple[Column, Column]:
         bulge = (F.col(b) - F.col(a)) * slack
@@ -86,21 +89,21 @@ def _target_cells(blocks: DataFrame, target: Layout, forward: Warp, inverse: War
 
     frame = explode_range(frame, "x", *limits("_gx0", "_gx1", target.cols))
     frame = explode_range(frame, "y", *limits("_gy0", "_gy1", target.rows))
-    cx, cy = target.centre_of(F.col("x"), F.col("y"))
-    sx, sy = inverse(cx, cy)
-    frame = frame.withColumns({"u": (sx - F.col("left")) / F.col("cw") - F.col("ox"),
-                               "v": (F.col("top") - sy) / F.col("ch") - F.col("oy")})
+    frame = projection.with_transformed(frame, *target.centre_of(F.col("x"), F.col("y")), goal,
+                                        source, ("_sx", "_sy"))
+    frame = frame.withColumns({"u": (F.col("_sx") - F.col("left")) / F.col("cw") - F.col("ox"),
+                               "v": (F.col("top") - F.col("_sy")) / F.col("ch") - F.col("oy")})
     near = (F.col("u").between(F.lit(-margin), F.col("cols") + margin)
             & F.col("v").between(F.lit(-margin), F.col("rows") + margin))
-    return frame.where(near).drop("_gx0", "_gx1", "_gy0", "_gy1", "left", "top", "cw", "ch")
+    return frame.where(near).drop(*ends, "left", "top", "cw", "ch", "_sx", "_sy")
 
 
 def _inside(x: Column, y: Column) -> Column:
     return (x >= 0) & (x < F.col("cols")) & (y >= 0) & (y < F.col("rows"))
 
 
-def _nearest(blocks, ids, target, forward, inverse) -> DataFrame:
-    cells = _target_cells(blocks, target, forward, inverse, 0)
+def _nearest(blocks, ids, target, warp) -> DataFrame:
+    cells = _target_cells(blocks, target, warp, 0)
     px, py = F.floor("u"), F.floor("v")
     picked = cells.where(_inside(px, py)).select(
         *ids, "x", "y", "bands", (py * F.col("cols") + px).cast("int").alias("i"))
@@ -109,11 +112,11 @@ def _nearest(blocks, ids, target, forward, inverse) -> DataFrame:
             .where(F.col("v").isNotNull()))
 
 
-def _weighted(blocks, ids, target, forward, inverse, method: str, whole: bool) -> DataFrame:
-    """Kernel methods: weights are renormalised over the data cells; a target cell exists when its
-    centre lies in a block. ``whole`` blocks (scenes) stand alone."""
+def _weighted(blocks, ids, target, warp, method: str, whole: bool) -> DataFrame:
+    """Kernel methods: weights are renormalised over the data cells, if these carry enough weight;
+    a target cell exists when its centre lies in a block. ``whole`` blocks (scenes) stand alone."""
     a = support(method)
-    cells = _target_cells(blocks, target, forward, inverse, 0 if whole else a)
+    cells = _target_cells(blocks, target, warp, 0 if whole else a)
     home = _inside(F.floor("u"), F.floor("v"))
     cells = cells.withColumn("home", home.cast("int"))
     if whole:
@@ -133,18 +136,19 @@ def _weighted(blocks, ids, target, forward, inverse, method: str, whole: bool) -
                         (v * F.col("w")).alias("wv"))
             .groupBy(*ids, "x", "y", "band")
             .agg(F.sum("wv").alias("wv"), F.sum("w").alias("w"), F.max("home").alias("home")))
-    return (sums.where((F.col("home") == 1) & (F.abs("w") > 1e-9))
+    return (sums.where((F.col("home") == 1) & (F.col("w") > least_weight(method)))
             .select(*ids, "x", "y", "band", (F.col("wv") / F.col("w")).alias("v")))
 
 
-def _aggregated(blocks, ids, target, forward, method: str) -> DataFrame:
+def _aggregated(blocks, ids, target, warp, method: str) -> DataFrame:
     """Aggregating methods: every source cell belongs to the target cell its centre falls in."""
     rows = blocks.select("*", F.posexplode("bands").alias("band", "cells"))
     rows = rows.select(*ids, "cols", "ox", "oy", "left", "top", "cw", "ch", "band",
                        F.posexplode("cells").alias("i", "v")).where(F.col("v").isNotNull())
     sx = F.col("left") + (F.col("ox") + F.col("i") % F.col("cols") + 0.5) * F.col("cw")
     sy = F.col("top") - (F.col("oy") + F.floor(F.col("i") / F.col("cols")) + 0.5) * F.col("ch")
-    x, y = target.cell_of(*forward(sx, sy))
+    rows = projection.with_transformed(rows, sx, sy, *warp, ("_tx", "_ty"))
+    x, y = target.cell_of(F.col("_tx"), F.col("_ty"))
     placed = rows.select(*ids, x.alias("x"), y.alias("y"), "band", "v").where(
         F.col("x").between(0, target.cols - 1) & F.col("y").between(0, target.rows - 1))
     return aggregate_cells(placed, [*ids, "x", "y", "band"], method)
@@ -167,18 +171,17 @@ def aggregate_cells(cells: DataFrame, keys: list[str], method: str) -> DataFrame
     raise ValueError(f"unknown method {method!r}")
 
 
-def _scatter(layer: Layer, target: Layout, method: str, forward: Warp = _identity,
-             inverse: Warp = _identity) -> Layer:
+def _scatter(layer: Layer, target: Layout, method: str, warp: tuple[int, int] = (0, 0)) -> Layer:
     """Cells of ``layer`` on another grid. Overlapping scenes: the lowest scene_id wins."""
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
     blocks, ids = _blocks(layer)
     if method == "NearestNeighbor":
-        cells = _nearest(blocks, ids, target, forward, inverse)
+        cells = _nearest(blocks, ids, target, warp)
     elif method in AGGREGATES:
-        cells = _aggregated(blocks, ids, target, forward, method)
+        cells = _aggregated(blocks, ids, target, warp, method)
     else:
-        cells = _weighted(blocks, ids, target, forward, inverse, method, layer.kind == "scene")
+        cells = _weighted(blocks, ids, target, warp, method, layer.kind == "scene")
     if layer.kind == "scene":
         keys = [k for k in ids if k != "priority"]
         cells = (cells.groupBy("x", "y", *keys, "band")
@@ -254,12 +257,7 @@ def reproject(layer: Layer, epsg: int, layout=None, method: str = "NearestNeighb
         cells = ((extent.width / size[0]) ** 2 + (extent.height / size[1]) ** 2) ** 0.5
         step = (moved.width ** 2 + moved.height ** 2) ** 0.5 / cells
         target, zoom = wanted.layout_for(epsg, moved, (step, step))
-    if source == epsg:
-        forward = inverse = _identity
-    else:
-        forward = lambda x, y: projection.transform_xy(x, y, source, epsg)
-        inverse = lambda x, y: projection.transform_xy(x, y, epsg, source)
-    out = _scatter(layer, target, method, forward, inverse)
+    out = _scatter(layer, target, method, (source, epsg))
     return to_tiles(out.with_df(out.df, epsg=epsg, zoom=zoom, extent=None))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.kernels import kernel_weight, support
+from ..functions.kernels import kernel_weight, least_weight, support
 from ..model import Extent, Layer
 from ..plans.joins import fits, lookup_join
 from .geometry import (extent_edges, in_mask, mask_bytes, polygon_spans, tile_masks,
@@ -199,7 +199,7 @@ def point_values(layer: Layer, points: DataFrame, method: str = "NearestNeighbor
                                 (v * F.col("weight")).alias("wv"))
                 .groupBy("point_id", *instant, "band")
                 .agg(F.sum("wv").alias("wv"), F.sum("w").alias("w")))
-        value = F.when(F.abs("w") > 1e-9, F.col("wv") / F.col("w"))
+        value = F.when(F.col("w") > least_weight(method), F.col("wv") / F.col("w"))
         # one slot per band: bounded by the band count of the layer
         found = (sums.withColumn("value", value).groupBy("point_id", *instant)
                  .agg(*[F.max(F.when(F.col("band") == b, F.col("value"))).alias(f"b{b}")

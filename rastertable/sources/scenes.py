@@ -49,13 +49,15 @@ def split_scenes(layer: Layer, size: int) -> Layer:
     """Every scene as windows of at most ``size`` x ``size`` cells with extents of their own."""
     starts = lambda name: F.explode(F.sequence(F.lit(0), F.col(name) - 1, F.lit(size)))
     df = layer.df.withColumn("_x", starts("cols")).withColumn("_y", starts("rows"))
-    w, h = F.least(F.lit(size), F.col("cols") - F.col("_x")), F.least(
-        F.lit(size), F.col("rows") - F.col("_y"))
-    cw = (F.col("xmax") - F.col("xmin")) / F.col("cols")
-    ch = (F.col("ymax") - F.col("ymin")) / F.col("rows")
+    # names of their own: inside a lambda, a name also given in the same select means the new one
+    df = df.withColumnsRenamed({"cols": "_cols", "rows": "_rows"})
+    w = F.least(F.lit(size), F.col("_cols") - F.col("_x"))
+    h = F.least(F.lit(size), F.col("_rows") - F.col("_y"))
+    cw = (F.col("xmax") - F.col("xmin")) / F.col("_cols")
+    ch = (F.col("ymax") - F.col("ymin")) / F.col("_rows")
     lines = F.sequence(F.col("_y"), F.col("_y") + h - 1)
     cut = F.transform("bands", lambda band: F.flatten(F.transform(
-        lines, lambda y: F.slice(band, y * F.col("cols") + F.col("_x") + 1, w))))
+        lines, lambda y: F.slice(band, y * F.col("_cols") + F.col("_x") + 1, w))))
     keep = ["scene_id", "epsg"] + (["instant"] if layer.meta.temporal else [])
     return layer.with_df(df.select(
         *keep, (F.col("xmin") + F.col("_x") * cw).alias("xmin"),
