@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..model import CellType, Extent, Layer, Layout, Meta
+from ..model import CellType, Layer, Layout, Meta
 from ..plans.joins import BROADCAST_BYTES
 from ..plans.lineage import run_folder, through_table
 from .geometry import polygon_spans
@@ -78,14 +78,15 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
         empty = spark.createDataFrame([], "x bigint, y bigint, band int, v double")
         return Layer(empty, meta, "cell")
     n, lo_x, lo_y, hi_x, hi_y = found
-    left, top = layout.extent.xmin, layout.extent.ymax
-    c0, r0, c1, r1 = layout.key_bounds(Extent(left + lo_x * cw, top - hi_y * ch,
-                                              left + hi_x * cw, top - lo_y * ch))
+    # tiles from the one of the smallest to the one of the largest source, as far as there are tiles
+    tile = lambda v, size, most: min(max(math.floor(v / size), 0), most - 1)
+    c0, c1 = (tile(v, layout.tile_cols, layout.layout_cols) for v in (lo_x, hi_x))
+    r0, r1 = (tile(v, layout.tile_rows, layout.layout_rows) for v in (lo_y, hi_y))
     tx0, ty0 = c0 * layout.tile_cols, r0 * layout.tile_rows
     tx1, ty1 = (c1 + 1) * layout.tile_cols, (r1 + 1) * layout.tile_rows
     ox, oy = min(tx0, math.floor(lo_x)), min(ty0, math.floor(lo_y))
     across = max(tx1, math.floor(hi_x) + 1) - ox, max(ty1, math.floor(hi_y) + 1) - oy
-    level = max(across) .bit_length()
+    level = max(across).bit_length()
     base = placed.select((F.col("gx") - ox).alias("gx"), (F.col("gy") - oy).alias("gy"),
                          ((F.col("gx") - ox) * cw).alias("mx"),
                          ((F.col("gy") - oy) * ch).alias("my"))

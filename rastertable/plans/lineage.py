@@ -20,8 +20,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="rastertable-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    spark.sparkContext.setCheckpointDir(made)
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def run_folder(spark: SparkSession, what: str) -> str:
