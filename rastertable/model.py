@@ -175,6 +175,13 @@ class Layout:
         return (F.pmod(y, F.lit(self.tile_rows)) * F.lit(self.tile_cols)
                 + F.pmod(x, F.lit(self.tile_cols))).cast("int")
 
+    def place_of(self, i: Column) -> tuple[Column, Column]:
+        """(x, y) in its tile of a row-major position; bit operations for power-of-two widths."""
+        n = self.tile_cols
+        if n & (n - 1) == 0:
+            return i.bitwiseAND(F.lit(n - 1)), F.shiftright(i, n.bit_length() - 1)
+        return i % n, F.floor(i / n).cast("int")
+
     def tile_extent(self, col: Column, row: Column) -> list[Column]:
         w = self.extent.width / self.layout_cols
         h = self.extent.height / self.layout_rows
@@ -391,9 +398,11 @@ def _typed_bands(df: DataFrame, cell_type: CellType) -> DataFrame:
 
 
 def from_tiles(df: DataFrame, meta: Meta) -> Layer:
-    """Layer from tile rows and metadata. Rows must be unique per key for joins by key."""
+    """Layer from tile rows and metadata. Rows must be unique per key for joins by key; where they
+    are not, a ``priority`` column tells ``merge`` which one to prefer."""
     names = ["col", "row"] + (["instant"] if meta.temporal else []) + ["bands"]
     _require(df, names, "tile")
+    names += ["priority"] if "priority" in df.columns else []
     df = df.withColumns({"col": F.col("col").cast("int"), "row": F.col("row").cast("int")})
     return Layer(_typed_bands(df.select(*names), meta.cell_type), meta, "tile")
 

@@ -52,14 +52,16 @@ def merge(layers: Sequence[Layer]) -> Layer:
     first.
     """
     first = to_cells(layers[0])
+    ranked = ["priority" in layer.base.columns for layer in layers]
     parts = []
-    for nth, layer in enumerate(layers):
-        has = "priority" in layer.base.columns
+    for nth, (layer, has) in enumerate(zip(layers, ranked)):
         cells = _cells_with_priority(layer) if has else to_cells(layer).df
-        inner = F.col("priority") if has else F.lit(None)
-        parts.append(cells.select(*first.keys, "v",
-                                  F.struct(F.lit(nth).alias("nth"),
-                                           inner.cast("bigint").alias("inner")).alias("rank")))
+        # a plain number keeps the aggregation hash-based
+        rank = F.lit(nth)
+        if any(ranked):
+            inner = F.col("priority") if has else F.lit(None)
+            rank = F.struct(rank.alias("nth"), inner.cast("bigint").alias("inner"))
+        parts.append(cells.select(*first.keys, "v", rank.alias("rank")))
     merged = (reduce(DataFrame.unionByName, parts).groupBy(*first.keys)
               .agg(F.min_by("v", "rank").alias("v")))
     return first.with_df(merged)
@@ -72,9 +74,10 @@ def _cells_with_priority(layer: Layer) -> DataFrame:
                             F.posexplode("bands").alias("band", "cells"))
             .select("col", "row", *instant, "priority", "band", F.posexplode("cells").alias("i", "v"))
             .where(F.col("v").isNotNull()))
+    tx, ty = at.place_of(F.col("i"))
     return rows.select(
-        (F.col("col").cast("bigint") * at.tile_cols + F.col("i") % at.tile_cols).alias("x"),
-        (F.col("row").cast("bigint") * at.tile_rows + F.floor(F.col("i") / at.tile_cols)).alias("y"),
+        (F.col("col").cast("bigint") * at.tile_cols + tx).alias("x"),
+        (F.col("row").cast("bigint") * at.tile_rows + ty).alias("y"),
         *instant, "band", "priority", "v")
 
 

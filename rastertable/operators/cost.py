@@ -1,8 +1,8 @@
 """Accumulated cost from source cells over a friction layer (Tomlin 1990).
 
-Tiles relax to a fixpoint on their own and then exchange borders, round by round. A round touches
-only the tiles next to ones that changed: the others are neither read into the round nor written
-again. Every round is a table in the shared folder, so the plan stays short, the row counts that
+Tiles relax to a fixpoint on their own and then exchange borders, round by round. A changed tile
+sends its border costs and frictions to its neighbours; only these are read and written in the next
+round. Every round is a table in the shared folder, so the plan stays short, the row counts that
 steer the joins are true, and a lost executor costs one round at most.
 """
 
@@ -16,10 +16,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..model import CellType, Layer
+from ..model import CellType, Extent, Layer, Layout
 from ..plans.joins import BROADCAST_BYTES
 from ..plans.lineage import run_folder, through_table
-from .focal import halo, nullable_lists, padded_windows
+from .focal import nullable_lists, padded_windows, strip
+from .geometry import envelope, near
 from .shape import to_tiles
 
 
@@ -58,6 +59,49 @@ def _latest(rounds: DataFrame, keys: list[str]) -> DataFrame:
     return rounds.groupBy(*keys).agg(F.max_by("d", "round").alias("d"))
 
 
+def _piece(px, py, w, h, d, f):
+    """Part of a padded window: place, size, costs and friction."""
+    return F.struct(px.alias("px"), py.alias("py"), w.alias("w"), h.alias("h"), d.alias("vals"),
+                    f.alias("friction"))
+
+
+def borders(changed: DataFrame, layout: Layout, keys: list[str]) -> DataFrame:
+    """Per neighbour of a changed tile the border strips it receives (at most eight)."""
+    rows, cols = layout.tile_rows, layout.tile_cols
+    others = [k for k in keys if k not in ("col", "row")]
+    sends = []
+    for dr in (-1, 0, 1):
+        for dc in (-1, 0, 1):
+            if not (dr or dc):
+                continue
+            x0, x1 = (0, cols) if dc == 0 else ((cols - 1, cols) if dc > 0 else (0, 1))
+            y0, y1 = (0, rows) if dr == 0 else ((rows - 1, rows) if dr > 0 else (0, 1))
+            px = 1 if dc == 0 else (0 if dc > 0 else cols + 1)
+            py = 1 if dr == 0 else (0 if dr > 0 else rows + 1)
+            cut = lambda c: strip(F.col(c), cols, x0, x1, y0, y1)
+            sends.append(F.struct(
+                (F.col("col") + dc).alias("col"), (F.col("row") + dr).alias("row"),
+                _piece(F.lit(px), F.lit(py), F.lit(x1 - x0), F.lit(y1 - y0), cut("d"), cut("f"))
+                .alias("piece")))
+    sent = changed.select(*others, F.explode(F.array(*sends)).alias("s")).select(*others, "s.*")
+    reached = F.exists("piece.vals", lambda v: v.isNotNull())
+    return sent.where(reached).groupBy(*keys).agg(F.collect_list("piece").alias("pieces"))
+
+
+def _reachable(tiles: DataFrame, layout: Layout, band: int, area: Extent | None,
+               limit: float) -> DataFrame:
+    """Tiles that can be reached at all: costs grow by at least the smallest friction per map
+    unit, which bounds how far ``limit`` reaches from the sources."""
+    if area is None or math.isinf(limit):
+        return tiles if area is not None else tiles.where("false")
+    least = F.array_min(F.filter(F.get("bands", F.lit(band)), lambda v: v.isNotNull()))
+    lowest = tiles.agg(F.min(least)).first()[0]
+    if lowest is None or lowest <= 0:
+        return tiles
+    step = min(layout.cell_width, layout.cell_height)
+    return near(tiles, layout, area, math.ceil(limit / lowest / step) + 1)
+
+
 def cost_distance(layer: Layer, sources: DataFrame, max_distance: float = math.inf,
                   band: int = 0) -> Layer:
     """Least accumulated friction from the cells that hold ``sources`` (x, y in map coordinates).
@@ -70,71 +114,63 @@ def cost_distance(layer: Layer, sources: DataFrame, max_distance: float = math.i
     rows, cols = layout.tile_rows, layout.tile_cols
     cw, ch, limit = layout.cell_width, layout.cell_height, float(max_distance)
     folder = run_folder(spark, "cost")
-    friction = through_table(
-        halo(tiles.df, F.get("bands", F.lit(band)), layout, 1, keys), f"{folder}/friction")
+    reachable = _reachable(tiles.df, layout, band, envelope(sources), limit)
+    friction = through_table(reachable.select(
+        *keys, F.get("bands", F.lit(band)).cast("array<double>").alias("f")), f"{folder}/friction")
     types = dict(friction.dtypes)
-    out_schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "d array<double>"])
+    out_schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "d array<double>",
+                            "f array<double>"])
 
     def run_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            f = padded_windows(batch.column("pieces"), rows, cols, 1)
-            d = padded_windows(batch.column("costs"), rows, cols, 1)
-            old = d[:, 1:-1, 1:-1].copy()
+            f = padded_windows(batch.column("pieces"), rows, cols, 1, "friction")
+            own = batch.column("f")
+            f[:, 1:-1, 1:-1] = own.flatten().to_numpy(zero_copy_only=False).reshape(-1, rows, cols)
+            d = padded_windows(batch.column("pieces"), rows, cols, 1)
+            old = np.where(np.isnan(d), np.inf, d)[:, 1:-1, 1:-1]
             new = relax(f, d, cw, ch, limit)
-            # sources on blocked cells never start
-            old = np.where(np.isnan(old) | np.isinf(old), np.inf, old)
+            # in the first round the sources themselves are news
             fresh = batch.column("fresh").to_numpy(zero_copy_only=False).astype(bool)
             kept = np.flatnonzero((new < old).any(axis=(1, 2))
                                   | (fresh & np.isfinite(new).any(axis=(1, 2))))
-            new = np.where(np.isinf(new), np.nan, new)[kept]
             chosen = batch.take(pa.array(kept))
+            costs = np.where(np.isinf(new), np.nan, new)[kept].reshape(len(kept), rows * cols)
             yield pa.RecordBatch.from_arrays(
-                [chosen.column(k) for k in keys] + [nullable_lists(
-                    new.reshape(len(kept), rows * cols))], [*keys, "d"])
+                [chosen.column(k) for k in keys] + [nullable_lists(costs), chosen.column("f")],
+                [*keys, "d", "f"])
 
-    # round 0: zero cost at the sources, as one piece per tile
+    # first round: zero cost at the sources, one piece per source cell
     x, y = layout.cell_of(F.col("x"), F.col("y"))
     starts = sources.select(x.alias("cx"), y.alias("cy")).distinct()
     col, row = layout.key_of(F.col("cx"), F.col("cy"))
-    at = layout.index_of(F.col("cx"), F.col("cy"))
-    piece = F.struct((at % cols + 1).cast("int").alias("px"),
-                     (F.floor(at / cols) + 1).cast("int").alias("py"), F.lit(1).alias("w"),
-                     F.lit(1).alias("h"), F.array(F.lit(0.0)).alias("vals"))
-    # distinct cells: at most one piece per cell of the tile
-    messages = (starts.select(col.alias("col"), row.alias("row"), piece.alias("piece"))
-                .groupBy("col", "row").agg(F.collect_list("piece").alias("costs"))
+    tx, ty = layout.place_of(layout.index_of(F.col("cx"), F.col("cy")))
+    start = _piece((tx + 1).cast("int"), (ty + 1).cast("int"), F.lit(1), F.lit(1),
+                   F.array(F.lit(0.0)), F.array(F.lit(None).cast("double")))
+    messages = (starts.select(col.alias("col"), row.alias("row"), start.alias("piece"))
+                .groupBy("col", "row").agg(F.collect_list("piece").alias("pieces"))
                 .withColumn("fresh", F.lit(True)))
-    on = ["col", "row"]
-    nth = 0
+    on, nth, few, box = ["col", "row"], 0, False, None
     known: DataFrame | None = None
-    few, box = False, None
     while True:
-        base = friction
-        if box is not None:
-            base = base.where(F.col("col").between(box[0] - 1, box[1] + 1)
-                              & F.col("row").between(box[2] - 1, box[3] + 1))
-        side = F.broadcast(messages) if few else messages
-        work = base.join(side, on)
-        done = work.select(*keys, "pieces", "costs", "fresh").mapInArrow(run_round, out_schema)
-        path = f"{folder}/round={nth}"
-        changed = through_table(done, path).withColumn("round", F.lit(nth))
+        base = friction if box is None else _boxed(friction, box)
+        work = base.join(F.broadcast(messages) if few else messages, on)
+        done = work.select(*keys, "f", "pieces", "fresh").mapInArrow(run_round, out_schema)
+        changed = through_table(done, f"{folder}/round={nth}").withColumn("round", F.lit(nth))
         n, *box = changed.agg(F.count(F.lit(1)), F.min("col"), F.max("col"), F.min("row"),
                               F.max("row")).first()
         if not n:
             break
         known = changed if known is None else known.unionByName(changed)
         # borders of the changed tiles go to their neighbours, together with what these know
-        sent = halo_borders(changed, layout, keys)
-        near = known.where(F.col("col").between(box[0] - 1, box[1] + 1)
-                           & F.col("row").between(box[2] - 1, box[3] + 1))
-        own = _latest(near, keys).select(*keys, F.struct(
-            F.lit(1).alias("px"), F.lit(1).alias("py"), F.lit(cols).alias("w"),
-            F.lit(rows).alias("h"), F.col("d").alias("vals")).alias("own"))
-        messages = (sent.join(own, keys, "left").select(*keys, F.when(
-            F.col("own").isNotNull(), F.concat(F.array("own"), "costs")).otherwise(
-            F.col("costs")).alias("costs"), F.lit(False).alias("fresh")))
+        own = _latest(_boxed(known, box), keys).select(*keys, _piece(
+            F.lit(1), F.lit(1), F.lit(cols), F.lit(rows), F.col("d"),
+            F.array_repeat(F.lit(None).cast("double"), layout.tile_cells)).alias("own"))
+        messages = borders(changed, layout, keys).join(own, keys, "left").select(
+            *keys, F.when(F.col("own").isNull(), F.col("pieces")).otherwise(
+                F.concat(F.array("own"), "pieces")).alias("pieces"), F.lit(False).alias("fresh"))
+        # at most eight neighbours per changed tile
+        few = n * 8 * (256 + 16 * layout.tile_cells) <= BROADCAST_BYTES
         on = keys
-        few = n * 9 * (128 + 8 * layout.tile_cells) <= BROADCAST_BYTES
         nth += 1
     kind = CellType.parse("float64")
     if known is None:
@@ -145,26 +181,7 @@ def cost_distance(layer: Layer, sources: DataFrame, max_distance: float = math.i
     return tiles.with_df(final, cell_type=kind, bands=1)
 
 
-def halo_borders(changed: DataFrame, layout, keys: list[str]) -> DataFrame:
-    """Per neighbour of a changed tile the border strips it receives (at most eight)."""
-    from .focal import _strip
-
-    rows, cols = layout.tile_rows, layout.tile_cols
-    others = [k for k in keys if k not in ("col", "row")]
-    sends = []
-    for dr in (-1, 0, 1):
-        for dc in (-1, 0, 1):
-            if not (dr or dc):
-                continue
-            x0, x1 = (0, cols) if dc == 0 else ((cols - 1, cols) if dc > 0 else (0, 1))
-            y0, y1 = (0, rows) if dr == 0 else ((rows - 1, rows) if dr > 0 else (0, 1))
-            px = 1 if dc == 0 else (0 if dc > 0 else cols + 1)
-            py = 1 if dr == 0 else (0 if dr > 0 else rows + 1)
-            sends.append(F.struct(
-                (F.col("col") + dc).alias("col"), (F.col("row") + dr).alias("row"),
-                F.struct(F.lit(px).alias("px"), F.lit(py).alias("py"), F.lit(x1 - x0).alias("w"),
-                         F.lit(y1 - y0).alias("h"),
-                         _strip(F.col("d"), cols, x0, x1, y0, y1).alias("vals")).alias("piece")))
-    sent = changed.select(*others, F.explode(F.array(*sends)).alias("s")).select(*others, "s.*")
-    reached = F.exists("piece.vals", lambda v: v.isNotNull())
-    return sent.where(reached).groupBy(*keys).agg(F.collect_list("piece").alias("costs"))
+def _boxed(df: DataFrame, box) -> DataFrame:
+    """Rows in a box of keys (first and last column, first and last row) or next to it."""
+    return df.where(F.col("col").between(box[0] - 1, box[1] + 1)
+                    & F.col("row").between(box[2] - 1, box[3] + 1))

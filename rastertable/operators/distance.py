@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import CellType, Layer, Layout, Meta
-from ..plans.joins import BROADCAST_BYTES
+from ..plans.joins import BROADCAST_BYTES, salted_join
 from ..plans.lineage import run_folder, through_table
 from .geometry import polygon_spans
 
@@ -115,9 +115,10 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
                                          "py": F.floor(F.col("sy") / 2).cast("bigint")})
         bound = min(n, 4 ** max(max(across).bit_length() - level, 0))
         small = bound * NODE_BYTES <= BROADCAST_BYTES
-        children = F.broadcast(children) if small else children.hint("merge")
-        pairs = (pairs.withColumnsRenamed({"sx": "px", "sy": "py"})
-                 .join(children, ["px", "py"]).drop("px", "py"))
+        pairs = pairs.withColumnsRenamed({"sx": "px", "sy": "py"})
+        # one source may be the candidate of any share of the targets, hence the salt
+        pairs = (pairs.join(F.broadcast(children), ["px", "py"]) if small else
+                 salted_join(pairs, children, ["px", "py"], ["tx", "ty"])).drop("px", "py")
         if level > 0:
             t = (F.col("tx") * (size * cw), (F.col("tx") + 1) * (size * cw),
                  F.col("ty") * (size * ch), (F.col("ty") + 1) * (size * ch))
@@ -141,10 +142,11 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
                  .drop("near", "far", "best"))
     leaves = base.select(_node("gx", level).alias("sx"), _node("gy", level).alias("sy"),
                          "mx", "my")
-    leaves = (F.broadcast(leaves) if n * 32 <= BROADCAST_BYTES else leaves.hint("merge"))
     d = F.hypot((F.col("tx") + 0.5) * cw - F.col("mx"), (F.col("ty") + 0.5) * ch - F.col("my"))
     keys = [c for c in ("ax", "ay") if c in pairs.columns]
-    nearest = (pairs.join(leaves, ["sx", "sy"]).withColumn("d", d)
+    found = (pairs.join(F.broadcast(leaves), ["sx", "sy"]) if n * 32 <= BROADCAST_BYTES else
+             salted_join(pairs, leaves, ["sx", "sy"], ["tx", "ty"]))
+    nearest = (found.withColumn("d", d)
                .groupBy(*keys, "tx", "ty").agg(F.min("d").alias("v")))
     cells = nearest.select((F.col("tx") + ox).alias("x"), (F.col("ty") + oy).alias("y"),
                            F.lit(0).alias("band"), "v")

@@ -73,7 +73,12 @@ def lookup(layer: Layer, col: int, row: int) -> DataFrame:
 def lookup_many(layer: Layer, requested: DataFrame) -> DataFrame:
     """Tiles of the requested (col, row) keys."""
     wanted = requested.select(F.col("col").cast("int"), F.col("row").cast("int")).distinct()
-    return lookup_join(layer.df, wanted, ["col", "row"], "left_semi", 16,
+    # the range of the keys is a predicate that reaches the scan
+    c0, c1, r0, r1 = wanted.agg(F.min("col"), F.max("col"), F.min("row"), F.max("row")).first()
+    if c0 is None:
+        return layer.df.where("false")
+    tiles = layer.df.where(F.col("col").between(c0, c1) & F.col("row").between(r0, r1))
+    return lookup_join(tiles, wanted, ["col", "row"], "left_semi", 16,
                        ["instant"] if layer.meta.temporal else None)
 
 

@@ -24,7 +24,7 @@ STATISTICS = ("Mean", "Median", "StandardDeviation",
               "Sum", "Min", "Max", "Mode")
 
 
-def _strip(cells: Column, tc: int, x0: int, x1: int, y0: int, y1: int) -> Column:
+def strip(cells: Column, tc: int, x0: int, x1: int, y0: int, y1: int) -> Column:
     """Row-major sub-window of a tile array."""
     if x1 - x0 == tc:
         return F.slice(cells, y0 * tc + 1, (y1 - y0) * tc)
@@ -51,7 +51,7 @@ def halo(tiles: DataFrame, cells: Column, layout: Layout, r: int, keys: list[str
                 F.lit((dc, dr) == (0, 0)).cast("int").alias("centre"),
                 F.struct(F.lit(x0 - dc * tc + r).alias("px"), F.lit(y0 - dr * tr + r).alias("py"),
                          F.lit(x1 - x0).alias("w"), F.lit(y1 - y0).alias("h"),
-                         _strip(F.col("cells"), tc, x0, x1, y0, y1).alias("vals")).alias("piece")))
+                         strip(F.col("cells"), tc, x0, x1, y0, y1).alias("vals")).alias("piece")))
     sent = (tiles.select("col", "row", *others, cells.cast("array<double>").alias("cells"))
             .select(*others, F.explode(F.array(*sends)).alias("s")).select(*others, "s.*")
             .where(F.col("col").between(0, layout.layout_cols - 1)
@@ -63,12 +63,13 @@ def halo(tiles: DataFrame, cells: Column, layout: Layout, r: int, keys: list[str
     return grouped.where(once == 1).select(*keys, "pieces")
 
 
-def padded_windows(pieces: pa.ListArray, rows: int, cols: int, r: int) -> np.ndarray:
+def padded_windows(pieces: pa.ListArray, rows: int, cols: int, r: int,
+                   name: str = "vals") -> np.ndarray:
     """Stack of padded arrays of a batch, NaN where there is no piece or no data."""
     offsets = pieces.offsets.to_numpy()
     parts = pieces.values
     px, py, w, h = (parts.field(n).to_numpy() for n in ("px", "py", "w", "h"))
-    vals = parts.field("vals")
+    vals = parts.field(name)
     starts = vals.offsets.to_numpy()
     flat = vals.values.to_numpy(zero_copy_only=False)
     out = np.full((len(pieces), rows + 2 * r, cols + 2 * r), np.nan)

@@ -115,11 +115,47 @@ def mask_bytes(layout: Layout) -> int:
 
 def in_mask(mask: Column, i: Column, layout: Layout) -> Column:
     """Whether cell ``i`` of a tile is set in its mask."""
-    tc = layout.tile_cols
-    x = i % tc
-    at = F.floor(i / tc) * -(-tc // WORD) + F.floor(x / WORD)
+    x, y = layout.place_of(i)
+    at = y * -(-layout.tile_cols // WORD) + F.shiftright(x, 5)
     word = F.coalesce(F.get(mask, at.cast("int")), F.lit(0).cast("bigint"))
-    return F.getbit(word, (x % WORD).cast("int")) == 1
+    return F.getbit(word, x.bitwiseAND(F.lit(WORD - 1)).cast("int")) == 1
+
+
+def mask_cells(mask: Column, layout: Layout) -> Column:
+    """A mask as an array of booleans, one per cell; linear in the cells."""
+    per_row = -(-layout.tile_cols // WORD)
+
+    def bits(word: Column, n: int) -> Column:
+        known = F.coalesce(word, F.lit(0).cast("bigint"))
+        return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda b: F.getbit(known, b) == 1)
+
+    last = layout.tile_cols - (per_row - 1) * WORD
+    if last == WORD:
+        return F.flatten(F.transform(mask, lambda w: bits(w, WORD)))
+    return F.flatten(F.transform(mask, lambda w, k: F.when(
+        (k + 1) % per_row == 0, bits(w, last)).otherwise(bits(w, WORD))))
+
+
+def envelope(geometry: DataFrame) -> Extent | None:
+    """Bounding box of edges or points: one aggregate row. None when there is no geometry."""
+    xs, ys = (("x0", "x1"), ("y0", "y1")) if "x0" in geometry.columns else (("x",), ("y",))
+    r = geometry.agg(*[F.min(c) for c in xs], *[F.max(c) for c in xs],
+                     *[F.min(c) for c in ys], *[F.max(c) for c in ys]).first()
+    if r[0] is None:
+        return None
+    n = len(xs)
+    return Extent(min(r[:n]), min(r[2 * n:3 * n]), max(r[n:2 * n]), max(r[3 * n:]))
+
+
+def near(tiles: DataFrame, layout: Layout, area: Extent | None, cells: int = 1) -> DataFrame:
+    """Tiles whose key lies in the area widened by some cells, as a predicate that can reach the
+    scan, so that geometry in a corner of a layer reads that corner only."""
+    if area is None:
+        return tiles.where("false")
+    dx, dy = cells * layout.cell_width, cells * layout.cell_height
+    c0, r0, c1, r1 = layout.key_bounds(Extent(area.xmin - dx, area.ymin - dy,
+                                              area.xmax + dx, area.ymax + dy))
+    return tiles.where(F.col("col").between(c0, c1) & F.col("row").between(r0, r1))
 
 
 def segment_cells(edges: DataFrame, layout: Layout) -> DataFrame:

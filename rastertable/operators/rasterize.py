@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..model import CellType, Extent, Layer, Layout, Meta, global_level
 from .filters import Moment, moment
-from .geometry import in_mask, polygon_spans, segment_cells, tile_masks
+from .geometry import mask_cells, polygon_spans, segment_cells, tile_masks
 from .shape import to_tiles
 
 
@@ -21,8 +21,8 @@ def rasterize_on(layout: Layout, epsg: int, fill: float, cell_type: str = "int32
     value = F.lit(fill).cast(kind.compute_type)
     if polygons is not None and lines is None and points is None:
         masks = tile_masks(polygon_spans(polygons, layout), layout, by_geometry=False)
-        cells = F.transform(F.sequence(F.lit(0), F.lit(layout.tile_cells - 1)),
-                            lambda i: F.when(in_mask(F.col("mask"), i, layout), value))
+        cells = F.transform(mask_cells(F.col("mask"), layout),
+                            lambda inside: F.when(inside, value))
         out = Layer(masks.select("col", "row", F.array(cells).alias("bands")), meta, "tile")
     else:
         parts = []

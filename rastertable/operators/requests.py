@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import Layer
-from ..plans.joins import fits
+from ..plans.joins import lookup_join
 from .shape import to_tiles
 
 
@@ -32,9 +32,12 @@ def read_tiles_zoomed(requests: DataFrame, levels: Sequence[Layer], max_zoom: in
     shift = lambda c: F.call_function("shiftright", F.col(c).cast("bigint"), dz)
     asked = asked.withColumns({"_dz": dz, "_zoom": F.least(F.col("zoom"), F.lit(top)).cast("int"),
                                "_col": shift("x").cast("int"), "_row": shift("y").cast("int")})
-    if not requests.isStreaming and fits(requests, 64):
-        asked = F.broadcast(asked)
-    met = table.join(asked, ["_zoom", "_col", "_row"])
+    on = ["_zoom", "_col", "_row"]
+    if requests.isStreaming:
+        met = table.join(asked, on)
+    else:  # many requests for one tile are split
+        met = lookup_join(table, asked, on, "inner", 64,
+                          ["instant"] if "instant" in table.columns else None, requests.columns)
 
     def source(i: Column) -> Column:
         """Position in the ancestor tile of cell ``i`` of the requested tile."""

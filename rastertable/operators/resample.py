@@ -337,11 +337,12 @@ def _shrink_tiles(layer: Layer, target: Layout, fx: int, fy: int, method: str) -
 
 
 def pyramid(layer: Layer, method: str = "NearestNeighbor", end_zoom: int = 0,
-            materialize: bool = False) -> list[Layer]:
+            materialize: bool = True) -> list[Layer]:
     """All levels from the layer's own down to ``end_zoom``, each from the one above.
 
     A layer with a zoom uses the global scheme, otherwise the local scheme with an inferred level.
-    ``materialize`` writes every level to the shared folder, so that long chains are computed once.
+    Every level is written to the shared folder once, a quarter of the one above, so that whatever
+    reads the levels does not compute the chain again; ``materialize=False`` keeps them lazy.
     """
     if layer.kind == "tile" and layer.base.isEmpty() or layer.kind == "cell" and layer.df.isEmpty():
         raise ValueError("cannot build a pyramid over an empty layer")

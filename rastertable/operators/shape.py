@@ -22,9 +22,9 @@ def to_cells(layer: Layer, keep_nodata: bool = False) -> Layer:
     cells = _exploded(layer)
     if not keep_nodata:
         cells = cells.where(F.col("v").isNotNull())
-    i = F.col("i")
-    x = F.col("col").cast("bigint") * layout.tile_cols + i % layout.tile_cols
-    y = F.col("row").cast("bigint") * layout.tile_rows + F.floor(i / layout.tile_cols)
+    tx, ty = layout.place_of(F.col("i"))
+    x = F.col("col").cast("bigint") * layout.tile_cols + tx
+    y = F.col("row").cast("bigint") * layout.tile_rows + ty
     instant = ["instant"] if layer.meta.temporal else []
     return layer.with_df(
         cells.select(x.alias("x"), y.cast("bigint").alias("y"), *instant, "band", "v"), "cell")

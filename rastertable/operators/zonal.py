@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.kernels import kernel_weight, least_weight, support
 from ..model import Extent, Layer
-from ..plans.joins import fits, lookup_join
-from .geometry import (extent_edges, in_mask, mask_bytes, polygon_spans, tile_masks,
-                       tiles_for_geometry, tiles_for_points)
+from ..plans.joins import lookup_join
+from .geometry import (envelope, extent_edges, in_mask, mask_bytes, mask_cells, near, polygon_spans,
+                       tile_masks, tiles_for_geometry, tiles_for_points)
 from .shape import to_tiles
 
 
@@ -27,10 +27,10 @@ def mask(layer: Layer, edges: DataFrame) -> Layer:
     tiles = to_tiles(layer)
     layout = layer.meta.layout
     masks = tile_masks(polygon_spans(edges, layout), layout, by_geometry=False)
-    joined = lookup_join(tiles.df, masks, ["col", "row"], "inner", mask_bytes(layout),
-                         _spread(layer))
-    kept = F.transform("bands", lambda band: F.transform(
-        band, lambda v, i: F.when(in_mask(F.col("mask"), i, layout), v)))
+    joined = lookup_join(near(tiles.df, layout, envelope(edges)), masks, ["col", "row"], "inner",
+                         mask_bytes(layout), _spread(layer))
+    kept = F.transform("bands", lambda band: F.zip_with(
+        band, mask_cells(F.col("mask"), layout), lambda v, inside: F.when(inside, v)))
     return tiles.with_df(joined.select(*tiles.keys, kept.alias("bands")))
 
 
@@ -40,8 +40,8 @@ def _zone_cells(layer: Layer, edges: DataFrame, by_geometry: bool,
     tiles = to_tiles(layer)
     layout = layer.meta.layout
     masks = tile_masks(polygon_spans(edges, layout), layout, by_geometry)
-    joined = lookup_join(tiles.df, masks, ["col", "row"], "inner", mask_bytes(layout),
-                         _spread(layer))
+    joined = lookup_join(near(tiles.df, layout, envelope(edges)), masks, ["col", "row"], "inner",
+                         mask_bytes(layout), _spread(layer), ["geom_id"] if by_geometry else None)
     tags = (["geom_id"] if by_geometry else []) + (["instant"] if layer.meta.temporal else [])
     if band is None:
         rows = joined.select(*tags, "mask", F.posexplode("bands").alias("band", "cells"))
@@ -115,20 +115,16 @@ def histogram_series(layer: Layer, edges: DataFrame, band: int = 0) -> DataFrame
 
 
 def filter_by_geometry(layer: Layer, edges: DataFrame | None = None,
-                       points: DataFrame | None = None,
-                       envelope: Extent | None = None) -> Layer:
+                       points: DataFrame | None = None) -> Layer:
     """Tiles that polygons touch or points fall in.
 
-    ``envelope`` is an optional bounding box of the geometry in layer coordinates: it becomes a
-    range predicate on the keys that reaches the scan before the join.
+    The bounding box of the geometry becomes a range predicate on the keys that reaches the scan
+    before the join.
     """
     if (edges is None) == (points is None):
         raise ValueError("give edges or points")
     layout = layer.meta.layout
-    df = layer.df
-    if envelope is not None:
-        c0, r0, c1, r1 = layout.key_bounds(envelope)
-        df = df.where(F.col("col").between(c0, c1) & F.col("row").between(r0, r1))
+    df = near(layer.df, layout, envelope(edges if edges is not None else points))
     wanted = (tiles_for_geometry(edges, layout).select("col", "row").distinct()
               if edges is not None else tiles_for_points(points, layout))
     return layer.with_df(lookup_join(df, wanted, ["col", "row"], "left_semi", 16, _spread(layer)))
@@ -145,8 +141,9 @@ def crop(layer: Layer, extent: Extent) -> Layer:
     df = layer.df.where(F.col("col").between(c0, c1) & F.col("row").between(r0, r1))
 
     def keep(v: Column, i: Column) -> Column:
-        gx, gy = layout.centre_of(F.col("col") * layout.tile_cols + i % layout.tile_cols,
-                                  F.col("row") * layout.tile_rows + F.floor(i / layout.tile_cols))
+        tx, ty = layout.place_of(i)
+        gx, gy = layout.centre_of(F.col("col") * layout.tile_cols + tx,
+                                  F.col("row") * layout.tile_rows + ty)
         return F.when((gx >= extent.xmin) & (gx < extent.xmax)
                       & (gy > extent.ymin) & (gy <= extent.ymax), v)
 
@@ -181,12 +178,10 @@ def point_values(layer: Layer, points: DataFrame, method: str = "NearestNeighbor
     col, row = layout.key_of(F.col("cx"), F.col("cy"))
     taps = taps.select("point_id", "weight", col.alias("col"), row.alias("row"),
                        layout.index_of(F.col("cx"), F.col("cy")).alias("i"))
-    on = ["col", "row"]
-    if fits(taps, 40):
-        met = tiles.df.join(F.broadcast(taps), on)
-    else:  # many points: their hot tiles are split, the tiles go where their points are
-        met = lookup_join(taps, tiles.df, on, "inner", 8 * layout.tile_cells * layer.meta.bands,
-                          ["point_id", "i"])
+    # many points: hot tiles are split, the tiles go where their points are
+    reach = 1 if method == "NearestNeighbor" else support(method)
+    met = lookup_join(near(tiles.df, layout, envelope(points), reach), taps, ["col", "row"],
+                      "inner", 40, _spread(layer), ["point_id", "i"])
     if method == "NearestNeighbor":
         values = F.transform("bands", lambda b: F.get(b, F.col("i")).cast("double"))
         found = met.select("point_id", *instant, values.alias("values"))

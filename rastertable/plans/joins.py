@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_ROWS = 1_000_000
+SALTS = 16
 
 
 def fits(df: DataFrame, row_bytes: int = 64, budget: int = BROADCAST_BYTES) -> bool:
@@ -16,34 +17,62 @@ def fits(df: DataFrame, row_bytes: int = 64, budget: int = BROADCAST_BYTES) -> b
 
 
 def split_join(big: DataFrame, side: DataFrame, on: list[str], how: str, spread_by: list[str],
-               hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Shuffle join in which a key with many rows of ``big`` is worked on by several tasks.
+               side_spread_by: list[str] | None = None, hot_rows: int | None = None) -> DataFrame:
+    """Shuffle join in which a key with many rows is worked on by several tasks.
 
     Keys above ``hot_rows`` are counted first; there are at most rows/hot_rows of them, so their
-    list is small by construction. Only the rows of ``side`` with such a key are repeated.
+    list is small by construction. Rows of ``big`` with such a key get one of ``_a`` numbers and
+    meet a copy of the matching rows of ``side`` each. With ``side_spread_by`` (inner joins only)
+    hot keys of ``side`` are split the same way the other way round.
     """
-    hot = (big.groupBy(*on).count().where(F.col("count") > hot_rows)
-           .select(*on, F.ceil(F.col("count") / hot_rows).cast("int").alias("_parts")))
-    parts = F.coalesce("_parts", F.lit(1))
-    salted = (big.join(F.broadcast(hot), on, "left")
-              .withColumn("_salt", F.pmod(F.xxhash64(*spread_by), parts).cast("int"))
-              .drop("_parts"))
-    spread = (side.join(F.broadcast(hot), on, "left")
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
-    return salted.join(spread.hint("merge"), [*on, "_salt"], how).drop("_salt")
+    limit = hot_rows or HOT_ROWS
+
+    def hot(df: DataFrame, name: str) -> DataFrame:
+        return (df.groupBy(*on).count().where(F.col("count") > limit)
+                .select(*on, F.ceil(F.col("count") / limit).cast("int").alias(name)))
+
+    if side_spread_by and how != "inner":
+        raise ValueError("only inner joins can split both sides")
+    parts = [("_a", big, spread_by)] + ([("_b", side, side_spread_by)] if side_spread_by else [])
+    left, right = big, side
+    for name, counted, spread in parts:
+        keys = F.broadcast(hot(counted, "_n"))
+        n = F.coalesce("_n", F.lit(1))
+        pick = F.pmod(F.xxhash64(*spread), n).cast("int")
+        copy = F.explode(F.sequence(F.lit(0), n - 1))
+        here, there = (pick, copy) if name == "_a" else (copy, pick)
+        left = left.join(keys, on, "left").withColumn(name, here).drop("_n")
+        right = right.join(keys, on, "left").withColumn(name, there).drop("_n")
+    names = [name for name, *_ in parts]
+    return left.join(right.hint("merge"), [*on, *names], how).drop(*names)
+
+
+def salted_join(big: DataFrame, side: DataFrame, on: list[str], spread_by: list[str],
+                salts: int = SALTS) -> DataFrame:
+    """Inner shuffle join with every row of ``side`` repeated ``salts`` times.
+
+    For a ``side`` that is small next to ``big`` where counting the keys of ``big`` would mean to
+    compute it twice.
+    """
+    salted = big.withColumn("_a", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
+    spread = side.withColumn("_a", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(spread.hint("merge"), [*on, "_a"]).drop("_a")
 
 
 def lookup_join(big: DataFrame, side: DataFrame, on: list[str], how: str = "inner",
-                row_bytes: int = 64, spread_by: list[str] | None = None) -> DataFrame:
+                row_bytes: int = 64, spread_by: list[str] | None = None,
+                side_spread_by: list[str] | None = None) -> DataFrame:
     """``big`` joined with ``side`` on equal columns.
 
     A side that passes ``fits`` is broadcast and ``big`` stays where it is. Otherwise both are
-    shuffled, and hot keys of ``big`` are split by the columns of ``spread_by``, if given.
+    shuffled, and hot keys are split by the given columns.
     """
     if how not in ("inner", "left_semi", "left", "left_anti"):
         raise ValueError(how)
     if fits(side, row_bytes):
         return big.join(F.broadcast(side), on, how)
-    if not spread_by:
+    if not spread_by and not side_spread_by:
         return big.join(side.hint("merge"), on, how)
-    return split_join(big, side, on, how, spread_by)
+    if not spread_by:  # only the side can be hot: change places
+        return split_join(side, big, on, how, side_spread_by)
+    return split_join(big, side, on, how, spread_by, side_spread_by)
