@@ -1,5 +1,9 @@
 """Map algebra over tiled rasters as Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 from .functions.classes import ColorMap
 from .functions.neighborhoods import Annulus, Circle, Nesw, Square, Wedge, neighborhood
 from .functions.projection import transform_extent, transform_xy
@@ -31,6 +35,9 @@ from .operators.zonal import (crop, filter_by_geometry, histogram_series, mask,
 from .sources.catalog import Catalog
 from .sources.scenes import export_scenes, read_scenes, split_scenes
 
+# Functions that run in tasks travel with them: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Layer.__add__ = Layer.__radd__ = local_add
 Layer.__sub__ = local_subtract
 Layer.__rsub__ = r_local_subtract
