@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from ..functions.classes import ColorMap
 from ..model import CellType, Extent, Layer, Meta
+from .fold import fold_tiles, unflatten
 from .geometry import explode_range
 from .resample import layout_for, single_epsg
 from .shape import to_cells
@@ -22,37 +23,49 @@ OPERATIONS = ("Sum", "Min", "Max", "Mean", "Variance", "StandardDeviation")
 
 
 def aggregate_by_cell(layer: Layer, operation: str) -> Layer:
-    """Tiles of equal key, combined cell by cell, as cells.
+    """Tiles of equal key, combined cell by cell; the shape of the layer is kept.
 
     Sum gives NoData where any of the tiles has NoData (in a cell layer, absent cells are in no
     tile); the others skip NoData. Variance and StandardDeviation are those of a sample. Partial
-    results combine before the shuffle, so a key may repeat without bound.
+    results combine before the shuffle, so a key may repeat without bound. Tiles with fewer bands
+    than the layer are not expected.
     """
     if operation not in OPERATIONS:
         raise ValueError(f"unknown operation {operation!r}")
-    cells = to_cells(layer, keep_nodata=operation == "Sum")
-    keys = cells.keys
+    meta = layer.meta
     whole = operation in ("Sum", "Min", "Max")
-    if operation == "Sum":
-        out = (cells.df.groupBy(*keys)
-               .agg(F.sum("v").alias("v"), F.count("v").alias("n"), F.count(F.lit(1)).alias("all"))
-               .where("n = all").drop("n", "all"))
-    else:
-        fn = {"Min": F.min, "Max": F.max, "Mean": F.avg, "Variance": F.var_samp,
-              "StandardDeviation": F.stddev_samp}[operation]
-        out = cells.df.groupBy(*keys).agg(fn("v").alias("v")).where(F.col("v").isNotNull())
-    kind = layer.meta.cell_type if whole else CellType.parse("float64")
-    return cells.with_df(out, cell_type=kind)
+    kind = meta.cell_type if whole else CellType.parse("float64")
+    if layer.kind == "tile":
+        n = meta.layout.tile_cells
+        folded = fold_tiles(layer.df, layer.keys, F.flatten("bands"), n * meta.bands, operation)
+        return layer.with_df(folded.select(*layer.keys, unflatten(
+            n, meta.bands, kind.compute_type).alias("bands")), cell_type=kind)
+    fn = {"Sum": F.sum, "Min": F.min, "Max": F.max, "Mean": F.avg, "Variance": F.var_samp,
+          "StandardDeviation": F.stddev_samp}[operation]
+    out = layer.df.groupBy(*layer.keys).agg(fn("v").alias("v")).where(F.col("v").isNotNull())
+    return layer.with_df(out, cell_type=kind)
 
 
-def merge(layers: Sequence[Layer]) -> Layer:
-    """One value per key and cell: NoData is filled from the next layer in order, as cells.
+def merge(layers: Layer | Sequence[Layer]) -> Layer:
+    """One value per key and cell: NoData is filled from the next layer in order.
 
     Keys that repeat inside one layer are resolved by an optional ``priority`` column, lowest
-    first.
+    first. Tile layers give tiles, others cells.
     """
-    first = to_cells(layers[0])
+    layers = [layers] if isinstance(layers, Layer) else list(layers)
+    first = layers[0]
     ranked = ["priority" in layer.base.columns for layer in layers]
+    same = all(t.kind == "tile" and t.meta.bands == first.meta.bands for t in layers)
+    if same and (len(layers) == 1 or not any(ranked)):
+        parts = [t.df.select(*first.keys, "bands", (
+            F.col("priority") if has else F.lit(nth)).alias("rank"))
+            for nth, (t, has) in enumerate(zip(layers, ranked))]
+        n = first.meta.layout.tile_cells
+        folded = fold_tiles(reduce(DataFrame.unionByName, parts), first.keys, F.flatten("bands"),
+                            n * first.meta.bands, "First", F.col("rank"))
+        return first.with_df(folded.select(*first.keys, unflatten(
+            n, first.meta.bands, first.meta.cell_type.compute_type).alias("bands")))
+    first = to_cells(layers[0])
     parts = []
     for nth, (layer, has) in enumerate(zip(layers, ranked)):
         cells = _cells_with_priority(layer) if has else to_cells(layer).df

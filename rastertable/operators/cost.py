@@ -114,7 +114,7 @@ def cost_distance(layer: Layer, sources: DataFrame, max_distance: float = math.i
     rows, cols = layout.tile_rows, layout.tile_cols
     cw, ch, limit = layout.cell_width, layout.cell_height, float(max_distance)
     folder = run_folder(spark, "cost")
-    reachable = _reachable(tiles.df, layout, band, envelope(sources), limit)
+    reachable = _reachable(tiles.df, layout, band, envelope(sources)[0], limit)
     friction = through_table(reachable.select(
         *keys, F.get("bands", F.lit(band)).cast("array<double>").alias("f")), f"{folder}/friction")
     types = dict(friction.dtypes)

@@ -136,15 +136,40 @@ def mask_cells(mask: Column, layout: Layout) -> Column:
         (k + 1) % per_row == 0, bits(w, last)).otherwise(bits(w, WORD))))
 
 
-def envelope(geometry: DataFrame) -> Extent | None:
-    """Bounding box of edges or points: one aggregate row. None when there is no geometry."""
+def _corners(geometry: DataFrame) -> list[Column]:
     xs, ys = (("x0", "x1"), ("y0", "y1")) if "x0" in geometry.columns else (("x",), ("y",))
-    r = geometry.agg(*[F.min(c) for c in xs], *[F.max(c) for c in xs],
-                     *[F.min(c) for c in ys], *[F.max(c) for c in ys]).first()
+    low = lambda names: F.least(*[F.min(c) for c in names]) if len(names) > 1 else F.min(names[0])
+    high = lambda names: F.greatest(*[F.max(c) for c in names]) if len(names) > 1 else F.max(names[0])
+    return [low(xs).alias("xmin"), low(ys).alias("ymin"), high(xs).alias("xmax"),
+            high(ys).alias("ymax")]
+
+
+def envelope(geometry: DataFrame) -> tuple[Extent | None, int]:
+    """Bounding box and number of edges or points: one aggregate row, no box without geometry."""
+    r = geometry.agg(*_corners(geometry), F.count(F.lit(1)).alias("n")).first()
+    return (Extent(*r[:4]) if r["n"] else None), r["n"]
+
+
+def tile_bound(edges: DataFrame, layout: Layout) -> tuple[Extent | None, int, int]:
+    """Bounding box of all polygons, and upper bounds of the number of tiles they touch, all
+    together and polygon by polygon, from the boxes of the polygons."""
+    boxes = edges.groupBy("geom_id").agg(*_corners(edges))
+    x0, y0 = layout.to_grid(F.col("xmin"), F.col("ymax"))
+    x1, y1 = layout.to_grid(F.col("xmax"), F.col("ymin"))
+
+    def span(a: Column, b: Column, size: int, most: int) -> Column:
+        low = F.greatest(F.floor(a / size), F.lit(0))
+        return F.greatest(F.least(F.floor(b / size), F.lit(most - 1)) - low + 1, F.lit(0))
+
+    tiles = (span(x0, x1, layout.tile_cols, layout.layout_cols).cast("double")
+             * span(y0, y1, layout.tile_rows, layout.layout_rows))
+    r = boxes.agg(F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax"), F.sum(tiles)).first()
     if r[0] is None:
-        return None
-    n = len(xs)
-    return Extent(min(r[:n]), min(r[2 * n:3 * n]), max(r[n:2 * n]), max(r[3 * n:]))
+        return None, 0, 0
+    area = Extent(*r[:4])
+    c0, r0, c1, r1 = layout.key_bounds(area)
+    each = int(r[4])
+    return area, min(each, (c1 - c0 + 2) * (r1 - r0 + 2)), each
 
 
 def near(tiles: DataFrame, layout: Layout, area: Extent | None, cells: int = 1) -> DataFrame:

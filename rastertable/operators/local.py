@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.classes import ColorMap, class_of
 from ..model import INTEGER_BITS, CellType, Layer
-from .shape import to_cells, to_tiles
+from .fold import fold_tiles, unflatten
+from .shape import to_tiles
 
 Number = int | float
 
@@ -145,23 +146,19 @@ def normalize(layer: Layer, old_min: float, old_max: float, new_min: float,
 def local_add_all(layers: Sequence[Layer]) -> Layer:
     """Sum over the layers that have the key; NoData in any of these tiles gives NoData.
 
-    Bands are cut to the shortest list. Works on exploded cells, whose partial sums combine before
-    the shuffle, so keys that repeat without bound are no problem.
+    Bands are cut to the shortest list.
     """
     tiles = [to_tiles(layer) for layer in layers]
     first = tiles[0]
-    kind = reduce(lambda k, t: "float64" if t.is_floating else k, tiles, "int32")
-    spark = CellType.parse(kind).compute_type
-    typed = [t.df.withColumn("bands", F.col("bands").cast(f"array<array<{spark}>>"))
-             for t in tiles]
-    out = first.with_df(reduce(DataFrame.unionByName, typed), cell_type=CellType.parse(kind),
-                        bands=min(t.meta.bands for t in tiles))
-    cells = to_cells(out, keep_nodata=True).df.where(F.col("band") < out.meta.bands)
-    summed = (cells.groupBy("x", "y", *(["instant"] if out.meta.temporal else []), "band")
-              .agg(F.sum("v").alias("v"), F.count("v").alias("with_data"),
-                   F.count(F.lit(1)).alias("present"))
-              .where("with_data = present").drop("with_data", "present"))
-    return out.with_df(summed, "cell")
+    kind = CellType.parse("float64" if any(t.is_floating for t in tiles) else "int32")
+    bands = min(t.meta.bands for t in tiles)
+    n = first.meta.layout.tile_cells
+    flat = [t.df.select(*first.keys, F.flatten(F.slice("bands", 1, bands)).cast("array<double>")
+                        .alias("flat")) for t in tiles]
+    summed = fold_tiles(reduce(DataFrame.unionByName, flat), first.keys, F.col("flat"), n * bands,
+                        "Sum")
+    return first.with_df(summed.select(*first.keys, unflatten(
+        n, bands, kind.compute_type).alias("bands")), cell_type=kind, bands=bands)
 
 
 def composite(layers: Sequence[Layer], blend=None) -> Layer:

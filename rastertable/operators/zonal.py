@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.kernels import kernel_weight, least_weight, support
 from ..model import Extent, Layer
 from ..plans.joins import lookup_join
-from .geometry import (envelope, extent_edges, in_mask, mask_bytes, mask_cells, near, polygon_spans,
-                       tile_masks, tiles_for_geometry, tiles_for_points)
+from .geometry import (envelope, extent_edges, in_mask, mask_bytes, mask_cells, near,
+                       polygon_spans, tile_bound, tile_masks, tiles_for_geometry, tiles_for_points)
 from .shape import to_tiles
 
 
@@ -27,8 +27,9 @@ def mask(layer: Layer, edges: DataFrame) -> Layer:
     tiles = to_tiles(layer)
     layout = layer.meta.layout
     masks = tile_masks(polygon_spans(edges, layout), layout, by_geometry=False)
-    joined = lookup_join(near(tiles.df, layout, envelope(edges)), masks, ["col", "row"], "inner",
-                         mask_bytes(layout), _spread(layer))
+    area, most, _ = tile_bound(edges, layout)
+    joined = lookup_join(near(tiles.df, layout, area), masks, ["col", "row"], "inner",
+                         mask_bytes(layout), _spread(layer), most=most)
     kept = F.transform("bands", lambda band: F.zip_with(
         band, mask_cells(F.col("mask"), layout), lambda v, inside: F.when(inside, v)))
     return tiles.with_df(joined.select(*tiles.keys, kept.alias("bands")))
@@ -40,8 +41,10 @@ def _zone_cells(layer: Layer, edges: DataFrame, by_geometry: bool,
     tiles = to_tiles(layer)
     layout = layer.meta.layout
     masks = tile_masks(polygon_spans(edges, layout), layout, by_geometry)
-    joined = lookup_join(near(tiles.df, layout, envelope(edges)), masks, ["col", "row"], "inner",
-                         mask_bytes(layout), _spread(layer), ["geom_id"] if by_geometry else None)
+    area, most, each = tile_bound(edges, layout)
+    joined = lookup_join(near(tiles.df, layout, area), masks, ["col", "row"], "inner",
+                         mask_bytes(layout), _spread(layer), ["geom_id"] if by_geometry else None,
+                         each if by_geometry else most)
     tags = (["geom_id"] if by_geometry else []) + (["instant"] if layer.meta.temporal else [])
     if band is None:
         rows = joined.select(*tags, "mask", F.posexplode("bands").alias("band", "cells"))
@@ -124,7 +127,7 @@ def filter_by_geometry(layer: Layer, edges: DataFrame | None = None,
     if (edges is None) == (points is None):
         raise ValueError("give edges or points")
     layout = layer.meta.layout
-    df = near(layer.df, layout, envelope(edges if edges is not None else points))
+    df = near(layer.df, layout, envelope(edges if edges is not None else points)[0])
     wanted = (tiles_for_geometry(edges, layout).select("col", "row").distinct()
               if edges is not None else tiles_for_points(points, layout))
     return layer.with_df(lookup_join(df, wanted, ["col", "row"], "left_semi", 16, _spread(layer)))
@@ -179,9 +182,10 @@ def point_values(layer: Layer, points: DataFrame, method: str = "NearestNeighbor
     taps = taps.select("point_id", "weight", col.alias("col"), row.alias("row"),
                        layout.index_of(F.col("cx"), F.col("cy")).alias("i"))
     # many points: hot tiles are split, the tiles go where their points are
-    reach = 1 if method == "NearestNeighbor" else support(method)
-    met = lookup_join(near(tiles.df, layout, envelope(points), reach), taps, ["col", "row"],
-                      "inner", 40, _spread(layer), ["point_id", "i"])
+    reach = 0 if method == "NearestNeighbor" else support(method)
+    area, n = envelope(points)
+    met = lookup_join(near(tiles.df, layout, area, reach + 1), taps, ["col", "row"], "inner", 40,
+                      _spread(layer), ["point_id", "i"], n * max(1, 4 * reach * reach))
     if method == "NearestNeighbor":
         values = F.transform("bands", lambda b: F.get(b, F.col("i")).cast("double"))
         found = met.select("point_id", *instant, values.alias("values"))

@@ -61,15 +61,17 @@ def salted_join(big: DataFrame, side: DataFrame, on: list[str], spread_by: list[
 
 def lookup_join(big: DataFrame, side: DataFrame, on: list[str], how: str = "inner",
                 row_bytes: int = 64, spread_by: list[str] | None = None,
-                side_spread_by: list[str] | None = None) -> DataFrame:
+                side_spread_by: list[str] | None = None, most: int | None = None) -> DataFrame:
     """``big`` joined with ``side`` on equal columns.
 
-    A side that passes ``fits`` is broadcast and ``big`` stays where it is. Otherwise both are
-    shuffled, and hot keys are split by the given columns.
+    A side that passes ``fits`` is broadcast and ``big`` stays where it is; ``most`` is an upper
+    bound of its rows where one is known, which saves counting them. Otherwise both are shuffled,
+    and hot keys are split by the given columns.
     """
     if how not in ("inner", "left_semi", "left", "left_anti"):
         raise ValueError(how)
-    if fits(side, row_bytes):
+    known = most is not None and most * row_bytes <= BROADCAST_BYTES
+    if known or fits(side, row_bytes):
         return big.join(F.broadcast(side), on, how)
     if not spread_by and not side_spread_by:
         return big.join(side.hint("merge"), on, how)

@@ -164,10 +164,10 @@ def test_times(spark):
     assert rt.to_spatial(layer, "2023-01-01 00:00:00").df.count() == 0
     flat = rt.to_spatial(layer)
     assert flat.df.count() == 10 and not flat.meta.temporal
-    mean = rt.aggregate_by_cell(flat, "Mean").df.first()["v"]
-    assert mean == 5.5
-    assert rt.aggregate_by_cell(flat, "Variance").df.first()["v"] == pytest.approx(
-        np.var(range(1, 11), ddof=1))
+    for form in (flat, rt.to_cells(flat)):  # arrays and cell rows
+        one = lambda op: rt.to_cells(rt.aggregate_by_cell(form, op)).df.first()["v"]
+        assert one("Mean") == 5.5 and one("Sum") == 55
+        assert one("Variance") == pytest.approx(np.var(range(1, 11), ddof=1))
 
 
 def test_sum_absorbs_nodata_and_others_skip_it(spark):
@@ -185,3 +185,49 @@ def test_merge_is_idempotent_and_ordered(spark):
     one, two = cell_layer(spark, a), cell_layer(spark, b)
     np.testing.assert_array_equal(as_array(rt.merge([one, two]), 8, 8), np.where(np.isnan(a), b, a))
     np.testing.assert_array_equal(as_array(rt.merge([one, one]), 8, 8), a)
+
+
+def repeated_tiles(spark, n=40, tile=4):
+    """Many tiles of few keys, with gaps, and what they hold per key."""
+    rng = np.random.default_rng(0)
+    rows, held = [], {}
+    for i in range(n):
+        key = (0, 0) if i % 3 else (i % 2, 1)
+        a = random_raster(tile, tile * 2, i, gaps=0.4, top=50).reshape(2, tile * tile)
+        held.setdefault(key, []).append((i, a))
+        rows.append((*key, int(rng.integers(0, 1000)) * 1000 + i, [
+            [None if np.isnan(v) else int(v) for v in band] for band in a]))
+    df = spark.createDataFrame(rows, "col int, row int, priority bigint, bands array<array<bigint>>")
+    meta = rt.Meta(rt.CellType.parse("int32"), rt.Layout(rt.Extent(0, 0, 8, 8), 2, 2, tile, tile),
+                   3857, 2)
+    order = {r[2] % 1000: r[2] for r in rows}
+    return rt.from_tiles(df.repartition(5), meta), held, order
+
+
+@pytest.mark.parametrize("blocks", [False, True])
+@pytest.mark.filterwarnings("ignore::RuntimeWarning")
+def test_folding_repeated_keys(spark, monkeypatch, blocks):
+    from rastertable.operators import fold
+    if blocks:
+        monkeypatch.setattr(fold, "BLOCK_CELLS", 5)
+        monkeypatch.setattr(fold, "HELD_BYTES", 600)
+    layer, held, order = repeated_tiles(spark)
+    expected = {"Sum": lambda s: s.sum(axis=0), "Min": lambda s: np.nanmin(s, axis=0),
+                "Max": lambda s: np.nanmax(s, axis=0), "Mean": lambda s: np.nanmean(s, axis=0),
+                "Variance": lambda s: np.nanvar(s, axis=0, ddof=1),
+                "StandardDeviation": lambda s: np.nanstd(s, axis=0, ddof=1)}
+    for op, fn in expected.items():
+        rows = rt.aggregate_by_cell(layer, op).df.collect()
+        assert len(rows) == len(held)
+        for r in rows:
+            got = np.array(r["bands"], float)
+            stack = np.stack([a for _, a in held[r["col"], r["row"]]])
+            np.testing.assert_allclose(got, fn(stack))
+    for r in rt.merge(layer).df.collect():
+        stack = sorted(held[r["col"], r["row"]], key=lambda t: order[t[0]])
+        want = stack[0][1].copy()
+        for _, a in stack[1:]:
+            want = np.where(np.isnan(want), a, want)
+        np.testing.assert_array_equal(np.array(r["bands"], float), want)
+    cells = rt.merge([layer, layer])  # several layers with priorities: cell by cell
+    assert cells.kind == "cell" and cells.df.count() == rt.to_cells(rt.merge(layer)).df.count()

@@ -40,3 +40,21 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """A driver elsewhere finds the package by path only; its Python workers do not."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+import __spark_entry__ as e
+from checks.run import session
+spark = session(2)
+for name in ("slope", "merge", "pyramid_average"):
+    assert e.queries()[name](spark, {SF!r}).count() > 0
+"""
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, timeout=300)
