@@ -345,11 +345,10 @@ def _(spark, sf):
 @query("filter_by_geometry_points", "fx1 pt1", """SELECT DISTINCT CAST(f.x // 16 AS INT) AS col,
     CAST(f.y // 16 AS INT) AS row FROM fx1 f WHERE (f.x // 16, f.y // 16) IN (
       SELECT (CAST(floor(x / 16) AS BIGINT), CAST(floor(y / 16) AS BIGINT)) FROM pt1
-      WHERE x < 128 AND point_id % 7 = 3)""")
+      WHERE x < 128)""")
 def _(spark, sf):
     layer = rt.to_tiles(fx1_cells(spark, sf))
-    points = map_points(spark, sf).where("point_id % 7 = 3")
-    return rt.keys(rt.filter_by_geometry(layer, points=points))
+    return rt.keys(rt.filter_by_geometry(layer, points=map_points(spark, sf)))
 
 
 # a tile is touched when a border crosses its open box, or its centre is inside
@@ -393,8 +392,7 @@ def _(spark, sf):
 
 @query("filter_by_geometry", "geo fx1", """SELECT DISTINCT CAST(x // 16 AS INT) AS col,
     CAST(y // 16 AS INT) AS row FROM fx1 WHERE (x // 16, y // 16) IN (
-      SELECT (col, row) FROM touched WHERE geom_id % 5 = 1)""", tile_centres=_CENTRES, touched=_TOUCH)
+      SELECT (col, row) FROM touched)""", tile_centres=_CENTRES, touched=_TOUCH)
 def _(spark, sf):
     layer = rt.to_tiles(fx1_cells(spark, sf))
-    edges = map_edges(spark, sf).where("geom_id % 5 = 1")
-    return rt.keys(rt.filter_by_geometry(layer, edges=edges))
+    return rt.keys(rt.filter_by_geometry(layer, edges=map_edges(spark, sf)))

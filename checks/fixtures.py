@@ -44,7 +44,7 @@ SELECT CAST((vec_id * 7) % 24 + (i - 1) % 8 AS BIGINT) AS x,
        label, vec_id AS priority
 FROM (SELECT vec_id, embedding, label, unnest(range(1, 65)) AS i FROM embeddings) t"""
 
-# x and y in cell coordinates, y south; one customer in three lies west of the layer.
+# x and y in cell coordinates, y south; one customer in five lies east of the layer.
 PT1 = """
 SELECT c_custkey AS point_id, CAST((c_custkey * 7) % 160 AS DOUBLE) + 0.25 AS x,
        CAST(floor(c_custkey / 4) AS DOUBLE) + 0.625 AS y FROM customer"""

@@ -319,13 +319,10 @@ def _(spark, sf):
 @query("euclidean_distance_polygons")
 def _(spark, sf):
     """From the cells inside polygons; compared with brute force on a small fixture in tests."""
-    edges = map_edges(spark, sf).where("geom_id % 4 = 1")
-    return rounded(cells(rt.euclidean_distance(TALL, 3857, polygons=edges)))
+    return rounded(cells(rt.euclidean_distance(TALL, 3857, polygons=map_edges(spark, sf))))
 
 
 @query("cost_distance")
 def _(spark, sf):
     """Compared with Dijkstra on a small fixture in tests."""
-    friction = fx1_cells(spark, sf)
-    sources = map_points(spark, sf).where("point_id % 50 = 1")
-    return rounded(cells(rt.cost_distance(friction, sources, 400.0)))
+    return rounded(cells(rt.cost_distance(fx1_cells(spark, sf), map_points(spark, sf), 400.0)))

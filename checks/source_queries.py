@@ -28,9 +28,9 @@ def _(spark, sf):
     scenes = fx5_scenes(spark, sf, temporal=True).df
     tagged = scenes.withColumn("tags", F.create_map(
         F.lit("ACQUIRED"), F.date_format("instant", "yyyy/MM/dd HH:mm"))).drop("instant")
-    tagged.where("scene_id % 2 = 0").write.parquet(f"{folder}/even")
-    tagged.where("scene_id % 2 = 1").write.parquet(f"{folder}/odd")
-    layer = rt.read_scenes(spark, [f"{folder}/even", f"{folder}/odd"], temporal=True,
+    tagged.where("xmin < 12").write.parquet(f"{folder}/west")
+    tagged.where("xmin >= 12").write.parquet(f"{folder}/east")
+    layer = rt.read_scenes(spark, [f"{folder}/west", f"{folder}/east"], temporal=True,
                            crs="EPSG:32631", time_tag="ACQUIRED", time_format="yyyy/MM/dd HH:mm",
                            num_partitions=4, cell_type="int32")
     total = F.aggregate(F.flatten("bands"), F.lit(0).cast("bigint"), lambda a, v: a + v)
@@ -95,12 +95,11 @@ def _(spark, sf):
 
 @query("read_layer_points", "fx1 pt1", """SELECT x, y, band, v FROM fx1 WHERE (x // 16, y // 16) IN (
     SELECT (CAST(floor(x / 16) AS BIGINT), CAST(floor(y / 16) AS BIGINT)) FROM pt1
-    WHERE x < 128 AND point_id % 9 = 2)""")
+    WHERE x < 128)""")
 def _(spark, sf):
     store = catalog(spark)
     store.write_layer("fx1", fx1_cells(spark, sf))
-    points = map_points(spark, sf).where("point_id % 9 = 2")
-    return cells(store.read_layer("fx1", 0, points=points))
+    return cells(store.read_layer("fx1", 0, points=map_points(spark, sf)))
 
 
 @query("write_read_temporal", "fx2", """SELECT x, y, CAST(instant AS VARCHAR) AS instant, band, v

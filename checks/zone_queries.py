@@ -82,7 +82,7 @@ def _(spark, sf):
 
 # --- series ----------------------------------------------------------------------------------
 
-# suppliers' triangles and squares folded onto the 32 x 32 layer
+# the suppliers' polygons moved onto the 32 x 32 layer, where many of them overlap
 def series_edges(spark, sf):
     fold = F.col("geom_id") % 8 * 4
     x0 = (F.col("geom_id") * 13) % 96
@@ -95,7 +95,7 @@ def series_edges(spark, sf):
 
 _FOLD = """SELECT geom_id, x0 - (geom_id * 13) % 96 AS x0, x1 - (geom_id * 13) % 96 AS x1,
     y0 - geom_id * 4 + geom_id % 8 * 4 AS y0, y1 - geom_id * 4 + geom_id % 8 * 4 AS y1
-    FROM geo WHERE geom_id % 3 = 0"""
+    FROM geo"""
 _HIT = """SELECT DISTINCT c.x, c.y FROM (SELECT a.x, b.y, e.geom_id FROM
       (SELECT unnest(range(0, 32)) AS x) a, (SELECT unnest(range(0, 32)) AS y) b, fold e
     WHERE b.y + 0.5 >= least(e.y0, e.y1) AND b.y + 0.5 < greatest(e.y0, e.y1)
@@ -111,7 +111,7 @@ for _name, (_op, _sql) in _SERIES.items():
     @query(_name, "fx2 geo", f"""SELECT CAST(f.instant AS VARCHAR) AS instant, {_sql} AS value
         FROM fx2 f JOIN hit h ON h.x = f.x AND h.y = f.y GROUP BY f.instant""", fold=_FOLD, hit=_HIT)
     def _(spark, sf, op=_op, name=_name):
-        edges = series_edges(spark, sf).where("geom_id % 3 = 0")
+        edges = series_edges(spark, sf)
         out = texted(op(fx2_cells(spark, sf), edges))
         return rounded(out, "value") if name == "mean_series" else out
 
@@ -120,7 +120,7 @@ for _name, (_op, _sql) in _SERIES.items():
     count(*) AS count FROM fx2 f JOIN hit h ON h.x = f.x AND h.y = f.y GROUP BY f.instant, f.v""",
        fold=_FOLD, hit=_HIT)
 def _(spark, sf):
-    edges = series_edges(spark, sf).where("geom_id % 3 = 0")
+    edges = series_edges(spark, sf)
     return texted(rt.histogram_series(fx2_cells(spark, sf), edges))
 
 
@@ -128,7 +128,7 @@ def _(spark, sf):
     CAST(sum(f.v) AS BIGINT) AS value FROM fx2 f JOIN hit h ON h.x = f.x AND h.y = f.y
     GROUP BY f.instant, f.band""", fold=_FOLD, hit=_HIT)
 def _(spark, sf):
-    edges = series_edges(spark, sf).where("geom_id % 3 = 0")
+    edges = series_edges(spark, sf)
     return texted(rt.polygonal_sum(fx2_cells(spark, sf), edges, by_geometry=False))
 
 

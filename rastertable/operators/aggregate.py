@@ -16,7 +16,7 @@ from ..model import CellType, Extent, Layer, Meta
 from .fold import fold_tiles, unflatten
 from .geometry import explode_range
 from .resample import layout_for, single_epsg
-from .shape import to_cells
+from .shape import to_cells, unnest
 
 # Operation names of aggregate_by_cell.
 OPERATIONS = ("Sum", "Min", "Max", "Mean", "Variance", "StandardDeviation")
@@ -83,10 +83,9 @@ def merge(layers: Layer | Sequence[Layer]) -> Layer:
 def _cells_with_priority(layer: Layer) -> DataFrame:
     at = layer.meta.layout
     instant = ["instant"] if layer.meta.temporal else []
-    rows = (layer.df.select("col", "row", *instant, "priority",
-                            F.posexplode("bands").alias("band", "cells"))
-            .select("col", "row", *instant, "priority", "band", F.posexplode("cells").alias("i", "v"))
-            .where(F.col("v").isNotNull()))
+    keep = ["col", "row", *instant, "priority"]
+    bands = unnest(layer.df, keep, "bands", "band", "cells")
+    rows = unnest(bands, [*keep, "band"], "cells", "i", "v").where(F.col("v").isNotNull())
     tx, ty = at.place_of(F.col("i"))
     return rows.select(
         (F.col("col").cast("bigint") * at.tile_cols + tx).alias("x"),
@@ -203,7 +202,11 @@ def quantile_breaks_exact(layer: Layer, n: int) -> DataFrame:
     whole = lambda c: F.expr(f"({c} * {n}L) div total")
     holding = (blocks.where(whole("upto") > whole("before"))
                .select("band", "block", "before", "total"))
-    inside = counts.join(F.broadcast(holding), ["band", "block"])  # at most n rows per band
+    # null-safe, so that no null test makes the two uses of the counts differ: they run once
+    held = holding.withColumnsRenamed({"band": "_band", "block": "_block"})
+    inside = counts.join(F.broadcast(held),  # at most n rows per band
+                         F.col("band").eqNullSafe(F.col("_band"))
+                         & F.col("block").eqNullSafe(F.col("_block")))
     by_value = Window.partitionBy("band", "block").orderBy("v")
     steps = (inside.withColumn("upto", F.col("before") + F.sum("n").over(by_value))
              .withColumn("prior", F.col("upto") - F.col("n")))

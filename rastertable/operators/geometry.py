@@ -130,8 +130,8 @@ def mask_cells(mask: Column, layout: Layout) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda b: F.getbit(known, b) == 1)
 
     last = layout.tile_cols - (per_row - 1) * WORD
-    if last == WORD:
-        return F.flatten(F.transform(mask, lambda w: bits(w, WORD)))
+    if per_row == 1 or last == WORD:
+        return F.flatten(F.transform(mask, lambda w: bits(w, last)))
     return F.flatten(F.transform(mask, lambda w, k: F.when(
         (k + 1) % per_row == 0, bits(w, last)).otherwise(bits(w, WORD))))
 

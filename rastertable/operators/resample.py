@@ -23,7 +23,7 @@ from ..model import (CellType, Extent, GlobalLayout, Layer, Layout, LocalLayout,
 from ..plans.lineage import run_folder, through_table
 from .focal import nullable_lists, padded_windows
 from .geometry import explode_range
-from .shape import to_cells, to_tiles
+from .shape import to_cells, to_tiles, unnest
 
 # The ten method names.
 METHODS = ("NearestNeighbor", "Bilinear", "CubicConvolution", "CubicSpline", "Lanczos",
@@ -107,7 +107,7 @@ def _nearest(blocks, ids, target, warp) -> DataFrame:
     px, py = F.floor("u"), F.floor("v")
     picked = cells.where(_inside(px, py)).select(
         *ids, "x", "y", "bands", (py * F.col("cols") + px).cast("int").alias("i"))
-    rows = picked.select(*ids, "x", "y", "i", F.posexplode("bands").alias("band", "cells"))
+    rows = unnest(picked, [*ids, "x", "y", "i"], "bands", "band", "cells")
     return (rows.select(*ids, "x", "y", "band", F.get("cells", F.col("i")).alias("v"))
             .where(F.col("v").isNotNull()))
 
@@ -129,8 +129,7 @@ def _weighted(blocks, ids, target, warp, method: str, whole: bool) -> DataFrame:
             .withColumn("dy", F.explode(steps)).where((py >= 0) & (py < F.col("rows")))
             .select(*ids, "x", "y", "home", "bands", weight.alias("w"),
                     (py * F.col("cols") + px).cast("int").alias("i")))
-    rows = taps.select(*ids, "x", "y", "home", "w", "i",
-                       F.posexplode("bands").alias("band", "cells"))
+    rows = unnest(taps, [*ids, "x", "y", "home", "w", "i"], "bands", "band", "cells")
     v = F.get("cells", F.col("i")).cast("double")
     sums = (rows.select(*ids, "x", "y", "band", "home", F.when(v.isNotNull(), F.col("w")).alias("w"),
                         (v * F.col("w")).alias("wv"))
@@ -142,9 +141,9 @@ def _weighted(blocks, ids, target, warp, method: str, whole: bool) -> DataFrame:
 
 def _aggregated(blocks, ids, target, warp, method: str) -> DataFrame:
     """Aggregating methods: every source cell belongs to the target cell its centre falls in."""
-    rows = blocks.select("*", F.posexplode("bands").alias("band", "cells"))
-    rows = rows.select(*ids, "cols", "ox", "oy", "left", "top", "cw", "ch", "band",
-                       F.posexplode("cells").alias("i", "v")).where(F.col("v").isNotNull())
+    keep = [*ids, "cols", "ox", "oy", "left", "top", "cw", "ch"]
+    rows = unnest(blocks, keep, "bands", "band", "cells")
+    rows = unnest(rows, [*keep, "band"], "cells", "i", "v").where(F.col("v").isNotNull())
     sx = F.col("left") + (F.col("ox") + F.col("i") % F.col("cols") + 0.5) * F.col("cw")
     sy = F.col("top") - (F.col("oy") + F.floor(F.col("i") / F.col("cols")) + 0.5) * F.col("ch")
     rows = projection.with_transformed(rows, sx, sy, *warp, ("_tx", "_ty"))

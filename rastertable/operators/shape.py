@@ -8,10 +8,20 @@ from pyspark.sql import functions as F
 from ..model import Layer
 
 
+def unnest(df: DataFrame, keep: list[str], array: str, at: str, value: str) -> DataFrame:
+    """One row per element of an array: its position ``at`` and ``value`` next to ``keep``.
+
+    The outer generator keeps the optimizer from testing the size of the array beforehand, which
+    would build computed arrays twice.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias(at, value))
+    return rows.where(F.col(at).isNotNull())
+
+
 def _exploded(layer: Layer) -> DataFrame:
     keys = layer.keys
-    return (layer.df.select(*keys, F.posexplode("bands").alias("band", "cells"))
-            .select(*keys, "band", F.posexplode("cells").alias("i", "v")))
+    bands = unnest(layer.df, keys, "bands", "band", "cells")
+    return unnest(bands, [*keys, "band"], "cells", "i", "v")
 
 
 def to_cells(layer: Layer, keep_nodata: bool = False) -> Layer:

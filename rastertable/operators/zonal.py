@@ -10,7 +10,7 @@ from ..model import Extent, Layer
 from ..plans.joins import lookup_join
 from .geometry import (envelope, extent_edges, in_mask, mask_bytes, mask_cells, near,
                        polygon_spans, tile_bound, tile_masks, tiles_for_geometry, tiles_for_points)
-from .shape import to_tiles
+from .shape import to_tiles, unnest
 
 
 def _spread(layer: Layer) -> list[str] | None:
@@ -47,11 +47,11 @@ def _zone_cells(layer: Layer, edges: DataFrame, by_geometry: bool,
                          each if by_geometry else most)
     tags = (["geom_id"] if by_geometry else []) + (["instant"] if layer.meta.temporal else [])
     if band is None:
-        rows = joined.select(*tags, "mask", F.posexplode("bands").alias("band", "cells"))
+        rows = unnest(joined, [*tags, "mask"], "bands", "band", "cells")
     else:
         rows = joined.select(*tags, "mask", F.lit(band).alias("band"),
                              F.get("bands", F.lit(band)).alias("cells"))
-    rows = rows.select(*tags, "mask", "band", F.posexplode("cells").alias("i", "v"))
+    rows = unnest(rows, [*tags, "mask", "band"], "cells", "i", "v")
     return (rows.where(F.col("v").isNotNull() & in_mask(F.col("mask"), F.col("i"), layout))
             .select(*tags, "band", "v"))
 
@@ -190,8 +190,7 @@ def point_values(layer: Layer, points: DataFrame, method: str = "NearestNeighbor
         values = F.transform("bands", lambda b: F.get(b, F.col("i")).cast("double"))
         found = met.select("point_id", *instant, values.alias("values"))
     else:
-        per_band = met.select("point_id", *instant, "weight", "i",
-                              F.posexplode("bands").alias("band", "cells"))
+        per_band = unnest(met, ["point_id", *instant, "weight", "i"], "bands", "band", "cells")
         v = F.get("cells", F.col("i"))
         sums = (per_band.select("point_id", *instant, "band",
                                 F.when(v.isNotNull(), F.col("weight")).alias("w"),
