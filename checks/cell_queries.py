@@ -200,6 +200,14 @@ def _(spark, sf):
     return cells(rt.color_map(layer, colors))
 
 
+@query("color_map_from_histogram", "fx3 ", """SELECT x, y, 0 AS band, CAST(CASE
+    WHEN v <= (SELECT quantile_disc(v, 0.5) FROM fx3) THEN 5 ELSE 6 END AS BIGINT) AS v FROM fx3""")
+def _(spark, sf):
+    layer = fx3_tiles(spark, sf)
+    colors = rt.color_map_from_histogram(rt.histogram_exact(layer), [5, 6])
+    return cells(rt.color_map(layer, colors))
+
+
 # --- pairs and sets --------------------------------------------------------------------------
 
 _PAIRS = {
@@ -251,6 +259,29 @@ def _(spark, sf):
     return cells(rt.combine_bands([layer, south]))
 
 
+@query("combine_bands_scenes", "fx5", """SELECT priority AS scene_id, 2 AS bands,
+    CAST(sum(v) AS BIGINT) AS first, CAST(sum(v + 1) AS BIGINT) AS second FROM fx5 GROUP BY 1""")
+def _(spark, sf):
+    layer = fx5_scenes(spark, sf)
+    other = (layer + 1).with_df((layer + 1).df.withColumn("scene_id", F.col("scene_id") + 100000))
+    both = rt.combine_bands([layer, other]).df
+    total = lambda i: F.aggregate(F.get("bands", F.lit(i)), F.lit(0).cast("bigint"), lambda a, v: a + v)
+    return both.select("scene_id", F.size("bands").alias("bands"), total(0).alias("first"),
+                       total(1).alias("second"))
+
+
+@query("union_scenes", "fx5", "SELECT v FROM fx5 UNION ALL SELECT v * 2 FROM fx5")
+def _(spark, sf):
+    layer = fx5_scenes(spark, sf)
+    return rt.union_layers([layer, layer * 2]).df.select(F.explode(F.flatten("bands")).alias("v"))
+
+
+@query("to_spatial_scenes", "", """SELECT vec_id AS scene_id FROM embeddings WHERE label = 3""")
+def _(spark, sf):
+    layer = rt.to_spatial(fx5_scenes(spark, sf, temporal=True), "2024-01-04 00:00:00")
+    return layer.df.select("scene_id")
+
+
 @query("composite", "fx1", """SELECT a.x, a.y, a.band, a.v FROM fx1 a WHERE a.v > 20
       AND EXISTS (SELECT 1 FROM fx1 t WHERE t.v > 20 AND t.x // 16 = a.x // 16 AND t.y // 16 = a.y // 16)
     UNION ALL SELECT a.x, a.y, a.band, -a.v FROM fx1 a WHERE a.v <= 20

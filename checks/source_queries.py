@@ -10,7 +10,7 @@ import rastertable as rt
 from rastertable.functions import curves
 from rastertable.plans.lineage import run_folder
 
-from .cell_queries import cells, texted
+from .cell_queries import _CENTRES, _TOUCH, cells, texted
 from .fixtures import (KEYED, SCENES, TALL, fx1_cells, fx2_cells, fx3_tiles, fx5_scenes,
                        map_edges, map_points, table)
 from .registry import query
@@ -134,6 +134,40 @@ def _(spark, sf):
         b["maxKey"]["col"].alias("col1"), b["maxKey"]["row"].alias("row1"))
 
 
+@query("write_read_temporal_hilbert", "fx2", """SELECT x, y, CAST(instant AS VARCHAR) AS instant, band, v
+    FROM fx2 WHERE instant = TIMESTAMP '2024-01-09 07:00:00'""")
+def _(spark, sf):
+    store = catalog(spark)
+    store.write_layer("fx2", fx2_cells(spark, sf), "hilbert", time_unit="days")
+    return texted(cells(store.read_layer("fx2", 0, times=["2024-01-09 07:00:00"])))
+
+
+@query("read_layer_polygons", "geo fx1", """SELECT f.x, f.y, f.band, f.v FROM fx1 f
+    WHERE EXISTS (SELECT 1 FROM touched t WHERE t.col = f.x // 16 AND t.row = f.y // 16)""",
+       tile_centres=_CENTRES, touched=_TOUCH)
+def _(spark, sf):
+    store = catalog(spark)
+    store.write_layer("fx1", fx1_cells(spark, sf))
+    return cells(store.read_layer("fx1", 0, polygons=map_edges(spark, sf)))
+
+
+@query("catalog_levels", "fx3", """SELECT CAST(zoom AS INT) AS zoom, count(*) AS tiles FROM (
+    SELECT DISTINCT 19 AS zoom, x // 8 AS c, y // 8 AS r FROM fx3
+    UNION ALL SELECT DISTINCT 18, x // 16, y // 16 FROM fx3
+    UNION ALL SELECT DISTINCT 17, x // 32, y // 32 FROM fx3) t GROUP BY 1""")
+def _(spark, sf):
+    store = catalog(spark)
+    layer = fx3_tiles(spark, sf)
+    world = rt.global_level(3857, 19, 8)
+    for level in rt.pyramid(layer.with_df(layer.df, layout=world, zoom=19), "Max", end_zoom=17):
+        store.write_layer("vectors", level)
+    asked = [t.df.select(F.lit(t.zoom).alias("zoom"), F.col("col").alias("x"), F.col("row").alias("y"))
+             for t in store.levels("vectors")]
+    requests = asked[0].union(asked[1]).union(asked[2])
+    found = rt.read_tiles_zoomed(requests, store.levels("vectors"))
+    return found.groupBy("zoom").agg(F.count(F.lit(1)).alias("tiles"))
+
+
 # --- curves ----------------------------------------------------------------------------------
 
 _KEYS = "SELECT DISTINCT CAST(x // 16 AS INT) AS col, CAST(y // 16 AS INT) AS row FROM fx1"

@@ -9,10 +9,11 @@ from .functions.neighborhoods import Annulus, Circle, Nesw, Square, Wedge, neigh
 from .functions.projection import transform_extent, transform_xy
 from .model import (CellType, Extent, GlobalLayout, Layer, Layout, LocalLayout, Meta, from_cells,
                     from_scenes, from_tiles, global_level)
-from .operators.aggregate import (aggregate_by_cell, collect_metadata, color_map_from_quantiles,
-                                  combine_summaries, histogram_approx, histogram_exact,
+from .operators.aggregate import (aggregate_by_cell, collect_metadata, color_map_from_histogram,
+                                  color_map_from_quantiles, combine_summaries, histogram_approx, histogram_exact,
                                   histogram_from_json, histogram_to_json, merge, min_max,
-                                  quantile_breaks, quantile_breaks_exact, raster_summary)
+                                  quantile_breaks, quantile_breaks_exact,
+                                  quantile_breaks_of_histogram, raster_summary)
 from .operators.cost import cost_distance
 from .operators.distance import euclidean_distance
 from .operators.filters import (filter_by_keys, filter_by_times, lookup, lookup_many, to_spatial)

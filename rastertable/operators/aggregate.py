@@ -191,8 +191,14 @@ def quantile_breaks_exact(layer: Layer, n: int) -> DataFrame:
     """
     if layer.is_floating:
         raise ValueError("exact quantiles are for integer layers")
-    counts = (to_cells(layer).df.groupBy("band", "v").agg(F.count(F.lit(1)).alias("n"))
-              .withColumn("block", F.shiftright("v", 16)))
+    return quantile_breaks_of_histogram(histogram_exact(layer), n)
+
+
+def quantile_breaks_of_histogram(histogram: DataFrame, n: int) -> DataFrame:
+    """``quantile_breaks_exact`` from histogram rows (band, value, count)."""
+    counts = histogram.select("band", F.col("value").alias("v"),
+                              F.col("count").cast("bigint").alias("n"),
+                              F.floor(F.col("value") / 65536).alias("block"))
     by_block = Window.partitionBy("band").orderBy("block")
     blocks = (counts.groupBy("band", "block").agg(F.sum("n").alias("size"))
               .withColumns({"upto": F.sum("size").over(by_block),
@@ -217,8 +223,20 @@ def quantile_breaks_exact(layer: Layer, n: int) -> DataFrame:
 def color_map_from_quantiles(layer: Layer, colors: Sequence[int], no_data_color: int = 0,
                              fallback_color: int = 0, band: int = 0, exact: bool = False,
                              boundary: str = "LessThanOrEqualTo") -> ColorMap:
-    """Colour map with one quantile break per ramp colour."""
+    """Colour map with one quantile break of the layer per ramp colour."""
     breaks = (quantile_breaks_exact if exact else quantile_breaks)(layer, len(colors))
+    return _color_map(breaks, colors, no_data_color, fallback_color, band, boundary)
+
+
+def color_map_from_histogram(histogram: DataFrame, colors: Sequence[int], no_data_color: int = 0,
+                             fallback_color: int = 0, band: int = 0,
+                             boundary: str = "LessThanOrEqualTo") -> ColorMap:
+    """Colour map with one quantile break of histogram rows per ramp colour."""
+    breaks = quantile_breaks_of_histogram(histogram, len(colors))
+    return _color_map(breaks, colors, no_data_color, fallback_color, band, boundary)
+
+
+def _color_map(breaks, colors, no_data_color, fallback_color, band, boundary) -> ColorMap:
     rows = breaks.where(F.col("band") == band).orderBy("i").collect()  # one row per colour
     pairs = {r["value"]: c for r, c in reversed(list(zip(rows, colors)))}
     return ColorMap.from_map(pairs, no_data_color, fallback_color, boundary)

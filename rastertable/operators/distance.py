@@ -12,6 +12,7 @@ points, so that a crowded cell costs no more than others.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from ..model import CellType, Layer, Layout, Meta
 from ..plans.joins import BROADCAST_BYTES, salted_join
 from ..plans.lineage import run_folder, through_table
-from .geometry import polygon_spans
+from .geometry import polygon_spans, segment_cells
 
 NODE_POINTS = 32
 NODE_BYTES = 96
@@ -48,24 +49,31 @@ def _span(a0: Column, a1: Column, b0: Column, b1: Column) -> Column:
     return F.greatest(F.abs(b1 - a0), F.abs(a1 - b0))
 
 
-def polygon_centres(polygons: DataFrame, layout: Layout) -> DataFrame:
-    """Centres of the cells inside polygons, as points."""
-    spans = polygon_spans(polygons, layout)
-    cells = spans.select(F.explode(F.sequence("x0", F.col("x1") - 1)).alias("x"), "y").distinct()
+def cell_centres(layout: Layout, polygons: DataFrame | None,
+                 lines: DataFrame | None) -> DataFrame:
+    """Centres of the cells that polygons hold or lines cross, as points."""
+    parts = []
+    if polygons is not None:
+        spans = polygon_spans(polygons, layout)
+        parts.append(spans.select(F.explode(F.sequence("x0", F.col("x1") - 1)).alias("x"), "y"))
+    if lines is not None:
+        parts.append(segment_cells(lines, layout).select("x", "y"))
+    cells = reduce(DataFrame.unionByName, parts).distinct()
     x, y = layout.centre_of(F.col("x"), F.col("y"))
     return cells.select(x.alias("x"), y.alias("y"))
 
 
 def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = None,
-                       polygons: DataFrame | None = None, zoom: int | None = None) -> Layer:
+                       polygons: DataFrame | None = None, lines: DataFrame | None = None,
+                       zoom: int | None = None) -> Layer:
     """Cells with the distance, in map units, from their centre to the nearest source.
 
-    Sources are points as given, or the centres of the cells inside polygons. The result covers
-    the tiles of the sources' envelope.
+    Sources are points as given, or the centres of the cells that polygons hold or lines cross.
+    The result covers the tiles of the sources' envelope.
     """
-    if (points is None) == (polygons is None):
-        raise ValueError("give points or polygons")
-    sources = points if points is not None else polygon_centres(polygons, layout)
+    if (points is None) == (polygons is None and lines is None):
+        raise ValueError("give points, or polygons and lines")
+    sources = points if points is not None else cell_centres(layout, polygons, lines)
     spark = sources.sparkSession
     gx, gy = layout.to_grid(F.col("x"), F.col("y"))
     cw, ch = layout.cell_width, layout.cell_height
@@ -97,7 +105,11 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
 
     pairs = spark.range(1).select(*[F.lit(0).cast("bigint").alias(c)
                                     for c in ("tx", "ty", "sx", "sy")])
-    spread_at = max(level - 5, 1)
+    # the highest level with enough target nodes to keep all tasks busy
+    wide, high = tx1 - tx0, ty1 - ty0
+    many = 16 * spark.sparkContext.defaultParallelism
+    spread_at = next((k for k in range(level - 1, 0, -1)
+                      if (-(-wide // 2 ** k)) * (-(-high // 2 ** k)) >= many), 1)
     while level > lowest:
         level -= 1
         if level >= 0:

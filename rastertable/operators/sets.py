@@ -41,10 +41,14 @@ def combine_bands(layers: Sequence[Layer]) -> Layer:
     first = layers[0]
     kind = reduce(lambda a, b: a.union(b), [t.meta.cell_type for t in layers])
     array = f"array<array<{kind.compute_type}>>"
-    keys = first.keys if first.kind == "tile" else [c for c in first.df.columns if c != "bands"]
-    tagged = [t.df.select(*keys, F.lit(i).alias("nth"), F.col("bands").cast(array).alias("bands"))
+    # scenes belong together when extent, CRS and time agree; the lowest id is kept
+    ids = ["scene_id"] if first.kind == "scene" else []
+    keys = (first.keys if first.kind == "tile" else
+            [c for c in first.df.columns if c not in ("bands", "scene_id")])
+    tagged = [t.df.select(*keys, *ids, F.lit(i).alias("nth"),
+                          F.col("bands").cast(array).alias("bands"))
               for i, t in enumerate(layers)]
-    slots = []
+    slots = [F.min(c).alias(c) for c in ids]
     for i in range(len(layers)):
         mine = F.col("nth") == i
         slots += [F.any_value(F.when(mine, F.col("bands")), True).alias(f"bands{i}"),
@@ -53,5 +57,5 @@ def combine_bands(layers: Sequence[Layer]) -> Layer:
     empty = F.array().cast(array)
     parts = [F.when(F.col(f"n{i}") > 1, F.raise_error(F.lit("duplicate key in a layer")).cast(array))
              .otherwise(F.coalesce(F.col(f"bands{i}"), empty)) for i in range(len(layers))]
-    return first.with_df(grouped.select(*keys, F.concat(*parts).alias("bands")), cell_type=kind,
+    return first.with_df(grouped.select(*ids, *keys, F.concat(*parts).alias("bands")), cell_type=kind,
                          bands=sum(t.meta.bands for t in layers))

@@ -161,6 +161,11 @@ class Catalog:
         out = layer.df.withColumn("bands", F.col("bands").cast(wide)).select(*layer.keys, "bands")
         return layer.with_df(out.repartition(num_partitions) if num_partitions else out)
 
+    def levels(self, name: str) -> list[Layer]:
+        """All zoom levels of a layer, for ``read_tiles_zoomed``."""
+        zooms = self.layer_ids().where(F.col("layer") == name).orderBy("zoom").collect()
+        return [self.read_layer(name, r["zoom"]) for r in zooms]
+
     def read_tile(self, name: str, zoom: int, col: int, row: int,
                   instant: Moment | None = None) -> DataFrame:
         """The tile of one key; no row when it is missing."""
