@@ -114,6 +114,19 @@ def _(spark, sf):
     return cells(rt.tile_to_layout(fx1_cells(spark, sf), wide))
 
 
+@query("retile_tiles", "fx1", "SELECT x + 5 AS x, y + 7 AS y, band, v FROM fx1 WHERE x < 120")
+def _(spark, sf):
+    moved = rt.Layout(rt.Extent(-5.0, 7.0 - 20 * (1 << 18), 120.0, 7.0), 5, 1 << 18, 25, 20)
+    return cells(rt.tile_to_layout(rt.to_tiles(fx1_cells(spark, sf)), moved))
+
+
+@query("retile_tiles_temporal", "fx2", """SELECT x, y, CAST(instant AS VARCHAR) AS instant, band, v
+    FROM fx2""")
+def _(spark, sf):
+    whole = rt.Layout(SMALL.extent, 1, 1, 32, 32)
+    return texted(cells(rt.tile_to_layout(rt.to_tiles(fx2_cells(spark, sf)), whole)))
+
+
 @query("resample_to_power_of_two", "fx1", """SELECT CAST(x * 2 + i AS BIGINT) AS x,
     CAST(y * 2 + j AS BIGINT) AS y, band, v FROM fx1, (SELECT unnest([0, 1]) AS i) a, (SELECT unnest([0, 1]) AS j) b""")
 def _(spark, sf):

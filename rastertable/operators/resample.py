@@ -8,6 +8,7 @@ no gathered window, and nothing that grows with the layer in one task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import replace
 
@@ -22,6 +23,7 @@ from ..model import (CellType, Extent, GlobalLayout, Layer, Layout, LocalLayout,
                      global_level)
 from ..plans.lineage import run_folder, through_table
 from .focal import nullable_lists, padded_windows
+from .fold import unflatten
 from .geometry import explode_range
 from .shape import to_cells, to_tiles, unnest
 
@@ -170,10 +172,83 @@ def aggregate_cells(cells: DataFrame, keys: list[str], method: str) -> DataFrame
     raise ValueError(f"unknown method {method!r}")
 
 
+def _shift(source: Layout, target: Layout) -> tuple[int, int] | None:
+    """Whole cells between the origins of two grids of the same cell size, if that is what they
+    are."""
+    w, h = source.cell_width, source.cell_height
+    dx = (source.extent.xmin - target.extent.xmin) / w
+    dy = (target.extent.ymax - source.extent.ymax) / h
+    same = (math.isclose(w, target.cell_width, rel_tol=1e-12)
+            and math.isclose(h, target.cell_height, rel_tol=1e-12))
+    whole = abs(dx - round(dx)) < 1e-6 and abs(dy - round(dy)) < 1e-6
+    return (round(dx), round(dy)) if same and whole else None
+
+
+def _rekey(layer: Layer, target: Layout, shift: tuple[int, int], kind: CellType) -> Layer:
+    """Tiles cut along the lines of another tiling of the same cells.
+
+    Every source tile is cut into the parts that lie in a target tile, one shuffle brings these
+    together; what meets is one target tile.
+    """
+    at, bands = layer.meta.layout, layer.meta.bands
+    tc, tr, rows, cols = at.tile_cols, at.tile_rows, target.tile_rows, target.tile_cols
+    instant = ["instant"] if layer.meta.temporal else []
+    frame = layer.df.select(*instant, "bands",
+                            (F.col("col").cast("bigint") * tc + shift[0]).alias("_gx"),
+                            (F.col("row").cast("bigint") * tr + shift[1]).alias("_gy"))
+
+    def parts(df: DataFrame, name: str, start: str, size: int, whole: int, most: int):
+        return explode_range(df, name, F.greatest(F.floor(F.col(start) / whole), F.lit(0)),
+                             F.least(F.floor((F.col(start) + size - 1) / whole), F.lit(most - 1)))
+
+    frame = parts(frame, "_c", "_gx", tc, cols, target.layout_cols)
+    frame = parts(frame, "_r", "_gy", tr, rows, target.layout_rows)
+    low = lambda start, key, whole: F.greatest(F.col(key) * whole - F.col(start), F.lit(0))
+    high = lambda start, key, whole, size: F.least((F.col(key) + 1) * whole - F.col(start), F.lit(size))
+    frame = frame.withColumns({
+        "_x0": low("_gx", "_c", cols).cast("int"), "_x1": high("_gx", "_c", cols, tc).cast("int"),
+        "_y0": low("_gy", "_r", rows).cast("int"), "_y1": high("_gy", "_r", rows, tr).cast("int")})
+    frame = frame.withColumns({
+        "_w": F.col("_x1") - F.col("_x0"), "_h": F.col("_y1") - F.col("_y0"),
+        "_px": (F.col("_gx") + F.col("_x0") - F.col("_c") * cols).cast("int"),
+        "_py": (F.col("_gy") + F.col("_y0") - F.col("_r") * rows).cast("int")})
+
+    def piece(cells: Column, band: Column) -> Column:
+        lines = F.transform(F.sequence(F.col("_y0"), F.col("_y1") - 1), lambda y: F.slice(
+            cells, y * tc + F.col("_x0") + 1, F.col("_w")))
+        return F.struct(F.col("_px").alias("px"), (F.col("_py") + band * rows).alias("py"),
+                        F.col("_w").alias("w"), F.col("_h").alias("h"),
+                        F.flatten(lines).cast("array<double>").alias("vals"))
+
+    keys = ["col", "row", *instant]
+    cut = frame.select(F.col("_c").cast("int").alias("col"), F.col("_r").cast("int").alias("row"),
+                       *instant, F.explode(F.transform("bands", piece)).alias("piece"))
+    grouped = cut.groupBy(*keys).agg(F.collect_list("piece").alias("pieces"))
+    types = dict(grouped.dtypes)
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = padded_windows(batch.column("pieces"), rows * bands, cols, 0)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(k) for k in keys] + [nullable_lists(
+                    whole.reshape(len(batch), rows * bands * cols))], [*keys, "flat"])
+
+    done = grouped.mapInArrow(assemble, ", ".join([*(f"{k} {types[k]}" for k in keys),
+                                                   "flat array<double>"]))
+    return layer.with_df(done.select(*keys, unflatten(rows * cols, bands, kind.compute_type)
+                                     .alias("bands")), "tile",
+                         layout=target, cell_type=kind, bounds=None)
+
+
 def _scatter(layer: Layer, target: Layout, method: str, warp: tuple[int, int] = (0, 0)) -> Layer:
     """Cells of ``layer`` on another grid. Overlapping scenes: the lowest scene_id wins."""
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
+    kind = layer.meta.cell_type if method in SELECTING else CellType.parse("float64")
+    if layer.kind == "tile" and warp[0] == warp[1] and method != "CubicSpline":
+        shift = _shift(layer.meta.layout, target)
+        if shift is not None:  # every cell is its own value, by any method that does not smooth
+            return _rekey(layer, target, shift, kind)
     blocks, ids = _blocks(layer)
     if method == "NearestNeighbor":
         cells = _nearest(blocks, ids, target, warp)
@@ -185,14 +260,14 @@ def _scatter(layer: Layer, target: Layout, method: str, warp: tuple[int, int] =
         keys = [k for k in ids if k != "priority"]
         cells = (cells.groupBy("x", "y", *keys, "band")
                  .agg(F.min_by("v", "priority").alias("v")))
-    kind = layer.meta.cell_type if method in SELECTING else CellType.parse("float64")
     instant = ["instant"] if layer.meta.temporal else []
     cells = cells.select("x", "y", *instant, "band", F.col("v").cast(kind.compute_type))
     return layer.with_df(cells, "cell", layout=target, cell_type=kind, bounds=None)
 
 
 def resample(layer: Layer, layout: Layout, method: str = "NearestNeighbor") -> Layer:
-    """The layer on another grid of the same CRS, as cells."""
+    """The layer on another grid of the same CRS, as cells; as tiles where whole cells only change
+    their tile."""
     return _scatter(layer, layout, method)
 
 
@@ -330,8 +405,7 @@ def _shrink_tiles(layer: Layer, target: Layout, fx: int, fy: int, method: str) -
     done = grouped.select(*keys, "pieces").mapInArrow(
         assemble, ", ".join([*(f"{k} {types[k]}" for k in keys), "flat array<double>"]))
     kind = layer.meta.cell_type if method in SELECTING else CellType.parse("float64")
-    bands = F.array(*[F.slice("flat", b * rows * cols + 1, rows * cols)
-                      for b in range(n_bands)]).cast(f"array<array<{kind.compute_type}>>")
+    bands = unflatten(rows * cols, n_bands, kind.compute_type)
     return layer.with_df(done.select(*keys, bands.alias("bands")), layout=target, cell_type=kind)
 
 

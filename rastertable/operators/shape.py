@@ -58,11 +58,23 @@ def dense_array(entries: Column, n: int, value_type: str) -> Column:
     return F.concat(F.flatten(F.transform(entries, piece)), F.array_repeat(null, tail))
 
 
+STRIP_CELLS = 1024
+
+
+def strip_size(tile_cols: int, tile_rows: int) -> int:
+    """Cells of the whole rows of a tile that are gathered at once; divides the tile."""
+    fitting = [k for k in range(1, tile_rows + 1)
+               if tile_rows % k == 0 and k * tile_cols <= STRIP_CELLS]
+    return tile_cols * max(fitting, default=1)
+
+
 def to_tiles(layer: Layer) -> Layer:
     """Cell rows to full tiles with NULL for NoData. One shuffle by tile key.
 
     A group holds at most one tile, because cells are unique; the gathered list is therefore
-    bounded by the tile size whatever the size of the layer.
+    bounded by the tile size whatever the size of the layer. Large tiles are gathered as strips of
+    rows first and then from these arrays, in the partition the one shuffle made, so that a task
+    never holds whole tiles as single cells.
     """
     if layer.kind == "tile":
         return layer.with_df(layer.df)
@@ -71,13 +83,28 @@ def to_tiles(layer: Layer) -> Layer:
     col, row = meta.layout.key_of(F.col("x"), F.col("y"))
     at = F.col("band") * n + meta.layout.index_of(F.col("x"), F.col("y"))
     instant = ["instant"] if meta.temporal else []
-    grouped = (layer.df
-               .select(col.alias("col"), row.alias("row"), *instant,
-                       F.struct(at.cast("int").alias("i"), F.col("v")).alias("e"))
-               .groupBy("col", "row", *instant)
-               .agg(F.sort_array(F.collect_list("e")).alias("entries")))
-    flat = grouped.select("col", "row", *instant,
-                          dense_array(F.col("entries"), n * meta.bands, vtype).alias("flat"))
+    keys = ["col", "row", *instant]
+    placed = layer.df.select(col.alias("col"), row.alias("row"), *instant,
+                             at.cast("int").alias("at"), "v")
+
+    def gathered(df: DataFrame, by: list[str], i: Column, v: str) -> DataFrame:
+        entry = F.struct(i.alias("i"), F.col(v).alias("v"))
+        return df.groupBy(*by).agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+
+    if n * meta.bands <= 4 * STRIP_CELLS:
+        flat = gathered(placed, keys, F.col("at"), "v").select(
+            *keys, dense_array(F.col("entries"), n * meta.bands, vtype).alias("flat"))
+    else:
+        size = strip_size(meta.layout.tile_cols, meta.layout.tile_rows)
+        placed = placed.repartition(*keys).withColumn(
+            "strip", F.floor(F.col("at") / size).cast("int"))
+        strips = gathered(placed, [*keys, "strip"], F.col("at") % size, "v").select(
+            *keys, "strip", dense_array(F.col("entries"), size, vtype).alias("cells"))
+        whole = gathered(strips, keys, F.col("strip"), "cells").select(*keys, dense_array(
+            F.col("entries"), n * meta.bands // size, f"array<{vtype}>").alias("strips"))
+        gap = F.array_repeat(F.lit(None).cast(vtype), size)
+        flat = whole.select(*keys, F.flatten(F.transform(
+            "strips", lambda s: F.coalesce(s, gap))).alias("flat"))
     bands = F.array(*[F.slice("flat", b * n + 1, n) for b in range(meta.bands)])
     return layer.with_df(flat.select("col", "row", *instant, bands.alias("bands")), "tile")
 

@@ -110,6 +110,28 @@ def test_resize_tiles(spark):
     np.testing.assert_array_equal(got, np.repeat(a, 2, axis=1)[1::2])
 
 
+@pytest.mark.parametrize("size,dx,dy", [(6, 0, 0), (3, 5, 2), (16, -3, -1), (32, 1, 1)])
+def test_other_tilings_of_the_same_cells(spark, size, dx, dy):
+    a, b = random_raster(16, 16, 11), random_raster(16, 16, 12)
+    layer = rt.to_tiles(cell_layer(spark, a, b))
+    n = -(-(16 + 6) // size)
+    target = rt.Layout(rt.Extent(-dx, dy - n * size, n * size - dx, dy), n, n, size, size)
+    for method in ("NearestNeighbor", "Average", "Lanczos"):
+        out = rt.tile_to_layout(layer, target, method)
+        slow = rt.tile_to_layout(rt.to_cells(layer), target, method)
+        for band, source in enumerate((a, b)):
+            got = as_array(out, n * size, n * size, band)
+            want = np.full((n * size, n * size), np.nan)
+            for y in range(16):
+                for x in range(16):
+                    if 0 <= y + dy < n * size and 0 <= x + dx < n * size:
+                        want[y + dy, x + dx] = source[y, x]
+            np.testing.assert_array_equal(got, want)
+            np.testing.assert_allclose(as_array(slow, n * size, n * size, band), want)
+    plan = rt.tile_to_layout(layer, target).df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 def test_crop_and_stitch(spark):
     a = random_raster(16, 16, 9)
     layer = rt.to_tiles(cell_layer(spark, a))

@@ -38,8 +38,21 @@ def test_gaps_become_null_and_vanish_again(spark):
     assert rt.grid(layer).count() == 16 * tiles.df.count()
 
 
-def test_duplicate_cells_are_an_error(spark):
-    layer = cell_layer(spark, np.ones((2, 2)), tile=2)
+@pytest.mark.parametrize("limit", [4, 6, 40])
+def test_large_tiles_are_gathered_in_strips(spark, monkeypatch, limit):
+    from rastertable.operators import shape
+    monkeypatch.setattr(shape, "STRIP_CELLS", limit)
+    a, b = random_raster(20, 24, 1, gaps=0.6), random_raster(20, 24, 2, gaps=0.95)
+    tiles = rt.to_tiles(cell_layer(spark, a, b, tile=12))
+    np.testing.assert_array_equal(as_array(tiles, 20, 24, 0), a)
+    np.testing.assert_array_equal(as_array(tiles, 20, 24, 1), b)
+    plan = tiles.df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+@pytest.mark.parametrize("tile", [2, 80])
+def test_duplicate_cells_are_an_error(spark, tile):
+    layer = cell_layer(spark, np.ones((2, 2)), tile=tile)
     twice = layer.with_df(layer.df.union(layer.df))
     with pytest.raises(Exception, match="duplicate cell"):
         rt.to_tiles(twice).df.collect()
