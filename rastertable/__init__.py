@@ -23,7 +23,7 @@ from .operators.geometry import (edges_from_rings, extent_edges, polygon_spans,
 from .operators.local import (color_map, composite, convert, local_abs, local_add, local_add_all,
                               local_divide, local_multiply, local_pow, local_subtract, normalize,
                               r_local_divide, r_local_pow, r_local_subtract, reclassify,
-                              render_rgba, select_bands)
+                              render_rgba, select_bands, with_sentinels, without_sentinels)
 from .operators.rasterize import rasterize, rasterize_on, rasterize_single
 from .operators.requests import read_tiles_zoomed
 from .operators.resample import (pyramid, pyramid_cells, reproject, resample,

@@ -232,6 +232,30 @@ def convert(layer: Layer, cell_type: str) -> Layer:
     return layer.map_cells(run, kind)
 
 
+def without_sentinels(layer: Layer) -> Layer:
+    """NoData values of the cell type (and NaN) become NULL: for rows that come from files."""
+    nodata = layer.meta.cell_type.nodata
+
+    def run(v: Column) -> Column:
+        if not layer.is_floating:
+            return v if nodata is None else F.nullif(v, F.lit(nodata).cast("bigint"))
+        data = ~F.isnan(v)
+        if nodata is not None and nodata == nodata:
+            data = data & (v != F.lit(float(nodata)))
+        return F.when(data, v)
+
+    return layer.map_cells(run, reads_once=False)
+
+
+def with_sentinels(layer: Layer) -> Layer:
+    """NULL becomes the NoData value of the cell type: for rows that leave for files."""
+    nodata = layer.meta.cell_type.nodata
+    if nodata is None:
+        return layer
+    value = F.lit(nodata).cast(layer.meta.cell_type.compute_type)
+    return to_tiles(layer).map_cells(lambda v: F.coalesce(v, value))
+
+
 def select_bands(layer: Layer, bands: int | Sequence[int]) -> Layer:
     """Bands by index; the order of the list is the order of the result, repeats allowed."""
     wanted = [bands] if isinstance(bands, int) else list(bands)

@@ -23,7 +23,7 @@ from ..model import (CellType, Extent, GlobalLayout, Layer, Layout, LocalLayout,
                      global_level)
 from ..plans.lineage import run_folder, through_table
 from .focal import nullable_lists, padded_windows
-from .fold import unflatten
+from .fold import fold_tiles, unflatten
 from .geometry import explode_range
 from .shape import to_cells, to_tiles, unnest
 
@@ -240,6 +240,82 @@ def _rekey(layer: Layer, target: Layout, shift: tuple[int, int], kind: CellType)
                          layout=target, cell_type=kind, bounds=None)
 
 
+def _large_scenes(layer: Layer, target: Layout) -> bool:
+    """Whether scenes fill a good part of the tiles they touch, on average."""
+    cw = (F.col("xmax") - F.col("xmin")) / target.cell_width
+    ch = (F.col("ymax") - F.col("ymin")) / target.cell_height
+    size = layer.base.agg(F.avg(cw * ch)).first()[0]
+    return size is not None and size * 8 >= target.tile_cells
+
+
+def _scenes_to_tiles(layer: Layer, target: Layout) -> Layer:
+    """Scenes cut into target tiles by nearest neighbour and merged as arrays, lowest id first."""
+    instant = ["instant"] if layer.meta.temporal else []
+    blocks, _ = _blocks(layer)
+    bands, tc, tr = layer.meta.bands, target.tile_cols, target.tile_rows
+    blocks = blocks.select("priority", *instant, "cols", "rows", "left", "top", "cw", "ch",
+                           F.flatten("bands").cast("array<double>").alias("flat"))
+    types = dict(blocks.dtypes)
+    x_min, y_max = target.extent.xmin, target.extent.ymax
+    tcw, tch = target.cell_width, target.cell_height
+
+    def hits(start: float, size: float, n: int, origin: float, step: float, most: int, sign: int):
+        """Target cells along one axis whose centre lies in a block, and the source cell of each."""
+        low = sign * (start - origin) / step
+        at = np.arange(max(0, math.floor(low) - 1), min(most, math.ceil(low + n * size / step) + 1))
+        centre = origin + sign * (at + 0.5) * step
+        cell = np.floor(sign * (centre - start) / size).astype(np.int64)
+        inside = (cell >= 0) & (cell < n)
+        return at[inside], cell[inside]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("flat")
+            ends, cells = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            facts = {c: batch.column(c).to_pylist() for c in ("cols", "rows", "left", "top", "cw",
+                                                              "ch")}
+            rows: list[tuple[int, int, int]] = []
+            arrays: list[np.ndarray] = []
+
+            def passed_on() -> pa.RecordBatch:
+                source = pa.array([i for i, _, _ in rows])
+                kept = [batch.column(c).take(source) for c in ("priority", *instant)]
+                return pa.RecordBatch.from_arrays(
+                    [*kept, pa.array([c for _, c, _ in rows], pa.int32()),
+                     pa.array([r for _, _, r in rows], pa.int32()),
+                     nullable_lists(np.stack(arrays).reshape(len(rows), -1))],
+                    ["priority", *instant, "col", "row", "flat"])
+
+            for i in range(len(batch)):
+                n, m, left, top, cw, ch = (facts[c][i] for c in facts)
+                xs, gx = hits(left, cw, n, x_min, tcw, target.cols, 1)
+                ys, gy = hits(top, ch, m, y_max, tch, target.rows, -1)
+                scene = cells[ends[i]:ends[i + 1]].reshape(bands, m, n)
+                for row in np.unique(ys // tr):
+                    here = ys // tr == row
+                    lines = scene[:, gy[here]]
+                    for col in np.unique(xs // tc):
+                        there = xs // tc == col
+                        tile = np.full((bands, tr, tc), np.nan)
+                        tile[:, (ys[here] % tr)[:, None], xs[there] % tc] = lines[:, :, gx[there]]
+                        rows.append((i, int(col), int(row)))
+                        arrays.append(tile)
+                if len(arrays) * bands * tr * tc * 8 > stencils.BLOCK_BYTES:
+                    yield passed_on()
+                    rows, arrays = [], []
+            if rows:
+                yield passed_on()
+
+    schema = ", ".join([*(f"{c} {types[c]}" for c in ("priority", *instant)), "col int", "row int",
+                        "flat array<double>"])
+    keys = ["col", "row", *instant]
+    merged = fold_tiles(blocks.mapInArrow(cut, schema), keys, F.col("flat"), bands * tr * tc,
+                        "First", F.col("priority"))
+    tiles = merged.select(*keys, unflatten(tr * tc, bands, layer.meta.cell_type.compute_type)
+                          .alias("bands"))
+    return layer.with_df(tiles, "tile", layout=target, bounds=None)
+
+
 def _scatter(layer: Layer, target: Layout, method: str, warp: tuple[int, int] = (0, 0)) -> Layer:
     """Cells of ``layer`` on another grid. Overlapping scenes: the lowest scene_id wins."""
     if method not in METHODS:
@@ -249,6 +325,9 @@ def _scatter(layer: Layer, target: Layout, method: str, warp: tuple[int, int] =
         shift = _shift(layer.meta.layout, target)
         if shift is not None:  # every cell is its own value, by any method that does not smooth
             return _rekey(layer, target, shift, kind)
+    if (layer.kind == "scene" and warp[0] == warp[1] and method == "NearestNeighbor"
+            and _large_scenes(layer, target)):
+        return _scenes_to_tiles(layer, target)
     blocks, ids = _blocks(layer)
     if method == "NearestNeighbor":
         cells = _nearest(blocks, ids, target, warp)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.projection import parse_crs
 from ..model import CellType, Layer, Meta, from_scenes
+from ..operators.local import with_sentinels, without_sentinels
 from ..operators.shape import to_tiles
 
 # Default tag and format of acquisition times.
@@ -20,12 +21,13 @@ def read_scenes(spark: SparkSession, paths: str | Sequence[str], temporal: bool
                 crs: str | int | None = None, time_tag: str = TIME_TAG,
                 time_format: str = TIME_FORMAT, max_tile_size: int | None = None,
                 chunk_size: int | None = None, num_partitions: int | None = None,
-                cell_type: str = "float64", bands: int = 1) -> Layer:
+                cell_type: str = "float64", bands: int = 1, sentinels: bool = True) -> Layer:
     """Scene tables on any Hadoop paths, read together as one layer.
 
     Rows hold the scene columns and may hold ``tags MAP<STRING,STRING>``: ``time_tag`` names the
     tag the instant is parsed from. ``crs`` replaces the CRS of all rows. ``max_tile_size`` and
-    ``chunk_size`` (the smaller one counts) split big scenes into windows.
+    ``chunk_size`` (the smaller one counts) split big scenes into windows. With ``sentinels`` the
+    NoData value of the cell type is read as NULL.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     df = spark.read.parquet(*paths)
@@ -37,6 +39,8 @@ def read_scenes(spark: SparkSession, paths: str | Sequence[str], temporal: bool
                                                          F.lit(time_format)))
     meta = Meta(CellType.parse(cell_type), None, forced or 0, bands, temporal=temporal)
     layer = from_scenes(df, meta)
+    if sentinels:
+        layer = without_sentinels(layer)
     limits = [n for n in (max_tile_size, chunk_size) if n]
     if limits:
         layer = split_scenes(layer, min(limits))
@@ -76,12 +80,13 @@ def _tag_map(tags: Mapping[str, str]):
 
 def export_scenes(layer: Layer, head_tags: Mapping[str, str] | None = None,
                   band_tags: Sequence[Mapping[str, str]] | None = None,
-                  path: str | None = None) -> DataFrame:
+                  path: str | None = None, sentinels: bool = False) -> DataFrame:
     """One row per tile with its extent, CRS and tags; written as Parquet when a path is given.
 
-    Head and band tags are independent of each other.
+    Head and band tags are independent of each other. ``sentinels`` writes NULL as the NoData value
+    of the cell type.
     """
-    tiles = to_tiles(layer)
+    tiles = with_sentinels(to_tiles(layer)) if sentinels else to_tiles(layer)
     at = layer.meta.layout
     rows = tiles.df.select(
         *tiles.keys, *at.tile_extent(F.col("col"), F.col("row")),

@@ -20,6 +20,19 @@ def scenes(spark, rows, temporal=False):
     return rt.from_scenes(df, rt.Meta(rt.CellType.parse("float64"), None, 3857, 1))
 
 
+@pytest.mark.parametrize("step", [1.0, 0.7, 1.6])
+def test_scenes_as_arrays_equal_scenes_as_cells(spark, monkeypatch, step):
+    from rastertable.operators import resample
+    layer = scenes(spark, [(n, 3 * n % 7 + 0.3, -2 * n % 5 - 0.2, random_raster(6, 5, n))
+                           for n in range(8)])
+    target = rt.Layout(rt.Extent(-1.0, -20 * step, 20 * step - 1.0, 0.0), 5, 5, 4, 4)
+    fast = rt.tile_to_layout(layer, target)
+    monkeypatch.setattr(resample, "_large_scenes", lambda *a: False)
+    slow = rt.tile_to_layout(layer, target)
+    np.testing.assert_array_equal(as_array(fast, 20, 20), as_array(slow, 20, 20))
+    assert np.isfinite(as_array(fast, 20, 20)).sum() > 20
+
+
 def test_overlapping_scenes_merge_by_id(spark):
     a, b = random_raster(6, 6, 1), random_raster(6, 6, 2)
     layer = scenes(spark, [(2, 3, -2, b), (1, 0, 0, a)])

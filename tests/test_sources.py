@@ -118,6 +118,25 @@ def test_export_keeps_tags_apart(spark):
     assert (row["xmin"], row["ymin"], row["xmax"], row["ymax"]) == (0, -4, 4, 0)
 
 
+def test_nodata_values_of_files(spark):
+    a = np.array([[1.0, -9.0], [np.nan, 4.0]])
+    layer = cell_layer(spark, a, tile=2, cell_type="int16ud-9")
+    gone = np.array([[1.0, np.nan], [np.nan, 4.0]])
+    clean = rt.without_sentinels(layer)
+    np.testing.assert_array_equal(as_array(clean, 2, 2), gone)
+    rows = rt.export_scenes(clean, sentinels=True)
+    assert rows.first()["bands"] == [[1, -9, -9, 4]]
+    folder = run_folder(spark, "scenes")
+    rows.select(F.lit(7).cast("bigint").alias("scene_id"), "epsg", "xmin", "ymin", "xmax", "ymax",
+                "cols", "rows", "bands").write.parquet(folder)
+    back = rt.read_scenes(spark, folder, cell_type="int16ud-9")
+    np.testing.assert_array_equal(as_array(rt.tile_to_layout(back, layer.meta.layout), 2, 2), gone)
+    f = spark.createDataFrame([(0, 0, [[1.5, float("nan"), -1.0, None]])],
+                              "col int, row int, bands array<array<double>>")
+    meta = rt.Meta(rt.CellType.parse("float32ud-1"), layer.meta.layout, 3857, 1)
+    assert rt.without_sentinels(rt.from_tiles(f, meta)).df.first()["bands"] == [[1.5, None, None, None]]
+
+
 def test_requests_across_zooms_in_batch_and_stream(spark):
     a = random_raster(16, 16, gaps=0.0)
     base = cell_layer(spark, a)
