@@ -89,3 +89,72 @@ def mixed(x: np.ndarray) -> np.ndarray:
         x ^= x >> np.uint64(shift)
         x *= np.uint64(factor)
     return x ^ (x >> np.uint64(31))
+
+
+#: At most this many groups are hot, whatever the number of rows.
+HOT_PART = 4096
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str | list[str], size: str,
+                total: int) -> DataFrame:
+    """``rows`` with the row of ``groups`` (one per key) of the same key; inner.
+
+    ``size`` is the number of rows of a key and ``total`` that of all rows. Keys with a HOT_PART-th of
+    all rows or more are few by that count, so their part of ``groups`` is broadcast and their rows
+    stay where they are. All other rows shuffle, no key of theirs being large.
+    """
+    many = max(200, total // HOT_PART)
+    marked = rows.join(F.broadcast(groups.where(F.col(size) >= many)), key, "left")
+    few = (marked.where(F.col(size).isNull()).select(*rows.columns)
+           .join(groups.where(F.col(size) < many).hint("merge"), key))
+    return marked.where(F.col(size).isNotNull()).unionByName(few)
+
+
+#: Bound of a broadcast Bloom filter: 2^21 words of 64 bits, 16 MiB of bits.
+FILTER_WORDS = 1 << 21
+
+
+def _bits(h: Column, words: int) -> list[tuple[Column, Column]]:
+    """Word and mask of both bits of a hash."""
+    places = [F.pmod(F.xxhash64(h, F.lit(seed)), F.lit(words * 64)) for seed in (1, 2)]
+    one = F.lit(1).cast("bigint")
+    return [(F.shiftright(p, 6).alias("word"),
+             F.call_function("shiftleft", one, p.bitwiseAND(63).cast("int")).alias("mask"))
+            for p in places]
+
+
+def filter_size(n: int, most: int = FILTER_WORDS) -> int:
+    """Words for ``n`` hashes at 16 bits each, within the bound of a broadcast."""
+    return min(most, 1 << max(4, (n // 4).bit_length()))
+
+
+def in_filter(rows: DataFrame, h: Column, hashes: DataFrame, words: int) -> DataFrame:
+    """``rows`` and ``maybe``: false only where ``h`` is not among ``hashes`` (a column ``h``).
+
+    Rows stay where they are; the filter's words are broadcast, ``words`` at most. A filter too small
+    for its hashes says true more often, never false in error.
+    """
+    bits = F.array(*[F.struct(word, mask) for word, mask in _bits(F.col("h"), words)])
+    table = (hashes.select(F.explode(bits).alias("b")).groupBy("b.word")
+             .agg(F.bit_or("b.mask").alias("mask")))
+    probed, known = rows.withColumn("__h", h), []
+    for i, (word, mask) in enumerate(_bits(F.col("__h"), words)):
+        held = table.select(F.col("word").alias(f"__word{i}"), F.col("mask").alias(f"__held{i}"))
+        probed = (probed.withColumn(f"__word{i}", word).withColumn(f"__mask{i}", mask)
+                  .join(F.broadcast(held), f"__word{i}", "left"))
+        known.append(F.coalesce(F.col(f"__held{i}").bitwiseAND(F.col(f"__mask{i}")) != 0, F.lit(False)))
+    return probed.select(*rows.columns, (known[0] & known[1]).alias("maybe"))
+
+
+SLOTS_PER_ROW = 64
+
+
+def maybe_repeated(rows: DataFrame, h: Column, n: int, words: int | None = None) -> DataFrame:
+    """``rows`` and ``maybe``: false only where no other of the ``n`` rows has an equal ``h``.
+
+    Two-pass Bloom filtering. The first filter has a slot per hash, 64 per row, dealt over all tasks;
+    slots that a second row finds taken make up the second filter, which every row probes in place.
+    """
+    slot = F.pmod(h, F.lit(max(1, SLOTS_PER_ROW * n)))
+    twice = rows.select(slot.alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    return in_filter(rows, slot, twice.select("h"), words or filter_size(n))

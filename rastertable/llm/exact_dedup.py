@@ -11,49 +11,17 @@ repeated hashes exist than it can tell apart, more rows shuffle; the result stay
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flattened, nested, text_or_empty
-
-#: Bound of the broadcast filter: 2^21 words, 16 MiB of bits.
-FILTER_WORDS = 1 << 21
-SLOTS_PER_ROW = 64
-#: Groups of at least a HOT_PART-th of all rows count as hot; there can be no more than HOT_PART.
-HOT_PART = 4096
-
-
-def _bits(slot: Column, words: int) -> list[tuple[Column, Column]]:
-    """Word and mask of both bits of a slot."""
-    places = [F.pmod(F.xxhash64(slot, F.lit(seed)), F.lit(words * 64)) for seed in (1, 2)]
-    one = F.lit(1).cast("bigint")
-    return [(F.shiftright(p, 6).alias("word"),
-             F.call_function("shiftleft", one, p.bitwiseAND(63).cast("int")).alias("mask"))
-            for p in places]
-
-
-def maybe_repeated(rows: DataFrame, n: int, filter_words: int = FILTER_WORDS) -> DataFrame:
-    """``rows`` (with a column ``text``) and ``maybe``: false if no other row has an equal text."""
-    words = min(filter_words, 1 << max(4, (n // 4).bit_length()))
-    slot = F.pmod(F.xxhash64("text"), F.lit(max(1, SLOTS_PER_ROW * n)))
-    twice = (rows.select(slot.alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
-             .where("n > 1"))
-    bits = F.array(*[F.struct(word, mask) for word, mask in _bits(F.col("slot"), words)])
-    table = (twice.select(F.explode(bits).alias("b")).groupBy("b.word")
-             .agg(F.bit_or("b.mask").alias("mask")))
-    probed = rows.withColumn("slot", slot)
-    for i, (word, mask) in enumerate(_bits(F.col("slot"), words)):
-        held = F.broadcast(table.select(F.col("word").alias(f"word{i}"), F.col("mask").alias(f"held{i}")))
-        probed = (probed.withColumn(f"word{i}", word).withColumn(f"mask{i}", mask)
-                  .join(held, f"word{i}", "left"))
-    known = [F.coalesce(F.col(f"held{i}").bitwiseAND(F.col(f"mask{i}")) != 0, F.lit(False)) for i in (0, 1)]
-    return probed.select(*rows.columns, (known[0] & known[1]).alias("maybe"))
+from .common import FILTER_WORDS, filter_size, flattened, join_groups, maybe_repeated, nested, text_or_empty
 
 
 def _hashed(docs: DataFrame, id_col: str, text_col: str, filter_words: int) -> tuple[DataFrame, int]:
     rows = nested(docs, id=F.col(f"`{id_col}`"), text=text_or_empty(f"`{text_col}`"))
     n = docs.count()
-    return maybe_repeated(rows, n, filter_words).withColumn("sha", F.sha2("text", 256)).drop("text"), n
+    words = filter_size(n, filter_words)
+    return maybe_repeated(rows, F.xxhash64("text"), n, words).withColumn("sha", F.sha2("text", 256)).drop("text"), n
 
 
 def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -75,11 +43,7 @@ def mark_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
     some = rows.where("maybe").drop("maybe").withColumn("sha", F.unhex("sha"))
     groups = some.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-    many = max(1000, n // HOT_PART)
-    marked = some.join(F.broadcast(groups.where(F.col("group_size") >= many)), "sha", "left")
-    few = (marked.where("group_size IS NULL").drop("keep_id", "group_size")
-           .join(groups.where(F.col("group_size") < many).hint("merge"), "sha"))
-    several = marked.where("group_size IS NOT NULL").unionByName(few).select(
+    several = join_groups(some, groups, "sha", "group_size", n).select(
         "row", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"))
     return flattened(alone.unionByName(several), "keep_id", "group_size", "kept", "text_sha256")

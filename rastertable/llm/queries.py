@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import (bpe, embedding_dedup, exact_dedup, minhash, mixing, pii, quality, repeats,
+               secret_scan, token_store)
+from .common import shared_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -57,3 +60,48 @@ SELECT doc_id, size, source_size, target,
         + greatest(0, least(size, budget % source_size - before)) END)::BIGINT AS taken FROM b""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir), with_columns=["doc_id"])
+
+
+@query("op2_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(documents(spark, sf_dir), with_ids=False)
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = shared_table(quality.features(documents(spark, sf_dir)), "features")
+    model = quality.fit(table, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score_features(table, model).select(
+        F.col("id").alias("doc_id"), (quality.fold("id") == 0).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op5_secrets")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+@query("op6_embedding_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), with_columns=["vec_id"])
+
+
+@query("op7_pii")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.digest(pii.personal_data(docs, pii.fit(docs)))
+
+
+@query("op8_minhash_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), with_columns=["doc_id"])
+
+
+@query("op9_token_store")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.read_tokens(token_store.write_tokens(documents(spark, sf_dir)), with_ids=False)
+
+
+@query("op10_repeats")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir), with_columns=["doc_id"], with_text=False).drop("removed")
