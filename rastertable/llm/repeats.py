@@ -3,19 +3,19 @@
 Which bytes lie in a string of ``length`` bytes that also starts elsewhere? Three steps, none of
 which loses one:
 
-1. Anchors. In every window of ``length`` bytes, the ``GRAM``-byte strings of least hash are anchors.
-   Equal windows have equal anchors at equal places, so an anchor's hash that occurs once belongs to
-   no repeated window. All windows around an anchor lie in its context. Occurrences with equal
-   contexts form one class with a weight.
-2. Classes of one anchor hash meet. Where there is one class alone, all its windows repeat as often as
-   it occurs. Otherwise the contexts' bytes are fetched, shards of them get their transforms, and the
-   shards' interleave is refined symbol by symbol: after h rounds rows stand in the order of their
-   first h bytes, and rows between two boundaries have h bytes in common. Rows alone between
-   boundaries are final and leave, so nothing is sorted anew. After ``length`` rounds, what is still
-   together are the repeated intervals.
+1. Anchors. A window's anchor is its ``GRAM``-byte string of least hash, the first of equals. Equal
+   windows have equal anchors at equal places, so a window whose anchor occurs once does not repeat.
+   Neighbouring windows with the same anchor are one run; its bytes are the anchor's context.
+   Occurrences with equal contexts form one class with a weight.
+2. Classes of one anchor meet. Where there is one class alone, all its windows repeat if it occurs
+   twice. Otherwise the contexts' bytes are fetched, shards of them get transforms of bounded order,
+   and the shards' interleave is refined a few symbols at a time: after h symbols rows stand in the
+   order of the h bytes before their window's end, and rows between two boundaries have these in
+   common. Rows alone between boundaries are final and leave, so nothing is sorted anew. After
+   ``length`` symbols, what is still together are the repeated intervals.
 3. Ranges go back to all occurrences, and meet the documents they belong to.
 
-An anchor hash with more than ``HOT_CLASSES`` classes is cut by where its windows begin: windows that
+An anchor with more than ``HOT_CLASSES`` classes is cut by where its windows begin: windows that
 begin in the same ``RANGES``-th share all bytes but a few, and only contexts that agree on those meet.
 """
 
@@ -65,111 +65,117 @@ class Hashes:
         return mixed((self.sums[size:size + n] - self.sums[:n]) * self.down[:n])
 
 
-def _sliding(x: np.ndarray, size: int, best) -> np.ndarray:
-    """best (np.minimum or np.maximum) of x[i : i + size] for each i where that is whole."""
+def _least(x: np.ndarray, size: int) -> np.ndarray:
+    """The least of x[i : i + size] for each i where that is whole."""
     n = len(x) - size + 1
     if n <= 0:
         return x[:0]
     blocks = -(-len(x) // size)
     fill = np.pad(x, (0, blocks * size - len(x)), mode="edge").reshape(blocks, size)
-    ahead = best.accumulate(fill, 1).ravel()
-    behind = best.accumulate(fill[:, ::-1], 1)[:, ::-1].ravel()
-    return best(behind[:n], ahead[size - 1:size - 1 + n])
+    ahead = np.minimum.accumulate(fill, 1).ravel()
+    behind = np.minimum.accumulate(fill[:, ::-1], 1)[:, ::-1].ravel()
+    return np.minimum(behind[:n], ahead[size - 1:size - 1 + n])
 
 
 def anchors(data: np.ndarray, at: np.ndarray, length: int, gram: int):
-    """Of texts in a row (bytes and offsets): places of anchors, their text, hash, and the context's
-    hash and reach to either side."""
-    reach = length - gram
+    """Runs of windows with one anchor, of texts in a row (bytes and offsets): the anchor's place, its
+    text and hash, the hash of the run's bytes, the run's first window and its number of windows."""
     hashes = Hashes(data)
     h = hashes.every(gram)
-    low = _sliding(h, reach + 1, np.minimum)  # by window
-    if not len(low):
-        return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),) * 2
-    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    start = np.arange(len(low))
-    low[start + length > at[owner[:len(low)] + 1]] = 0  # windows that leave their text
-    high = _sliding(np.concatenate([np.zeros(reach, np.uint64), low, np.zeros(reach, np.uint64)]), reach + 1, np.maximum)
-    place = np.flatnonzero((high == h) & (high > 0))
-    text = owner[place]
-    left = np.minimum(reach, place - at[text])
-    right = np.minimum(reach, at[text + 1] - place - gram)
-    context = hashes.of(place - left, place + gram + right) + left.astype(np.uint64) * np.uint64(257)
-    return place, text, h[place], mixed(context), left, right
-
-
-def shard_transform(data: np.ndarray, last: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of all suffixes of a shard to ``depth`` symbols, and the symbol before each.
-
-    ``data`` holds the strings, each closed by symbol 0; ``last`` says where. Ends sort in the order of
-    their strings. Prefix doubling; equal prefixes beyond ``depth`` stand by place.
-    """
-    n = len(data)
-    rank = data.astype(np.int64) + len(last)
-    rank[last] = np.arange(len(last))  # every end is a symbol of its own
-    order, size = np.argsort(rank, kind="stable"), 1
-    while True:
-        sorted_rank = rank[order]
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.concatenate([[0], sorted_rank[1:] != sorted_rank[:-1]]))
-        rank = new
-        if size >= depth or n == 0 or rank[order[-1]] == n - 1:
-            break
-        beyond = np.concatenate([rank[size:], np.zeros(min(size, n), np.int64)])
-        rank = rank * (n + 1) + beyond  # a string's end is unique, so nothing past it is compared
-        order, size = np.argsort(rank, kind="stable"), 2 * size
-    before = data[order - 1]
-    before[order == 0] = 0
-    return order, before
-
-
-def merged_intervals(strings: list[bytes], length: int, shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Intervals of suffixes that share their first ``length`` bytes with another one.
-
-    Returns the string, the place in it and the interval of each such suffix. The strings' shards have
-    transforms of their own; refinement starts from the shards one behind the other.
+    bits = np.uint64(max(24, len(data).bit_length()))
+    packed = (h >> bits << bits) | np.arange(len(h), dtype=np.uint64)
+    anchor = (_least(packed, length - gram + 1) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))[:len(anchor)]
+    start = np.flatnonzero(np.arange(length, len(anchor) + length) <= at[owner + 1]) if len(anchor) else owner
+    anchor, text = anchor[start], owner[start]
+    first = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])])) \
+        if len(start) else start
+    count = np.diff(np.concatenate([first, [len(start)]]))
+    place, low = anchor[first], start[first]
+    context = hashes.of(low, low + count - 1 + length) + (place - low).astype(np.uint64) * np.uint64(257)
+    return place, text[first], h[place], mixed(context), low, count
+
+
+ORDER = 8
+
+
+def shard_transform(data: np.ndarray) -> np.ndarray:
+    """Rows of a shard: its places in the order of the ``ORDER`` bytes that follow each."""
+    padded = np.concatenate([data, np.zeros(ORDER, np.uint8)]).astype(np.uint64)
+    key = np.zeros(len(data), np.uint64)
+    for k in range(ORDER):
+        key = key << np.uint64(8) | padded[k:k + len(data)]
+    return np.argsort(key)
+
+
+def _symbols(data: np.ndarray, length: int) -> tuple[int, np.ndarray]:
+    """The widest step whose strings are few enough to be 16-bit symbols, and the symbol that ends at
+    each place."""
+    for width in (4, 2):
+        if length % width == 0 and len(data) >= width:
+            wide = np.zeros(len(data) + 1, np.uint32)
+            for k in range(width):
+                wide[width:] = wide[width:] << np.uint32(8) | data[k:len(data) - width + 1 + k]
+            found, symbol = np.unique(wide, return_inverse=True)
+            if len(found) < 1 << 16:
+                return width, symbol.ravel().astype(np.uint16)
+    return 1, np.concatenate([[0], data]).astype(np.uint16)
+
+
+def merged_intervals(strings: list[bytes], colour: np.ndarray, lead: np.ndarray, length: int,
+                     shards: int = SHARDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of the strings that equal another one of their colour at the same place.
+
+    ``lead`` is the anchor's place in each string; windows are compared where their anchors are. Returns
+    string, first byte and interval of each such window; windows of an interval are equal.
     """
-    sizes = np.array([len(s) + 1 for s in strings], np.int64)
-    symbols, starts, steps, firsts = [], [], [], []
-    base = 0
+    dealt = np.concatenate([np.arange(k, len(strings), shards) for k in range(shards)])
+    size = np.array([len(s) for s in strings], np.int64)[dealt]
+    data = np.frombuffer(b"".join(strings[i] for i in dealt), np.uint8)
+    begin = np.cumsum(size) - size
+    place_of_row, base = [], 0
     for k in range(shards):
-        own = np.arange(k, len(strings), shards)
-        if not len(own):
-            continue
-        # bytes move up by one, 0 is the end
-        data = np.concatenate([np.append(np.frombuffer(strings[i], np.uint8).astype(np.uint16) + 1, np.uint16(0)) for i in own])
-        last = np.cumsum(sizes[own]) - 1
-        order, before = shard_transform(data, last, length)
-        # the row of the suffix one symbol longer: rows of equal symbol keep their order
-        step = np.empty(len(data), np.int64)
-        where = np.empty(len(data), np.int64)
-        where[order] = np.arange(len(data))
-        step[:] = where[order - 1]
-        symbols.append(before)
-        steps.append(step + base)
-        starts.append(order + base)
-        base += len(data)
-        firsts.append(own)
-    symbol, step = np.concatenate(symbols), np.concatenate(steps).astype(np.int32)
-    start = np.concatenate(starts)
-    row, block = np.arange(base, dtype=np.int32), np.zeros(base, np.int32)
-    for _ in range(length):
-        c = symbol[row]
-        inner = np.flatnonzero(c)  # before a string's first byte there is nothing
-        row, block, c = row[inner], block[inner], c[inner]
-        order = np.argsort(c, kind="stable")
-        row, block, c = step[row[order]], block[order], c[order]
-        edge = np.concatenate([[True], (c[1:] != c[:-1]) | (block[1:] != block[:-1])]) if len(c) else np.empty(0, bool)
-        alone = edge & np.concatenate([edge[1:], [True]]) if len(c) else edge
-        row, edge = row[~alone], edge[~alone]
-        block = np.cumsum(edge, dtype=np.int32)
+        n = int(size[np.flatnonzero(dealt % shards == k)].sum())
+        place_of_row.append(shard_transform(data[base:base + n]) + base)
+        base += n
+    place_of_row = np.concatenate(place_of_row).astype(np.int32)
+    row_of_place = np.empty(len(data) + 1, np.int32)
+    row_of_place[place_of_row] = np.arange(len(data), dtype=np.int32)
+    row_of_place[-1] = len(data)  # the end of all strings has no bytes behind it
+    place_of_row = np.append(place_of_row, np.int32(len(data)))
+    width, symbol_at = _symbols(data, length)
+    symbol = symbol_at[place_of_row]  # what stands before each row
+    step = row_of_place[np.maximum(place_of_row - width, 0)]  # the row that this leads to
+    # one row per window: the place behind it, coloured by group and distance to the anchor
+    windows = size - length + 1
+    which = np.repeat(np.arange(len(size)), windows)
+    inside = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
+    tone = colour[dealt][which] * np.int64(4 * length) + inside - lead[dealt][which] + 2 * length
+    row = row_of_place[begin[which] + inside + length]
+    order = np.lexsort((row, tone))
+    row, tone, window = row[order], tone[order], order.astype(np.int32)
+    block = np.cumsum(np.concatenate([[True], tone[1:] != tone[:-1]]), dtype=np.int32) if len(row) else row
+
+    def together(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that are not alone between boundaries, and where boundaries are."""
+        edge = np.ones(len(keys[0]) + 1, bool)
+        edge[1:-1] = keys[0][1:] != keys[0][:-1]
+        for key in keys[1:]:
+            edge[1:-1] |= key[1:] != key[:-1]
+        return ~(edge[:-1] & edge[1:]), edge[:-1]
+
+    keep, _ = together(block)
+    row, block, window = row[keep], block[keep], window[keep]
+    for _ in range(length // width):
         if not len(row):
             break
-    place = start[row]
-    dealt = np.concatenate(firsts) if firsts else np.empty(0, np.int64)
-    begins = np.cumsum(sizes[dealt]) - sizes[dealt]
-    which = np.searchsorted(begins, place, "right") - 1
-    return dealt[which], place - begins[which], block
+        c = symbol[row]
+        order = np.argsort(c, kind="stable")
+        c, block, row = c[order], block[order], step[row[order]]
+        keep, edge = together(c, block)
+        window = window[order][keep]
+        row, block = row[keep], np.cumsum(edge[keep], dtype=np.int32)
+    return dealt[which[window]], inside[window], block
 
 
 def _anchored(length: int, gram: int):
@@ -177,14 +183,14 @@ def _anchored(length: int, gram: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 data, at = flat_bytes(texts(part))
-                place, text, h, context, left, right = anchors(data, at, length, gram)
+                place, text, h, context, low, count = anchors(data, at, length, gram)
                 which = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(which), part.column("print").take(which),
                      pa.array((place - at[text]).astype(np.int32)), pa.array(h.view(np.int64)),
-                     pa.array(context.view(np.int64)), pa.array(left.astype(np.int16)),
-                     pa.array(right.astype(np.int16))],
-                    ["id", "print", "place", "anchor", "context", "left", "right"])
+                     pa.array(context.view(np.int64)), pa.array((place - low).astype(np.int16)),
+                     pa.array(count.astype(np.int16))],
+                    ["id", "print", "place", "anchor", "context", "lead", "windows"])
     return run
 
 
@@ -198,66 +204,65 @@ def _fetched(length: int, gram: int):
             for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
                 data = text.encode("utf-8", "surrogatepass")
                 for w in wanted:
-                    p, left, right = w["place"], w["left"], w["right"]
+                    p, most_lead, least_lead = w["place"], w["lead"], w["lead"] - w["windows"] + 1
                     parts = RANGES if w["hot"] else 1
-                    edges = np.linspace(0, reach + 1, parts + 1).astype(int)
+                    edges = np.linspace(0, reach + 1, parts + 1).astype(int).tolist()
                     for least, beyond in zip(edges[:-1], edges[1:]):
-                        most = int(beyond) - 1  # bytes of a window before the anchor: least .. most
-                        if left < least or right < reach - most:
-                            continue  # no window of this range fits the text
-                        a, b = p - min(left, most), p + gram + min(right, reach - int(least))
-                        core = data[p - int(least):p + gram + reach - most]
-                        group = hashlib.blake2b(core + bytes([int(least), parts]), digest_size=8).digest()
+                        # windows of this range begin high .. low bytes before the anchor
+                        high, low = min(most_lead, beyond - 1), max(least_lead, least)
+                        if high < low:
+                            continue
+                        # all windows of the range hold these bytes
+                        core = data[p - least:p + length - beyond + 1] if parts > 1 else b""
+                        group = hashlib.blake2b(core + b"%d %d" % (w["anchor"], least), digest_size=8).digest()
                         rows.append((int.from_bytes(group, "little", signed=True), w["anchor"], w["context"],
-                                     w["weight"], p - a, int(least), most, data[a:b]))
-            columns = list(zip(*rows)) or [()] * 8
-            kinds = [pa.int64()] * 4 + [pa.int32()] * 3 + [pa.binary()]
+                                     w["weight"], high, least, data[p - high:p - low + length]))
+            columns = list(zip(*rows)) or [()] * 7
+            kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["grp", "anchor", "context", "weight", "lead", "least", "most", "bytes"])
+                ["grp", "anchor", "context", "weight", "lead", "least", "bytes"])
     return run
 
 
 def _merged(length: int):
     def run(key, table):
-        rows = table.to_pylist()
+        column = {name: table.column(name).to_pylist() for name in table.column_names}
         once: dict[tuple, int] = {}
         weight: list[int] = []
-        of = []
-        seen: dict[tuple, int] = {}
-        for r in rows:
-            name = (r["grp"], r["lead"], r["bytes"])
+        of, seen = [], set()
+        for k, name in enumerate(zip(column["grp"], column["lead"], column["bytes"])):
             i = once.setdefault(name, len(once))
             if i == len(weight):
                 weight.append(0)
-            if (r["anchor"], r["context"], r["least"]) not in seen:  # rows of a repeated document are one
-                seen[r["anchor"], r["context"], r["least"]] = i
-                weight[i] += r["weight"]
+            own = column["anchor"][k], column["context"][k], column["least"][k]
+            if own not in seen:  # rows of a repeated document are one
+                seen.add(own)
+                weight[i] += column["weight"][k]
             of.append(i)
-        names = list(once)
-        which, place, block = merged_intervals([n[2] for n in names], length)
-        lead, weights = np.array([n[1] for n in names], np.int64), np.array(weight, np.int64)
-        group = np.unique(np.array([n[0] for n in names]), return_inverse=True)[1]
-        # the same place relative to the same anchor, or a window could meet itself
-        at = place - lead[which]
-        heavy = np.flatnonzero(weights > 1)  # a context that occurs twice repeats by itself
-        keys, inverse = np.unique(np.stack([block, group[which], at]), axis=1, return_inverse=True)
-        total = np.bincount(inverse.ravel(), weights[which], minlength=keys.shape[1])
-        good = total[inverse.ravel()] > 1
+        names, weights = list(once), np.array(weight, np.int64)
+        colour = np.unique(np.array([n[0] for n in names], np.int64), return_inverse=True)[1].ravel()
+        lead = np.array([n[1] for n in names], np.int64)
+        which, first, _ = merged_intervals([n[2] for n in names], colour, lead, length)
+        # a context that occurs twice repeats by itself
+        sizes = np.array([len(n[2]) for n in names], np.int64)
+        heavy = np.flatnonzero(weights > 1)
+        light = weights[which] == 1
+        which, first = which[light], first[light]
+        order = np.lexsort((first, which))
+        which, first = which[order], first[order]
+        gap = np.flatnonzero(np.concatenate([[True], (which[1:] != which[:-1]) | (first[1:] > first[:-1] + 1), [True]])) \
+            if len(which) else np.zeros(1, int)
         covered: list[list[int]] = [[] for _ in names]
-        for i, p in sorted(zip(which[good].tolist(), place[good].tolist())):
-            c = covered[i]
-            if c and p <= c[-1]:
-                c[-1] = p + length
-            else:
-                c += [p, p + length]
-        for i in heavy:
-            if len(names[i][2]) >= length:
-                covered[i] = [0, len(names[i][2])]
-        out = [(r["anchor"], r["context"], [x - r["lead"] for x in covered[i]]) for r, i in zip(rows, of) if covered[i]]
-        columns = list(zip(*out)) or [()] * 3
-        return pa.table({"anchor": pa.array(columns[0], pa.int64()), "context": pa.array(columns[1], pa.int64()),
-                         "ranges": pa.array(columns[2], pa.list_(pa.int32()))})
+        for a, b in zip(gap[:-1].tolist(), gap[1:].tolist()):
+            covered[which[a]] += [int(first[a]), int(first[b - 1]) + length]
+        for i in heavy.tolist():
+            covered[i] = [0, int(sizes[i])]
+        found = [k for k, i in enumerate(of) if covered[i]]
+        return pa.table({"anchor": pa.array([column["anchor"][k] for k in found], pa.int64()),
+                         "context": pa.array([column["context"][k] for k in found], pa.int64()),
+                         "ranges": pa.array([[x - column["lead"][k] for x in covered[of[k]]] for k in found],
+                                            pa.list_(pa.int32()))})
     return run
 
 
@@ -304,18 +309,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("print", F.xxhash64("text"))
     kind = rows.schema["id"]
     found = shared_table(rows.mapInArrow(_anchored(length, gram), T.StructType([kind, *T._parse_datatype_string(
-        "print bigint, place int, anchor bigint, context bigint, left smallint, right smallint").fields])), "anchors")
+        "print bigint, place int, anchor bigint, context bigint, lead smallint, windows smallint").fields])), "anchors")
     n = found.count()
     found = shared_table(maybe_repeated(found, F.col("anchor"), n).where("maybe").drop("maybe"), "repeated-anchors")
     n = found.count()
     classes = shared_table(found.groupBy("anchor", "context").agg(
-        F.count("*").alias("weight"), F.min(F.struct("id", "print", "place", "left", "right")).alias("first")), "contexts")
+        F.count("*").alias("weight"), F.min(F.struct("id", "print", "place", "lead", "windows")).alias("first")), "contexts")
     groups = classes.groupBy("anchor").agg(F.sum("weight").alias("occurrences"), F.count("*").alias("classes"))
     placed = join_groups(classes, groups.where("occurrences > 1"), "anchor", "classes", n)
     placed = shared_table(placed, "placed")
-    lone = (placed.where(f"classes = 1 AND first.left + first.right + {gram} >= {length}")
-            .select("anchor", "context", F.array(-F.col("first.left").cast("int"),
-                                                 F.lit(gram) + F.col("first.right").cast("int")).alias("ranges"), "weight"))
+    begin = -F.col("first.lead").cast("int")
+    lone = placed.where("classes = 1").select("anchor", "context", F.array(
+        begin, begin + F.col("first.windows").cast("int") + (length - 1)).alias("ranges"), "weight")
     several = _several(rows, placed.where("classes > 1"), length, gram)
     ranges = (several.groupBy("anchor", "context").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
               .join(placed.select("anchor", "context", "weight"), ["anchor", "context"]).select(*lone.columns))
@@ -342,7 +347,7 @@ def _several(rows: DataFrame, classes: DataFrame, length: int, gram: int) -> Dat
     """(anchor, context, ranges) of contexts that differ but share an anchor."""
     wanted = classes.select("first.*", "anchor", "context", "weight", (F.col("classes") > HOT_CLASSES).alias("hot"))
     per_row = (wanted.groupBy(F.col("id").alias("id2"), F.col("print").alias("print2"))
-               .agg(F.collect_list(F.struct("place", "left", "right", "anchor", "context", "weight", "hot")).alias("wanted")))
+               .agg(F.collect_list(F.struct("place", "lead", "windows", "anchor", "context", "weight", "hot")).alias("wanted")))
     per_row = shared_table(per_row, "wanted")
     size = per_row.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0)), F.count("*")).first()
     buckets = max(1, size[0] * (2 * length - gram) // BUCKET_BYTES)
@@ -351,6 +356,6 @@ def _several(rows: DataFrame, classes: DataFrame, length: int, gram: int) -> Dat
     both = near.join(per_row.hint("merge"), near["id"].eqNullSafe(F.col("id2")) & (near["print"] == F.col("print2")))
     found = both.select("text", "wanted").mapInArrow(
         _fetched(length, gram), "grp bigint, anchor bigint, context bigint, weight bigint, lead int, least int, "
-                                "most int, bytes binary")
+                                "bytes binary")
     found = found.withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)))
     return found.groupBy("bucket").applyInArrow(_merged(length), "anchor bigint, context bigint, ranges array<int>")
