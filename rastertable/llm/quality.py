@@ -3,13 +3,13 @@
 Statistics of a text (shares of character classes, word lengths, repetition of words and lines) are
 standardized and mapped to cosines of random projections, which approximate a Gaussian kernel. Tasks
 sum the normal equations of their rows; the driver adds a fixed number of such sums and solves once.
-A fold kept out of the ridge fit calibrates the scores: bins of them are pooled until the share of
-label 1 never falls.
+For calibration each half of the rows is scored by a fit on the other half; bins of these scores are
+pooled until the share of label 1 never falls.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -153,8 +153,9 @@ def fit(table: DataFrame, labels: DataFrame, label_col: str = "quality", label_i
         n_features: int = FEATURES, fit_rows: int = FIT_ROWS, seed: int = 7) -> Model:
     """A model from ``features`` and labels 0/1; rows of fold 0 and null labels are left out.
 
-    Folds 1 to 3 fit the ridge weights, fold 4 the calibration. An id with several labels counts as
-    the larger; with more labelled rows than ``fit_rows``, a hash of the id picks that many.
+    Folds 1 and 2 are one half of the rows for calibration, 3 and 4 the other; the final weights are
+    those of both. An id with several labels counts as the larger; with more labelled rows than
+    ``fit_rows``, a hash of the id picks that many.
     """
     rng = np.random.default_rng(seed)
     d = len(NAMES)
@@ -166,8 +167,8 @@ def fit(table: DataFrame, labels: DataFrame, label_col: str = "quality", label_i
     n = marks.count()
     part = min(1.0, fit_rows / max(1, n))
     picked = marks.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 20)) < int(part * (1 << 20)) + (part >= 1))
-    rows = shared_table(table.join(picked, "id").select("x", "y", "fold"), "labelled")
-    moments = rows.where("fold < 4").select(*[F.col("x")[i].alias(f"c{i}") for i in range(d)], "y")
+    rows = shared_table(table.join(picked, "id").select("x", "y", F.col("fold").cast("int").alias("fold")), "labelled")
+    moments = rows.select(*[F.col("x")[i].alias(f"c{i}") for i in range(d)], "y")
     found = moments.agg(F.count("*"), F.sum("y"), *[f(f"c{i}") for i in range(d) for f in (F.avg, F.stddev_pop)]).first()
     if not found[0] or found[1] in (0, found[0]):
         return Model(np.zeros(d), np.ones(d), directions, phases, None, None, None)
@@ -175,32 +176,39 @@ def fit(table: DataFrame, labels: DataFrame, label_col: str = "quality", label_i
     blank = Model(mean, np.where(spread > 1e-9, spread, 1.0), directions, phases, None, None, None)
 
     def sums(batches):
-        a, b = np.zeros((n_features + 1,) * 2), np.zeros(n_features + 1)
+        a, b, n = np.zeros((2, *(n_features + 1,) * 2)), np.zeros((2, n_features + 1)), [0, 0]
         for batch in batches:
-            z = blank.cosines(_matrix(batch))
-            a += z.T @ z
-            b += z.T @ batch.column("y").to_numpy()
-        yield pa.RecordBatch.from_pydict({"a": [a.tobytes()], "b": [b.tobytes()]})
-
-    # few enough to add up on the driver: SUMS matrices of (FEATURES + 1) squared
-    parts = rows.where("fold < 4").repartition(SUMS).mapInArrow(sums, "a binary, b binary").collect()
-    a = sum(np.frombuffer(r.a).reshape((n_features + 1,) * 2) for r in parts)
-    b = sum(np.frombuffer(r.b) for r in parts)
-    weights = np.linalg.solve(a + RIDGE * found[0] / n_features * np.eye(n_features + 1), b)
-    model = Model(blank.mean, blank.scale, directions, phases, weights, None, None)
+            z, y, half = blank.cosines(_matrix(batch)), batch.column("y").to_numpy(), batch.column("fold").to_numpy() > 2
+            for k in (0, 1):
+                own = z[half == k]
+                a[k] += own.T @ own
+                b[k] += own.T @ y[half == k]
+                n[k] += len(own)
+        yield pa.RecordBatch.from_pydict({"half": [0, 1], "a": [x.tobytes() for x in a], "b": [x.tobytes() for x in b], "n": n})
+
+    # few enough to add up on the driver: twice SUMS matrices of (FEATURES + 1) squared
+    parts = rows.repartition(SUMS).mapInArrow(sums, "half bigint, a binary, b binary, n bigint").collect()
+
+    def solved(halves: tuple[int, ...]) -> Model:
+        own = [r for r in parts if r.half in halves]
+        a = sum(np.frombuffer(r.a).reshape((n_features + 1,) * 2) for r in own)
+        b = sum(np.frombuffer(r.b) for r in own)
+        ridge = RIDGE * max(1, sum(r.n for r in own)) / n_features
+        return replace(blank, weights=np.linalg.solve(a + ridge * np.eye(n_features + 1), b))
+
+    model, halves = solved((0, 1)), [solved((1,)), solved((0,))]
 
     def raw(batches):
         for batch in batches:
-            s = np.clip(model.ridge(_matrix(batch)), -0.5, 1.5)
+            x, second = _matrix(batch), batch.column("fold").to_numpy() > 2
+            s = np.clip(np.where(second, halves[1].ridge(x), halves[0].ridge(x)), -0.5, 1.5)
             yield pa.RecordBatch.from_pydict({"s": s, "y": batch.column("y")})
 
-    scored = rows.where("fold = 4").mapInArrow(raw, "s double, y int")
+    scored = rows.mapInArrow(raw, "s double, y int")
     bins = (scored.groupBy(F.floor((F.col("s") + 0.5) / 2 * BINS).alias("bin"))
             .agg(F.avg("s").alias("s"), F.sum("y").alias("ones"), F.count("*").alias("n")).orderBy("bin").collect())
-    if not bins:
-        return Model(blank.mean, blank.scale, directions, phases, weights, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     knots, shares = pooled(*(np.array([r[k] for r in bins], float) for k in (1, 2, 3)))
-    return Model(blank.mean, blank.scale, directions, phases, weights, knots, shares)
+    return replace(model, knots=knots, shares=shares)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
