@@ -1,6 +1,6 @@
 """BPE encoding and decoding through one table of distinct words.
 
-Documents are dealt to blocks of a few megabytes. A block gives its distinct words, sorted, to buckets
+Documents are dealt to blocks of a few megabytes, packed as they leave their task. A block gives its distinct words, sorted, to buckets
 by hash; a bucket unites what all blocks sent, encodes each distinct word once, and answers every
 block with the ids of its words in the order sent. The block then puts the ids back by position. Words
 and answers travel packed, since the word lists are what shuffles besides the texts themselves.
@@ -15,11 +15,13 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.ipc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import flattened, nested, text_or_empty, texts, words
+from .common import flattened, nested, slices, text_or_empty, texts, words
 from .encoding import encode_words, gathered, word_tokenizer
 
 BLOCK_BYTES = 8 << 20
@@ -34,11 +36,45 @@ def _in_buckets(distinct: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarra
     return order, at[order]
 
 
-def _block_words(buckets: int):
+#: Bytes of text whose documents are packed together, block by block.
+PACKED_BYTES = 64 << 20
+
+
+def _packed(batches):
+    """The documents of each block in a slice, as one compressed Arrow message."""
+    import zstandard
+
+    for batch in batches:
+        for part in slices(batch, "text", PACKED_BYTES):
+            pack = zstandard.ZstdCompressor(level=3).compress
+            block = part.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            edges = np.flatnonzero(np.diff(block[order], prepend=-1))
+            rows = part.select(["id", "print", "text"]).take(pa.array(order))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block[order][edges], pa.int32()),
+                 pa.array([pack(memoryview(_message(rows.slice(a, b - a)).serialize()))
+                           for a, b in zip(edges, [*edges[1:], len(order)])], pa.binary())], ["block", "docs"])
+
+
+def _message(rows: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.concat_batches([rows])  # a slice of its own, so that nothing around it is written
+
+
+def _unpacked(table: pa.Table, kind: pa.DataType) -> pa.RecordBatch:
+    import zstandard
+
+    schema = pa.schema([("id", kind), ("print", pa.int64()), ("text", pa.string())])
+    unpack = zstandard.ZstdDecompressor().decompress
+    found = [pa.ipc.read_record_batch(pa.py_buffer(unpack(d)), schema) for d in table.column("docs").to_pylist()]
+    return pa.concat_batches(found) if found else pa.RecordBatch.from_pylist([], schema)
+
+
+def _block_words(buckets: int, kind: pa.DataType):
     def run(key, table):
         import zstandard
 
-        flat, _ = words(texts(table.combine_chunks().to_batches()[0], "text"))
+        flat, _ = words(texts(_unpacked(table, kind), "text"))
         distinct = flat.unique()
         order, at = _in_buckets(distinct, buckets) if len(distinct) else (np.empty(0, int),) * 2
         edges = np.flatnonzero(np.diff(at, prepend=-1))
@@ -73,15 +109,12 @@ def _bucket_ids(tokenizer_path: str | None):
     return run
 
 
-def _block_ids(tokenizer_path: str | None, buckets: int, with_ids: bool, with_digests: bool):
+def _block_ids(tokenizer_path: str | None, buckets: int, kind: pa.DataType, with_ids: bool, with_digests: bool):
     def run(left, right):
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        batch = left.combine_chunks().to_batches()
-        if not batch:
-            return pa.table({})
-        batch = batch[0]
+        batch = _unpacked(left, kind)
         flat, at = words(texts(batch))
         coded = flat.dictionary_encode()
         distinct = coded.dictionary
@@ -138,13 +171,14 @@ def _encoded(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str |
     blocks = max(1, held[0] // block_bytes)
     rows = rows.withColumn("print", F.xxhash64("text")).withColumn(
         "block", F.pmod(F.xxhash64("id", "print"), F.lit(blocks)).cast("int"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    answers = (rows.groupBy("block").applyInArrow(_block_words(blocks), "bucket int, block int, words binary")
+    kind, arrow = rows.schema["id"].dataType, to_arrow_type(rows.schema["id"].dataType)
+    rows = rows.mapInArrow(_packed, "block int, docs binary")
+    answers = (rows.groupBy("block").applyInArrow(_block_words(blocks, arrow), "bucket int, block int, words binary")
                .groupBy("bucket").applyInArrow(_bucket_ids(tokenizer_path), "block int, bucket int, ids binary"))
     more = ", ids_sha256 string, decoded_sha256 string" * with_digests + ", ids array<int>" * with_ids
     return (rows.groupBy("block").cogroup(answers.groupBy("block"))
-            .applyInArrow(_block_ids(tokenizer_path, blocks, with_ids, with_digests),
-                          f"id {kind}, print bigint, n_tokens bigint{more}"))
+            .applyInArrow(_block_ids(tokenizer_path, blocks, arrow, with_ids, with_digests),
+                          f"id {kind.simpleString()}, print bigint, n_tokens bigint{more}"))
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -31,12 +31,24 @@ def word_tokenizer(path: str | None):
     return tokenizer
 
 
+#: Words that go through the tokenizer as one text.
+TOGETHER = 500
+
+
 def encode_words(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all words in a row, and the number of ids of each."""
-    got = [e.ids for e in tokenizer.encode_batch(words, add_special_tokens=False)] if words else []
-    sizes = np.fromiter(map(len, got), np.int64, len(got))
-    ids = np.fromiter((i for x in got for i in x), np.uint32, int(sizes.sum()))
-    return ids, sizes
+    """The ids of all words in a row, and the number of ids of each.
+
+    Words are encoded with blanks between them, which costs a third of encoding each on its own; the
+    place of an id in that text tells its word.
+    """
+    runs = [words[i:i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+    ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+    for run, found in zip(runs, tokenizer.encode_batch([" ".join(r) for r in runs], add_special_tokens=False)):
+        ids.append(np.array(found.ids, np.uint32))
+        starts = np.cumsum([0, *(len(w) + 1 for w in run)])
+        at = np.array([start for start, _ in found.offsets], np.int64)
+        sizes.append(np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(run)))
+    return np.concatenate(ids), np.concatenate(sizes)
 
 
 def gathered(ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
