@@ -55,11 +55,6 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         start = end
 
 
-def texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """A batch's texts, null as empty."""
-    return pc.fill_null(batch.column(column), "").cast(pa.large_string())
-
-
 def flat_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a large_string or large_binary array without nulls, and its offsets."""
     array = pa.concat_arrays([array])
@@ -70,6 +65,14 @@ def flat_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[first:offsets[-1]] if len(offsets) else data[:0], offsets - first
 
 
+def texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
+    """A batch's texts, null as empty, in buffers of their own: some string kernels misread the
+    offsets of a slice."""
+    array = pc.fill_null(batch.column(column), "").cast(pa.large_string())
+    data, offsets = flat_bytes(array)
+    return pa.LargeStringArray.from_buffers(len(array), pa.py_buffer(np.ascontiguousarray(offsets)), pa.py_buffer(data))
+
+
 def words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The words of all texts in a row, and the offset at which those of each text begin."""
     lists = pc.ascii_split_whitespace(text)

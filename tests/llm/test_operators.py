@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from rastertable.llm import (bpe, components, embedding_dedup, exact_dedup, minhash, mixing, pii, quality, repeats,
                              secret_scan, token_store)
+from rastertable.llm.common import flat_bytes, slices, texts
+from rastertable.llm.common import words as split_words
 from rastertable.llm.encoding import encode_words, word_tokenizer
 
 from . import brute
@@ -77,6 +79,23 @@ def by_id(df, *columns, key="doc_id"):
     return {r[0]: tuple(r[1:]) for r in rows}
 
 
+@pytest.mark.parametrize("missing", [None, ""])
+def test_slices(missing):
+    """Strings of a slice are read from the slice's own place."""
+    text = [missing if k % 9 == 0 else f"Ab é{k} " * (k % 4) for k in range(400)]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(text, pa.string())})
+    parts = list(slices(batch, "text", 200))
+    assert len(parts) > 5 and sum((texts(p).to_pylist() for p in parts), []) == [t or "" for t in text]
+    lowered = sum((minhash.pc.ascii_lower(texts(p)).to_pylist() for p in parts), [])
+    assert lowered == [(t or "").lower() for t in text]
+    for part in parts:
+        flat, at = split_words(texts(part))
+        want = [brute.WORD.findall(t) for t in texts(part).to_pylist()]
+        assert flat.to_pylist() == sum(want, []) and np.diff(at).tolist() == [len(w) for w in want]
+        data, ends = flat_bytes(texts(part))
+        assert data.tobytes() == "".join(texts(part).to_pylist()).encode() and ends[-1] == len(data)
+
+
 # --- 1 -----------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("filter_words", [1, 1 << 16])
