@@ -8,6 +8,7 @@ a task.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,22 @@ def find(parent: dict, x):
     return x
 
 
+def least_reached(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least node that links a-b reach, for nodes 0 .. n - 1."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        np.minimum.at(new, a, low)
+        np.minimum.at(new, b, low)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 #: Nodes a task's forest may hold before it starts another.
 FOREST_NODES = 500_000
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import flattened, join_groups, nested, shared_table
-from .components import components
+from .components import components, least_reached
 
 COSINE = 0.98
 #: The sample that centroids and codes are fitted on.
@@ -121,22 +121,6 @@ def _keyed(batches):
                                           pa.array(raw, pa.binary())], ["id", "label", "key", "raw"])
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least node that links a-b reach, for nodes 0 .. n - 1."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def _linked(quantizer: Quantizer, width: int, cosine: float):
     r = math.sqrt(2 - 2 * cosine)
 
@@ -174,7 +158,7 @@ def _linked(quantizer: Quantizer, width: int, cosine: float):
             np.add.at(links, a, size[b])
             ends.append((node[a], node[b]))
         a, b = (np.concatenate([e[k] for e in ends] or [np.empty(0, int)]) for k in (0, 1))
-        root, names = _roots(len(name), a, b), sorted(name)
+        root, names = least_reached(len(name), a, b), sorted(name)
         touched = np.unique(np.concatenate([a, b]))
         per = np.bincount(node, links, minlength=len(name)).astype(np.int64)
         return pa.table({"key": pa.array([names[i] for i in touched], pa.binary()),

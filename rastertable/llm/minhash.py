@@ -3,7 +3,9 @@
 A document is the set of its distinct five-word shingles. Documents with equal sets form one class
 and are handled once, so copies never meet as pairs. In a bucket of a band, members are first
 compared with the bucket's least class only. Where that leaves a bucket in several components, every
-member is compared with those of other components, since any such pair may still be a link.
+member is compared with those of other components, since any such pair may still be a link: as pairs
+in small buckets, and block against block in others, where tasks hold a block's whole sets and report
+a tree of links instead of pairs.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import flattened, join_groups, mixed, nested, shared_table, slices, text_or_empty, texts, words
-from .components import components
+from .components import components, least_reached
 
 SHINGLE = 5
 #: 32 bands of 4: a pair of similarity 0.75 shares no band once in 600,000 times.
 BANDS, ROWS = 32, 4
 SIMILARITY = 75  # per cent
+#: Buckets up to SMALL members are compared as pairs, others as blocks of about BLOCK_ROWS.
+SMALL, BLOCK_ROWS = 12, 192
 
 
 def shingles(text: pa.Array) -> list[np.ndarray]:
@@ -144,6 +148,40 @@ def _verified(similarity: int):
     return run
 
 
+def _faced(similarity: int):
+    """Two blocks of a bucket: the links between them as a tree of links."""
+    def run(key, table):
+        low, high = key[1].as_py(), key[2].as_py()
+        table = table.combine_chunks()
+        block = table.column("block").to_numpy()
+        lists = table.column("shingles").combine_chunks()
+        size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        known, code, count = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        member = np.repeat(np.arange(len(size)), size)
+        shared = count[code] > 1  # what one member has alone is in no intersection
+        rank = np.cumsum(count > 1) - 1
+        column, member = rank[code[shared]], member[shared]
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        common = np.zeros((len(left), len(right)))
+        order = np.argsort(column, kind="stable")
+        column, member = column[order], member[order]
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            a, b = np.searchsorted(column, (start, start + 4096))
+            held = np.zeros((len(size), 4096), np.float32)
+            held[member[a:b], column[a:b] - start] = 1
+            common += held[left] @ held[right].T
+        i, j = np.nonzero(100 * common >= similarity * (size[left][:, None] + size[right][None] - common))
+        a, b = left[i], right[j]
+        if low == high:
+            a, b = a[a < b], b[a < b]
+        root = least_reached(len(size), a, b)
+        names = table.column("key").to_pylist()
+        moved = np.flatnonzero(root != np.arange(len(size)))
+        return pa.table({"a": pa.array([names[root[k]] for k in moved], pa.binary()),
+                         "b": pa.array([names[k] for k in moved], pa.binary())})
+    return run
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     n_bands: int = BANDS, n_rows: int = ROWS, similarity: int = SIMILARITY,
                     with_columns: list[str] | None = None) -> DataFrame:
@@ -223,9 +261,19 @@ def _links(classes: DataFrame, rows: DataFrame, n_bands: int, similarity: int) -
     split = (placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                           F.any_value("members").alias("m")).where("low != high"))
     split = join_groups(placed, split.select("bucket", "m"), "bucket", "m", placed.count())
-    split = shared_table(split.select("bucket", "key", "n", "component"), "split-buckets")
-    other = split.select("bucket", F.col("key").alias("b"), F.col("n").alias("other_n"),
-                         F.col("component").alias("other"))
-    across = (split.join(other.hint("merge"), "bucket").where("component < other").where(able)
+    split = shared_table(split.select("bucket", "key", "n", "component", "m"), "split-buckets")
+    few = split.where(F.col("m") <= SMALL)
+    other = few.select("bucket", F.col("key").alias("b"), F.col("n").alias("other_n"),
+                       F.col("component").alias("other"))
+    across = (few.join(other.hint("merge"), "bucket").where("component < other").where(able)
               .select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct())
-    return links.unionByName(shared_table(verified(across), "cross-links"))
+    across = across.join(to_hub.hint("merge"), ["a", "b"], "left_anti")  # these are known
+    parts = F.ceil(F.col("m") / BLOCK_ROWS)
+    block = F.pmod(F.xxhash64("key", "bucket"), parts)
+    many = (split.where(F.col("m") > SMALL).withColumn("block", block)
+            .withColumn("facing", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
+            .withColumn("low", F.least("block", "facing")).withColumn("high", F.greatest("block", "facing"))
+            .join(sets.hint("merge"), "key")
+            .select("bucket", "low", "high", "block", "key", "component", "shingles"))
+    faced = many.groupBy("bucket", "low", "high").applyInArrow(_faced(similarity), "a binary, b binary")
+    return links.unionByName(shared_table(verified(across), "cross-links")).unionByName(shared_table(faced, "block-links"))

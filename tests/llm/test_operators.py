@@ -344,8 +344,11 @@ def test_near(docs):
     assert by_id(minhash.near_duplicates(docs, with_columns=["doc_id"]), "n_shingles", "component_id") == want
 
 
-def test_near_through_others(spark):
+@pytest.mark.parametrize("small, block", [(12, 192), (1, 4)])
+def test_near_through_others(spark, monkeypatch, small, block):
     """Members of a bucket that do not match its hub still find each other."""
+    monkeypatch.setattr(minhash, "SMALL", small)
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", block)
     rng = random.Random(9)
     base = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(120)]
     rows, words = [], list(base)
@@ -354,6 +357,11 @@ def test_near_through_others(spark):
         words = list(words)
         words[10 * i % 120] = f"new{i}"
         words[(10 * i + 1) % 120] = f"more{i}"
+    for i in range(30):  # copies that match the first text, not each other
+        words = list(base)
+        for k in rng.sample(range(0, 120, 6), 3):
+            words[k] = f"own{i}"
+        rows.append((200 + i, " ".join(words)))
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert by_id(minhash.near_duplicates(df), "n_shingles", "component_id") == brute.near(rows)
 
