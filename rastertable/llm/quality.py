@@ -23,10 +23,10 @@ from .common import flat_bytes, flattened, nested, shared_table, slices, text_or
 NAMES = ("log_words", "word_length", "word_length_spread", "distinct_words", "adjacent_repeats",
          "commonest_word", "repeated_lines", "log_words_per_line", "upper", "digits", "sentence_marks",
          "exclamation", "symbols", "controls", "not_ascii", "white_space")
-FEATURES = 512
-#: Labelled rows the fit uses at most, picked by a hash of doc_id; enough for 512 weights many times over.
+FEATURES = 256
+#: Labelled rows the fit uses at most, picked by a hash of doc_id; enough for 256 weights many times over.
 FIT_ROWS = 200_000
-SUMS = 16
+SUMS = 8
 RIDGE = 1e-3
 BINS = 2048
 THRESHOLD = 0.3
