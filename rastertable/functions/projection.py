@@ -34,11 +34,20 @@ def supported(epsg: int) -> bool:
 
 
 def parse_crs(text: str | int | None) -> int | None:
-    """EPSG code of a CRS given as number, ``EPSG:n`` or a proj string with ``+init=epsg:n``."""
-    if text is None or text == "":
+    """EPSG code of a CRS given as number, ``EPSG:n``, a proj string with ``+init=epsg:n``, or that of
+    longitude and latitude or a UTM zone. None for no text; other text is an error."""
+    if text is None or str(text).strip() == "":
         return None
-    tail = str(text).lower().replace("+init=", "").replace("epsg:", "").split()[0]
-    return int(tail) if tail.isdigit() else None
+    words = str(text).lower().replace("+init=", "").replace("epsg:", "").split()
+    if words[0].isdigit():
+        return int(words[0])
+    parts = dict(w.lstrip("+").partition("=")[::2] for w in words)
+    if parts.get("proj") == "longlat":
+        return 4326
+    zone = parts.get("zone", "")
+    if parts.get("proj") == "utm" and zone.isdigit() and 1 <= int(zone) <= 60:
+        return (32700 if "south" in parts else 32600) + int(zone)
+    raise ValueError(f"unknown coordinate reference system {text!r}")
 
 
 def _meridian_arc(phi, m):

@@ -191,14 +191,17 @@ class Layout:
                 (xmin + F.lit(w)).alias("xmax"), ymax.alias("ymax")]
 
     # --- driver-side maths -------------------------------------------------------------------
-    def key_bounds(self, extent: Extent) -> tuple[int, int, int, int]:
-        """Tile keys (inclusive) that an extent covers; east and south edges are half-open."""
+    def key_bounds(self, extent: Extent) -> tuple[int, int, int, int] | None:
+        """Tile keys (inclusive) that an extent covers, None where it lies off the layout; east and
+        south edges are half-open."""
         fx = self.layout_cols / self.extent.width
         fy = self.layout_rows / self.extent.height
         c0 = math.floor((extent.xmin - self.extent.xmin) * fx)
         r0 = math.floor((self.extent.ymax - extent.ymax) * fy)
         c1 = max(c0, math.ceil((extent.xmax - self.extent.xmin) * fx) - 1)
         r1 = max(r0, math.ceil((self.extent.ymax - extent.ymin) * fy) - 1)
+        if c1 < 0 or r1 < 0 or c0 >= self.layout_cols or r0 >= self.layout_rows:
+            return None
         clip = lambda v, top: min(max(v, 0), top - 1)
         return (clip(c0, self.layout_cols), clip(r0, self.layout_rows),
                 clip(c1, self.layout_cols), clip(r1, self.layout_rows))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -111,15 +111,32 @@ def raster_summary(layer: Layer) -> DataFrame:
             .drop("size"))
 
 
+def _union_type(summaries: DataFrame) -> Column:
+    """Aggregate of ``cell_type``: the union of all types, taken in the order of their names."""
+    names = sorted(r[0] for r in summaries.select("cell_type").distinct().collect())  # a few types
+    known = [CellType.parse(n) for n in names]
+    while True:  # unions of unions, until none is new
+        pairs = {f"{a}|{b}": a.union(b) for a in known for b in known}
+        new = set(pairs.values()) - set(known)
+        if not new:
+            break
+        known += sorted(new, key=str)
+    if not known:
+        return F.max("cell_type")
+    table = F.create_map(*[F.lit(x) for pair, union in pairs.items() for x in (pair, str(union))])
+    found = F.sort_array(F.collect_set("cell_type"))
+    return F.aggregate(found, F.get(found, F.lit(0)), lambda all_, name: F.element_at(table, F.concat_ws("|", all_, name)))
+
+
 def combine_summaries(summaries: Sequence[DataFrame]) -> DataFrame:
-    """Summaries of several layers folded into one row per CRS."""
+    """Summaries of several layers folded into one row per CRS; its cell type holds all of theirs."""
     every = reduce(DataFrame.unionByName, summaries)
     times = ([F.min("start").alias("start"), F.max("end").alias("end")]
              if "start" in every.columns else [])
     size = F.min_by(F.struct("cell_width", "cell_height"),
                     F.col("cell_width") * F.col("cell_height"))
     return (every.groupBy("epsg")
-            .agg(F.max("cell_type").alias("cell_type"), size.alias("size"),
+            .agg(_union_type(every).alias("cell_type"), size.alias("size"),
                  F.min("xmin").alias("xmin"), F.min("ymin").alias("ymin"),
                  F.max("xmax").alias("xmax"), F.max("ymax").alias("ymax"), *times,
                  F.sum("tile_count").alias("tile_count"))
@@ -132,16 +149,22 @@ def collect_metadata(layer: Layer, layout) -> Meta:
     target, zoom = layout_for(layer, layout, epsg)
     r = raster_summary(layer).first()
     extent = Extent(r["xmin"], r["ymin"], r["xmax"], r["ymax"])
-    c0, r0, c1, r1 = target.key_bounds(extent)
-    bounds = {"minKey": {"col": c0, "row": r0}, "maxKey": {"col": c1, "row": r1}}
-    if layer.meta.temporal:
+    found, bounds = target.key_bounds(extent), None
+    if found is not None:
+        c0, r0, c1, r1 = found
+        bounds = {"minKey": {"col": c0, "row": r0}, "maxKey": {"col": c1, "row": r1}}
+    if bounds and layer.meta.temporal:
         bounds["minKey"]["instant"], bounds["maxKey"]["instant"] = str(r["start"]), str(r["end"])
     return replace(layer.meta, layout=target, epsg=epsg, zoom=zoom, extent=extent, bounds=bounds)
 
 
 def min_max(layer: Layer) -> DataFrame:
     """Smallest and largest value across all bands; empty bands are ignored."""
-    return to_cells(layer).df.agg(F.min("v").alias("min"), F.max("v").alias("max"))
+    if layer.kind == "cell":
+        return layer.df.agg(F.min("v").alias("min"), F.max("v").alias("max"))
+    per_tile = layer.df.select(F.flatten("bands").alias("v")).select(  # no cell becomes a row
+        F.array_min("v").alias("low"), F.array_max("v").alias("high"))
+    return per_tile.agg(F.min("low").alias("min"), F.max("high").alias("max"))
 
 
 def histogram_exact(layer: Layer) -> DataFrame:

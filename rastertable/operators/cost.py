@@ -117,6 +117,9 @@ def cost_distance(layer: Layer, sources: DataFrame, max_distance: float = math.i
     reachable = _reachable(tiles.df, layout, band, envelope(sources)[0], limit)
     friction = through_table(reachable.select(
         *keys, F.get("bands", F.lit(band)).cast("array<double>").alias("f")), f"{folder}/friction")
+    lowest = friction.agg(F.min(F.array_min("f"))).first()[0]
+    if lowest is not None and lowest < 0:
+        raise ValueError("friction must not be negative")
     types = dict(friction.dtypes)
     out_schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "d array<double>",
                             "f array<double>"])

@@ -111,7 +111,8 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str,
             found = zip(*[batch.column(k).to_pylist() for k in keys])
             ranks = batch.column("rank").to_pylist()
             for key, v, r in zip(found, arrays(batch, "flat"), ranks):
-                state = start(op, v, r)
+                # a copy, or one tile would hold on to its whole batch
+                state = start(op, v if key in held else v.copy(), r)
                 held[key] = combine(op, held[key], state) if key in held else state
                 if len(held) * n * 8 * width > HELD_BYTES:
                     yield passed_on()
@@ -132,7 +133,7 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str,
                     continue
                 if last is not None:
                     done.append((last, finish(op, state)))
-                last, state = key, part
+                last, state = key, tuple(x.copy() for x in part)
             if done:
                 yield table([k for k, _ in done], [[v for _, v in done]], key_types,
                             [*shared, "flat"], True)

@@ -167,8 +167,10 @@ def tile_bound(edges: DataFrame, layout: Layout) -> tuple[Extent | None, int, in
     if r[0] is None:
         return None, 0, 0
     area = Extent(*r[:4])
-    c0, r0, c1, r1 = layout.key_bounds(area)
-    each = int(r[4])
+    each, bounds = int(r[4]), layout.key_bounds(area)
+    if bounds is None:
+        return area, 0, each
+    c0, r0, c1, r1 = bounds
     return area, min(each, (c1 - c0 + 2) * (r1 - r0 + 2)), each
 
 
@@ -178,8 +180,10 @@ def near(tiles: DataFrame, layout: Layout, area: Extent | None, cells: int = 1)
     if area is None:
         return tiles.where("false")
     dx, dy = cells * layout.cell_width, cells * layout.cell_height
-    c0, r0, c1, r1 = layout.key_bounds(Extent(area.xmin - dx, area.ymin - dy,
-                                              area.xmax + dx, area.ymax + dy))
+    bounds = layout.key_bounds(Extent(area.xmin - dx, area.ymin - dy, area.xmax + dx, area.ymax + dy))
+    if bounds is None:
+        return tiles.where("false")
+    c0, r0, c1, r1 = bounds
     return tiles.where(F.col("col").between(c0, c1) & F.col("row").between(r0, r1))
 
 

@@ -136,7 +136,10 @@ def filter_by_geometry(layer: Layer, edges: DataFrame | None = None,
 def crop(layer: Layer, extent: Extent) -> Layer:
     """Cells whose centre lies in the extent; keys outside are pruned by a range predicate."""
     layout = layer.meta.layout
-    c0, r0, c1, r1 = layout.key_bounds(extent)
+    bounds = layout.key_bounds(extent)
+    if bounds is None:
+        return layer.with_df(layer.df.where("false"), extent=extent)
+    c0, r0, c1, r1 = bounds
     x, y = layout.centre_of(F.col("x"), F.col("y"))
     inside = ((x >= extent.xmin) & (x < extent.xmax) & (y > extent.ymin) & (y <= extent.ymax))
     if layer.kind == "cell":

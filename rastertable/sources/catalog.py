@@ -106,7 +106,10 @@ class Catalog:
         tiles = to_tiles(layer)
         meta = replace(layer.meta, zoom=layer.meta.zoom or 0)
         stored = f"array<array<{meta.cell_type.storage_type}>>"
-        key = key_index(meta, index, time_unit, time_resolution)
+        first = 0
+        if meta.temporal:  # slots count from the layer's first one
+            first = tiles.df.agg(F.min(curves.time_slot(F.col("instant"), time_unit, time_resolution))).first()[0] or 0
+        key = key_index(meta, index, time_unit, time_resolution, first)
         rows = tiles.df.withColumn("bands", F.col("bands").cast(stored)).withColumn(
             "key_index", key)
         ranged = (rows.repartitionByRange(num_partitions, "key_index") if num_partitions
@@ -141,9 +144,10 @@ class Catalog:
         moved = query_epsg is not None and query_epsg != meta.epsg
         if envelope is not None:
             area = transform_extent(envelope, query_epsg, meta.epsg) if moved else envelope
-            c0, r0, c1, r1 = meta.layout.key_bounds(area)
-            layer = layer.with_df(df.where(F.col("col").between(c0, c1)
-                                           & F.col("row").between(r0, r1)))
+            bounds = meta.layout.key_bounds(area)
+            inside = F.lit(False) if bounds is None else (
+                F.col("col").between(bounds[0], bounds[2]) & F.col("row").between(bounds[1], bounds[3]))
+            layer = layer.with_df(df.where(inside))
         if times and meta.temporal:
             layer = filter_by_times(layer, times)
         if polygons is not None:
@@ -190,8 +194,13 @@ class Catalog:
         return datetime.fromisoformat(lo["instant"]) <= at <= datetime.fromisoformat(hi["instant"])
 
 
-def key_index(meta: Meta, index: str, time_unit: str = "days", time_resolution: int = 1) -> Column:
-    """Curve position of a tile key. Row-major order is for layers without time."""
+def key_index(meta: Meta, index: str, time_unit: str = "days", time_resolution: int = 1,
+              first_slot: int = 0) -> Column:
+    """Curve position of a tile key. Row-major order is for layers without time.
+
+    Time slots are counted from ``first_slot`` and must fit the curves' 21 bits; a coarser unit or
+    resolution makes them fit where they do not.
+    """
     if index not in CURVES:
         raise ValueError(f"unknown index {index!r}")
     col, row = F.col("col"), F.col("row")
@@ -204,7 +213,9 @@ def key_index(meta: Meta, index: str, time_unit: str = "days", time_resolution:
         return curves.rowmajor_index(col, row, meta.layout.layout_cols)
     if index == "rowmajor":
         raise ValueError("row-major order does not cover time")
-    slot = curves.time_slot(F.col("instant"), time_unit, time_resolution)
+    slot = curves.time_slot(F.col("instant"), time_unit, time_resolution) - F.lit(first_slot)
+    slot = F.when(slot < 1 << 21, slot).otherwise(F.raise_error(F.lit(
+        "more time slots than the curve holds; choose a coarser time unit or resolution")).cast("bigint"))
     if index == "zorder":
         return curves.z_index(col, row, slot)
     return curves.hilbert_index([col, row, slot], 21)

@@ -85,3 +85,20 @@ def test_layer_properties_and_controls(spark):
     kept.unpersist()
     assert not kept.base.is_cached
     assert '"crs": 3857' in tiles.metadata_json()
+
+
+def test_key_bounds_off_the_layout():
+    grid = rt.Layout(rt.Extent(0, 0, 100, 100), 10, 10, 4, 4)
+    for off in (rt.Extent(100, 0, 120, 50), rt.Extent(-9, 0, 0, 50), rt.Extent(0, 100, 9, 120), rt.Extent(0, -9, 9, 0)):
+        assert grid.key_bounds(off) is None
+    assert grid.key_bounds(rt.Extent(99, -5, 200, 5)) == (9, 9, 9, 9)
+
+
+def test_crs_texts():
+    from rastertable.functions.projection import parse_crs
+
+    assert [parse_crs(t) for t in (None, "", 3857, "EPSG:4326", "+init=epsg:32631", "+proj=longlat +datum=WGS84",
+                                   "+proj=utm +zone=31", "+proj=utm +zone=5 +south")] == [
+        None, None, 3857, 4326, 32631, 4326, 32631, 32705]
+    with pytest.raises(ValueError):
+        parse_crs("+proj=laea +lat_0=52")
