@@ -8,12 +8,13 @@ composes with nothing.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 #: Words a task remembers before it starts anew.
-KNOWN_WORDS = 1_500_000
+KNOWN_WORDS = 1_000_000
 
 
 def word_tokenizer(path: str | None):
@@ -46,7 +47,7 @@ def encode_words(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     for run, found in zip(runs, tokenizer.encode_batch([" ".join(r) for r in runs], add_special_tokens=False)):
         ids.append(np.array(found.ids, np.uint32))
         starts = np.cumsum([0, *(len(w) + 1 for w in run)])
-        at = np.array([start for start, _ in found.offsets], np.int64)
+        at = np.fromiter(chain.from_iterable(found.offsets), np.int64)[::2]
         sizes.append(np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(run)))
     return np.concatenate(ids), np.concatenate(sizes)
 

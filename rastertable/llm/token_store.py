@@ -27,6 +27,8 @@ from .common import slices, text_or_empty, texts, words
 from .encoding import KnownWords
 
 FRAME_BYTES = 1 << 18
+#: Bytes of text a file holds about; a word is encoded once a file.
+FILE_BYTES = 48 << 20
 END_ID = 1
 #: Fixed values of the seekable format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -161,17 +163,20 @@ def _write(folder: str, tokenizer_path: str | None, end_id: int | None):
 
 def write_tokens(docs: DataFrame, folder: str | None = None, id_col: str = "doc_id",
                  text_col: str = "text", tokenizer_path: str | None = None,
-                 end_id: int | None = END_ID) -> DataFrame:
+                 end_id: int | None = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the ids of every text, in ascending order of the integer ids; returns the manifest.
 
     The manifest has a row for each file: ``file``, ``part``, ``n_docs``, ``n_ids`` and ``start``, the
     ids in all files before it. Null texts are empty (the end id alone); null ids come first; rows with
-    equal ids are ordered by a hash of their text. ``tokenizer_path`` must be readable by executors.
+    equal ids are ordered by a hash of their text. A file takes a range of ids with about
+    ``file_bytes`` of text. ``tokenizer_path`` must be readable by executors.
     """
     spark = docs.sparkSession
     folder = folder or run_folder(spark, "tokens")
-    rows = (docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), text_or_empty(f"`{text_col}`").alias("text"))
-            .repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text")).select("id", "text"))
+    rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), text_or_empty(f"`{text_col}`").alias("text"))
+    held = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    rows = (rows.repartitionByRange(1 + held // file_bytes, "id")
+            .sortWithinPartitions("id", F.xxhash64("text")).select("id", "text"))
     files = rows.mapInArrow(_write(f"{folder}/files", tokenizer_path, end_id),
                             "file string, part int, n_docs bigint, n_ids bigint")
     files.write.parquet(f"{folder}/written")
