@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from ..functions.classes import ColorMap
 from ..model import CellType, Extent, Layer, Meta
-from .fold import fold_tiles, unflatten
+from .fold import fold_tiles, shared_bands
 from .geometry import explode_range
 from .resample import layout_for, single_epsg
 from .shape import to_cells, unnest
@@ -27,8 +27,8 @@ def aggregate_by_cell(layer: Layer, operation: str) -> Layer:
 
     Sum gives NoData where any of the tiles has NoData (in a cell layer, absent cells are in no
     tile); the others skip NoData. Variance and StandardDeviation are those of a sample. Partial
-    results combine before the shuffle, so a key may repeat without bound. Tiles with fewer bands
-    than the layer are not expected.
+    results combine before the shuffle, so a key may repeat without bound. Of tiles with different
+    numbers of bands, the bands that all tiles of the key have.
     """
     if operation not in OPERATIONS:
         raise ValueError(f"unknown operation {operation!r}")
@@ -38,8 +38,8 @@ def aggregate_by_cell(layer: Layer, operation: str) -> Layer:
     if layer.kind == "tile":
         n = meta.layout.tile_cells
         folded = fold_tiles(layer.df, layer.keys, F.flatten("bands"), n * meta.bands, operation)
-        return layer.with_df(folded.select(*layer.keys, unflatten(
-            n, meta.bands, kind.compute_type).alias("bands")), cell_type=kind)
+        return layer.with_df(folded.select(*layer.keys, shared_bands(
+            n, kind.compute_type).alias("bands")), cell_type=kind)
     fn = {"Sum": F.sum, "Min": F.min, "Max": F.max, "Mean": F.avg, "Variance": F.var_samp,
           "StandardDeviation": F.stddev_samp}[operation]
     out = layer.df.groupBy(*layer.keys).agg(fn("v").alias("v")).where(F.col("v").isNotNull())
@@ -50,7 +50,7 @@ def merge(layers: Layer | Sequence[Layer]) -> Layer:
     """One value per key and cell: NoData is filled from the next layer in order.
 
     Keys that repeat inside one layer are resolved by an optional ``priority`` column, lowest
-    first. Tile layers give tiles, others cells.
+    first, then by the smaller value. Tile layers give tiles, others cells.
     """
     layers = [layers] if isinstance(layers, Layer) else list(layers)
     first = layers[0]
@@ -63,8 +63,8 @@ def merge(layers: Layer | Sequence[Layer]) -> Layer:
         n = first.meta.layout.tile_cells
         folded = fold_tiles(reduce(DataFrame.unionByName, parts), first.keys, F.flatten("bands"),
                             n * first.meta.bands, "First", F.col("rank"))
-        return first.with_df(folded.select(*first.keys, unflatten(
-            n, first.meta.bands, first.meta.cell_type.compute_type).alias("bands")))
+        return first.with_df(folded.select(*first.keys, shared_bands(
+            n, first.meta.cell_type.compute_type).alias("bands")))
     first = to_cells(layers[0])
     parts = []
     for nth, (layer, has) in enumerate(zip(layers, ranked)):

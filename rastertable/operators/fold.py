@@ -36,7 +36,13 @@ def start(op: str, v: np.ndarray, rank: float) -> tuple:
 
 
 def combine(op: str, a: tuple, b: tuple) -> tuple:
-    """Two accumulators in one. Sum keeps NoData, the others skip it."""
+    """Two accumulators in one. Sum keeps NoData, the others skip it.
+
+    Of accumulators with different numbers of bands, the bands that both have. "First" takes the
+    smaller value of equal ranks, so that the order of arrival does not matter.
+    """
+    n = min(len(a[0]), len(b[0]))
+    a, b = tuple(x[:n] for x in a), tuple(x[:n] for x in b)
     if op == "Sum":
         return (a[0] + b[0],)
     if op in ("Min", "Max"):
@@ -44,7 +50,7 @@ def combine(op: str, a: tuple, b: tuple) -> tuple:
     if op == "Mean":
         return a[0] + b[0], a[1] + b[1]
     if op == "First":
-        earlier = a[1] <= b[1]
+        earlier = (a[1] < b[1]) | ((a[1] == b[1]) & ~(a[0] > b[0]))
         return np.where(earlier, a[0], b[0]), np.where(earlier, a[1], b[1])
     n = a[0] + b[0]
     share = b[0] / np.where(n == 0, 1.0, n)
@@ -65,7 +71,7 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str,
                rank: Column | None = None) -> DataFrame:
     """One row per key with ``flat``, the cells of all its rows combined.
 
-    ``flat`` has ``n`` cells. For "First", each cell comes from the row with the lowest rank that
+    ``flat`` has up to ``n`` cells, the result as many as the shortest row of a key. For "First", each cell comes from the row with the lowest rank that
     has data there.
     """
     width = WIDTH[op]
@@ -73,7 +79,7 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str,
     cuts = [n * b // blocks for b in range(blocks + 1)]
     names = [f"s{i}" for i in range(width)]
     rows = df.select(*keys, flat.cast("array<double>").alias("flat"),
-                     (F.lit(0.0) if rank is None else rank.cast("double")).alias("rank"))
+                     (F.lit(0.0) if rank is None else F.coalesce(rank.cast("double"), F.lit(1e308))).alias("rank"))
     types = dict(rows.dtypes)
     head = ", ".join(f"{k} {types[k]}" for k in keys)
     shared = [*keys, "block"]
@@ -151,6 +157,13 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str,
     return parts.select(*keys, F.flatten(F.transform("parts", lambda p: p["flat"])).alias("flat"))
 
 
+def shared_bands(n_cells: int, element: str) -> Column:
+    """The bands of a ``flat`` column, as many as it holds."""
+    last = (F.size("flat") / n_cells).cast("int") - 1
+    return F.transform(F.sequence(F.lit(0), last), lambda b: F.slice("flat", b * n_cells + 1, n_cells)).cast(
+        f"array<array<{element}>>")
+
+
 def unflatten(n_cells: int, bands: int, element: str) -> Column:
     """The bands of a ``flat`` column."""
     return F.array(*[F.slice("flat", b * n_cells + 1, n_cells) for b in range(bands)]).cast(

@@ -23,7 +23,7 @@ from ..model import (CellType, Extent, GlobalLayout, Layer, Layout, LocalLayout,
                      global_level)
 from ..plans.lineage import run_folder, through_table
 from .focal import nullable_lists, padded_windows
-from .fold import fold_tiles, unflatten
+from .fold import fold_tiles, shared_bands, unflatten
 from .geometry import explode_range
 from .shape import to_cells, to_tiles, unnest
 
@@ -184,6 +184,25 @@ def _shift(source: Layout, target: Layout) -> tuple[int, int] | None:
     return (round(dx), round(dy)) if same and whole else None
 
 
+def unique_keys(layer: Layer) -> Layer:
+    """A tile layer whose tiles of equal key are merged: lowest ``priority`` first where the layer
+    has that column, then the smaller value. Only keys are read where none repeats."""
+    keys, meta = layer.keys, layer.meta
+    if layer.kind != "tile" or layer.df.groupBy(*keys).count().where("count > 1").isEmpty():
+        return layer
+    rank = F.col("priority") if "priority" in layer.df.columns else F.lit(0.0)
+    n = meta.layout.tile_cells
+    folded = fold_tiles(layer.df, keys, F.flatten("bands"), n * meta.bands, "First", rank)
+    return layer.with_df(folded.select(*keys, shared_bands(n, meta.cell_type.compute_type).alias("bands")))
+
+
+def _with_data(keys: pa.RecordBatch, flat: np.ndarray) -> pa.RecordBatch:
+    """Tiles with any data, by key. On every path a tile of nothing but NoData is no row."""
+    some = ~np.isnan(flat).all(axis=1)
+    kept = keys.filter(pa.array(some))
+    return pa.RecordBatch.from_arrays([*kept.columns, nullable_lists(flat[some])], [*kept.schema.names, "flat"])
+
+
 def _rekey(layer: Layer, target: Layout, shift: tuple[int, int], kind: CellType) -> Layer:
     """Tiles cut along the lines of another tiling of the same cells.
 
@@ -229,9 +248,7 @@ def _rekey(layer: Layer, target: Layout, shift: tuple[int, int], kind: CellType)
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = padded_windows(batch.column("pieces"), rows * bands, cols, 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in keys] + [nullable_lists(
-                    whole.reshape(len(batch), rows * bands * cols))], [*keys, "flat"])
+            yield _with_data(batch.select(keys), whole.reshape(len(batch), rows * bands * cols))
 
     done = grouped.mapInArrow(assemble, ", ".join([*(f"{k} {types[k]}" for k in keys),
                                                    "flat array<double>"]))
@@ -298,8 +315,9 @@ def _scenes_to_tiles(layer: Layer, target: Layout) -> Layer:
                         there = xs // tc == col
                         tile = np.full((bands, tr, tc), np.nan)
                         tile[:, (ys[here] % tr)[:, None], xs[there] % tc] = lines[:, :, gx[there]]
-                        rows.append((i, int(col), int(row)))
-                        arrays.append(tile)
+                        if not np.isnan(tile).all():
+                            rows.append((i, int(col), int(row)))
+                            arrays.append(tile)
                 if len(arrays) * bands * tr * tc * 8 > stencils.BLOCK_BYTES:
                     yield passed_on()
                     rows, arrays = [], []
@@ -321,6 +339,7 @@ def _scatter(layer: Layer, target: Layout, method: str, warp: tuple[int, int] =
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
     kind = layer.meta.cell_type if method in SELECTING else CellType.parse("float64")
+    layer = unique_keys(layer)
     if layer.kind == "tile" and warp[0] == warp[1] and method != "CubicSpline":
         shift = _shift(layer.meta.layout, target)
         if shift is not None:  # every cell is its own value, by any method that does not smooth
@@ -385,7 +404,10 @@ def layout_for(layer: Layer, wanted: Layout | LocalLayout | GlobalLayout | Meta,
 
 def tile_to_layout(layer: Layer, layout, method: str = "NearestNeighbor",
                    zoom: int | None = None) -> Layer:
-    """Scenes or tiles cut onto a tile grid: by layout, layout type or metadata."""
+    """Scenes or tiles cut onto a tile grid: by layout, layout type or metadata.
+
+    Tiles without any data are left out. Tiles of equal key are merged first (``unique_keys``).
+    """
     epsg = single_epsg(layer)
     target, found = layout_for(layer, layout, epsg)
     placed = _scatter(layer, target, method)
@@ -477,9 +499,7 @@ def _shrink_tiles(layer: Layer, target: Layout, fx: int, fy: int, method: str) -
             # bands lie below each other inside every part: rows are (part y, band, y)
             tall = padded_windows(batch.column("pieces"), rows * n_bands, cols, 0)
             whole = tall.reshape(-1, fy, n_bands, h, cols).swapaxes(1, 2)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(k) for k in keys] + [nullable_lists(
-                    whole.reshape(len(batch), n_bands * rows * cols))], [*keys, "flat"])
+            yield _with_data(batch.select(keys), whole.reshape(len(batch), n_bands * rows * cols))
 
     done = grouped.select(*keys, "pieces").mapInArrow(
         assemble, ", ".join([*(f"{k} {types[k]}" for k in keys), "flat array<double>"]))
@@ -490,7 +510,8 @@ def _shrink_tiles(layer: Layer, target: Layout, fx: int, fy: int, method: str) -
 
 def pyramid(layer: Layer, method: str = "NearestNeighbor", end_zoom: int = 0,
             materialize: bool = True) -> list[Layer]:
-    """All levels from the layer's own down to ``end_zoom``, each from the one above.
+    """All levels from the layer's own down to ``end_zoom``, each from the one above; tiles of equal
+    key are merged first.
 
     A layer with a zoom uses the global scheme, otherwise the local scheme with an inferred level.
     Every level is written to the shared folder once, a quarter of the one above, so that whatever
@@ -501,7 +522,7 @@ def pyramid(layer: Layer, method: str = "NearestNeighbor", end_zoom: int = 0,
     meta = layer.meta
     is_global = meta.zoom is not None
     zoom = meta.zoom if is_global else meta.layout.level()
-    level = to_tiles(layer)
+    level = unique_keys(layer) if layer.kind == "tile" else to_tiles(layer)
     level = level.with_df(level.df, zoom=zoom)
     folder = run_folder(layer.base.sparkSession, "pyramid") if materialize else None
     out = [level]

@@ -197,3 +197,48 @@ def test_utm_covers_the_source(spark):
     area = n * at.cell_width * at.cell_height
     truth = 2 * 111320 * np.cos(np.radians(41)) * 2 * 111050
     assert area == pytest.approx(truth, rel=0.02)
+
+
+def repeated(spark):
+    """One tile key twice: 1 in the upper half, 2 in the lower half, NoData elsewhere."""
+    upper, lower = np.full((4, 4), np.nan), np.full((4, 4), np.nan)
+    upper[:2], lower[2:] = 1.0, 2.0
+    tiles = [rt.to_tiles(cell_layer(spark, a)) for a in (upper, lower)]
+    return rt.union_layers(tiles), np.fmax(upper, lower)
+
+
+@pytest.mark.parametrize("target", [layout(4, 4, 2), layout(4, 4, 3), layout(8, 8, 8)])
+def test_repeated_keys_lose_nothing_when_cut_anew(spark, target):
+    layer, whole = repeated(spark)
+    got = rt.tile_to_layout(layer, target)
+    assert got.df.groupBy("col", "row").count().where("count > 1").isEmpty()
+    np.testing.assert_array_equal(as_array(got, 8, 8)[:4, :4], whole)
+
+
+def test_repeated_keys_in_a_pyramid(spark):
+    layer, whole = repeated(spark)
+    layer = layer.with_df(layer.df, layout=replace(layout(8, 8), tile_cols=4, tile_rows=4))
+    top = rt.pyramid(layer, "Max")[-1]
+    np.testing.assert_array_equal(as_array(top, 4, 4)[:2, :2], [[1, 1], [2, 2]])
+
+
+def test_equal_ranks_merge_to_the_smaller_value(spark):
+    tiles = [rt.to_tiles(cell_layer(spark, np.full((4, 4), v))) for v in (3.0, 2.0)]
+    np.testing.assert_array_equal(as_array(rt.merge(rt.union_layers(tiles)), 4, 4), np.full((4, 4), 2.0))
+
+
+def test_mixed_band_counts_keep_what_all_have(spark):
+    one, two = np.full((4, 4), 1.0), np.full((4, 4), 5.0)
+    mixed = rt.union_layers([rt.to_tiles(cell_layer(spark, one)), rt.to_tiles(cell_layer(spark, two, two))])
+    summed = rt.aggregate_by_cell(mixed, "Sum").df.collect()
+    assert [len(r["bands"]) for r in summed] == [1]
+    assert list(summed[0]["bands"][0]) == [6] * 16
+
+
+def test_scenes_without_data_make_no_tile(spark, monkeypatch):
+    from rastertable.operators import resample
+    layer = scenes(spark, [(1, 0, 0, np.full((4, 4), 3.0)), (2, 4, -4, np.full((4, 4), np.nan))])
+    for large in (True, False):
+        monkeypatch.setattr(resample, "_large_scenes", lambda *a, large=large: large)
+        found = rt.tile_to_layout(layer, layout(8, 8)).df.select("col", "row").collect()
+        assert [tuple(r) for r in found] == [(0, 0)]
