@@ -120,6 +120,18 @@ def _(spark, sf):
     return cells(rt.tile_to_layout(rt.to_tiles(fx1_cells(spark, sf)), moved))
 
 
+def split_tiles(spark, sf):
+    """FX1 as two tiles a key: low values in one, high values in the other."""
+    layer = fx1_cells(spark, sf)
+    return rt.union_layers([rt.to_tiles(layer.with_df(layer.df.where(part))) for part in ("v <= 20", "v > 20")])
+
+
+@query("retile_repeated_keys", "fx1", "SELECT x + 5 AS x, y + 7 AS y, band, v FROM fx1 WHERE x < 120")
+def _(spark, sf):
+    moved = rt.Layout(rt.Extent(-5.0, 7.0 - 20 * (1 << 18), 120.0, 7.0), 5, 1 << 18, 25, 20)
+    return cells(rt.tile_to_layout(split_tiles(spark, sf), moved))
+
+
 @query("retile_tiles_temporal", "fx2", """SELECT x, y, CAST(instant AS VARCHAR) AS instant, band, v
     FROM fx2""")
 def _(spark, sf):
@@ -179,6 +191,13 @@ def _(spark, sf):
     return rounded(rt.pyramid_cells(levels))
 
 
+@query("pyramid_repeated_keys", "fx1", _UNION.format(value="v"), **_levels(
+    "SELECT x, y, band, CAST(v AS DOUBLE) AS v FROM fx1", 18,
+    "SELECT x // 2 AS x, y // 2 AS y, band, max(v) AS v FROM {prior} GROUP BY 1, 2, 3", 3))
+def _(spark, sf):
+    return rt.pyramid_cells(rt.pyramid(split_tiles(spark, sf), "Max", end_zoom=15))
+
+
 @query("pyramid_max_global", "fx3", _UNION.format(value="v").replace("18", "19").replace("17", "18")
        .replace("16 AS zoom", "17 AS zoom").replace("15 AS zoom", "16 AS zoom"), **_levels(
     """SELECT x, y, 0 AS band, CAST(v AS DOUBLE) AS v FROM fx3""", 19,

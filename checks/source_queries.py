@@ -84,6 +84,15 @@ def _(spark, sf):
     return cells(store.read_layer("fx1", 0, envelope=rt.Extent(20.0, -160.0, 64.0, -40.0)))
 
 
+@query("read_layer_off_layer", "fx1", """SELECT x, y, band, v FROM fx1
+    WHERE x // 16 BETWEEN 1 AND 3 AND y // 16 BETWEEN 2 AND 9""")
+def _(spark, sf):
+    store = catalog(spark)
+    store.write_layer("fx1", fx1_cells(spark, sf), "hilbert")
+    hit, miss = rt.Extent(20.0, -160.0, 64.0, -40.0), rt.Extent(1e6, -160.0, 1e6 + 44.0, -40.0)
+    return cells(rt.union_layers([store.read_layer("fx1", 0, envelope=at) for at in (hit, miss)]))
+
+
 @query("read_layer_envelope_degrees", "fx1", """SELECT x, y, band, v FROM fx1
     WHERE x // 16 BETWEEN 1 AND 3 AND y // 16 BETWEEN 2 AND 9""")
 def _(spark, sf):

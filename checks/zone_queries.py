@@ -193,6 +193,12 @@ for _name, (_sql, _digits) in _STACK.items():
         return rounded(out, digits=digits) if digits else out
 
 
+@query("aggregate_by_cell_mixed_bands", "fx1", "SELECT x, y, band, v + 5 AS v FROM fx1 WHERE band = 0")
+def _(spark, sf):
+    layer = rt.to_tiles(fx1_cells(spark, sf))
+    return cells(rt.aggregate_by_cell(rt.union_layers([rt.select_bands(layer, [0]) + 5, layer]), "Max"))
+
+
 @query("aggregate_over_time", "fx2", """SELECT x, y, band, round(avg(v), 6) AS v FROM fx2
     GROUP BY 1, 2, 3""")
 def _(spark, sf):
@@ -221,11 +227,13 @@ def _(spark, sf):
     return out.withColumns({c: F.col(c).cast("string") for c in ("start", "end")})
 
 
-@query("combine_summaries", "", """SELECT 3857 AS epsg, CAST(min((vec_id * 7) % 24) AS DOUBLE) AS xmin,
-    CAST(max((vec_id * 7) % 24) + 8 AS DOUBLE) AS xmax, 2 * count(*) AS tile_count FROM embeddings""")
+@query("combine_summaries", "", """SELECT 3857 AS epsg, 'float64' AS cell_type,
+    CAST(min((vec_id * 7) % 24) AS DOUBLE) AS xmin, CAST(-max(vec_id) - 8 AS DOUBLE) AS ymin,
+    CAST(max((vec_id * 7) % 24) + 8 AS DOUBLE) AS xmax, CAST(-min(vec_id) AS DOUBLE) AS ymax,
+    2 * count(*) AS tile_count, CAST(1 AS DOUBLE) AS cell_width, CAST(1 AS DOUBLE) AS cell_height FROM embeddings""")
 def _(spark, sf):
-    one = rt.raster_summary(fx5_scenes(spark, sf))
-    return rt.combine_summaries([one, one]).select("epsg", "xmin", "xmax", "tile_count")
+    scenes = fx5_scenes(spark, sf)
+    return rt.combine_summaries([rt.raster_summary(scenes), rt.raster_summary(rt.convert(scenes, "float64"))])
 
 
 @query("min_max", "fx1", "SELECT min(v) AS min, max(v) AS max FROM fx1")

@@ -113,17 +113,16 @@ def raster_summary(layer: Layer) -> DataFrame:
 
 def _union_type(summaries: DataFrame) -> Column:
     """Aggregate of ``cell_type``: the union of all types, taken in the order of their names."""
-    names = sorted(r[0] for r in summaries.select("cell_type").distinct().collect())  # a few types
-    known = [CellType.parse(n) for n in names]
-    while True:  # unions of unions, until none is new
-        pairs = {f"{a}|{b}": a.union(b) for a in known for b in known}
+    known = sorted(r[0] for r in summaries.select("cell_type").distinct().collect())  # a few types
+    while True:  # unions of unions, until none is new; by name, as the NoData of floats equals nothing
+        pairs = {f"{a}|{b}": str(CellType.parse(a).union(CellType.parse(b))) for a in known for b in known}
         new = set(pairs.values()) - set(known)
         if not new:
             break
-        known += sorted(new, key=str)
+        known += sorted(new)
     if not known:
         return F.max("cell_type")
-    table = F.create_map(*[F.lit(x) for pair, union in pairs.items() for x in (pair, str(union))])
+    table = F.create_map(*[F.lit(x) for pair, union in pairs.items() for x in (pair, union)])
     found = F.sort_array(F.collect_set("cell_type"))
     return F.aggregate(found, F.get(found, F.lit(0)), lambda all_, name: F.element_at(table, F.concat_ws("|", all_, name)))
 
