@@ -251,8 +251,8 @@ def _promising(text: pa.Array) -> np.ndarray:
 
 
 def fit(docs: DataFrame, text_col: str = "text", fit_regions: int = FIT_REGIONS) -> Field:
-    """A field fitted on at most ``fit_regions`` regions of all documents, the first by a hash of
-    their words; regions with base spans go first."""
+    """A field fitted on at most ``fit_regions`` distinct regions of all documents, the first by a hash.
+    The hash knows nothing of base spans, so their share among the regions is the same at every size."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -271,7 +271,8 @@ def fit(docs: DataFrame, text_col: str = "text", fit_regions: int = FIT_REGIONS)
 
     found = (docs.select(text_or_empty(f"`{text_col}`").alias("text"))
              .mapInArrow(run, "words array<string>, before string, gold array<int>"))
-    picked = found.orderBy(F.size("gold") == 0, F.xxhash64("words", "before"), "words", "before").limit(fit_regions)
+    held = ["words", "before", "gold"]
+    picked = found.distinct().orderBy(F.xxhash64(*held), *held).limit(fit_regions)
     examples = []
     for r in picked.collect():  # bounded by fit_regions and FIT_WORDS
         ends = np.cumsum([len(x) + 1 for x in r.words])

@@ -299,6 +299,19 @@ def test_field_finds_boundaries_and_types():
     assert field.segments(region) == []
 
 
+def test_field_is_fitted_on_clean_regions_at_every_size(spark, monkeypatch):
+    """Also where more regions than the limit hold base spans; a copied region counts once."""
+    texts_ = [f"mail w{k}@example.com here" for k in range(60)] + [f"see {k}.0. there" for k in range(60)]
+    texts_ += ["copied 77777 often"] * 100
+    monkeypatch.setattr(pii, "fit_field", lambda examples: examples)
+    got = pii.fit(spark.createDataFrame([(t,) for t in texts_], "text string"), fit_regions=40)
+    assert len(got) == 40
+    assert 8 <= sum(not gold for _, gold in got) <= 32
+    assert sum(region.words == ["77777"] for region, _ in got) <= 1
+    every = pii.fit(spark.createDataFrame([(t,) for t in texts_], "text string"), fit_regions=200)
+    assert len(every) == 121
+
+
 # --- 6 -----------------------------------------------------------------------------------------
 
 def _vectors():
