@@ -16,7 +16,9 @@ which loses one:
 3. Ranges go back to all occurrences, and meet the documents they belong to.
 
 An anchor with more than ``HOT_CLASSES`` classes is cut by where its windows begin: windows that
-begin in the same ``RANGES``-th share all bytes but a few, and only contexts that agree on those meet.
+begin in the same ``RANGES``-th share all bytes but a few. Equal pieces count as one before they meet,
+and pieces that share these bytes but differ are compared window by window, by digests. Both are sums
+by key and joins that spread a large key over tasks, so no task holds all documents of a passage.
 """
 
 from __future__ import annotations
@@ -194,34 +196,68 @@ def _anchored(length: int, gram: int):
     return run
 
 
-def _fetched(length: int, gram: int):
-    """The bytes of wanted contexts; those of hot anchors cut by where their windows begin."""
-    reach = length - gram
+def _fetched(length: int):
+    """The bytes of wanted contexts."""
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = []
+                for text, wanted in zip(part.column("text").to_pylist(), part.column("wanted").to_pylist()):
+                    data = text.encode("utf-8", "surrogatepass")
+                    for w in wanted:
+                        first = w["place"] - w["lead"]
+                        rows.append((w["anchor"], w["context"], w["weight"], w["lead"],
+                                     data[first:first + w["windows"] - 1 + length]))
+                columns = list(zip(*rows)) or [()] * 5
+                kinds = [pa.int64()] * 3 + [pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                                 ["anchor", "context", "weight", "lead", "bytes"])
+    return run
+
+
+def _cut(length: int, gram: int):
+    """Wanted contexts cut by where their windows begin: the bytes of each piece and their digest, and
+    a hash of the bytes that all windows of its range hold."""
+    edges = np.linspace(0, length - gram + 1, RANGES + 1).astype(int).tolist()
 
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = []
+                for text, wanted in zip(part.column("text").to_pylist(), part.column("wanted").to_pylist()):
+                    data = text.encode("utf-8", "surrogatepass")
+                    for w in wanted:
+                        p, most_lead, least_lead = w["place"], w["lead"], w["lead"] - w["windows"] + 1
+                        for least, beyond in zip(edges[:-1], edges[1:]):
+                            # windows of this range begin high .. low bytes before the anchor
+                            high, low = min(most_lead, beyond - 1), max(least_lead, least)
+                            if high < low:
+                                continue
+                            piece, core = data[p - high:p - low + length], data[p - least:p + length - beyond + 1]
+                            group = hashlib.blake2b(core + b"%d %d" % (w["anchor"], least), digest_size=8).digest()
+                            own = hashlib.blake2b(piece + b"%d %d" % (w["anchor"], high), digest_size=16).digest()
+                            rows.append((w["anchor"], w["context"], w["weight"],
+                                         int.from_bytes(group, "little", signed=True), least, high, own, piece))
+                columns = list(zip(*rows)) or [()] * 8
+                kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()] * 2
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds)],
+                    ["anchor", "context", "weight", "grp", "least", "lead", "piece", "bytes"])
+    return run
+
+
+def _windows(length: int):
+    """Each window of a piece: its place there, and a digest of its bytes, anchor and place before it."""
     def run(batches):
         for batch in batches:
             rows = []
-            for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-                data = text.encode("utf-8", "surrogatepass")
-                for w in wanted:
-                    p, most_lead, least_lead = w["place"], w["lead"], w["lead"] - w["windows"] + 1
-                    parts = RANGES if w["hot"] else 1
-                    edges = np.linspace(0, reach + 1, parts + 1).astype(int).tolist()
-                    for least, beyond in zip(edges[:-1], edges[1:]):
-                        # windows of this range begin high .. low bytes before the anchor
-                        high, low = min(most_lead, beyond - 1), max(least_lead, least)
-                        if high < low:
-                            continue
-                        # all windows of the range hold these bytes
-                        core = data[p - least:p + length - beyond + 1] if parts > 1 else b""
-                        group = hashlib.blake2b(core + b"%d %d" % (w["anchor"], least), digest_size=8).digest()
-                        rows.append((int.from_bytes(group, "little", signed=True), w["anchor"], w["context"],
-                                     w["weight"], high, least, data[p - high:p - low + length]))
-            columns = list(zip(*rows)) or [()] * 7
-            kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["grp", "anchor", "context", "weight", "lead", "least", "bytes"])
+            for piece, anchor, lead, data in zip(*(batch.column(c).to_pylist() for c in ("piece", "anchor", "lead", "bytes"))):
+                for k in range(len(data) - length + 1):
+                    own = hashlib.blake2b(data[k:k + length] + b"%d %d" % (anchor, lead - k), digest_size=16).digest()
+                    rows.append((piece, k, own))
+            columns = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int32(), pa.binary()))],
+                                             ["piece", "at", "window"])
     return run
 
 
@@ -231,11 +267,11 @@ def _merged(length: int):
         once: dict[tuple, int] = {}
         weight: list[int] = []
         of, seen = [], set()
-        for k, name in enumerate(zip(column["grp"], column["lead"], column["bytes"])):
+        for k, name in enumerate(zip(column["anchor"], column["lead"], column["bytes"])):
             i = once.setdefault(name, len(once))
             if i == len(weight):
                 weight.append(0)
-            own = column["anchor"][k], column["context"][k], column["least"][k]
+            own = column["anchor"][k], column["context"][k]
             if own not in seen:  # rows of a repeated document are one
                 seen.add(own)
                 weight[i] += column["weight"][k]
@@ -321,7 +357,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     begin = -F.col("first.lead").cast("int")
     lone = placed.where("classes = 1").select("anchor", "context", F.array(
         begin, begin + F.col("first.windows").cast("int") + (length - 1)).alias("ranges"), "weight")
-    several = _several(rows, placed.where("classes > 1"), length, gram)
+    several = _several(rows, placed.where("classes > 1").where(F.col("classes") <= HOT_CLASSES), length, gram)
+    hot = placed.where("classes > 1").where(F.col("classes") > HOT_CLASSES)
+    if not hot.isEmpty():
+        several = several.unionByName(_hot(rows, hot, length, gram))
     ranges = (several.groupBy("anchor", "context").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
               .join(placed.select("anchor", "context", "weight"), ["anchor", "context"]).select(*lone.columns))
     ranges = shared_table(lone.unionByName(ranges), "ranges")
@@ -343,19 +382,52 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return flattened(out, *RESULTS[:len(more)])
 
 
-def _several(rows: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFrame:
-    """(anchor, context, ranges) of contexts that differ but share an anchor."""
-    wanted = classes.select("first.*", "anchor", "context", "weight", (F.col("classes") > HOT_CLASSES).alias("hot"))
+def _with_wanted(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, int]:
+    """Texts that hold the first occurrence of a class, with these occurrences; and their number."""
+    wanted = classes.select("first.*", "anchor", "context", "weight")
     per_row = (wanted.groupBy(F.col("id").alias("id2"), F.col("print").alias("print2"))
-               .agg(F.collect_list(F.struct("place", "lead", "windows", "anchor", "context", "weight", "hot")).alias("wanted")))
+               .agg(F.collect_list(F.struct("place", "lead", "windows", "anchor", "context", "weight")).alias("wanted")))
     per_row = shared_table(per_row, "wanted")
     size = per_row.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0)), F.count("*")).first()
-    buckets = max(1, size[0] * (2 * length - gram) // BUCKET_BYTES)
     near = in_filter(rows, F.xxhash64("id", "print"), per_row.select(F.xxhash64("id2", "print2").alias("h")),
                      filter_size(4 * size[1])).where("maybe")
     both = near.join(per_row.hint("merge"), near["id"].eqNullSafe(F.col("id2")) & (near["print"] == F.col("print2")))
-    found = both.select("text", "wanted").mapInArrow(
-        _fetched(length, gram), "grp bigint, anchor bigint, context bigint, weight bigint, lead int, least int, "
-                                "bytes binary")
-    found = found.withColumn("bucket", F.pmod(F.xxhash64("grp"), F.lit(buckets)))
+    return both.select("text", "wanted"), size[0]
+
+
+def _several(rows: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFrame:
+    """(anchor, context, ranges) of contexts that differ but share an anchor."""
+    both, n = _with_wanted(rows, classes)
+    buckets = max(1, n * (2 * length - gram) // BUCKET_BYTES)
+    found = both.mapInArrow(_fetched(length), "anchor bigint, context bigint, weight bigint, lead int, bytes binary")
+    found = found.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
     return found.groupBy("bucket").applyInArrow(_merged(length), "anchor bigint, context bigint, ranges array<int>")
+
+
+def _hot(rows: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFrame:
+    """``_several`` for anchors with any number of contexts."""
+    both, _ = _with_wanted(rows, classes)
+    cut = shared_table(both.mapInArrow(_cut(length, gram), "anchor bigint, context bigint, weight bigint, grp bigint, "
+                                                           "least int, lead int, piece binary, bytes binary"), "cut")
+    place = ["anchor", "context", "least"]
+    own = cut.withColumn("size", F.length("bytes")).drop("bytes")
+    own = shared_table(own.dropDuplicates(place), "pieces-of-contexts")  # rows of a repeated document are one
+    pieces = shared_table(own.groupBy("piece", "grp", "anchor", "least", "lead", "size").agg(
+        F.min("context").alias("context"), F.sum("weight").alias("weight"), F.count("*").alias("contexts")), "pieces")
+    groups = pieces.groupBy("grp").agg(F.count("*").alias("rivals")).where("rivals > 1")
+    rivals = shared_table(join_groups(pieces, groups, "grp", "rivals", pieces.count()).select(*place, "piece", "lead"), "rivals")
+    held = in_filter(cut.select(*place, "bytes"), F.xxhash64(*place), rivals.select(F.xxhash64(*place).alias("h")),
+                     filter_size(4 * rivals.count())).where("maybe").drop("maybe").dropDuplicates(place)
+    windows = shared_table(held.join(rivals.hint("merge"), place).select("piece", "anchor", "lead", "bytes").mapInArrow(
+        _windows(length), "piece binary, at int, window binary"), "windows")
+    equal = windows.groupBy("window").agg(F.count("*").alias("pieces")).where("pieces > 1")
+    shared = (join_groups(windows, equal, "window", "pieces", windows.count())
+              .groupBy("piece").agg(F.collect_set("at").alias("at")))
+    starts = F.sort_array(F.filter("at", lambda k: ~F.array_contains("at", k - 1)))
+    ends = F.sort_array(F.filter("at", lambda k: ~F.array_contains("at", k + 1)))
+    some = F.flatten(F.zip_with(starts, ends, lambda a, b: F.array(a - F.col("lead"), b - F.col("lead") + length)))
+    # a piece that occurs twice repeats by itself
+    ranges = F.when(F.col("weight") > 1, F.array(-F.col("lead"), F.col("size") - F.col("lead"))).otherwise(some)
+    found = pieces.join(shared, "piece", "left").select("piece", "contexts", ranges.alias("ranges")).where("ranges IS NOT NULL")
+    return (join_groups(own.select("piece", "anchor", "context"), shared_table(found, "pieces-that-repeat"), "piece",
+                        "contexts", own.count()).select("anchor", "context", "ranges"))

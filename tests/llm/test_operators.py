@@ -414,6 +414,29 @@ def test_repeats(docs, monkeypatch, hot):
         assert brute.sha(b"".join(text[r.doc_id][a:b] for a, b in zip(cut[::2], cut[1::2]))) == want[r.doc_id][3]
 
 
+def test_no_task_holds_all_documents_of_a_passage(spark, monkeypatch):
+    """At its edges their contexts all differ, yet share the bytes that all windows of a range hold."""
+    rng = random.Random(11)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    passage = letters(500)
+    rows = [(k, letters(260) + passage + letters(240 + k % 7)) for k in range(150)]
+    merged = repeats._merged
+
+    def few(length):
+        inner = merged(length)
+
+        def run(key, table):
+            if table.num_rows > 100:
+                raise ValueError(f"{table.num_rows} contexts in one task")
+            return inner(key, table)
+        return run
+
+    monkeypatch.setattr(repeats, "_merged", few)
+    monkeypatch.setattr(repeats, "HOT_CLASSES", 20)
+    out = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert by_id(out, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats(rows)
+
+
 def test_repeats_of_repeated_rows(spark):
     text = " ".join(map(str, range(200)))
     df = spark.createDataFrame([(1, text), (1, text), (2, text[:150]), (None, "q" * 250)], "doc_id bigint, text string")
