@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from ..functions.classes import ColorMap
 from ..model import CellType, Extent, Layer, Meta
+from ..plans.lineage import run_folder, through_table
 from .fold import fold_tiles, shared_bands
 from .geometry import explode_range
 from .resample import layout_for, single_epsg
@@ -182,9 +183,21 @@ def histogram_approx(layer: Layer, buckets: int = 80) -> DataFrame:
 
 def histogram_to_json(histogram: DataFrame) -> DataFrame:
     """Histogram rows as JSON arrays of [value, count], in chunks of 65,536 neighbouring values so
-    that no row grows with the number of distinct values: (band, chunk, json)."""
+    that no row grows with the number of distinct values: (band, chunk, json).
+
+    Values are numbered per band in two steps: ranges of neighbouring values, then the values inside
+    each range. The ranges are a table in the shared folder, so that both steps see the same ones.
+    """
+    path = run_folder(histogram.sparkSession, "histogram-ranges")
+    ranged = through_table(histogram.select("band", "value", "count").repartitionByRange("band", "value")
+                           .withColumn("part", F.spark_partition_id()), path)
+    earlier = Window.partitionBy("band").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = (ranged.groupBy("band", "part").agg(F.count(F.lit(1)).alias("n"))  # one row per range and band
+              .select("band", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")))
+    inside = F.row_number().over(Window.partitionBy("band", "part").orderBy("value")) - 1
+    numbered = ranged.withColumn("inside", inside).join(F.broadcast(before), ["band", "part"])
     pair = F.array(F.col("value").cast("double"), F.col("count").cast("double"))
-    return (histogram.groupBy("band", F.floor(F.col("value") / 65536).alias("chunk"))
+    return (numbered.groupBy("band", F.floor((F.col("before") + F.col("inside")) / 65536).alias("chunk"))
             .agg(F.to_json(F.sort_array(F.collect_list(pair))).alias("json")))
 
 

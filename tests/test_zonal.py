@@ -143,3 +143,13 @@ def test_quantiles_and_histograms(spark):
     back = rt.histogram_from_json(rt.histogram_to_json(rt.histogram_exact(layer)))
     assert {(r["value"], r["count"]) for r in back.collect()} == {
         (x, float(n)) for x, n in zip(*np.unique(v, return_counts=True))}
+
+
+def test_histogram_chunks_count_values(spark):
+    """Also of floats that lie close together."""
+    histogram = spark.range(140000).selectExpr("CAST(id % 2 AS INT) AS band", "id / 140000 AS value", "id AS count")
+    rows = rt.histogram_to_json(histogram.unionAll(spark.sql("SELECT 2, 7.5D, 3L")))
+    sizes = rows.selectExpr("band", "chunk", "size(from_json(json, 'array<array<double>>')) AS n").collect()
+    assert sorted(map(tuple, sizes)) == [(0, 0, 65536), (0, 1, 4464), (1, 0, 65536), (1, 1, 4464), (2, 0, 1)]
+    assert rt.histogram_from_json(rows).where("band < 2").exceptAll(histogram.selectExpr(
+        "band", "value", "CAST(count AS DOUBLE) AS count")).isEmpty()
