@@ -119,7 +119,7 @@ def _shape_of(word: str) -> str:
 def features(region: Region, i: int, j: int) -> list[str]:
     """Names of what is true of words i to j - 1 as a whole."""
     words = [w.strip(_EDGE) if k in (0, j - i - 1) else w for k, w in enumerate(region.words[i:j])]
-    whole = " ".join(words)[:200]
+    whole = " ".join(words)
     digits = re.sub("[^0-9]", "", whole)
     n = len(digits)
     before = (region.words[i - 1] if i else region.before).lower().strip(_EDGE)[:12]
@@ -196,17 +196,20 @@ def _sums(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ahead, behind
 
 
-def _gold(region: Region, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """The base spans inside a region as segments; of overlapping ones the first."""
-    found, used = [], set()
+def _gold(region: Region, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]] | None:
+    """The base spans inside a region as segments; of overlapping ones the first. None where words of a
+    base span belong to no segment, because it has too many or goes on beyond the region: taken for
+    ``other``, they would teach the field the opposite."""
+    found, used, met = [], set(), set()
     for start, end, kind in base:
-        if region.spans and region.spans[0][0] <= start and end <= region.spans[-1][1]:
-            i = next(k for k, (a, b) in enumerate(region.spans) if b > start)
-            j = next(k for k, (a, b) in enumerate(region.spans) if b >= end) + 1
+        touched = [k for k, (a, b) in enumerate(region.spans) if b > start and a < end]
+        met |= set(touched)
+        if touched and region.spans[0][0] <= start and end <= region.spans[-1][1]:
+            i, j = touched[0], touched[-1] + 1
             if j - i <= MOST_WORDS and not used & set(range(i, j)):
                 found.append((i, j, kind + 1))
                 used |= set(range(i, j))
-    return found
+    return found if met <= used else None
 
 
 def fit_field(examples: list[tuple[Region, list[tuple[int, int, int]]]], seed: int = 0) -> Field:
@@ -264,7 +267,8 @@ def fit(docs: DataFrame, text_col: str = "text", fit_regions: int = FIT_REGIONS)
                     for region in regions(whole):
                         if len(region.words) <= FIT_WORDS:
                             gold = _gold(region, base)
-                            rows.append((region.words, region.before, [x for g in gold for x in g]))
+                            if gold is not None:
+                                rows.append((region.words, region.before, [x for g in gold for x in g]))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.list_(pa.string())), pa.array([r[1] for r in rows], pa.string()),
                      pa.array([r[2] for r in rows], pa.list_(pa.int32()))], ["words", "before", "gold"])

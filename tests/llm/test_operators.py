@@ -312,6 +312,19 @@ def test_field_is_fitted_on_clean_regions_at_every_size(spark, monkeypatch):
     assert len(every) == 121
 
 
+def test_long_base_spans_are_not_taught_as_other(spark, monkeypatch):
+    monkeypatch.setattr(pii, "fit_field", lambda examples: examples)
+    texts_ = ["call +33 1 23 45 67 89 now", "call +1 (555) - 123 4567 now", "call +1 (555) 123-4567 now", "see 77 there"]
+    got = pii.fit(spark.createDataFrame([(t,) for t in texts_], "text string"))
+    assert sorted((region.words, gold) for region, gold in got) == [(["+1", "(555)", "123-4567"], [(0, 3, 4)]), (["77"], [])]
+
+
+def test_features_see_the_whole_segment():
+    word = "a" * 250 + "1@mail.example.com"
+    region = next(pii.regions(f"to {word} now"))
+    assert {"at=1", "digits=1", "domain=True", "dots=2"} <= set(pii.features(region, 0, 1))
+
+
 # --- 6 -----------------------------------------------------------------------------------------
 
 def _vectors():
