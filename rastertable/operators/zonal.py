@@ -178,11 +178,13 @@ def point_values(layer: Layer, points: DataFrame, method: str = "NearestNeighbor
         taps = (places.withColumn("dx", F.explode(steps)).withColumn("dy", F.explode(steps))
                 .select("point_id", (F.floor(ux) + F.col("dx")).alias("cx"),
                         (F.floor(uy) + F.col("dy")).alias("cy"),
-                        (kernel_weight(method, ux - F.floor(ux) - F.col("dx"))
-                         * kernel_weight(method, uy - F.floor(uy) - F.col("dy"))).alias("weight"))
+                        *[(kernel_weight(m, ux - F.floor(ux) - F.col("dx"))
+                           * kernel_weight(m, uy - F.floor(uy) - F.col("dy"))).alias(name)
+                          for m, name in ((method, "weight"), ("Bilinear", "tent"))])
                 .where("weight <> 0"))
     col, row = layout.key_of(F.col("cx"), F.col("cy"))
-    taps = taps.select("point_id", "weight", col.alias("col"), row.alias("row"),
+    weights = [c for c in ("weight", "tent") if c in taps.columns]
+    taps = taps.select("point_id", *weights, col.alias("col"), row.alias("row"),
                        layout.index_of(F.col("cx"), F.col("cy")).alias("i"))
     # many points: hot tiles are split, the tiles go where their points are
     reach = 0 if method == "NearestNeighbor" else support(method)
@@ -193,14 +195,18 @@ def point_values(layer: Layer, points: DataFrame, method: str = "NearestNeighbor
         values = F.transform("bands", lambda b: F.get(b, F.col("i")).cast("double"))
         found = met.select("point_id", *instant, values.alias("values"))
     else:
-        per_band = unnest(met, ["point_id", *instant, "weight", "i"], "bands", "band", "cells")
+        per_band = unnest(met, ["point_id", *instant, *weights, "i"], "bands", "band", "cells")
         v = F.get("cells", F.col("i"))
         sums = (per_band.select("point_id", *instant, "band",
                                 F.when(v.isNotNull(), F.col("weight")).alias("w"),
-                                (v * F.col("weight")).alias("wv"))
+                                (v * F.col("weight")).alias("wv"),
+                                F.when(v.isNotNull(), F.col("tent")).alias("t"),
+                                (v * F.col("tent")).alias("tv"))
                 .groupBy("point_id", *instant, "band")
-                .agg(F.sum("wv").alias("wv"), F.sum("w").alias("w")))
-        value = F.when(F.col("w") > least_weight(method), F.col("wv") / F.col("w"))
+                .agg(*[F.sum(c).alias(c) for c in ("wv", "w", "tv", "t")]))
+        # too little weight on data cells: bilinear weights, so that no point these fill is lost
+        value = (F.when(F.col("w") > least_weight(method), F.col("wv") / F.col("w"))
+                 .when(F.col("t") > least_weight("Bilinear"), F.col("tv") / F.col("t")))
         # one slot per band: bounded by the band count of the layer
         found = (sums.withColumn("value", value).groupBy("point_id", *instant)
                  .agg(*[F.max(F.when(F.col("band") == b, F.col("value"))).alias(f"b{b}")

@@ -153,3 +153,16 @@ def test_histogram_chunks_count_values(spark):
     assert sorted(map(tuple, sizes)) == [(0, 0, 65536), (0, 1, 4464), (1, 0, 65536), (1, 1, 4464), (2, 0, 1)]
     assert rt.histogram_from_json(rows).where("band < 2").exceptAll(histogram.selectExpr(
         "band", "value", "CAST(count AS DOUBLE) AS count")).isEmpty()
+
+
+def test_kernels_lose_no_point_that_bilinear_fills(spark):
+    layer = cell_layer(spark, random_raster(16, 16, gaps=0.7))
+    rng = np.random.default_rng(4)
+    at = [(int(i), float(px), float(-py)) for i, (px, py) in enumerate(rng.uniform(0, 16, (200, 2)))]
+    points = spark.createDataFrame(at, "point_id bigint, x double, y double")
+    filled = {}
+    for method in ("Bilinear", "CubicConvolution", "Lanczos"):
+        rows = rt.point_values(layer, points, method).collect()
+        filled[method] = {r["point_id"] for r in rows if r["values"] is not None and r["values"][0] is not None}
+    print("filled", {m: len(x) for m, x in filled.items()})
+    assert filled["Bilinear"] <= filled["CubicConvolution"] and filled["Bilinear"] <= filled["Lanczos"]
