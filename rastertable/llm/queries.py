@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, embedding_dedup, exact_dedup, minhash, mixing, pii, quality, repeats,
-               secret_scan, token_store)
+from . import (bpe, embedding_dedup, exact_dedup, hard_negatives, license_scan, manifest, minhash, mixing, pii,
+               quality, repeats, secret_scan, token_store)
 from .common import shared_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,77 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_repeats")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir), with_columns=["doc_id"], with_text=False).drop("removed")
+
+
+@query("op11_licenses")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(license_scan.scan(documents(spark, sf_dir).select("doc_id", "text")))
+
+
+@query("op12_hard_negatives", """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, embedding
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e FROM v),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+             list_inner_product(a.e, b.e)::BIGINT AS score
+      FROM q a JOIN q b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+        AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), anchor=F.col("vec_id") % 100 == 0)
+
+
+@query("op13_manifest", r"""
+WITH RECURSIVE
+d AS (SELECT doc_id, lang, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT),
+               lambda crc, byte: list_reduce(list_transform(range(8), lambda i: i::UBIGINT),
+                 lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384::UBIGINT) ELSE a >> 1 END, xor(crc, byte)),
+               4294967295::UBIGINT) AS crc, source, n_chars, text,
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+f AS (SELECT doc_id, lang, crc, text, low, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+               || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+               || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM d),
+leaf AS (SELECT doc_id, coalesce('=' || lang, '') AS part, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS h,
+           sha256(head || CASE WHEN xor(crc, 4294967295::UBIGINT) % 3 = 0 THEN coalesce(strlen(low) || ':' || low, '-')
+                               ELSE coalesce(strlen(text) || ':' || text, '-') END) AS claimed FROM f),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY doc_id NULLS FIRST, h) - 1 AS idx,
+             count(*) OVER (PARTITION BY part) AS n FROM leaf),
+low AS (SELECT part, 0 AS level, idx, n, h FROM ranked UNION ALL
+        SELECT part, level + 1, idx // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY idx))
+        FROM low WHERE n > 1 GROUP BY part, level, idx // 8),
+sub AS (SELECT part, h AS subroot, row_number() OVER (ORDER BY part) - 1 AS idx, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (SELECT 0 AS level, idx, n, subroot AS h FROM sub UNION ALL
+         SELECT level + 1, idx // 8, any_value((n + 7) // 8), sha256(string_agg(h, '' ORDER BY idx))
+         FROM high WHERE n > 1 GROUP BY level, idx // 8),
+nodes AS (SELECT part, level, idx, h FROM low WHERE n > 1 UNION ALL SELECT 'top', level, idx, h FROM high WHERE n > 1),
+seg AS (SELECT part, level, idx,
+          coalesce(string_agg(h, '') OVER (g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b,
+          coalesce(string_agg(h, '') OVER (g ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a
+        FROM nodes WINDOW g AS (PARTITION BY part, level, idx // 8 ORDER BY idx)),
+up AS (SELECT r.part, r.idx, list({'b': b, 'a': a} ORDER BY level) AS path FROM ranked r
+       JOIN seg ON seg.part = r.part AND seg.idx = r.idx // (8 ** level)::BIGINT GROUP BY 1, 2),
+top AS (SELECT s.part, list({'b': b, 'a': a} ORDER BY level) AS path FROM sub s
+        JOIN seg ON seg.part = 'top' AND seg.idx = s.idx // (8 ** level)::BIGINT GROUP BY 1),
+whole AS (SELECT r.doc_id, r.h AS leaf, r.claimed, subroot, (SELECT h FROM high WHERE n = 1) AS root,
+            list_concat(coalesce(up.path, []), coalesce(top.path, [])) AS path
+          FROM ranked r JOIN sub USING (part) LEFT JOIN up ON up.part = r.part AND up.idx = r.idx
+          LEFT JOIN top ON top.part = r.part),
+done AS (SELECT *, sha256(array_to_string(list_transform(path, lambda s: s.b || s.a), '')) AS proof_sha256,
+           list_reduce(path, lambda x, s: {'b': sha256(s.b || x.b || s.a), 'a': ''}, {'b': claimed, 'a': ''}).b AS folded_root
+         FROM whole)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    low = manifest.leaf_digest(*[F.translate("text", capitals, capitals.lower()) if c == "text" else F.col(c) for c in fields])
+    return manifest.audit(manifest.build(docs, fields, more={"tampered": F.when(tampered, low)}), claimed="tampered")
