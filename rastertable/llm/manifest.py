@@ -170,7 +170,8 @@ def proofs(manifest: Manifest, requests: DataFrame) -> DataFrame:
     """``requests`` (a column ``address``, others carried) with ``path``, leaf level first: an array of
     (before, after), the siblings' digests in a row.
 
-    Addresses may repeat; those of no leaf give no row, nor do null ones. A round per level joins the nodes
+    Addresses may repeat; an inner node's gives the path of that node, one of no node or null gives no row.
+    A round per level joins the nodes
     that some request passes with their records. Requests meet their path at the last node only, so a path
     travels once per run of neighbours; nodes with very many requests, and records of nodes that repeated
     rows make equal, are few by count and are broadcast.

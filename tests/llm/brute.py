@@ -174,3 +174,108 @@ def repeats(docs, length=200) -> dict:
         spans = int((gone & ~np.concatenate([[False], gone[:-1]])).sum()) if len(b) else 0
         out[i] = (len(b), int(gone.sum()), spans, sha(bytes(np.frombuffer(b, np.uint8)[~gone])))
     return out
+
+
+LICENSE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+MARK = re.compile(r"<<(/?optional|words (\d+) (\d+))>>")
+
+
+def license_words(text) -> list[str]:
+    return LICENSE_WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def template_tree(template: str) -> list:
+    """Words, ('optional', nodes) and ('words', least, most)."""
+    stack, place = [[]], 0
+    for mark in MARK.finditer(template):
+        stack[-1] += license_words(template[place:mark.start()])
+        place = mark.end()
+        if mark[1] == "optional":
+            stack.append([])
+        elif mark[1] == "/optional":
+            inner = stack.pop()
+            stack[-1].append(("optional", inner))
+        else:
+            stack[-1].append(("words", int(mark[2]), int(mark[3])))
+    return stack[0] + license_words(template[place:])
+
+
+def template_ends(nodes: list, words: list[str], start: int) -> set[int]:
+    """Where a match of the nodes that starts at ``start`` can end."""
+    ends = {start}
+    for node in nodes:
+        if isinstance(node, str):
+            ends = {e + 1 for e in ends if e < len(words) and words[e] == node}
+        elif node[0] == "optional":
+            ends |= {x for e in ends for x in template_ends(node[1], words, e)}
+        else:
+            ends = {e + k for e in ends for k in range(node[1], node[2] + 1) if e + k <= len(words)}
+    return ends
+
+
+def licenses(text, templates) -> list[tuple[str, bool, int, int]]:
+    """(label, base, start, end), the longest match of every template at every place"""
+    words = license_words(text)
+    trees = [(t.label, t.base, template_tree(t.text)) for t in templates]
+    found = set()
+    for start in range(len(words)):
+        for label, base, tree in trees:
+            ends = template_ends(tree, words, start)
+            if ends:
+                found.add((start, max(ends), label, base))
+    return [(x, b, s, e) for s, e, x, b in sorted(found)]
+
+
+def mined(rows, is_anchor, positives=5, negatives=5, low=80, high=100, scale=256) -> list[tuple]:
+    """Of (id, label, vector): anchor, positive, rank, negative, both scores; rows stand for themselves."""
+    usable = [(k, i, x, [int(np.floor(float(c) * scale)) for c in v]) for k, (i, x, v) in enumerate(rows)
+              if i is not None and x is not None and v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    out = []
+    for k, anchor, label, v in usable:
+        if not is_anchor(anchor):
+            continue
+        scored = sorted(((-sum(a * b for a, b in zip(v, w)), i, x == label) for m, i, x, w in usable
+                         if m != k and len(w) == len(v)), key=lambda s: s[:2])
+        for p, name, _ in [s for s in scored if s[2]][:positives]:
+            inside = [s for s in scored if not s[2] and low * -p <= 100 * -s[0] <= high * -p]
+            out += [(anchor, name, rank, s[1], -p, -s[0]) for rank, s in enumerate(inside[:negatives], 1)]
+    return sorted(out)
+
+
+def field(value) -> str:
+    return "-" if value is None else f"{len(str(value).encode())}:{value}"
+
+
+def merkle(nodes: list[str], fanout: int = 8) -> tuple[str, list[list[tuple[str, str]]]]:
+    """Root, and for each node its (siblings before, siblings after), level by level."""
+    place, paths = list(range(len(nodes))), [[] for _ in nodes]
+    while len(nodes) > 1:
+        for leaf, at in enumerate(place):
+            run = at // fanout * fanout
+            paths[leaf].append(("".join(nodes[run:at]), "".join(nodes[at + 1:run + fanout])))
+        nodes = [sha("".join(nodes[i:i + fanout])) for i in range(0, len(nodes), fanout)]
+        place = [at // fanout for at in place]
+    return nodes[0], paths
+
+
+def manifest(docs, fanout: int = 8) -> list[tuple]:
+    """Of (id, part, fields, claimed fields): id, leaf, subroot, root, proof, folded root, verified"""
+    parts = defaultdict(list)
+    for i, part, fields, claimed in docs:
+        parts[part].append((i is not None, i, sha("".join(map(field, fields))), sha("".join(map(field, claimed)))))
+    names = sorted(parts, key=lambda p: (p is not None, (p or "").encode()))
+    trees = {}
+    for name in names:
+        parts[name].sort(key=lambda r: (r[0], r[1] or 0, r[2]))
+        trees[name] = merkle([r[2] for r in parts[name]], fanout)
+    root, tops = merkle([trees[n][0] for n in names], fanout) if names else (None, [])
+    out = []
+    for name, top in zip(names, tops):
+        subroot, paths = trees[name]
+        for (_, i, leaf, claimed), path in zip(parts[name], paths):
+            acc = claimed
+            for before, after in path + top:
+                acc = sha(before + acc + after)
+            proof = sha("".join(b + a for b, a in path + top))
+            out.append((i, leaf, subroot, root, proof, acc, acc == root))
+    return sorted(out, key=str)
