@@ -228,9 +228,7 @@ for _name, (_op, _sql) in _PAIRS.items():
         return rounded(out) if name == "local_pow_layer" else out
 
 
-@query("local_add_layer_cells", "fx1", """SELECT a.x, a.y, a.band, a.v + b.v AS v FROM fx1 a
-    JOIN (SELECT x, y, band, v * 2 AS v FROM fx1 WHERE v > 20) b
-    ON a.x = b.x AND a.y = b.y AND a.band = b.band""")
+@query("local_add_layer_cells", "fx1", "SELECT x, y, band, v + v * 2 AS v FROM fx1 WHERE v > 20")
 def _(spark, sf):
     layer = fx1_cells(spark, sf)
     high = rt.local_multiply(layer.with_df(layer.df.where("v > 20")), 2)

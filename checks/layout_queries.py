@@ -7,9 +7,10 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 import rastertable as rt
+from rastertable.functions import projection
 
 from .cell_queries import cells, rounded, texted
-from .fixtures import (KEYED, SCENES, SMALL, TALL, fx1_band, fx1_cells, fx2_cells, fx3_tiles,
+from .fixtures import (KEYED, SCENES, SMALL, TALL, fx1_cells, fx2_cells, fx3_tiles,
                        fx5_scenes, map_edges, map_points, table)
 from .registry import query
 
@@ -61,21 +62,23 @@ _SINC = """CASE WHEN abs({d}) < 1e-12 THEN 1 WHEN abs({d}) < 3 THEN
     3 * sin(pi() * {d}) * sin(pi() * {d} / 3) / (pi() * {d} * pi() * {d}) ELSE 0 END"""
 # weighted means often end in an exact 5: a small shift takes them off the rounding border
 _SHIFT = 1.3e-7
+# kernels with negative lobes give way to bilinear weights where data cells carry too little
 for _method, _kernel, _reach, _least in (
         ("Bilinear", _TENT, 1, 1e-9), ("CubicConvolution", _KEYS, 2, 0.3),
         ("CubicSpline", _SPLINE, 2, 1e-9), ("Lanczos", _SINC, 3, 0.3)):
     _taps = f"""SELECT x, y, sx, sy, cx, cy, ({_kernel.format(d='(sx - 0.5 - cx)')})
-        * ({_kernel.format(d='(sy - 0.5 - cy)')}) AS w FROM (
+        * ({_kernel.format(d='(sy - 0.5 - cy)')}) AS w, ({_TENT.format(d='(sx - 0.5 - cx)')})
+        * ({_TENT.format(d='(sy - 0.5 - cy)')}) AS t FROM (
         SELECT x, y, sx, sy, floor(sx - 0.5) + dx AS cx, floor(sy - 0.5) + dy AS cy FROM targets,
           (SELECT unnest(range({1 - _reach}, {_reach + 1})) AS dx) a,
           (SELECT unnest(range({1 - _reach}, {_reach + 1})) AS dy) b) q"""
 
-    @query(f"resample_{_method}", "fx1", f"""SELECT t.x, t.y, f.band,
-          round(sum(w * f.v) / sum(w) + {_SHIFT}, 4) AS v
+    @query(f"resample_{_method}", "fx1", f"""SELECT t.x, t.y, f.band, round(CASE WHEN sum(w) > {_least}
+          THEN sum(w * f.v) / sum(w) ELSE sum(t.t * f.v) / sum(t.t) END + {_SHIFT}, 4) AS v
         FROM taps t JOIN fx1 f ON f.x = t.cx AND f.y = t.cy
         JOIN (SELECT DISTINCT x // 16 AS tx, y // 16 AS ty FROM fx1) k
           ON k.tx = floor(t.sx / 16) AND k.ty = floor(t.sy / 16)
-        GROUP BY 1, 2, 3 HAVING sum(w) > {_least}""", targets=_TARGETS, taps=_taps)
+        GROUP BY 1, 2, 3 HAVING sum(w) > {_least} OR sum(t.t) > 1e-9""", targets=_TARGETS, taps=_taps)
     def _(spark, sf, method=_method):
         out = cells(rt.resample(fx1_cells(spark, sf), ODD, method))
         return rounded(out.withColumn("v", F.col("v") + _SHIFT), digits=4)
@@ -94,6 +97,15 @@ def _(spark, sf):
     return texted(cells(rt.tile_to_layout(fx5_scenes(spark, sf, temporal=True), SCENES)))
 
 
+@query("tile_to_layout_equal_ids", "fx5", """SELECT x, y, 0 AS band, arg_min(v, (priority // 5, v)) AS v
+    FROM fx5 GROUP BY 1, 2""")
+def _(spark, sf):
+    """Five scenes an id: where they overlap the smaller value, in whatever order they come."""
+    layer = fx5_scenes(spark, sf)
+    ids = layer.df.withColumn("scene_id", F.floor(F.col("scene_id") / 5))
+    return cells(rt.tile_to_layout(layer.with_df(ids), SCENES))
+
+
 @query("tile_to_layout_average", "fx5", """SELECT x, y, 0 AS band, round(arg_min(v, priority), 6) AS v
     FROM (SELECT x // 2 AS x, y // 2 AS y, priority, avg(v) AS v FROM fx5 GROUP BY 1, 2, 3) q
     GROUP BY 1, 2""")
@@ -276,15 +288,48 @@ def _(spark, sf):
     return rounded(out.withColumn("v", F.col("v") + _SHIFT), digits=3)
 
 
-@query("reproject_to_utm")
-def _(spark, sf):
-    """From degrees to UTM zone 31 by a layout type."""
-    layer = fx1_band(spark, sf)
+# Cells of 100 m in UTM zone 31 and back to degrees (Snyder 1987), in steps.
+_UTM = rt.Layout(rt.Extent(388000.0, 1106400.0 - 100.0 * (1 << 22), 404000.0, 1106400.0), 10, 1 << 18, 16, 16)
+_E2 = projection.E2
+_E1 = (1 - (1 - _E2) ** 0.5) / (1 + (1 - _E2) ** 0.5)
+_UTM_BACK = f"""SELECT x, y, (lon + 3.0 - 2.0) / 0.001 AS sx, (10.0 - lat) / 0.001 AS sy FROM (
+  SELECT x, y, degrees((d - (1 + 2 * t2 + cc) * d * d * d / 6 + (5 - 2 * cc + 28 * t2 - 3 * cc * cc
+      + 8 * {projection.EP2!r} + 24 * t2 * t2) * d * d * d * d * d / 120) / cos(phi)) AS lon,
+    degrees(phi - n * tan(phi) / r * (d * d / 2 - (5 + 3 * t2 + 10 * cc - 4 * cc * cc - 9 * {projection.EP2!r})
+      * d * d * d * d / 24 + (61 + 90 * t2 + 298 * cc + 45 * t2 * t2 - 252 * {projection.EP2!r} - 3 * cc * cc)
+      * d * d * d * d * d * d / 720)) AS lat FROM (
+  SELECT *, easting / (n * {projection.UTM_SCALE}) AS d, tan(phi) * tan(phi) AS t2,
+    {projection.EP2!r} * cos(phi) * cos(phi) AS cc FROM (
+  SELECT *, {projection.SEMI_MAJOR} / sqrt(w) AS n, {projection.SEMI_MAJOR} * (1 - {_E2!r}) / (w * sqrt(w)) AS r FROM (
+  SELECT *, 1 - {_E2!r} * sin(phi) * sin(phi) AS w FROM (
+  SELECT x, y, easting, mu + (3 * {_E1!r} / 2 - 27 * pow({_E1!r}, 3) / 32) * sin(2 * mu)
+    + (21 * pow({_E1!r}, 2) / 16 - 55 * pow({_E1!r}, 4) / 32) * sin(4 * mu)
+    + (151 * pow({_E1!r}, 3) / 96) * sin(6 * mu) + (1097 * pow({_E1!r}, 4) / 512) * sin(8 * mu) AS phi FROM (
+  SELECT x, y, 388000.0 + (x + 0.5) * 100 - 500000.0 AS easting, (1106400.0 - (y + 0.5) * 100) / {projection.UTM_SCALE}
+    / ({projection.SEMI_MAJOR} * (1 - {_E2!r} / 4 - 3 * pow({_E2!r}, 2) / 64 - 5 * pow({_E2!r}, 3) / 256)) AS mu FROM
+    (SELECT unnest(range(0, 160)) AS x) a,
+    (SELECT unnest(range(0, (SELECT CAST((max(y) + 32) * 1.3 AS BIGINT) FROM fx1))) AS y) b) s1) s2) s3) s4) s5) s6"""
+
+
+def in_degrees(layer: rt.Layer) -> rt.Layer:
+    """The layer's cells as thousandths of a degree, from 10 degrees north southwards."""
     there = rt.Layout(rt.Extent(2.0, 10.0 - 0.001 * (1 << 22), 2.0 + 0.128, 10.0), 8, 1 << 18, 16, 16)
+    return layer.with_df(layer.df, layout=there, epsg=4326)
+
+
+@query("reproject_to_utm", "fx1", """SELECT t.x, t.y, f.band, f.v FROM back t
+    JOIN fx1 f ON f.x = floor(t.sx) AND f.y = floor(t.sy)""", back=_UTM_BACK)
+def _(spark, sf):
+    return cells(rt.reproject(in_degrees(fx1_cells(spark, sf)), 32631, _UTM))
+
+
+@query("reproject_to_utm_local")
+def _(spark, sf):
+    """From degrees to UTM zone 31 by a layout type; the layout comes from the layer's extent."""
+    layer = in_degrees(fx1_cells(spark, sf))
     rows = layer.df.agg(F.max("y")).first()[0] + 1
     extent = rt.Extent(2.0, 10.0 - 0.001 * rows, 2.128, 10.0)
-    at = layer.with_df(layer.df, layout=there, epsg=4326, extent=extent)
-    return cells(rt.reproject(at, 32631, rt.LocalLayout(64)))
+    return cells(rt.reproject(layer.with_df(layer.df, extent=extent), 32631, rt.LocalLayout(64)))
 
 
 # --- rasterize and distance ------------------------------------------------------------------

@@ -199,6 +199,15 @@ def _(spark, sf):
     return cells(rt.aggregate_by_cell(rt.union_layers([rt.select_bands(layer, [0]) + 5, layer]), "Max"))
 
 
+@query("aggregate_by_cell_large_integers", "fx1", """SELECT x, y, band, CAST(2 * v + 18014398509481987 AS BIGINT) AS v
+    FROM fx1""")
+def _(spark, sf):
+    """Sum of two layers whose cells lie past 2^53, where doubles skip every other whole number."""
+    layer = fx1_cells(spark, sf)
+    far = [rt.to_tiles(layer.with_df(layer.df.withColumn("v", F.col("v") + F.lit(9007199254740993 + k)))) for k in (0, 1)]
+    return cells(rt.aggregate_by_cell(rt.union_layers(far), "Sum"))
+
+
 @query("aggregate_over_time", "fx2", """SELECT x, y, band, round(avg(v), 6) AS v FROM fx2
     GROUP BY 1, 2, 3""")
 def _(spark, sf):
@@ -215,6 +224,14 @@ def _(spark, sf):
     return cells(rt.merge([rt.to_tiles(high), rt.to_tiles(layer)]))
 
 
+@query("merge_repeated_cells", "fx1", """SELECT x, y, band, min(v) AS v FROM (
+    SELECT x, y, band, v FROM fx1 UNION ALL SELECT x, y, band, 40 - v FROM fx1) u GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    """Cells that repeat inside one layer: the smaller value, whatever the order of rows."""
+    layer = fx1_cells(spark, sf)
+    return cells(rt.merge(layer.with_df(layer.df.unionByName(layer.df.withColumn("v", 40 - F.col("v"))))))
+
+
 @query("raster_summary", "", """SELECT 3857 AS epsg, 'int32' AS cell_type,
     CAST(min((vec_id * 7) % 24) AS DOUBLE) AS xmin, CAST(-max(vec_id) - 8 AS DOUBLE) AS ymin,
     CAST(max((vec_id * 7) % 24) + 8 AS DOUBLE) AS xmax, CAST(-min(vec_id) AS DOUBLE) AS ymax,

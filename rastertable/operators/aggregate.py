@@ -38,7 +38,8 @@ def aggregate_by_cell(layer: Layer, operation: str) -> Layer:
     kind = meta.cell_type if whole else CellType.parse("float64")
     if layer.kind == "tile":
         n = meta.layout.tile_cells
-        folded = fold_tiles(layer.df, layer.keys, F.flatten("bands"), n * meta.bands, operation)
+        folded = fold_tiles(layer.df, layer.keys, F.flatten("bands"), n * meta.bands, operation,
+                            meta.cell_type.compute_type)
         return layer.with_df(folded.select(*layer.keys, shared_bands(
             n, kind.compute_type).alias("bands")), cell_type=kind)
     fn = {"Sum": F.sum, "Min": F.min, "Max": F.max, "Mean": F.avg, "Variance": F.var_samp,
@@ -63,18 +64,15 @@ def merge(layers: Layer | Sequence[Layer]) -> Layer:
             for nth, (t, has) in enumerate(zip(layers, ranked))]
         n = first.meta.layout.tile_cells
         folded = fold_tiles(reduce(DataFrame.unionByName, parts), first.keys, F.flatten("bands"),
-                            n * first.meta.bands, "First", F.col("rank"))
+                            n * first.meta.bands, "First", first.meta.cell_type.compute_type, F.col("rank"))
         return first.with_df(folded.select(*first.keys, shared_bands(
             n, first.meta.cell_type.compute_type).alias("bands")))
     first = to_cells(layers[0])
     parts = []
     for nth, (layer, has) in enumerate(zip(layers, ranked)):
         cells = _cells_with_priority(layer) if has else to_cells(layer).df
-        # a plain number keeps the aggregation hash-based
-        rank = F.lit(nth)
-        if any(ranked):
-            inner = F.col("priority") if has else F.lit(None)
-            rank = F.struct(rank.alias("nth"), inner.cast("bigint").alias("inner"))
+        inner = F.col("priority").cast("bigint") if has else F.lit(0).cast("bigint")
+        rank = F.struct(F.lit(nth).alias("nth"), inner.isNull().alias("last"), inner.alias("inner"), F.col("v").alias("v"))
         parts.append(cells.select(*first.keys, "v", rank.alias("rank")))
     merged = (reduce(DataFrame.unionByName, parts).groupBy(*first.keys)
               .agg(F.min_by("v", "rank").alias("v")))

@@ -2,9 +2,9 @@
 
 Partial results are combined before the shuffle: a task keeps one accumulator per key it meets and
 passes these on. After the shuffle the partial results of a key arrive one after another and only
-one accumulator is held. Large tiles are shuffled in blocks of cells, so a key that most tiles
-share is combined by several tasks. So a key may repeat without bound, and what is shuffled are
-arrays, a few times smaller than the same cells as rows.
+one accumulator is held. So a key may repeat without bound, even one that most tiles share: what is
+shuffled of it is an accumulator per task. Whole numbers are added and compared as 64-bit integers
+beside a validity mask, so no value is rounded on the way.
 """
 
 from __future__ import annotations
@@ -13,114 +13,198 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CELLS = 16384
 HELD_BYTES = 128 * 1024 * 1024
+#: Rank of a cell without data: higher than any other.
+NO_RANK = np.iinfo(np.int64).max
 
-# Operation -> number of arrays in its accumulator.
-WIDTH = {"Sum": 1, "Min": 1, "Max": 1, "Mean": 2, "Variance": 3, "StandardDeviation": 3, "First": 2}
 
+# --- cells in Arrow --------------------------------------------------------------------------
 
-def start(op: str, v: np.ndarray, rank: float) -> tuple:
-    """Accumulator of one tile; NaN is NoData."""
-    data = ~np.isnan(v)
-    if op == "Mean":
-        return np.where(data, v, 0.0), data.astype(float)
-    if op in ("Variance", "StandardDeviation"):
-        return data.astype(float), np.where(data, v, 0.0), np.zeros_like(v)
-    if op == "First":
-        return v, np.where(data, rank, np.inf)
-    return (v,)
+def read_cells(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of all lists in a row (integers or doubles), which of them are data, where lists end."""
+    values = column.values
+    if pa.types.is_integer(values.type):
+        ok = values.is_valid().to_numpy(zero_copy_only=False)
+        return pc.fill_null(values, 0).to_numpy(zero_copy_only=False), ok, column.offsets.to_numpy()
+    flat = values.to_numpy(zero_copy_only=False)
+    return flat, ~np.isnan(flat), column.offsets.to_numpy()
+
+
+def write_cells(rows: list[np.ndarray], ok: list[np.ndarray] | None = None) -> pa.ListArray:
+    """Lists from arrays of one type; null where ``ok`` is false."""
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    mask = None if ok is None else ~np.concatenate(ok)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows), mask=mask))
 
 
-def combine(op: str, a: tuple, b: tuple) -> tuple:
-    """Two accumulators in one. Sum keeps NoData, the others skip it.
+# --- accumulators ----------------------------------------------------------------------------
 
-    Of accumulators with different numbers of bands, the bands that both have. "First" takes the
-    smaller value of equal ranks, so that the order of arrival does not matter.
+class Fold:
+    """What cells of equal place become. A state is a tuple of arrays, one element per cell.
+
+    ``types`` are those of the state, ``empty`` the state of a cell nothing was seen of.
     """
-    n = min(len(a[0]), len(b[0]))
-    a, b = tuple(x[:n] for x in a), tuple(x[:n] for x in b)
-    if op == "Sum":
-        return (a[0] + b[0],)
-    if op in ("Min", "Max"):
-        return ((np.fmin if op == "Min" else np.fmax)(a[0], b[0]),)
-    if op == "Mean":
+    types: tuple[str, ...]
+    empty: tuple
+
+    def lift(self, v: np.ndarray, ok: np.ndarray, rank) -> tuple:
+        raise NotImplementedError
+
+    def merge(self, a: tuple, b: tuple) -> tuple:
+        raise NotImplementedError
+
+    def finish(self, state: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """Values, and which cells have one."""
+        raise NotImplementedError
+
+
+class First(Fold):
+    """The value of the lowest rank that has data; of equal ranks the smaller value."""
+
+    def __init__(self, number: str):
+        self.types, self.empty = (number, "bigint"), (0, NO_RANK)
+
+    def lift(self, v, ok, rank):
+        return np.where(ok, v, 0), np.where(ok, rank, NO_RANK)
+
+    def merge(self, a, b):
+        later = (b[1] < a[1]) | ((b[1] == a[1]) & (b[0] < a[0]))
+        return np.where(later, b[0], a[0]), np.where(later, b[1], a[1])
+
+    def finish(self, state):
+        return state[0], state[1] != NO_RANK
+
+
+class Sum(Fold):
+    """Sum where every one has data."""
+
+    def __init__(self, number: str):
+        self.types, self.empty = (number, "bigint"), (0, 0)
+
+    def lift(self, v, ok, rank):
+        return np.where(ok, v, 0), (~ok).astype(np.int64)
+
+    def merge(self, a, b):
         return a[0] + b[0], a[1] + b[1]
-    if op == "First":
-        earlier = (a[1] < b[1]) | ((a[1] == b[1]) & ~(a[0] > b[0]))
-        return np.where(earlier, a[0], b[0]), np.where(earlier, a[1], b[1])
-    n = a[0] + b[0]
-    share = b[0] / np.where(n == 0, 1.0, n)
-    gap = b[1] - a[1]
-    return n, a[1] + gap * share, a[2] + b[2] + gap * gap * a[0] * share
-
-
-def finish(op: str, a: tuple) -> np.ndarray:
-    if op == "Mean":
-        return a[0] / np.where(a[1] == 0, np.nan, a[1])
+
+    def finish(self, state):
+        return state[0], state[1] == 0
+
+
+class Extreme(Fold):
+    def __init__(self, number: str, least: bool):
+        self.types, self.empty, self.pick = (number, "bigint"), (0, 0), np.minimum if least else np.maximum
+
+    def lift(self, v, ok, rank):
+        return np.where(ok, v, 0), ok.astype(np.int64)
+
+    def merge(self, a, b):
+        both = self.pick(a[0], b[0])
+        return np.where(a[1] == 0, b[0], np.where(b[1] == 0, a[0], both)), a[1] | b[1]
+
+    def finish(self, state):
+        return state[0], state[1] != 0
+
+
+class Mean(Fold):
+    def __init__(self, number: str):
+        self.types, self.empty = (number, "bigint"), (0, 0)
+
+    def lift(self, v, ok, rank):
+        return np.where(ok, v, 0), ok.astype(np.int64)
+
+    def merge(self, a, b):
+        return a[0] + b[0], a[1] + b[1]
+
+    def finish(self, state):
+        return state[0] / np.maximum(state[1], 1), state[1] != 0
+
+
+class Spread(Fold):
+    """Variance or standard deviation of a sample: count, mean and squared distances."""
+    types, empty = ("bigint", "double", "double"), (0, 0.0, 0.0)
+
+    def __init__(self, root: bool):
+        self.root = root
+
+    def lift(self, v, ok, rank):
+        return ok.astype(np.int64), np.where(ok, v, 0).astype(float), np.zeros(v.shape)
+
+    def merge(self, a, b):
+        n = a[0] + b[0]
+        share, gap = b[0] / np.maximum(n, 1), b[1] - a[1]
+        return n, a[1] + gap * share, a[2] + b[2] + gap * gap * a[0] * share
+
+    def finish(self, state):
+        variance = state[2] / np.maximum(state[0] - 1, 1)
+        return np.sqrt(variance) if self.root else variance, state[0] > 1
+
+
+def fold_named(op: str, number: str) -> Fold:
+    """The accumulator of an operation over ``number`` cells (bigint or double)."""
+    if op in ("Min", "Max"):
+        return Extreme(number, op == "Min")
     if op in ("Variance", "StandardDeviation"):
-        variance = a[2] / np.where(a[0] < 2, np.nan, a[0] - 1)
-        return np.sqrt(variance) if op == "StandardDeviation" else variance
-    return a[0]
+        return Spread(op == "StandardDeviation")
+    return {"First": First, "Sum": Sum, "Mean": Mean}[op](number)
 
 
-def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str,
+def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str, number: str,
                rank: Column | None = None) -> DataFrame:
     """One row per key with ``flat``, the cells of all its rows combined.
 
-    ``flat`` has up to ``n`` cells, the result as many as the shortest row of a key. For "First", each cell comes from the row with the lowest rank that
-    has data there.
+    ``flat`` holds cells of type ``number`` (bigint or double), up to ``n`` of them, the result as many
+    as the shortest row of a key. For "First", each cell comes from the row with the lowest rank that
+    has data there, the smaller value where ranks are equal; a rank is a whole number, null the last.
+    The result does not depend on the order of rows, but for the last bits of sums of doubles.
     """
-    width = WIDTH[op]
-    blocks = max(1, n // BLOCK_CELLS)
-    cuts = [n * b // blocks for b in range(blocks + 1)]
-    names = [f"s{i}" for i in range(width)]
-    rows = df.select(*keys, flat.cast("array<double>").alias("flat"),
-                     (F.lit(0.0) if rank is None else F.coalesce(rank.cast("double"), F.lit(1e308))).alias("rank"))
+    fold = fold_named(op, number)
+    names = [f"s{i}" for i in range(len(fold.types))]
+    last = F.lit(NO_RANK - 1)
+    rows = df.select(*keys, flat.cast(f"array<{number}>").alias("flat"),
+                     (F.lit(0).cast("bigint") if rank is None else
+                      F.least(F.coalesce(rank.cast("bigint"), last), last)).alias("rank"))
     types = dict(rows.dtypes)
     head = ", ".join(f"{k} {types[k]}" for k in keys)
-    shared = [*keys, "block"]
+    result = "double" if op in ("Mean", "Variance", "StandardDeviation") else number
 
-    def arrays(batch: pa.RecordBatch, name: str) -> list[np.ndarray]:
-        lists = batch.column(name)
-        ends = lists.offsets.to_numpy()
-        values = lists.values.to_numpy(zero_copy_only=False)
-        return [values[a:b] for a, b in zip(ends, ends[1:])]
+    def merged(a: tuple, b: tuple) -> tuple:
+        size = min(len(a[0]), len(b[0]))
+        return fold.merge(tuple(x[:size] for x in a), tuple(x[:size] for x in b))
 
-    def table(found: list[tuple], cells: list[list[np.ndarray]], key_types: list, columns,
-              with_block: bool) -> pa.RecordBatch:
+    def table(found: list[tuple], key_types: list, columns: list[pa.Array], names_: list[str]) -> pa.RecordBatch:
         out = [pa.array([k[i] for k in found], t) for i, t in enumerate(key_types)]
-        if with_block:
-            out.append(pa.array([k[-1] for k in found], pa.int32()))
-        for column in cells:
-            sizes = np.cumsum([0, *map(len, column)]).astype(np.int32)
-            joined = np.concatenate(column)
-            out.append(pa.ListArray.from_arrays(
-                pa.array(sizes), pa.array(joined, mask=np.isnan(joined))))
-        return pa.RecordBatch.from_arrays(out, columns)
+        return pa.RecordBatch.from_arrays([*out, *columns], [*keys, *names_])
+
+    def states(batch: pa.RecordBatch) -> Iterator[tuple]:
+        """Rows of partial results."""
+        parts = []
+        for name in names:
+            values, _, ends = read_cells(batch.column(name))
+            parts.append([values[a:b] for a, b in zip(ends, ends[1:])])
+        return zip(*parts)
 
     def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, tuple] = {}
         key_types: list = []
 
         def passed_on() -> pa.RecordBatch:
-            found = [(*key, b) for key in held for b in range(blocks)]
-            cells = [[state[i][cuts[b]:cuts[b + 1]] for state in held.values()
-                      for b in range(blocks)] for i in range(width)]
-            return table(found, cells, key_types, [*shared, *names], True)
+            columns = [write_cells([state[i] for state in held.values()]) for i in range(len(names))]
+            return table(list(held), key_types, columns, names)
 
         for batch in batches:
             key_types = [batch.schema.field(k).type for k in keys]
             found = zip(*[batch.column(k).to_pylist() for k in keys])
             ranks = batch.column("rank").to_pylist()
-            for key, v, r in zip(found, arrays(batch, "flat"), ranks):
-                # a copy, or one tile would hold on to its whole batch
-                state = start(op, v if key in held else v.copy(), r)
-                held[key] = combine(op, held[key], state) if key in held else state
-                if len(held) * n * 8 * width > HELD_BYTES:
+            values, ok, ends = read_cells(batch.column("flat"))
+            for key, r, a, b in zip(found, ranks, ends, ends[1:]):
+                state = fold.lift(values[a:b], ok[a:b], r)
+                held[key] = merged(held[key], state) if key in held else state
+                if len(held) * n * 8 * len(names) > HELD_BYTES:
                     yield passed_on()
                     held.clear()
         if held:
@@ -128,33 +212,31 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str,
 
     def after(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, state, key_types = None, None, []
+
+        def finished(done: list[tuple]) -> pa.RecordBatch:
+            ends = [fold.finish(s) for _, s in done]
+            return table([k for k, _ in done], key_types, [write_cells([v for v, _ in ends], [o for _, o in ends])], ["flat"])
+
         for batch in batches:
             key_types = [batch.schema.field(k).type for k in keys]
             done: list[tuple] = []
-            found = zip(*[batch.column(k).to_pylist() for k in shared])
-            for key, *parts in zip(found, *[arrays(batch, name) for name in names]):
-                part = tuple(parts)
+            found = zip(*[batch.column(k).to_pylist() for k in keys])
+            for key, part in zip(found, states(batch)):
                 if key == last:
-                    state = combine(op, state, part)
+                    state = merged(state, part)
                     continue
                 if last is not None:
-                    done.append((last, finish(op, state)))
+                    done.append((last, state))
                 last, state = key, tuple(x.copy() for x in part)
             if done:
-                yield table([k for k, _ in done], [[v for _, v in done]], key_types,
-                            [*shared, "flat"], True)
+                yield finished(done)
         if last is not None:
-            yield table([last], [[finish(op, state)]], key_types, [*shared, "flat"], True)
-
-    listed = ", ".join(f"{name} array<double>" for name in names)
-    partial = rows.mapInArrow(before, f"{head}, block int, {listed}")
-    met = partial.repartition(*shared).sortWithinPartitions(*shared)
-    folded = met.mapInArrow(after, f"{head}, block int, flat array<double>")
-    if blocks == 1:
-        return folded.drop("block")
-    parts = folded.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct("block", "flat"))).alias("parts"))
-    return parts.select(*keys, F.flatten(F.transform("parts", lambda p: p["flat"])).alias("flat"))
+            yield finished([(last, state)])
+
+    listed = ", ".join(f"{name} array<{t}>" for name, t in zip(names, fold.types))
+    partial = rows.mapInArrow(before, f"{head}, {listed}")
+    met = partial.repartition(*keys).sortWithinPartitions(*keys)
+    return met.mapInArrow(after, f"{head}, flat array<{result}>")
 
 
 def shared_bands(n_cells: int, element: str) -> Column:

@@ -153,10 +153,10 @@ def local_add_all(layers: Sequence[Layer]) -> Layer:
     kind = CellType.parse("float64" if any(t.is_floating for t in tiles) else "int32")
     bands = min(t.meta.bands for t in tiles)
     n = first.meta.layout.tile_cells
-    flat = [t.df.select(*first.keys, F.flatten(F.slice("bands", 1, bands)).cast("array<double>")
+    flat = [t.df.select(*first.keys, F.flatten(F.slice("bands", 1, bands)).cast(f"array<{kind.compute_type}>")
                         .alias("flat")) for t in tiles]
     summed = fold_tiles(reduce(DataFrame.unionByName, flat), first.keys, F.col("flat"), n * bands,
-                        "Sum")
+                        "Sum", kind.compute_type)
     return first.with_df(summed.select(*first.keys, unflatten(
         n, bands, kind.compute_type).alias("bands")), cell_type=kind, bands=bands)
 

@@ -1,9 +1,7 @@
 """Resampling: retile, resize, reproject, stitch and pyramid.
 
-Cells are scattered from the source: each source block (a tile or a scene) generates the target
-cells it can contribute to and adds its part of their value. Where several blocks meet in a target
-cell the parts are summed by a ``groupBy`` that combines before its shuffle. So there is no join,
-no gathered window, and nothing that grows with the layer in one task.
+Source blocks (tiles or scenes) work out their part of the target tiles they reach as arrays, and one
+shuffle brings the parts together (``scatter``). Mode and Median count values per target cell instead.
 """
 
 from __future__ import annotations
@@ -18,13 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import projection, stencils
-from ..functions.kernels import AGGREGATES, kernel_weight, least_weight, support
+from ..functions.kernels import AGGREGATES
 from ..model import (CellType, Extent, GlobalLayout, Layer, Layout, LocalLayout, Meta,
                      global_level)
 from ..plans.lineage import run_folder, through_table
 from .focal import nullable_lists, padded_windows
 from .fold import fold_tiles, shared_bands, unflatten
-from .geometry import explode_range
+from .scatter import scattered
 from .shape import to_cells, to_tiles, unnest
 
 # The ten method names.
@@ -54,93 +52,6 @@ def _blocks(layer: Layer) -> tuple[DataFrame, list[str]]:
     return df, instant
 
 
-def _target_cells(blocks: DataFrame, target: Layout, warp: tuple[int, int],
-                  margin: int) -> DataFrame:
-    """Target cells whose centre falls in a block widened by ``margin`` source cells.
-
-    ``warp`` is the CRS of the source and of the target. Adds the target cell (x, y) and its place
-    (u, v) in source cells.
-    """
-    source, goal = warp
-    x0 = F.col("left") + (F.col("ox") - margin) * F.col("cw")
-    x1 = F.col("left") + (F.col("ox") + F.col("cols") + margin) * F.col("cw")
-    y1 = F.col("top") - (F.col("oy") - margin) * F.col("ch")
-    y0 = F.col("top") - (F.col("oy") + F.col("rows") + margin) * F.col("ch")
-    mids = [] if source == goal else [0.5]
-    at = F.array(*[F.struct((x0 + (x1 - x0) * i).alias("x"), (y0 + (y1 - y0) * j).alias("y"))
-                   for i in (0.0, *mids, 1.0) for j in (0.0, *mids, 1.0)])
-
-    def placed(p: Column) -> Column:
-        gx, gy = target.to_grid(*projection.transform_xy(p["x"], p["y"], source, goal))
-        return F.struct(gx.alias("gx"), gy.alias("gy"))
-
-    places = F.transform(at, placed)
-    ends = {"_gx0": F.array_min(F.transform(places, lambda p: p["gx"])),
-            "_gx1": F.array_max(F.transform(places, lambda p: p["gx"])),
-            "_gy0": F.array_min(F.transform(places, lambda p: p["gy"])),
-            "_gy1": F.array_max(F.transform(places, lambda p: p["gy"]))}
-    frame = blocks.select("*", F.inline(F.array(F.struct(
-        *[c.alias(n) for n, c in ends.items()]))))
-    # borders may bulge between the sampled points
-    slack = F.lit(0.0 if source == goal else 0.1)
-
-    def limits(a: str, b: str, top: int) -> tuple[Column, Column]:
-        bulge = (F.col(b) - F.col(a)) * slack
-        return (F.greatest(F.floor(F.col(a) - bulge) - 1, F.lit(0)),
-                F.least(F.ceil(F.col(b) + bulge) + 1, F.lit(top - 1)))
-
-    frame = explode_range(frame, "x", *limits("_gx0", "_gx1", target.cols))
-    frame = explode_range(frame, "y", *limits("_gy0", "_gy1", target.rows))
-    frame = projection.with_transformed(frame, *target.centre_of(F.col("x"), F.col("y")), goal,
-                                        source, ("_sx", "_sy"))
-    frame = frame.withColumns({"u": (F.col("_sx") - F.col("left")) / F.col("cw") - F.col("ox"),
-                               "v": (F.col("top") - F.col("_sy")) / F.col("ch") - F.col("oy")})
-    near = (F.col("u").between(F.lit(-margin), F.col("cols") + margin)
-            & F.col("v").between(F.lit(-margin), F.col("rows") + margin))
-    return frame.where(near).drop(*ends, "left", "top", "cw", "ch", "_sx", "_sy")
-
-
-def _inside(x: Column, y: Column) -> Column:
-    return (x >= 0) & (x < F.col("cols")) & (y >= 0) & (y < F.col("rows"))
-
-
-def _nearest(blocks, ids, target, warp) -> DataFrame:
-    cells = _target_cells(blocks, target, warp, 0)
-    px, py = F.floor("u"), F.floor("v")
-    picked = cells.where(_inside(px, py)).select(
-        *ids, "x", "y", "bands", (py * F.col("cols") + px).cast("int").alias("i"))
-    rows = unnest(picked, [*ids, "x", "y", "i"], "bands", "band", "cells")
-    return (rows.select(*ids, "x", "y", "band", F.get("cells", F.col("i")).alias("v"))
-            .where(F.col("v").isNotNull()))
-
-
-def _weighted(blocks, ids, target, warp, method: str, whole: bool) -> DataFrame:
-    """Kernel methods: weights are renormalised over the data cells, if these carry enough weight;
-    a target cell exists when its centre lies in a block. ``whole`` blocks (scenes) stand alone."""
-    a = support(method)
-    cells = _target_cells(blocks, target, warp, 0 if whole else a)
-    home = _inside(F.floor("u"), F.floor("v"))
-    cells = cells.withColumn("home", home.cast("int"))
-    if whole:
-        cells = cells.where("home = 1")
-    steps = F.sequence(F.lit(1 - a), F.lit(a))
-    px, py = F.floor(F.col("u") - 0.5) + F.col("dx"), F.floor(F.col("v") - 0.5) + F.col("dy")
-    weight = (kernel_weight(method, F.col("u") - 0.5 - px)
-              * kernel_weight(method, F.col("v") - 0.5 - py))
-    taps = (cells.withColumn("dx", F.explode(steps)).where((px >= 0) & (px < F.col("cols")))
-            .withColumn("dy", F.explode(steps)).where((py >= 0) & (py < F.col("rows")))
-            .select(*ids, "x", "y", "home", "bands", weight.alias("w"),
-                    (py * F.col("cols") + px).cast("int").alias("i")))
-    rows = unnest(taps, [*ids, "x", "y", "home", "w", "i"], "bands", "band", "cells")
-    v = F.get("cells", F.col("i")).cast("double")
-    sums = (rows.select(*ids, "x", "y", "band", "home", F.when(v.isNotNull(), F.col("w")).alias("w"),
-                        (v * F.col("w")).alias("wv"))
-            .groupBy(*ids, "x", "y", "band")
-            .agg(F.sum("wv").alias("wv"), F.sum("w").alias("w"), F.max("home").alias("home")))
-    return (sums.where((F.col("home") == 1) & (F.col("w") > least_weight(method)))
-            .select(*ids, "x", "y", "band", (F.col("wv") / F.col("w")).alias("v")))
-
-
 def _aggregated(blocks, ids, target, warp, method: str) -> DataFrame:
     """Aggregating methods: every source cell belongs to the target cell its centre falls in."""
     keep = [*ids, "cols", "ox", "oy", "left", "top", "cw", "ch"]
@@ -190,9 +101,9 @@ def unique_keys(layer: Layer) -> Layer:
     keys, meta = layer.keys, layer.meta
     if layer.kind != "tile" or layer.df.groupBy(*keys).count().where("count > 1").isEmpty():
         return layer
-    rank = F.col("priority") if "priority" in layer.df.columns else F.lit(0.0)
-    n = meta.layout.tile_cells
-    folded = fold_tiles(layer.df, keys, F.flatten("bands"), n * meta.bands, "First", rank)
+    rank = F.col("priority") if "priority" in layer.df.columns else F.lit(0)
+    n, number = meta.layout.tile_cells, meta.cell_type.compute_type
+    folded = fold_tiles(layer.df, keys, F.flatten("bands"), n * meta.bands, "First", number, rank)
     return layer.with_df(folded.select(*keys, shared_bands(n, meta.cell_type.compute_type).alias("bands")))
 
 
@@ -203,169 +114,41 @@ def _with_data(keys: pa.RecordBatch, flat: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*kept.columns, nullable_lists(flat[some])], [*kept.schema.names, "flat"])
 
 
-def _rekey(layer: Layer, target: Layout, shift: tuple[int, int], kind: CellType) -> Layer:
-    """Tiles cut along the lines of another tiling of the same cells.
-
-    Every source tile is cut into the parts that lie in a target tile, one shuffle brings these
-    together; what meets is one target tile.
-    """
-    at, bands = layer.meta.layout, layer.meta.bands
-    tc, tr, rows, cols = at.tile_cols, at.tile_rows, target.tile_rows, target.tile_cols
-    instant = ["instant"] if layer.meta.temporal else []
-    frame = layer.df.select(*instant, "bands",
-                            (F.col("col").cast("bigint") * tc + shift[0]).alias("_gx"),
-                            (F.col("row").cast("bigint") * tr + shift[1]).alias("_gy"))
-
-    def parts(df: DataFrame, name: str, start: str, size: int, whole: int, most: int):
-        return explode_range(df, name, F.greatest(F.floor(F.col(start) / whole), F.lit(0)),
-                             F.least(F.floor((F.col(start) + size - 1) / whole), F.lit(most - 1)))
-
-    frame = parts(frame, "_c", "_gx", tc, cols, target.layout_cols)
-    frame = parts(frame, "_r", "_gy", tr, rows, target.layout_rows)
-    low = lambda start, key, whole: F.greatest(F.col(key) * whole - F.col(start), F.lit(0))
-    high = lambda start, key, whole, size: F.least((F.col(key) + 1) * whole - F.col(start), F.lit(size))
-    frame = frame.withColumns({
-        "_x0": low("_gx", "_c", cols).cast("int"), "_x1": high("_gx", "_c", cols, tc).cast("int"),
-        "_y0": low("_gy", "_r", rows).cast("int"), "_y1": high("_gy", "_r", rows, tr).cast("int")})
-    frame = frame.withColumns({
-        "_w": F.col("_x1") - F.col("_x0"), "_h": F.col("_y1") - F.col("_y0"),
-        "_px": (F.col("_gx") + F.col("_x0") - F.col("_c") * cols).cast("int"),
-        "_py": (F.col("_gy") + F.col("_y0") - F.col("_r") * rows).cast("int")})
-
-    def piece(cells: Column, band: Column) -> Column:
-        lines = F.transform(F.sequence(F.col("_y0"), F.col("_y1") - 1), lambda y: F.slice(
-            cells, y * tc + F.col("_x0") + 1, F.col("_w")))
-        return F.struct(F.col("_px").alias("px"), (F.col("_py") + band * rows).alias("py"),
-                        F.col("_w").alias("w"), F.col("_h").alias("h"),
-                        F.flatten(lines).cast("array<double>").alias("vals"))
-
-    keys = ["col", "row", *instant]
-    cut = frame.select(F.col("_c").cast("int").alias("col"), F.col("_r").cast("int").alias("row"),
-                       *instant, F.explode(F.transform("bands", piece)).alias("piece"))
-    grouped = cut.groupBy(*keys).agg(F.collect_list("piece").alias("pieces"))
-    types = dict(grouped.dtypes)
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            whole = padded_windows(batch.column("pieces"), rows * bands, cols, 0)
-            yield _with_data(batch.select(keys), whole.reshape(len(batch), rows * bands * cols))
-
-    done = grouped.mapInArrow(assemble, ", ".join([*(f"{k} {types[k]}" for k in keys),
-                                                   "flat array<double>"]))
-    return layer.with_df(done.select(*keys, unflatten(rows * cols, bands, kind.compute_type)
-                                     .alias("bands")), "tile",
-                         layout=target, cell_type=kind, bounds=None)
-
-
-def _large_scenes(layer: Layer, target: Layout) -> bool:
-    """Whether scenes fill a good part of the tiles they touch, on average."""
-    cw = (F.col("xmax") - F.col("xmin")) / target.cell_width
-    ch = (F.col("ymax") - F.col("ymin")) / target.cell_height
-    size = layer.base.agg(F.avg(cw * ch)).first()[0]
-    return size is not None and size * 8 >= target.tile_cells
-
-
-def _scenes_to_tiles(layer: Layer, target: Layout) -> Layer:
-    """Scenes cut into target tiles by nearest neighbour and merged as arrays, lowest id first."""
-    instant = ["instant"] if layer.meta.temporal else []
-    blocks, _ = _blocks(layer)
-    bands, tc, tr = layer.meta.bands, target.tile_cols, target.tile_rows
-    blocks = blocks.select("priority", *instant, "cols", "rows", "left", "top", "cw", "ch",
-                           F.flatten("bands").cast("array<double>").alias("flat"))
-    types = dict(blocks.dtypes)
-    x_min, y_max = target.extent.xmin, target.extent.ymax
-    tcw, tch = target.cell_width, target.cell_height
-
-    def hits(start: float, size: float, n: int, origin: float, step: float, most: int, sign: int):
-        """Target cells along one axis whose centre lies in a block, and the source cell of each."""
-        low = sign * (start - origin) / step
-        at = np.arange(max(0, math.floor(low) - 1), min(most, math.ceil(low + n * size / step) + 1))
-        centre = origin + sign * (at + 0.5) * step
-        cell = np.floor(sign * (centre - start) / size).astype(np.int64)
-        inside = (cell >= 0) & (cell < n)
-        return at[inside], cell[inside]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("flat")
-            ends, cells = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-            facts = {c: batch.column(c).to_pylist() for c in ("cols", "rows", "left", "top", "cw",
-                                                              "ch")}
-            rows: list[tuple[int, int, int]] = []
-            arrays: list[np.ndarray] = []
-
-            def passed_on() -> pa.RecordBatch:
-                source = pa.array([i for i, _, _ in rows])
-                kept = [batch.column(c).take(source) for c in ("priority", *instant)]
-                return pa.RecordBatch.from_arrays(
-                    [*kept, pa.array([c for _, c, _ in rows], pa.int32()),
-                     pa.array([r for _, _, r in rows], pa.int32()),
-                     nullable_lists(np.stack(arrays).reshape(len(rows), -1))],
-                    ["priority", *instant, "col", "row", "flat"])
-
-            for i in range(len(batch)):
-                n, m, left, top, cw, ch = (facts[c][i] for c in facts)
-                xs, gx = hits(left, cw, n, x_min, tcw, target.cols, 1)
-                ys, gy = hits(top, ch, m, y_max, tch, target.rows, -1)
-                scene = cells[ends[i]:ends[i + 1]].reshape(bands, m, n)
-                for row in np.unique(ys // tr):
-                    here = ys // tr == row
-                    lines = scene[:, gy[here]]
-                    for col in np.unique(xs // tc):
-                        there = xs // tc == col
-                        tile = np.full((bands, tr, tc), np.nan)
-                        tile[:, (ys[here] % tr)[:, None], xs[there] % tc] = lines[:, :, gx[there]]
-                        if not np.isnan(tile).all():
-                            rows.append((i, int(col), int(row)))
-                            arrays.append(tile)
-                if len(arrays) * bands * tr * tc * 8 > stencils.BLOCK_BYTES:
-                    yield passed_on()
-                    rows, arrays = [], []
-            if rows:
-                yield passed_on()
-
-    schema = ", ".join([*(f"{c} {types[c]}" for c in ("priority", *instant)), "col int", "row int",
-                        "flat array<double>"])
-    keys = ["col", "row", *instant]
-    merged = fold_tiles(blocks.mapInArrow(cut, schema), keys, F.col("flat"), bands * tr * tc,
-                        "First", F.col("priority"))
-    tiles = merged.select(*keys, unflatten(tr * tc, bands, layer.meta.cell_type.compute_type)
-                          .alias("bands"))
-    return layer.with_df(tiles, "tile", layout=target, bounds=None)
-
-
 def _scatter(layer: Layer, target: Layout, method: str, warp: tuple[int, int] = (0, 0)) -> Layer:
-    """Cells of ``layer`` on another grid. Overlapping scenes: the lowest scene_id wins."""
+    """``layer`` on another grid. Overlapping scenes: the lowest scene_id wins, then the smaller value."""
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}")
     kind = layer.meta.cell_type if method in SELECTING else CellType.parse("float64")
-    layer = unique_keys(layer)
-    if layer.kind == "tile" and warp[0] == warp[1] and method != "CubicSpline":
-        shift = _shift(layer.meta.layout, target)
-        if shift is not None:  # every cell is its own value, by any method that does not smooth
-            return _rekey(layer, target, shift, kind)
-    if (layer.kind == "scene" and warp[0] == warp[1] and method == "NearestNeighbor"
-            and _large_scenes(layer, target)):
-        return _scenes_to_tiles(layer, target)
+    if layer.kind == "cell":
+        layer = to_tiles(layer)
+    if layer.kind == "tile" and warp[0] == warp[1] and method != "CubicSpline" and _shift(layer.meta.layout, target):
+        method = "NearestNeighbor"  # every cell is its own value, by any method that does not smooth
+    if method != "NearestNeighbor":
+        layer = unique_keys(layer)
+    if method in ("Mode", "Median"):
+        return _counted(layer, target, warp, method, kind)
+    out = scattered(layer, target, method, kind, warp)
+    if out.meta.layout == target:
+        return out
+    cells = to_cells(out)  # a target tile too large to be held
+    return cells.with_df(cells.df.where((F.col("x") < target.cols) & (F.col("y") < target.rows)), layout=target)
+
+
+def _counted(layer: Layer, target: Layout, warp: tuple[int, int], method: str, kind: CellType) -> Layer:
+    """Mode and Median: values travel counted, as cells."""
     blocks, ids = _blocks(layer)
-    if method == "NearestNeighbor":
-        cells = _nearest(blocks, ids, target, warp)
-    elif method in AGGREGATES:
-        cells = _aggregated(blocks, ids, target, warp, method)
-    else:
-        cells = _weighted(blocks, ids, target, warp, method, layer.kind == "scene")
+    cells = _aggregated(blocks, ids, target, warp, method)
     if layer.kind == "scene":
         keys = [k for k in ids if k != "priority"]
         cells = (cells.groupBy("x", "y", *keys, "band")
-                 .agg(F.min_by("v", "priority").alias("v")))
+                 .agg(F.min_by("v", F.struct("priority", "v")).alias("v")))
     instant = ["instant"] if layer.meta.temporal else []
     cells = cells.select("x", "y", *instant, "band", F.col("v").cast(kind.compute_type))
     return layer.with_df(cells, "cell", layout=target, cell_type=kind, bounds=None)
 
 
 def resample(layer: Layer, layout: Layout, method: str = "NearestNeighbor") -> Layer:
-    """The layer on another grid of the same CRS, as cells; as tiles where whole cells only change
-    their tile."""
+    """The layer on another grid of the same CRS: as tiles, by Mode and Median as cells."""
     return _scatter(layer, layout, method)
 
 
@@ -417,8 +200,8 @@ def tile_to_layout(layer: Layer, layout, method: str = "NearestNeighbor",
 def reproject(layer: Layer, epsg: int, layout=None, method: str = "NearestNeighbor") -> Layer:
     """The layer in another CRS.
 
-    Inverse mapping: each source block generates the target cells its envelope covers and looks
-    their centres up in itself. ``layout`` may be a layout or a layout type; without one, local
+    Inverse mapping: each source block finds the target tiles that its envelope, sampled and widened by
+    a bound on its bulge, covers, and looks their cells' centres up in itself. ``layout`` may be a layout or a layout type; without one, local
     256-cell tiles at about the source resolution are used.
     """
     source = single_epsg(layer)

@@ -21,16 +21,137 @@ def scenes(spark, rows, temporal=False):
 
 
 @pytest.mark.parametrize("step", [1.0, 0.7, 1.6])
-def test_scenes_as_arrays_equal_scenes_as_cells(spark, monkeypatch, step):
-    from rastertable.operators import resample
-    layer = scenes(spark, [(n, 3 * n % 7 + 0.3, -2 * n % 5 - 0.2, random_raster(6, 5, n))
-                           for n in range(8)])
-    target = rt.Layout(rt.Extent(-1.0, -20 * step, 20 * step - 1.0, 0.0), 5, 5, 4, 4)
-    fast = rt.tile_to_layout(layer, target)
-    monkeypatch.setattr(resample, "_large_scenes", lambda *a: False)
-    slow = rt.tile_to_layout(layer, target)
-    np.testing.assert_array_equal(as_array(fast, 20, 20), as_array(slow, 20, 20))
-    assert np.isfinite(as_array(fast, 20, 20)).sum() > 20
+@pytest.mark.parametrize("tile", [2, 10, 50])
+def test_scenes_by_nearest_neighbour(spark, step, tile):
+    """The lowest id that has data, by any size of tile; of equal ids the smaller value."""
+    placed = [(n // 2, 3 * n % 7 + 0.3, -2 * n % 5 - 0.2, random_raster(6, 5, n)) for n in range(8)]
+    n = 50
+    target = rt.Layout(rt.Extent(-1.0, -n * step, n * step - 1.0, 0.0), n // tile, n // tile, tile, tile)
+    want = np.full((n, n), np.nan)
+    for y in range(n):
+        for x in range(n):
+            found = []
+            for scene, left, top, a in placed:
+                i, j = int(np.floor(-1.0 + (x + 0.5) * step - left)), int(np.floor(top + (y + 0.5) * step))
+                if 0 <= i < a.shape[1] and 0 <= j < a.shape[0] and not np.isnan(a[j, i]):
+                    found.append((scene, a[j, i]))
+            want[y, x] = min(found)[1] if found else np.nan
+    for rows in (placed, placed[::-1]):
+        got = rt.tile_to_layout(scenes(spark, rows), target)
+        np.testing.assert_array_equal(as_array(got, n, n), want)
+    assert np.isfinite(want).sum() > 20
+
+
+def plain_kernel(a, target_n, method):
+    """A square raster resampled to ``target_n`` cells: kernel weights over data cells, bilinear ones
+    where these carry 0.3 or less."""
+    from rastertable.functions.kernels import SUPPORT, kernel_array, least_weight, negative_lobes
+    n, out = len(a), np.full((target_n, target_n), np.nan)
+    for y in range(target_n):
+        for x in range(target_n):
+            u, v = ((p + 0.5) * n / target_n for p in (x, y))
+            for kernel in (method, "Bilinear")[:2 if negative_lobes(method) else 1]:
+                r, w, wv = SUPPORT[method], 0.0, 0.0
+                for j in range(int(np.floor(v - 0.5)) + 1 - r, int(np.floor(v - 0.5)) + r + 1):
+                    for i in range(int(np.floor(u - 0.5)) + 1 - r, int(np.floor(u - 0.5)) + r + 1):
+                        if 0 <= i < n and 0 <= j < n and not np.isnan(a[j, i]):
+                            k = kernel_array(kernel, np.array(u - 0.5 - i)) * kernel_array(kernel, np.array(v - 0.5 - j))
+                            w, wv = w + k, wv + k * a[j, i]
+                if w > least_weight(kernel):
+                    out[y, x] = wv / w
+                    break
+    return out
+
+
+@pytest.mark.parametrize("method", ["Bilinear", "CubicConvolution", "CubicSpline", "Lanczos"])
+@pytest.mark.parametrize("tile", [5, 10, 20])
+def test_kernels_with_gaps(spark, method, tile):
+    """Across tile borders and beside NoData; no kernel loses a cell that Bilinear fills."""
+    a = random_raster(16, 16, 8, gaps=0.3)
+    layer = cell_layer(spark, a)
+    target = replace(layer.meta.layout, layout_cols=20 // tile, layout_rows=20 // tile, tile_cols=tile, tile_rows=tile)
+    got = as_array(rt.resample(layer, target, method), 20, 20)
+    np.testing.assert_allclose(got, plain_kernel(a, 20, method), rtol=1e-9)
+    assert not (np.isnan(got) & ~np.isnan(plain_kernel(a, 20, "Bilinear"))).any()
+    scene = scenes(spark, [(1, 0, 0, a)])
+    np.testing.assert_allclose(as_array(rt.tile_to_layout(scene, target, method), 20, 20), plain_kernel(a, 20, method), rtol=1e-9)
+
+
+@pytest.mark.parametrize("method", ["NearestNeighbor", "Bilinear", "Lanczos", "Average", "Max"])
+@pytest.mark.parametrize("grain", [1 << 18, 50])
+def test_reprojection_against_formulas(spark, monkeypatch, method, grain):
+    """Every target cell looked up on its own, from a coarse and a fine grid, in tiles and in blocks."""
+    from rastertable.operators import scatter
+    monkeypatch.setattr(scatter, "GRAIN", grain)
+    a = random_raster(16, 16, 9)
+    step = 0.01
+    at = rt.Layout(rt.Extent(2.0, 50.0, 2.0 + 16 * step, 50.0 + 16 * step), 4, 4, 4, 4)
+    layer = cell_layer(spark, a)
+    layer = layer.with_df(layer.df, layout=at, epsg=4326)
+    corners = [transform(x, y, 4326, 32631) for x in (2.0, 2.16) for y in (50.0, 50.16)]
+    xs, ys = [c[0] for c in corners], [c[1] for c in corners]
+    n = 24
+    target = rt.Layout(rt.Extent(min(xs) - 900, min(ys) - 900, max(xs) + 900, max(ys) + 900), 3, 3, 8, 8)
+    want = np.full((n, n), np.nan)
+    if method in ("Average", "Max"):
+        found = {}
+        for j, i in zip(*np.nonzero(~np.isnan(a))):
+            x, y = transform(2.0 + (i + 0.5) * step, 50.16 - (j + 0.5) * step, 4326, 32631)
+            key = int((target.extent.ymax - y) // target.cell_height), int((x - target.extent.xmin) // target.cell_width)
+            found.setdefault(key, []).append(a[j, i])
+        for key, v in found.items():
+            want[key] = np.mean(v) if method == "Average" else max(v)
+    else:
+        from rastertable.functions.kernels import SUPPORT, kernel_array
+        for y in range(n):
+            for x in range(n):
+                lon, lat = transform(target.extent.xmin + (x + 0.5) * target.cell_width,
+                                     target.extent.ymax - (y + 0.5) * target.cell_height, 32631, 4326)
+                u, v = (lon - 2.0) / step, (50.16 - lat) / step
+                if not (0 <= u < 16 and 0 <= v < 16):
+                    continue
+                if method == "NearestNeighbor":
+                    want[y, x] = a[int(v), int(u)]
+                    continue
+                for kernel, least in ((method, 0.3 if method == "Lanczos" else 1e-9), ("Bilinear", 1e-9)):
+                    r, w, wv = SUPPORT[method], 0.0, 0.0
+                    for j in range(max(0, int(np.floor(v - 0.5)) + 1 - r), min(16, int(np.floor(v - 0.5)) + r + 1)):
+                        for i in range(max(0, int(np.floor(u - 0.5)) + 1 - r), min(16, int(np.floor(u - 0.5)) + r + 1)):
+                            if not np.isnan(a[j, i]):
+                                k = float(kernel_array(kernel, np.array(u - 0.5 - i)) * kernel_array(kernel, np.array(v - 0.5 - j)))
+                                w, wv = w + k, wv + k * a[j, i]
+                    if w > least:
+                        want[y, x] = wv / w
+                        break
+    got = as_array(rt.reproject(layer, 32631, target, method), n, n)
+    np.testing.assert_allclose(got, want, rtol=1e-9)
+    assert np.isfinite(want).sum() > 100
+
+
+def test_resampling_plan_moves_arrays(spark):
+    """No exchange whose rows are cells."""
+    layer = rt.to_tiles(cell_layer(spark, random_raster(16, 16, 1)))
+    target = replace(layer.meta.layout, tile_cols=3, tile_rows=3)
+    plan = rt.resample(layer, target, "Lanczos").df._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    resampled = physical[:physical.rindex("MapInArrow")]
+    assert resampled.count("Exchange hashpartitioning(col") == 1 and "Exchange hashpartitioning(x" not in physical
+
+
+@pytest.mark.parametrize("order", [1, -1])
+def test_merge_does_not_depend_on_the_order_of_rows(spark, order):
+    rows = [(0, 0, 0, 5), (0, 0, 0, 3), (1, 0, 0, 2**53 + 1), (1, 0, 0, 2**53 + 2)][::order]
+    meta = cell_layer(spark, np.ones((4, 4))).meta
+    cells = rt.from_cells(spark.createDataFrame(rows, "x bigint, y bigint, band int, v bigint").coalesce(1), meta)
+    assert {r["x"]: r["v"] for r in rt.merge(cells).df.collect()} == {0: 3, 1: 2**53 + 1}
+    tiles = [[(2**53 + 1), 5], [2**53 + 2, 3]][::order]
+    df = spark.createDataFrame([(0, 0, [[a, b, None, a]]) for a, b in tiles], "col int, row int, bands array<array<bigint>>")
+    small = rt.from_tiles(df.coalesce(1), rt.Meta(rt.CellType.parse("int32"), layout(2, 2, 2), 3857, 1))
+    merged = rt.merge(small).df.first()["bands"][0]
+    assert list(merged) == [2**53 + 1, 3, None, 2**53 + 1]
+    found = {op: list(rt.aggregate_by_cell(small, op).df.first()["bands"][0]) for op in ("Min", "Max", "Sum", "Mean")}
+    assert found["Min"] == [2**53 + 1, 3, None, 2**53 + 1] and found["Max"][0] == 2**53 + 2
+    assert found["Sum"] == [2**54 + 3, 8, None, 2**54 + 3] and found["Mean"][1] == 4.0
 
 
 def test_overlapping_scenes_merge_by_id(spark):
@@ -235,10 +356,14 @@ def test_mixed_band_counts_keep_what_all_have(spark):
     assert list(summed[0]["bands"][0]) == [6] * 16
 
 
-def test_scenes_without_data_make_no_tile(spark, monkeypatch):
-    from rastertable.operators import resample
+def test_scenes_without_data_make_no_tile(spark):
     layer = scenes(spark, [(1, 0, 0, np.full((4, 4), 3.0)), (2, 4, -4, np.full((4, 4), np.nan))])
-    for large in (True, False):
-        monkeypatch.setattr(resample, "_large_scenes", lambda *a, large=large: large)
-        found = rt.tile_to_layout(layer, layout(8, 8)).df.select("col", "row").collect()
-        assert [tuple(r) for r in found] == [(0, 0)]
+    found = rt.tile_to_layout(layer, layout(8, 8)).df.select("col", "row").collect()
+    assert [tuple(r) for r in found] == [(0, 0)]
+
+
+def test_scene_ids_are_whole_numbers(spark):
+    layer = scenes(spark, [(1, 0, 0, np.full((4, 4), 3.0))])
+    named = layer.with_df(layer.df.withColumn("scene_id", F.lit("a")))
+    with pytest.raises(ValueError, match="whole number"):
+        rt.tile_to_layout(named, layout(8, 8))
