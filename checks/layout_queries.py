@@ -399,7 +399,36 @@ def _(spark, sf):
     return rounded(cells(rt.euclidean_distance(TALL, 3857, polygons=map_edges(spark, sf))))
 
 
-@query("cost_distance")
+# Least costs grow from the sources cell by cell; what fell in one step goes on in the next.
+def _least_costs(sources: str, limit: str) -> str:
+    return f"""WITH RECURSIVE friction AS MATERIALIZED (SELECT * FROM fx1b0), cost(x, y, d) USING KEY (x, y) AS (
+      SELECT x, y, CAST(0 AS DOUBLE) AS d FROM friction SEMI JOIN ({sources}) s USING (x, y)
+      UNION
+      SELECT x, y, min(d) AS d FROM (
+        SELECT f.x, f.y, c.d + m.len * (g.v + f.v) / 2 AS d FROM cost c JOIN friction g ON g.x = c.x AND g.y = c.y
+        CROSS JOIN (SELECT dx, dy, sqrt(dx * dx + dy * dy) AS len FROM (SELECT unnest([-1, 0, 1]) AS dx) a,
+          (SELECT unnest([-1, 0, 1]) AS dy) b WHERE dx <> 0 OR dy <> 0) m
+        JOIN friction f ON f.x = c.x + m.dx AND f.y = c.y + m.dy) n
+      LEFT JOIN (SELECT x AS kx, y AS ky, d AS kd FROM recurring.cost) k ON kx = x AND ky = y
+      WHERE (kd IS NULL OR d < kd) {limit} GROUP BY x, y)
+    SELECT x, y, 0 AS band, round(d, 6) AS v FROM cost"""
+
+
+_AT_POINTS = "SELECT CAST(floor(x) AS BIGINT) AS x, CAST(floor(y) AS BIGINT) AS y FROM pt1"
+
+
+@query("cost_distance", "fx1b0 pt1", _least_costs(_AT_POINTS, "AND d <= 400"))
 def _(spark, sf):
-    """Compared with Dijkstra on a small fixture in tests."""
     return rounded(cells(rt.cost_distance(fx1_cells(spark, sf), map_points(spark, sf), 400.0)))
+
+
+@query("cost_distance_unlimited", "fx1b0 pt1", _least_costs(_AT_POINTS + " WHERE point_id % 8 = 0", ""))
+def _(spark, sf):
+    """From one point in eight, as far as data goes."""
+    return rounded(cells(rt.cost_distance(fx1_cells(spark, sf), map_points(spark, sf).where("point_id % 8 = 0"))))
+
+
+@query("cost_distance_polygons", "fx1b0 inside_all", _least_costs("SELECT x, y FROM inside_all", "AND d <= 300"))
+def _(spark, sf):
+    """From the cells inside polygons."""
+    return rounded(cells(rt.cost_distance(fx1_cells(spark, sf), max_distance=300.0, polygons=map_edges(spark, sf))))

@@ -60,6 +60,8 @@ def with_parts(names: str, body: str, extra: dict[str, str] | None = None) -> st
         add(name)
     ctes = [f"{name} AS ({PARTS[name]})" for name in order]
     ctes += [f"{name} AS ({text})" for name, text in (extra or {}).items()]
+    if ctes and body.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {', '.join(ctes)}, {body.removeprefix('WITH RECURSIVE ')}"
     return f"WITH {', '.join(ctes)} {body}" if ctes else body
 
 

@@ -1,9 +1,12 @@
 """Accumulated cost from source cells over a friction layer (Tomlin 1990).
 
-Tiles relax to a fixpoint on their own and then exchange borders, round by round. A changed tile
-sends its border costs and frictions to its neighbours; only these are read and written in the next
-round. Every round is a table in the shared folder, so the plan stays short, the row counts that
-steer the joins are true, and a lost executor costs one round at most.
+The map is cut into regions of about the same number of cells, whatever the tile size. A region solves
+itself: from its sources and from the costs along its neighbours' borders it works out the least costs
+of all its cells. What the rounds pass on and remember are borders only, one strip per side and region:
+a round reads the regions whose strips changed, and writes the strips these send on. When no strip
+changes any more, all regions that were reached are filled once. The number of rounds follows from how
+many region borders the least paths cross. Every round is a table in the shared folder that holds the
+whole state, so nothing grows with the number of rounds and a lost executor costs one round at most.
 """
 
 from __future__ import annotations
@@ -13,79 +16,91 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import CellType, Extent, Layer, Layout
 from ..plans.joins import BROADCAST_BYTES
 from ..plans.lineage import run_folder, through_table
-from .focal import nullable_lists, padded_windows, strip
+from .distance import cell_centres
+from .focal import nullable_lists, padded_windows
 from .geometry import envelope, near
 from .shape import to_tiles
 
+#: Cells along a side of a region, at least one tile.
+REGION = 256
+#: Regions that a task solves side by side.
+TOGETHER = 4
+# the sides a strip can come from, as seen by its receiver
+SIDES = [(dx, dy) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if dx or dy]
 
-def relax(friction: np.ndarray, cost: np.ndarray, cw: float, ch: float,
-          limit: float) -> np.ndarray:
-    """Least costs inside padded tiles ``(n, h + 2, w + 2)``; NaN friction blocks, inf is unreached.
 
-    A move costs its length times the mean friction of its two cells. The outer ring only gives.
+def solve(friction: np.ndarray, cost: np.ndarray, cw: float, ch: float, limit: float) -> np.ndarray:
+    """Least costs inside padded regions ``(n, h + 2, w + 2)``; NaN friction blocks, inf is unreached.
+
+    A move costs its length times the mean friction of its two cells. The outer ring only gives. Cells
+    whose cost fell offer it to their neighbours, all at once, until none falls any more; so the work
+    follows the cells that are reached.
     """
-    f = np.where(np.isnan(friction), np.inf, friction)
-    d = np.where(np.isnan(cost) | np.isnan(friction), np.inf, cost)
-    h, w = f.shape[1] - 2, f.shape[2] - 2
-    centre = f[:, 1:-1, 1:-1]
-    moves = []
-    for dy in (-1, 0, 1):
-        for dx in (-1, 0, 1):
-            if dx or dy:
-                window = (slice(None), slice(1 + dy, 1 + dy + h), slice(1 + dx, 1 + dx + w))
-                moves.append((window, math.hypot(dx * cw, dy * ch) * (f[window] + centre) / 2))
-    inner = d[:, 1:-1, 1:-1]
-    active = np.arange(len(d))
-    while len(active):
-        before = inner[active]
-        now = before
-        part = d[active]
-        for window, price in moves:
-            now = np.minimum(now, part[window] + price[active])
-        now = np.where(now > limit, np.inf, now)
-        better = (now < before).any(axis=(1, 2))
-        inner[active] = np.minimum(before, now)
-        active = active[better]
-    return inner
-
-
-def _latest(rounds: DataFrame, keys: list[str]) -> DataFrame:
-    return rounds.groupBy(*keys).agg(F.max_by("d", "round").alias("d"))
-
-
-def _piece(px, py, w, h, d, f):
-    """Part of a padded window: place, size, costs and friction."""
-    return F.struct(px.alias("px"), py.alias("py"), w.alias("w"), h.alias("h"), d.alias("vals"),
-                    f.alias("friction"))
-
-
-def borders(changed: DataFrame, layout: Layout, keys: list[str]) -> DataFrame:
-    """Per neighbour of a changed tile the border strips it receives (at most eight)."""
-    rows, cols = layout.tile_rows, layout.tile_cols
-    others = [k for k in keys if k not in ("col", "row")]
-    sends = []
-    for dr in (-1, 0, 1):
-        for dc in (-1, 0, 1):
-            if not (dr or dc):
-                continue
-            x0, x1 = (0, cols) if dc == 0 else ((cols - 1, cols) if dc > 0 else (0, 1))
-            y0, y1 = (0, rows) if dr == 0 else ((rows - 1, rows) if dr > 0 else (0, 1))
-            px = 1 if dc == 0 else (0 if dc > 0 else cols + 1)
-            py = 1 if dr == 0 else (0 if dr > 0 else rows + 1)
-            cut = lambda c: strip(F.col(c), cols, x0, x1, y0, y1)
-            sends.append(F.struct(
-                (F.col("col") + dc).alias("col"), (F.col("row") + dr).alias("row"),
-                _piece(F.lit(px), F.lit(py), F.lit(x1 - x0), F.lit(y1 - y0), cut("d"), cut("f"))
-                .alias("piece")))
-    sent = changed.select(*others, F.explode(F.array(*sends)).alias("s")).select(*others, "s.*")
-    reached = F.exists("piece.vals", lambda v: v.isNotNull())
-    return sent.where(reached).groupBy(*keys).agg(F.collect_list("piece").alias("pieces"))
+    shape = friction.shape
+    inner = np.zeros(shape, bool)
+    inner[:, 1:-1, 1:-1] = ~np.isnan(friction[:, 1:-1, 1:-1])
+    f, inner = friction.ravel(), inner.ravel()
+    d = np.where(np.isnan(f), np.inf, cost.ravel())
+    moves = [(dy * shape[2] + dx, math.hypot(dx * cw, dy * ch) / 2) for dx, dy in SIDES]
+    front = np.flatnonzero(np.isfinite(d))
+    # a neighbour of the ring may lie in the region before or behind, but is never taken for an inner cell's
+    ring = front[~inner[front]]
+    while len(front):
+        to, offers = [], []
+        for step, half in moves:
+            there = front + step
+            here = front
+            if len(ring):  # the ring's cells see the inner cells of their own region only
+                ok = (there >= 0) & (there < len(d))
+                there, here = there[ok], here[ok]
+                own = _adjacent(here, there, shape)
+                there, here = there[own], here[own]
+            open_ = inner[there]
+            there, here = there[open_], here[open_]
+            offer = d[here] + half * (f[here] + f[there])
+            less = (offer < d[there]) & (offer <= limit)
+            to.append(there[less])
+            offers.append(offer[less])
+        to, offers = np.concatenate(to), np.concatenate(offers)
+        np.minimum.at(d, to, offers)
+        front, ring = np.unique(to), ring[:0]
+    return d.reshape(shape)[:, 1:-1, 1:-1]
+
+
+def _adjacent(a: np.ndarray, b: np.ndarray, shape: tuple) -> np.ndarray:
+    """Whether two places of a stack of regions touch: steps of the ring must not wrap around."""
+    n, w = shape[1] * shape[2], shape[2]
+    return (a // n == b // n) & (np.abs(a % w - b % w) <= 1)
+
+
+class _Regions:
+    """Regions of whole tiles over a layout."""
+
+    def __init__(self, layout: Layout):
+        self.kx = min(max(1, REGION // layout.tile_cols), layout.layout_cols)
+        self.ky = min(max(1, REGION // layout.tile_rows), layout.layout_rows)
+        self.tc, self.tr = layout.tile_cols, layout.tile_rows
+        self.w, self.h = self.kx * self.tc, self.ky * self.tr
+        self.across, self.down = -(-layout.layout_cols // self.kx), -(-layout.layout_rows // self.ky)
+
+    def of_tile(self) -> list[Column]:
+        return [F.expr(f"col div {self.kx}").cast("int").alias("rc"), F.expr(f"row div {self.ky}").cast("int").alias("rr")]
+
+    def ring(self, dx: int, dy: int) -> tuple[slice, slice]:
+        """Where a padded region holds the strip of a side."""
+        pick = lambda d, n: slice(0, 1) if d < 0 else slice(n + 1, n + 2) if d > 0 else slice(1, n + 1)
+        return pick(dy, self.h), pick(dx, self.w)
+
+    def edge(self, dx: int, dy: int) -> tuple[slice, slice]:
+        """The cells of a region that its neighbour on a side sees."""
+        pick = lambda d, n: slice(0, 1) if d < 0 else slice(n - 1, n) if d > 0 else slice(0, n)
+        return pick(dy, self.h), pick(dx, self.w)
 
 
 def _reachable(tiles: DataFrame, layout: Layout, band: int, area: Extent | None,
@@ -102,89 +117,160 @@ def _reachable(tiles: DataFrame, layout: Layout, band: int, area: Extent | None,
     return near(tiles, layout, area, math.ceil(limit / lowest / step) + 1)
 
 
-def cost_distance(layer: Layer, sources: DataFrame, max_distance: float = math.inf,
-                  band: int = 0) -> Layer:
-    """Least accumulated friction from the cells that hold ``sources`` (x, y in map coordinates).
+def _solved(at: _Regions, layout: Layout, limit: float, batch: pa.RecordBatch) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
+    """Rows of a batch, their padded friction and the least costs inside."""
+    cells, cw, ch = at.w * at.h, layout.cell_width, layout.cell_height
+    own = batch.column("f").flatten().to_numpy(zero_copy_only=False).reshape(-1, at.h, at.w)
+    starts, strips = batch.column("starts"), batch.column("strips")
+    for first in range(0, len(batch), TOGETHER):
+        rows = range(first, min(len(batch), first + TOGETHER))
+        f = np.full((len(rows), at.h + 2, at.w + 2), np.nan)
+        d = np.full(f.shape, np.inf)
+        for k, row in enumerate(rows):
+            f[k, 1:-1, 1:-1] = own[row]
+            inner = np.full(cells, np.inf)
+            inner[starts[row].as_py() or []] = 0.0
+            d[k, 1:-1, 1:-1] = inner.reshape(at.h, at.w)
+            for strip in strips[row].values or [] if strips[row].is_valid else []:
+                there = (k, *at.ring(*SIDES[strip["side"].as_py()]))
+                shape = d[there].shape
+                d[there] = strip["d"].values.to_numpy().reshape(shape)
+                f[there] = strip["f"].values.to_numpy().reshape(shape)
+        yield rows, f, solve(f, d, cw, ch, limit)
 
-    Eight moves, diagonal length by cell size; NoData blocks; beyond ``max_distance`` is NoData.
+
+def cost_distance(layer: Layer, sources: DataFrame | None = None, max_distance: float = math.inf,
+                  band: int = 0, polygons: DataFrame | None = None, lines: DataFrame | None = None) -> Layer:
+    """Least accumulated friction from the cells that hold ``sources`` (x, y in map coordinates), or from
+    the cells that ``polygons`` hold or ``lines`` cross.
+
+    Eight moves, diagonal length by cell size; NoData blocks; beyond ``max_distance`` is NoData. Without a
+    source that lies on data the result is empty. A layer in time is solved for each instant. A task holds
+    regions of about 256 x 256 cells, or of one tile where tiles are larger.
     """
+    if (sources is None) == (polygons is None and lines is None):
+        raise ValueError("give points, or polygons and lines")
     tiles = to_tiles(layer)
     spark = layer.base.sparkSession
-    layout, keys = layer.meta.layout, tiles.keys
-    rows, cols = layout.tile_rows, layout.tile_cols
-    cw, ch, limit = layout.cell_width, layout.cell_height, float(max_distance)
+    layout = layer.meta.layout
+    others = ["instant"] if layer.meta.temporal else []
+    keys, limit, at = ["rc", "rr", *others], float(max_distance), _Regions(layout)
     folder = run_folder(spark, "cost")
-    reachable = _reachable(tiles.df, layout, band, envelope(sources)[0], limit)
-    friction = through_table(reachable.select(
-        *keys, F.get("bands", F.lit(band)).cast("array<double>").alias("f")), f"{folder}/friction")
+    points = sources if sources is not None else cell_centres(layout, polygons, lines)
+    x, y = layout.cell_of(F.col("x"), F.col("y"))
+    starts = points.select(x.alias("cx"), y.alias("cy")).where(
+        F.col("cx").between(0, layout.cols - 1) & F.col("cy").between(0, layout.rows - 1)).distinct()
+    place = (F.col("cy") % at.h) * at.w + F.col("cx") % at.w
+    starts = through_table(starts.groupBy(F.expr(f"cx div {at.w}").cast("int").alias("rc"),
+                                          F.expr(f"cy div {at.h}").cast("int").alias("rr"))
+                           .agg(F.collect_list(place.cast("int")).alias("starts")), f"{folder}/starts")
+    given = points if sources is not None else polygons if lines is None else lines if polygons is None else None
+    area = envelope(given)[0] if given is not None else envelope(polygons)[0].combine(envelope(lines)[0])
+    friction = _friction(_reachable(tiles.df, layout, band, area, limit), at, band, keys, others, f"{folder}/friction")
     lowest = friction.agg(F.min(F.array_min("f"))).first()[0]
     if lowest is not None and lowest < 0:
         raise ValueError("friction must not be negative")
     types = dict(friction.dtypes)
-    out_schema = ", ".join([*(f"{k} {types[k]}" for k in keys), "d array<double>",
-                            "f array<double>"])
+    head = ", ".join(f"{k} {types[k]}" for k in keys)
 
-    def run_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The strips that solved regions show their neighbours."""
         for batch in batches:
-            f = padded_windows(batch.column("pieces"), rows, cols, 1, "friction")
-            own = batch.column("f")
-            f[:, 1:-1, 1:-1] = own.flatten().to_numpy(zero_copy_only=False).reshape(-1, rows, cols)
-            d = padded_windows(batch.column("pieces"), rows, cols, 1)
-            old = np.where(np.isnan(d), np.inf, d)[:, 1:-1, 1:-1]
-            new = relax(f, d, cw, ch, limit)
-            # in the first round the sources themselves are news
-            fresh = batch.column("fresh").to_numpy(zero_copy_only=False).astype(bool)
-            kept = np.flatnonzero((new < old).any(axis=(1, 2))
-                                  | (fresh & np.isfinite(new).any(axis=(1, 2))))
-            chosen = batch.take(pa.array(kept))
-            costs = np.where(np.isinf(new), np.nan, new)[kept].reshape(len(kept), rows * cols)
-            yield pa.RecordBatch.from_arrays(
-                [chosen.column(k) for k in keys] + [nullable_lists(costs), chosen.column("f")],
-                [*keys, "d", "f"])
-
-    # first round: zero cost at the sources, one piece per source cell
-    x, y = layout.cell_of(F.col("x"), F.col("y"))
-    starts = sources.select(x.alias("cx"), y.alias("cy")).distinct()
-    col, row = layout.key_of(F.col("cx"), F.col("cy"))
-    tx, ty = layout.place_of(layout.index_of(F.col("cx"), F.col("cy")))
-    start = _piece((tx + 1).cast("int"), (ty + 1).cast("int"), F.lit(1), F.lit(1),
-                   F.array(F.lit(0.0)), F.array(F.lit(None).cast("double")))
-    messages = (starts.select(col.alias("col"), row.alias("row"), start.alias("piece"))
-                .groupBy("col", "row").agg(F.collect_list("piece").alias("pieces"))
-                .withColumn("fresh", F.lit(True)))
-    on, nth, few, box = ["col", "row"], 0, False, None
-    known: DataFrame | None = None
+            for rows, f, d in _solved(at, layout, limit, batch):
+                out: list[tuple] = []
+                for k, row in enumerate(rows):
+                    rc, rr, *rest = (batch.column(c)[row].as_py() for c in keys)
+                    for side, (dx, dy) in enumerate(SIDES):  # the receiver lies opposite of the side it sees us on
+                        cut = at.edge(-dx, -dy)
+                        to = rc - dx, rr - dy
+                        if 0 <= to[0] < at.across and 0 <= to[1] < at.down and np.isfinite(d[k][cut]).any():
+                            out.append((*to, *rest, side, d[k][cut].ravel(), f[k, 1:-1, 1:-1][cut].ravel()))
+                if out:
+                    columns = list(zip(*out))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()),
+                         *[pa.array(c, batch.schema.field(k).type) for c, k in zip(columns[2:], others)],
+                         pa.array(columns[-3], pa.int32()), pa.array(columns[-2], pa.list_(pa.float64())),
+                         pa.array(columns[-1], pa.list_(pa.float64()))], [*keys, "side", "d", "f"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The tiles of solved regions that any cost reaches."""
+        for batch in batches:
+            for rows, _, d in _solved(at, layout, limit, batch):
+                found, cells = [], []
+                for k, row in enumerate(rows):
+                    rc, rr, *rest = (batch.column(c)[row].as_py() for c in keys)
+                    parts = d[k].reshape(at.ky, at.tr, at.kx, at.tc).swapaxes(1, 2)
+                    for j, i in zip(*np.nonzero(np.isfinite(parts).any(axis=(2, 3)))):
+                        found.append((rc * at.kx + int(i), rr * at.ky + int(j), *rest))
+                        cells.append(parts[j, i].ravel())
+                if found:
+                    values = np.stack(cells)
+                    columns = list(zip(*found))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int32()),
+                         *[pa.array(c, batch.schema.field(k).type) for c, k in zip(columns[2:], others)],
+                         nullable_lists(np.where(np.isfinite(values), values, np.nan))], ["col", "row", *others, "d"])
+
+    n_starts = starts.count()
+    none = F.lit(None).cast("array<struct<side:int,d:array<double>,f:array<double>>>")
+    columns = [*keys, "f", "starts", "strips"]
+    strip_bytes, start_bytes = 64 * (at.w + at.h + 2), 4 * at.w * at.h
+
+    def met(side: DataFrame, on: list[str], most: int, how: str = "inner") -> DataFrame:
+        """Friction with ``side``, which is broadcast where it is small at its largest."""
+        return friction.join(F.broadcast(side) if most <= BROADCAST_BYTES else side.hint("merge"), on, how)
+
+    def ringed(strips: DataFrame) -> DataFrame:
+        """The strips of each region, eight at most."""
+        return strips.groupBy(*keys).agg(F.collect_list(F.struct("side", "d", "f")).alias("strips"))
+
+    work = met(starts, ["rc", "rr"], n_starts * start_bytes).withColumn("strips", none)
+    strips, nth, held = None, 0, 0
     while True:
-        base = friction if box is None else _boxed(friction, box)
-        work = base.join(F.broadcast(messages) if few else messages, on)
-        done = work.select(*keys, "f", "pieces", "fresh").mapInArrow(run_round, out_schema)
-        changed = through_table(done, f"{folder}/round={nth}").withColumn("round", F.lit(nth))
-        n, *box = changed.agg(F.count(F.lit(1)), F.min("col"), F.max("col"), F.min("row"),
-                              F.max("row")).first()
-        if not n:
+        sent = work.select(*columns).mapInArrow(send, f"{head}, side int, d array<double>, f array<double>")
+        if strips is None:
+            merged = sent.withColumn("changed", F.lit(True))
+        else:
+            new = sent.withColumnsRenamed({"d": "new_d", "f": "new_f"})
+            news = F.col("new_d").isNotNull() & ~F.col("new_d").eqNullSafe(F.col("d"))
+            merged = strips.drop("changed").join(new, [*keys, "side"], "full").select(
+                *keys, "side", F.coalesce("new_d", "d").alias("d"), F.coalesce("new_f", "f").alias("f"),
+                news.alias("changed"))
+        strips = through_table(merged, f"{folder}/round={nth}")
+        held, changed = strips.agg(F.count("*"), F.count_if("changed")).first()
+        if not changed:
             break
-        known = changed if known is None else known.unionByName(changed)
-        # borders of the changed tiles go to their neighbours, together with what these know
-        own = _latest(_boxed(known, box), keys).select(*keys, _piece(
-            F.lit(1), F.lit(1), F.lit(cols), F.lit(rows), F.col("d"),
-            F.array_repeat(F.lit(None).cast("double"), layout.tile_cells)).alias("own"))
-        messages = borders(changed, layout, keys).join(own, keys, "left").select(
-            *keys, F.when(F.col("own").isNull(), F.col("pieces")).otherwise(
-                F.concat(F.array("own"), "pieces")).alias("pieces"), F.lit(False).alias("fresh"))
-        # at most eight neighbours per changed tile
-        few = n * 8 * (256 + 16 * layout.tile_cells) <= BROADCAST_BYTES
-        on = keys
+        news = strips.where("changed").select(*keys).distinct()
+        active = ringed(strips.join(news, keys, "left_semi")).join(starts, ["rc", "rr"], "left")
+        work = met(active, keys, min(changed, held) * strip_bytes + n_starts * start_bytes)
         nth += 1
-    kind = CellType.parse("float64")
-    if known is None:
-        empty = spark.createDataFrame([], ", ".join(
-            [*(f"{k} {types[k]}" for k in keys), "bands array<array<double>>"]))
-        return tiles.with_df(empty, cell_type=kind, bands=1)
-    final = _latest(known, keys).select(*keys, F.array("d").alias("bands"))
-    return tiles.with_df(final, cell_type=kind, bands=1)
-
-
-def _boxed(df: DataFrame, box) -> DataFrame:
-    """Rows in a box of keys (first and last column, first and last row) or next to it."""
-    return df.where(F.col("col").between(box[0] - 1, box[1] + 1)
-                    & F.col("row").between(box[2] - 1, box[3] + 1))
+    reached = met(ringed(strips.select(*keys, "side", "d", "f")), keys, held * strip_bytes, "left")
+    small = n_starts * start_bytes <= BROADCAST_BYTES
+    whole = reached.join(F.broadcast(starts) if small else starts.hint("merge"), ["rc", "rr"], "left")
+    whole = whole.where("starts IS NOT NULL OR strips IS NOT NULL")
+    types |= dict(tiles.df.dtypes)
+    done = whole.select(*columns).mapInArrow(
+        fill, ", ".join([*(f"{k} {types[k]}" for k in ("col", "row", *others)), "d array<double>"]))
+    return tiles.with_df(done.select("col", "row", *others, F.array("d").alias("bands")),
+                         cell_type=CellType.parse("float64"), bands=1)
+
+
+def _friction(tiles: DataFrame, at: _Regions, band: int, keys: list[str], others: list[str], path: str) -> DataFrame:
+    """One row per region with data: the friction of its cells, from at most kx * ky tiles."""
+    piece = F.struct(((F.col("col") % at.kx) * at.tc).alias("px"), ((F.col("row") % at.ky) * at.tr).alias("py"),
+                     F.lit(at.tc).alias("w"), F.lit(at.tr).alias("h"),
+                     F.get("bands", F.lit(band)).cast("array<double>").alias("vals"))
+    pieces = (tiles.select(*at.of_tile(), *others, piece.alias("piece"))
+              .groupBy(*keys).agg(F.collect_list("piece").alias("pieces")))
+    types = dict(pieces.dtypes)
+
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, len(batch), TOGETHER):
+                some = batch.slice(first, TOGETHER)
+                whole = padded_windows(pa.concat_arrays([some.column("pieces")]), at.h, at.w, 0)
+                yield pa.RecordBatch.from_arrays([*[some.column(k) for k in keys], nullable_lists(
+                    whole.reshape(len(some), at.h * at.w))], [*keys, "f"])
+
+    return through_table(pieces.mapInArrow(assemble, ", ".join([*(f"{k} {types[k]}" for k in keys), "f array<double>"])), path)

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 import rastertable as rt
+from rastertable.plans.lineage import through_table as through
 
 from .helpers import as_array, cell_layer, layout, random_raster
 
@@ -87,19 +88,61 @@ def dijkstra(f, sources, limit, cw=1.0, ch=1.0):
     return np.where(np.isinf(d), np.nan, d)
 
 
-@pytest.mark.parametrize("seed,gaps,limit,few", [
-    (0, 0.35, np.inf, True), (1, 0.3, 60.0, True), (2, 0.45, np.inf, False), (3, 0.0, 25.0, False)])
-def test_cost_matches_dijkstra(spark, monkeypatch, seed, gaps, limit, few):
+@pytest.mark.parametrize("seed,gaps,limit,few,region", [
+    (0, 0.35, np.inf, True, 4), (1, 0.3, 60.0, True, 8), (2, 0.45, np.inf, False, 4), (3, 0.0, 25.0, False, 256),
+    (4, 0.4, np.inf, True, 12)])
+def test_cost_matches_dijkstra(spark, monkeypatch, seed, gaps, limit, few, region):
+    monkeypatch.setattr("rastertable.operators.cost.REGION", region)
     if not few:
         monkeypatch.setattr("rastertable.operators.cost.BROADCAST_BYTES", 0)
     f = random_raster(20, 24, seed, gaps, top=9)
     sources = [(1, 1), (20, 15), (5, 5)]
     f[1, 1] = 3
-    points = point_table(spark, [(x + 0.3, -y - 0.6) for x, y in sources])
+    points = point_table(spark, [(x + 0.3, -y - 0.6) for x, y in sources] + [(900, 900)])
     got = as_array(rt.cost_distance(cell_layer(spark, f), points, limit), 20, 24)
     np.testing.assert_allclose(got, dijkstra(f, sources, limit), atol=1e-9)
 
 
+def test_cost_through_a_winding_corridor(spark, monkeypatch):
+    """One path through all regions, in and out of some of them several times."""
+    monkeypatch.setattr("rastertable.operators.cost.REGION", 4)
+    f = np.full((15, 12), np.nan)
+    f[::2] = 1.0
+    f[1::4, -1], f[3::4, 0] = 2.0, 3.0
+    got = as_array(rt.cost_distance(cell_layer(spark, f), point_table(spark, [(0.5, -0.5)])), 15, 12)
+    np.testing.assert_allclose(got, dijkstra(f, [(0, 0)], np.inf), atol=1e-9)
+    assert np.isfinite(got[14, 5])
+
+
+@pytest.mark.parametrize("kind", ["polygons", "lines", "both"])
+def test_cost_from_polygons_and_lines(spark, monkeypatch, kind):
+    monkeypatch.setattr("rastertable.operators.cost.REGION", 8)
+    f = random_raster(16, 16, 7, 0.3, 9)
+    edges = rt.edges_from_rings(spark, {1: [[(2.0, -3.0), (9.0, -5.0), (4.0, -13.0)]]})
+    given = {k: edges for k in ("polygons", "lines") if kind in (k, "both")}
+    cells = rt.to_cells(rt.rasterize_on(layout(16, 16), 3857, 1, **given)).df.collect()
+    got = as_array(rt.cost_distance(cell_layer(spark, f), **given), 16, 16)
+    np.testing.assert_allclose(got, dijkstra(f, [(r["x"], r["y"]) for r in cells], np.inf), atol=1e-9)
+    with pytest.raises(ValueError, match="points, or polygons"):
+        rt.cost_distance(cell_layer(spark, f))
+
+
+def test_cost_rounds_follow_regions_not_tiles(spark, monkeypatch):
+    """Tiles of two cells and of sixteen take the same number of rounds."""
+    from rastertable.operators import cost
+    monkeypatch.setattr(cost, "REGION", 16)
+    f = random_raster(32, 32, 2, 0.1, 5)
+    f[1, 1] = 1
+    rounds = []
+    for tile in (2, 16):
+        written = []
+        monkeypatch.setattr(cost, "through_table", lambda df, path, w=written: w.append(path) or through(df, path))
+        cost_layer = rt.cost_distance(cell_layer(spark, f, tile=tile), point_table(spark, [(1.5, -1.5)]))
+        rounds.append(sum("round=" in p for p in written))
+        np.testing.assert_allclose(as_array(cost_layer, 32, 32), dijkstra(f, [(1, 1)], np.inf), atol=1e-9)
+    assert rounds[0] == rounds[1] <= 5
+
+
 def test_unit_friction_is_never_shorter_than_straight_lines(spark):
     f = np.ones((16, 16))
     points = point_table(spark, [(4.5, -4.5)])
