@@ -5,15 +5,20 @@ target node keeps the source nodes that can hold the nearest source of some poin
 whose smallest distance does not exceed the best guaranteed distance of any kept node. Nodes then
 split in four, and so on down to single cells. Each step is a join on the source node and a window
 minimum per target node; a target node has few candidates at any level, so no step pairs all
-sources with all cells. Source nodes go on splitting below the cell size until none holds many
-points, so that a crowded cell costs no more than others.
+sources with all cells. The descent stops at blocks of 32 x 32 cells: a block and the points of its
+few candidates are compared as arrays. Where some block-sized node holds thousands of points, it goes on
+to single cells, and source nodes split below the cell size until none holds many points, so that a
+crowded cell costs no more than others.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +28,9 @@ from ..plans.lineage import run_folder, through_table
 from .geometry import polygon_spans, segment_cells
 
 NODE_POINTS = 32
+#: Level of the blocks that are compared as arrays (2^5 cells a side), and points of a node at most there.
+BLOCK_LEVEL = 5
+BLOCK_POINTS = 4096
 NODE_BYTES = 96
 DEEPEST = -40
 SLACK = 1 + 1e-9
@@ -99,8 +107,10 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
                          ((F.col("gx") - ox) * cw).alias("mx"),
                          ((F.col("gy") - oy) * ch).alias("my"))
 
-    lowest = 0
-    while lowest > DEEPEST and _nodes(base, lowest).agg(F.max("n")).first()[0] > NODE_POINTS:
+    block = min(BLOCK_LEVEL, level - 1)
+    as_arrays = block > 0 and _nodes(base, block).agg(F.max("n")).first()[0] <= BLOCK_POINTS
+    lowest = block if as_arrays else 0
+    while not as_arrays and lowest > DEEPEST and _nodes(base, lowest).agg(F.max("n")).first()[0] > NODE_POINTS:
         lowest -= 2
 
     pairs = spark.range(1).select(*[F.lit(0).cast("bigint").alias(c)
@@ -152,6 +162,11 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
         best = F.min("far").over(Window.partitionBy(*keys, "tx", "ty"))
         pairs = (pairs.withColumn("best", best).where(F.col("near") <= F.col("best") * SLACK)
                  .drop("near", "far", "best"))
+    if as_arrays:
+        inside = (tx0 - ox, ty0 - oy, tx1 - ox, ty1 - oy)
+        cells = _block_cells(pairs, base, block, n, (cw, ch), inside)
+        return Layer(cells.select((F.col("x") + ox).alias("x"), (F.col("y") + oy).alias("y"), F.lit(0).alias("band"), "v"),
+                     meta, "cell")
     leaves = base.select(_node("gx", level).alias("sx"), _node("gy", level).alias("sy"),
                          "mx", "my")
     d = F.hypot((F.col("tx") + 0.5) * cw - F.col("mx"), (F.col("ty") + 0.5) * ch - F.col("my"))
@@ -163,3 +178,52 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
     cells = nearest.select((F.col("tx") + ox).alias("x"), (F.col("ty") + oy).alias("y"),
                            F.lit(0).alias("band"), "v")
     return Layer(cells, meta, "cell")
+
+
+def _block_cells(pairs: DataFrame, points: DataFrame, level: int, n: int, size: tuple[float, float],
+                 inside: tuple[int, int, int, int]) -> DataFrame:
+    """(x, y, v) of the cells of target blocks, from the points of their candidate nodes.
+
+    A block's candidates stream by in one task, and one array of least distances is held. A node has
+    BLOCK_POINTS points at most.
+    """
+    packed = points.groupBy(_node("gx", level).alias("sx"), _node("gy", level).alias("sy")).agg(
+        F.collect_list("mx").alias("px"), F.collect_list("my").alias("py"))
+    keys = [c for c in ("ax", "ay") if c in pairs.columns]
+    if n * 32 <= BROADCAST_BYTES:
+        met = pairs.join(F.broadcast(packed), ["sx", "sy"])
+    else:
+        met = salted_join(pairs, packed, ["sx", "sy"], ["tx", "ty"])
+        keys = []
+    if not keys:
+        met = met.repartition("tx", "ty")
+    side, (cw, ch), (x0, y0, x1, y1) = 1 << level, size, inside
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, best, mx, my = None, None, None, None
+
+        def done() -> pa.RecordBatch:
+            gx, gy = np.meshgrid(np.arange(side) + last[0] * side, np.arange(side) + last[1] * side)
+            ok = (gx >= x0) & (gx < x1) & (gy >= y0) & (gy < y1)
+            return pa.RecordBatch.from_arrays([pa.array(gx[ok]), pa.array(gy[ok]), pa.array(np.sqrt(best[ok]))], ["x", "y", "v"])
+
+        for batch in batches:
+            keys = zip(batch.column("tx").to_pylist(), batch.column("ty").to_pylist())
+            px, py = batch.column("px"), batch.column("py")
+            xs, ys, ends = px.values.to_numpy(), py.values.to_numpy(), px.offsets.to_numpy()
+            for key, a, b in zip(keys, ends, ends[1:]):
+                if key != last:
+                    if last is not None:
+                        yield done()
+                    last, best = key, np.full((side, side), np.inf)
+                    mx = ((np.arange(side) + key[0] * side) + 0.5) * cw
+                    my = ((np.arange(side) + key[1] * side) + 0.5) * ch
+                for at in range(a, b, 256):
+                    dx = (mx[:, None] - xs[at:min(b, at + 256)]) ** 2
+                    dy = (my[:, None] - ys[at:min(b, at + 256)]) ** 2
+                    np.minimum(best, (dy[:, None, :] + dx[None, :, :]).min(axis=2), out=best)
+        if last is not None:
+            yield done()
+
+    ordered = met.select("tx", "ty", "px", "py").sortWithinPartitions("tx", "ty")
+    return ordered.mapInArrow(run, "x bigint, y bigint, v double")

@@ -20,8 +20,10 @@ def point_table(spark, points):
                                  "point_id bigint, x double, y double")
 
 
-@pytest.mark.parametrize("seed,n", [(0, 1), (1, 5), (2, 60)])
-def test_distance_to_points(spark, seed, n):
+@pytest.mark.parametrize("seed,n,most", [(0, 1, 4096), (1, 5, 4096), (2, 60, 4096), (2, 60, 3)])
+def test_distance_to_points(spark, monkeypatch, seed, n, most):
+    """As arrays, and cell by cell where nodes hold many points."""
+    monkeypatch.setattr("rastertable.operators.distance.BLOCK_POINTS", most)
     rng = np.random.default_rng(seed)
     points = [(x * 64, -y * 32) for x, y in rng.random((n, 2))] + [(0.5, -0.5), (63.5, -31.5)]
     grid = layout(16, 32, cell=2.0)
@@ -29,7 +31,8 @@ def test_distance_to_points(spark, seed, n):
     np.testing.assert_allclose(got, nearest(points, 16, 32, 2.0), atol=1e-9)
 
 
-def test_a_crowded_cell_is_still_exact(spark):
+def test_a_crowded_cell_is_still_exact(spark, monkeypatch):
+    monkeypatch.setattr("rastertable.operators.distance.BLOCK_POINTS", 100)
     rng = np.random.default_rng(3)
     crowd = [(5 + x / 1000, -5 - y / 1000) for x, y in rng.random((400, 2))]
     points = crowd + crowd[:50] + [(0.1, -0.1), (15.9, -15.9)]
