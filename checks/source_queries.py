@@ -151,6 +151,63 @@ def _(spark, sf):
     return texted(cells(store.read_layer("fx2", 0, times=["2024-01-09 07:00:00"])))
 
 
+@query("write_read_temporal_bounds", "fx2", """SELECT x, y, CAST(instant AS VARCHAR) AS instant, band, v
+    FROM fx2 WHERE instant BETWEEN TIMESTAMP '2024-01-06 00:00:00' AND TIMESTAMP '2024-01-08 12:00:00' AND y >= 8""")
+def _(spark, sf):
+    """An index over a declared year: a span of time and an area are runs of it."""
+    store = catalog(spark)
+    store.write_layer("fx2", fx2_cells(spark, sf), "hilbert", time_bounds=("2024-01-01 00:00:00", "2024-12-31 23:59:59"), time_bits=12)
+    layer = store.read_layer("fx2", 0, envelope=rt.Extent(0.0, -32.0, 32.0, -8.5),
+                             times=["2024-01-06 00:00:00", "2024-01-08 12:00:00"])
+    return texted(cells(layer))
+
+
+@query("in_bounds", "pt1 fx1", """SELECT point_id, (CAST(floor(x / 16) AS INT) BETWEEN c0 AND c1)
+      AND (CAST(floor(y / 16) AS INT) BETWEEN r0 AND r1) AS in_bounds
+    FROM pt1, (SELECT min(x // 16) AS c0, max(x // 16) AS c1, min(y // 16) AS r0, max(y // 16) AS r1 FROM fx1 WHERE y >= 64) b""")
+def _(spark, sf):
+    """Keys of all points against the bounds of a layer that begins in the fifth row of tiles."""
+    layer, store = fx1_cells(spark, sf), catalog(spark)
+    store.write_layer("fx1", layer.with_df(layer.df.where("y >= 64")))
+    points = map_points(spark, sf)
+    keys = points.select("point_id", F.floor(F.col("x") / 16).cast("int").alias("col"), F.floor(-F.col("y") / 16).cast("int").alias("row"))
+    return store.keys_in_bounds("fx1", 0, keys).select("point_id", "in_bounds")
+
+
+@query("collect_metadata", "fx5", """SELECT CAST(min(x) AS DOUBLE) AS xmin, CAST(-max(y) - 1 AS DOUBLE) AS ymin,
+      CAST(max(x) + 1 AS DOUBLE) AS xmax, CAST(-min(y) AS DOUBLE) AS ymax, 0 AS col0, 0 AS row0,
+      CAST((max(x) - min(x)) // 16 AS INT) AS col1, CAST((max(y) - min(y)) // 16 AS INT) AS row1, 16 AS tile_cols
+    FROM fx5""")
+def _(spark, sf):
+    meta = rt.collect_metadata(fx5_scenes(spark, sf), rt.LocalLayout(16))
+    lo, hi, e = meta.bounds["minKey"], meta.bounds["maxKey"], meta.extent
+    return spark.createDataFrame(
+        [(e.xmin, e.ymin, e.xmax, e.ymax, lo["col"], lo["row"], hi["col"], hi["row"], meta.layout.tile_cols)],
+        "xmin double, ymin double, xmax double, ymax double, col0 int, row0 int, col1 int, row1 int, tile_cols int")
+
+
+@query("read_tiles_levels", "fx3", """SELECT a.id, a.zoom, CAST(i AS INT) AS i, l.v FROM (
+      SELECT event_id AS id, CAST(17 + event_id % 4 AS INT) AS zoom, greatest(CAST(17 + event_id % 4 AS INT) - 19, 0) AS dz,
+        (user_id % 16) * (1 << CAST(event_id % 4 AS INT)) // 4 AS x, (user_id // 16) * (1 << CAST(event_id % 4 AS INT)) // 4 AS y,
+        unnest(range(0, 64)) AS i FROM events) a
+    JOIN (SELECT 19 AS zoom, x, y, v FROM fx3 UNION ALL SELECT 18, x // 2, y // 2, max(v) FROM fx3 GROUP BY 1, 2, 3
+      UNION ALL SELECT 17, x // 4, y // 4, max(v) FROM fx3 GROUP BY 1, 2, 3) l
+      ON l.zoom = least(a.zoom, 19) AND l.x = ((a.x * 8 + i % 8) >> dz) AND l.y = ((a.y * 8 + i // 8) >> dz)""")
+def _(spark, sf):
+    """A request per event over three stored levels, a quarter of them beyond the deepest."""
+    store, layer = catalog(spark), fx3_tiles(spark, sf)
+    world = rt.global_level(3857, 19, 8)
+    for level in rt.pyramid(layer.with_df(layer.df, layout=world, zoom=19), "Max", end_zoom=17):
+        store.write_layer("vectors", level)
+    side = F.call_function("shiftleft", F.lit(1), (F.col("event_id") % 4).cast("int"))
+    asked = table(spark, sf, "events").select(
+        F.col("event_id").alias("id"), (17 + F.col("event_id") % 4).cast("int").alias("zoom"),
+        F.floor((F.col("user_id") % 16) * side / 4).alias("x"), F.floor(F.floor(F.col("user_id") / 16) * side / 4).alias("y"))
+    found = rt.read_tiles_zoomed(asked, store.levels("vectors"))
+    cells_ = found.select("id", "zoom", F.posexplode(F.get("bands", F.lit(0))).alias("i", "v"))
+    return cells_.where(F.col("v").isNotNull())
+
+
 @query("read_layer_polygons", "geo fx1", """SELECT f.x, f.y, f.band, f.v FROM fx1 f
     WHERE EXISTS (SELECT 1 FROM touched t WHERE t.col = f.x // 16 AND t.row = f.y // 16)""",
        tile_centres=_CENTRES, touched=_TOUCH)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -99,3 +101,66 @@ def time_slot(instant: Column, unit: str, resolution: int = 1) -> Column:
     if unit not in UNIT_MILLIS:
         raise ValueError(f"unknown time unit {unit!r}")
     return F.floor(epoch_millis(instant) / (UNIT_MILLIS[unit] * resolution)).cast("bigint")
+
+
+# --- boxes as runs of an index ---------------------------------------------------------------
+
+def position(curve: str, axes: Sequence[int], bits: int) -> int:
+    """``z_index`` or ``hilbert_index`` of one key, on the driver."""
+    a = list(axes)
+    if curve == "hilbert":
+        for b in range(bits - 1, 0, -1):
+            low = (1 << b) - 1
+            for i in range(len(a)):
+                if a[i] >> b & 1:
+                    a[0] ^= low
+                else:
+                    swap = (a[0] ^ a[i]) & low
+                    a[0], a[i] = a[0] ^ swap, a[i] ^ swap
+        for i in range(1, len(a)):
+            a[i] ^= a[i - 1]
+        flip = 0
+        for b in range(bits - 1, 0, -1):
+            if a[-1] >> b & 1:
+                flip ^= (1 << b) - 1
+        a = [x ^ flip for x in a]
+    else:
+        a.reverse()  # the first axis has the lowest bit
+    out = 0
+    for b in range(bits - 1, -1, -1):
+        for x in a:
+            out = out << 1 | x >> b & 1
+    return out
+
+
+def index_runs(curve: str, box: Sequence[tuple[int, int]], bits: int, most: int = 32) -> list[tuple[int, int]]:
+    """Runs of curve positions (first, last) that hold every key of a box, ends included.
+
+    Quadrants (octants) of the curve are runs of it. Those that the box cuts are split, the largest first,
+    until ``most`` runs are made; then what is left is taken whole, so runs may hold more than the box.
+    """
+    n = len(box)
+    if any(lo > hi for lo, hi in box):
+        return []
+
+    def run(origin: tuple[int, ...], level: int) -> tuple[int, int]:
+        first = position(curve, origin, bits) >> (n * level) << (n * level)
+        return first, first + (1 << n * level) - 1
+
+    cut, whole = [((0,) * n, bits)], []
+    while cut and len(cut) + len(whole) < most:
+        origin, level = cut.pop(0)
+        half = 1 << level - 1
+        for k in range(1 << n):
+            part = tuple(o + half * (k >> i & 1) for i, o in enumerate(origin))
+            if any(o > hi or o + half - 1 < lo for o, (lo, hi) in zip(part, box)):
+                continue
+            inside = all(lo <= o and o + half - 1 <= hi for o, (lo, hi) in zip(part, box))
+            (whole if inside else cut).append((part, level - 1))
+    runs: list[tuple[int, int]] = []
+    for first, last in sorted(run(*node) for node in cut + whole):
+        if runs and first <= runs[-1][1] + 1:
+            runs[-1] = runs[-1][0], max(runs[-1][1], last)
+        else:
+            runs.append((first, last))
+    return runs

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import time
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +27,7 @@ from ..operators.zonal import filter_by_geometry
 ATTRIBUTES = ("layer string, zoom int, attr string, json string, version bigint, deleted boolean")
 CURVES = ("zorder", "hilbert", "rowmajor")
 METADATA = "metadata"
+INDEX = "index"
 
 
 @dataclass(frozen=True)
@@ -101,15 +102,24 @@ class Catalog:
     # --- layers ------------------------------------------------------------------------------
     def write_layer(self, name: str, layer: Layer, index: str = "zorder",
                     time_unit: str = "days", time_resolution: int = 1,
-                    num_partitions: int | None = None) -> None:
-        """Write tiles under (name, zoom or 0), in the order of a space-filling curve."""
+                    num_partitions: int | None = None,
+                    time_bounds: tuple[Moment, Moment] | None = None, time_bits: int = 16) -> None:
+        """Write tiles under (name, zoom or 0), in the order of a space-filling curve.
+
+        Time counts in units from the layer's first slot. With ``time_bounds`` (first and last moment)
+        the span between them is cut into 2^``time_bits`` slots instead, so that layers written at
+        different times share one index; a moment outside is an error.
+        """
         tiles = to_tiles(layer)
         meta = replace(layer.meta, zoom=layer.meta.zoom or 0)
         stored = f"array<array<{meta.cell_type.storage_type}>>"
-        first = 0
-        if meta.temporal:  # slots count from the layer's first one
+        slots = None
+        if meta.temporal and time_bounds is not None:
+            slots = TimeSlots.between(*time_bounds, time_bits)
+        elif meta.temporal:  # slots count from the layer's first one
             first = tiles.df.agg(F.min(curves.time_slot(F.col("instant"), time_unit, time_resolution))).first()[0] or 0
-        key = key_index(meta, index, time_unit, time_resolution, first)
+            slots = TimeSlots(time_unit, time_resolution, first)
+        key = key_index(meta, index, slots)
         rows = tiles.df.withColumn("bands", F.col("bands").cast(stored)).withColumn(
             "key_index", key)
         ranged = (rows.repartitionByRange(num_partitions, "key_index") if num_partitions
@@ -126,25 +136,60 @@ class Catalog:
             bounds = {"minKey": {"col": r[0], "row": r[1]}, "maxKey": {"col": r[2], "row": r[3]}}
             if meta.temporal:
                 bounds["minKey"]["instant"], bounds["maxKey"]["instant"] = str(r[4]), str(r[5])
+        self.write_attribute(name, meta.zoom, INDEX, json.dumps({"curve": index, "slots": slots and asdict(slots)}))
         self.write_attribute(name, meta.zoom, METADATA, replace(meta, bounds=bounds).to_json())
 
+    def _runs(self, name: str, zoom: int, meta: Meta, keys: tuple[int, int, int, int] | None,
+              times: list[Moment] | None) -> Column | None:
+        """Runs of the index that hold a box of keys and a span of time, as a predicate."""
+        text = self.read_attribute(name, zoom, INDEX)
+        if text is None or meta.bounds is None or (keys is None and not (times and meta.temporal)):
+            return None
+        stored = json.loads(text)
+        lo, hi = meta.bounds["minKey"], meta.bounds["maxKey"]
+        box = [(lo["col"], hi["col"]), (lo["row"], hi["row"])]
+        if keys is not None:
+            box = [(max(box[0][0], keys[0]), min(box[0][1], keys[2])), (max(box[1][0], keys[1]), min(box[1][1], keys[3]))]
+        if meta.temporal:
+            slots = TimeSlots(**stored["slots"])
+            held = [datetime.fromisoformat(b["instant"]) for b in (lo, hi)]
+            span = [datetime.fromisoformat(moment_text(t)) for t in times] if times else held
+            at = self.spark.range(1).select(*[slots.of(moment(t), check=False) for t in (
+                max(min(span), held[0]), min(max(span), held[1]))]).first()
+            box.append((max(at[0], 0), min(at[1], (1 << 21) - 1)))
+        if any(a > b for a, b in box):
+            runs = []
+        elif stored["curve"] == "rowmajor":
+            runs = [(box[1][0] * meta.layout.layout_cols + box[0][0], box[1][1] * meta.layout.layout_cols + box[0][1])]
+        else:
+            runs = curves.index_runs(stored["curve"], box, curve_bits(meta, stored["curve"]))
+        inside = F.lit(False)
+        for first, last in runs:
+            inside = inside | F.col("key_index").between(first, last)
+        return inside
+
     def read_layer(self, name: str, zoom: int, envelope: Extent | None = None,
                    polygons: DataFrame | None = None, points: DataFrame | None = None,
                    query_epsg: int | None = None, times: list[Moment] | None = None,
                    num_partitions: int | None = None) -> Layer:
         """One layer, limited to an area and to time ranges.
 
-        The envelope becomes a key range and the times a range predicate that both reach the scan;
+        The envelope becomes a key range, the times a range predicate and both together runs of the curve
+        that the tiles are sorted by; all of these reach the scan and skip files and row groups;
         polygons and points are then semi-joined by tile key. ``query_epsg`` is the CRS of the
         query geometry where it differs from the layer's.
         """
         meta = self.read_metadata(name, zoom)
-        df = self.spark.read.parquet(self._tiles(name, zoom)).drop("key_index")
-        layer = Layer(df, meta, "tile")
+        df = self.spark.read.parquet(self._tiles(name, zoom))
         moved = query_epsg is not None and query_epsg != meta.epsg
+        area = bounds = None
         if envelope is not None:
             area = transform_extent(envelope, query_epsg, meta.epsg) if moved else envelope
             bounds = meta.layout.key_bounds(area)
+        runs = self._runs(name, zoom, meta, bounds, times)
+        df = (df if runs is None else df.where(runs)).drop("key_index")
+        layer = Layer(df, meta, "tile")
+        if envelope is not None:
             inside = F.lit(False) if bounds is None else (
                 F.col("col").between(bounds[0], bounds[2]) & F.col("row").between(bounds[1], bounds[3]))
             layer = layer.with_df(df.where(inside))
@@ -179,6 +224,17 @@ class Catalog:
             at = at & (F.col("instant") == moment(instant))
         return layer.df.where(at).limit(1)
 
+    def keys_in_bounds(self, name: str, zoom: int, keys: DataFrame) -> DataFrame:
+        """``keys`` (col, row, for layers in time instant) with ``in_bounds``; null keys lie in no bounds."""
+        bounds = self.read_metadata(name, zoom).bounds
+        if bounds is None:
+            return keys.withColumn("in_bounds", F.lit(False))
+        lo, hi = bounds["minKey"], bounds["maxKey"]
+        inside = F.col("col").between(lo["col"], hi["col"]) & F.col("row").between(lo["row"], hi["row"])
+        if "instant" in lo and "instant" in keys.columns:
+            inside = inside & F.col("instant").between(moment(lo["instant"]), moment(hi["instant"]))
+        return keys.withColumn("in_bounds", F.coalesce(inside, F.lit(False)))
+
     def in_bounds(self, name: str, zoom: int, col: int, row: int,
                   instant: Moment | None = None) -> bool:
         """Whether a key lies in the bounds of the layer, ends included."""
@@ -194,12 +250,59 @@ class Catalog:
         return datetime.fromisoformat(lo["instant"]) <= at <= datetime.fromisoformat(hi["instant"])
 
 
-def key_index(meta: Meta, index: str, time_unit: str = "days", time_resolution: int = 1,
-              first_slot: int = 0) -> Column:
+@dataclass(frozen=True)
+class TimeSlots:
+    """Moments as whole numbers for a curve: units of time counted from ``first``, or the span from
+    ``start`` to ``end`` (milliseconds since 1970, both included) in 2^``bits`` equal parts."""
+    unit: str = "days"
+    resolution: int = 1
+    first: int = 0
+    start: int | None = None
+    end: int | None = None
+    bits: int = 0
+
+    @staticmethod
+    def between(start: Moment, end: Moment, bits: int) -> TimeSlots:
+        millis = [round((datetime.fromisoformat(moment_text(t)) - datetime(1970, 1, 1)).total_seconds() * 1000) for t in (start, end)]
+        if not 1 <= bits <= 21 or millis[0] > millis[1]:
+            raise ValueError("time bounds are in order and have 1 to 21 bits")
+        return TimeSlots(start=millis[0], end=millis[1], bits=bits)
+
+    def of(self, instant: Column, check: bool = True) -> Column:
+        """The slot of a moment; one that the curve cannot hold is an error, or as it comes without ``check``."""
+        if self.start is None:
+            slot, most = curves.time_slot(instant, self.unit, self.resolution) - F.lit(self.first), 1 << 21
+            text = "more time slots than the curve holds; choose a coarser time unit or resolution"
+        else:
+            span = self.end - self.start + 1
+            passed = curves.epoch_millis(instant) - F.lit(self.start)
+            scaled = passed.cast("decimal(20,0)") * F.lit(1 << self.bits).cast("decimal(10,0)")
+            slot = F.when(passed < 0, F.lit(-1).cast("bigint")).otherwise(
+                F.call_function("div", scaled, F.lit(span).cast("decimal(20,0)")).cast("bigint"))
+            most, text = 1 << self.bits, "a moment lies outside the declared time bounds"
+        if not check:
+            return slot
+        return F.when((slot >= 0) & (slot < most), slot).otherwise(F.raise_error(F.lit(text)).cast("bigint"))
+
+
+def moment_text(at: Moment) -> str:
+    return at.isoformat(" ") if isinstance(at, datetime) else str(at)
+
+
+def curve_bits(meta: Meta, index: str) -> int:
+    """Bits per axis of a layer's curve."""
+    if meta.temporal:
+        return 21
+    if index == "hilbert":
+        return min(31, (max(meta.layout.layout_cols, meta.layout.layout_rows, 2) - 1).bit_length())
+    return 31
+
+
+def key_index(meta: Meta, index: str, slots: TimeSlots | None = None) -> Column:
     """Curve position of a tile key. Row-major order is for layers without time.
 
-    Time slots are counted from ``first_slot`` and must fit the curves' 21 bits; a coarser unit or
-    resolution makes them fit where they do not.
+    Time slots must fit the curves' 21 bits; a coarser unit or resolution makes them fit where they do
+    not.
     """
     if index not in CURVES:
         raise ValueError(f"unknown index {index!r}")
@@ -208,14 +311,11 @@ def key_index(meta: Meta, index: str, time_unit: str = "days", time_resolution:
         if index == "zorder":
             return curves.z_index(col, row)
         if index == "hilbert":
-            bits = max(meta.layout.layout_cols, meta.layout.layout_rows, 2)
-            return curves.hilbert_index([col, row], min(31, (bits - 1).bit_length()))
+            return curves.hilbert_index([col, row], curve_bits(meta, index))
         return curves.rowmajor_index(col, row, meta.layout.layout_cols)
     if index == "rowmajor":
         raise ValueError("row-major order does not cover time")
-    slot = curves.time_slot(F.col("instant"), time_unit, time_resolution) - F.lit(first_slot)
-    slot = F.when(slot < 1 << 21, slot).otherwise(F.raise_error(F.lit(
-        "more time slots than the curve holds; choose a coarser time unit or resolution")).cast("bigint"))
+    slot = (slots or TimeSlots()).of(F.col("instant"))
     if index == "zorder":
         return curves.z_index(col, row, slot)
-    return curves.hilbert_index([col, row, slot], 21)
+    return curves.hilbert_index([col, row, slot], curve_bits(meta, index))

@@ -33,9 +33,13 @@ def serve_requests(requests: DataFrame, levels: Sequence[Layer],
                    checkpoint: str | None = None, **options) -> StreamingQuery:
     """Answer a stream of requests in batches, one per interval, and hand each to ``sink``.
 
-    The checkpoint lies in the shared folder unless a location is given.
+    Each micro-batch is answered as a batch of its own: only the levels and keys that it asks for are
+    read. The checkpoint lies in the shared folder unless a location is given.
     """
-    answers = answer_requests(requests, levels, **options)
-    place = checkpoint or run_folder(answers.sparkSession, "requests")
-    return (answers.writeStream.foreachBatch(sink).trigger(processingTime=interval)
+    place = checkpoint or run_folder(requests.sparkSession, "requests")
+
+    def answer(batch: DataFrame, number: int) -> None:
+        sink(answer_requests(batch, levels, **options), number)
+
+    return (requests.writeStream.foreachBatch(answer).trigger(processingTime=interval)
             .option("checkpointLocation", place).start())

@@ -162,3 +162,73 @@ def test_requests_across_zooms_in_batch_and_stream(spark):
     assert sorted(r["id"] for r in seen) == [1, 2, 3]
     assert all(set(r["rgba"]) <= {1, 2} for r in seen)
     assert answer_requests(requests, levels).count() == 3
+
+
+@pytest.mark.parametrize("curve,bits,axes", [("zorder", 5, 2), ("hilbert", 5, 2), ("zorder", 3, 3), ("hilbert", 3, 3)])
+def test_runs_hold_their_box(curve, bits, axes):
+    """Every key of the box, and with runs enough nothing else."""
+    import itertools
+    import random
+
+    from rastertable.functions.curves import index_runs, position
+    rng, side = random.Random(1), 1 << bits
+    at = {k: position(curve, k, bits) for k in itertools.product(range(side), repeat=axes)}
+    assert sorted(at.values()) == list(range(side ** axes))
+    for most in (1, 8, 10_000):
+        for _ in range(20):
+            box = [tuple(sorted(rng.choices(range(side), k=2))) for _ in range(axes)]
+            runs = index_runs(curve, box, bits, most)
+            held = {k for k, p in at.items() if any(a <= p <= b for a, b in runs)}
+            inside = {k for k in at if all(lo <= c <= hi for c, (lo, hi) in zip(k, box))}
+            assert inside <= held and (most < 10_000 or inside == held)
+    assert index_runs(curve, [(2, 1)] * axes, bits) == []
+
+
+@pytest.mark.parametrize("curve", ["zorder", "hilbert"])
+def test_positions_equal_the_columns(spark, curve):
+    from rastertable.functions import curves
+    keys = [(c * 37 % 64, c * 11 % 64) for c in range(50)]
+    df = spark.createDataFrame(keys, "col int, row int")
+    col = curves.z_index(F.col("col"), F.col("row")) if curve == "zorder" else curves.hilbert_index([F.col("col"), F.col("row")], 6)
+    got = df.select(col).collect()
+    assert [r[0] for r in got] == [curves.position(curve, k, 6 if curve == "hilbert" else 31) for k in keys]
+
+
+def test_reads_push_runs_and_skip_files(spark, store):
+    layer = cell_layer(spark, random_raster(64, 64, 3))
+    store.write_layer("a", layer, "hilbert", num_partitions=16)
+    part = store.read_layer("a", 0, envelope=rt.Extent(20.0, -30.0, 35.0, -20.0))
+    plan = part.df._jdf.queryExecution().toString()
+    assert "key_index" in plan[plan.index("PushedFilters"):]
+    got = {(r["col"], r["row"]) for r in part.df.select("col", "row").collect()}
+    assert got == {(c, r) for c in range(5, 9) for r in range(5, 8)}
+    assert store.read_layer("a", 0, envelope=rt.Extent(900.0, -30.0, 935.0, -20.0)).df.count() == 0
+
+
+def test_declared_time_bounds(spark, store):
+    layer = cell_layer(spark, random_raster(8, 8, 3))
+    days = [layer.df.withColumn("instant", F.lit(f"2024-0{m}-01 00:00:00").cast("timestamp_ntz")) for m in (1, 3, 6)]
+    timed = layer.with_df(days[0].unionByName(days[1]).unionByName(days[2]), temporal=True)
+    bounds = ("2024-01-01 00:00:00", "2024-06-01 00:00:00")
+    store.write_layer("t", timed, "hilbert", time_bounds=bounds, time_bits=4)
+    got = store.read_layer("t", 0, times=["2024-02-01 00:00:00", "2024-04-01 00:00:00"])
+    assert {str(r[0]) for r in got.df.select("instant").distinct().collect()} == {"2024-03-01 00:00:00"}
+    assert store.read_layer("t", 0).df.count() == 12
+    assert store.read_layer("t", 0, times=["2030-01-01 00:00:00", "2031-01-01 00:00:00"]).df.count() == 0
+    with pytest.raises(Exception, match="outside the declared time bounds"):
+        store.write_layer("u", timed, "zorder", time_bounds=("2024-02-01 00:00:00", "2024-06-01 00:00:00"))
+    with pytest.raises(ValueError, match="1 to 21 bits"):
+        store.write_layer("u", timed, time_bounds=bounds[::-1])
+
+
+def test_requests_read_only_what_they_ask_for(spark, store):
+    layer = cell_layer(spark, random_raster(16, 16, 3))
+    for level in rt.pyramid(layer, "Max", end_zoom=1):
+        store.write_layer("p", level)
+    levels = store.levels("p")
+    asked = spark.createDataFrame([(2, 1, 1), (2, 2, 1)], "zoom int, x int, y int")
+    found = rt.read_tiles_zoomed(asked, levels, max_zoom=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") - plan.count("ExistingRDD") <= 2 and "zoom=1" not in plan
+    assert found.count() == 2
+    assert rt.read_tiles_zoomed(asked.where("zoom > 5"), levels).count() == 0
