@@ -201,14 +201,25 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", tokenizer_path: str | None = None) -> DataFrame:
-    """Every row with ``decoded``, the text of its ids; null ids give null."""
+    """Every row with ``decoded``, the text of its ids; a null list gives null, an empty one an empty text.
+
+    Ids without a piece (beyond the vocabulary, negative, null) are left out, as the library does. A
+    tokenizer file with a decoder of its own is an error: pieces are joined by blanks here.
+    """
+    if word_tokenizer(tokenizer_path).decoder is not None:
+        raise ValueError("the tokenizer has a decoder; only pieces joined by blanks are decoded")
+
     def run(batches):
         table = pieces(tokenizer_path)
+        known = table.is_valid().to_numpy(zero_copy_only=False)
         for batch in batches:
             lists = batch.column("ids")
-            flat, size = lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists)
-            ends = np.concatenate([[0], np.cumsum(pc.fill_null(size, 0).to_numpy(zero_copy_only=False))])
-            text = decoded_texts(flat.astype(np.int64), ends, table)
+            flat = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            inside = (flat >= 0) & (flat < len(known))
+            inside[inside] = known[flat[inside]]
+            ends = np.concatenate([[0], np.cumsum(inside)])[np.concatenate([[0], np.cumsum(size)]).astype(np.int64)]
+            text = decoded_texts(flat[inside], ends, table)
             text = pc.if_else(pc.is_null(lists), pa.scalar(None, pa.string()), text)
             yield pa.RecordBatch.from_arrays([batch.column("row"), text], ["row", "decoded"])
 

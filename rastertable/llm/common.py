@@ -155,8 +155,8 @@ SLOTS_PER_ROW = 64
 def maybe_repeated(rows: DataFrame, h: Column, n: int, words: int | None = None) -> DataFrame:
     """``rows`` and ``maybe``: false only where no other of the ``n`` rows has an equal ``h``.
 
-    Two-pass Bloom filtering. The first filter has a slot per hash, 64 per row, dealt over all tasks;
-    slots that a second row finds taken make up the second filter, which every row probes in place.
+    Pass one counts slots, 64 per row, dealt over all tasks: one slot of 8 bytes per row shuffles. Pass
+    two is a Bloom filter of the slots that were taken twice, which every row probes in place.
     """
     slot = F.pmod(h, F.lit(max(1, SLOTS_PER_ROW * n)))
     twice = rows.select(slot.alias("h")).groupBy("h").agg(F.count("*").alias("n")).where("n > 1")

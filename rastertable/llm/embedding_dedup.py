@@ -121,6 +121,12 @@ def _keyed(batches):
                                           pa.array(raw, pa.binary())], ["id", "label", "key", "raw"])
 
 
+def _with_key(batches):
+    for batch in batches:
+        key = next(_keyed([batch])).column("key")
+        yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("id"), key], ["row", "id", "key"])
+
+
 def _linked(quantizer: Quantizer, width: int, cosine: float):
     r = math.sqrt(2 - 2 * cosine)
 
@@ -176,8 +182,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Rows of the same label link where the cosine of their vectors, in double precision, is at least
     ``cosine``. Rows with a null label, or a vector that is null, empty, zero, or has null or non-finite
     components, link with nothing and are kept; so do vectors of different length with each other.
-    ``component_id`` is the smallest id that links reach. Rows that repeat an id count as rows of their
-    own for links.
+    ``component_id`` is the smallest id that links reach. Rows that repeat an id are rows of their own,
+    each with the links of its own vector.
     """
     rows = nested(vectors, id=F.col(f"`{id_col}`"), label=F.col(f"`{label_col}`"),
                   v=F.col(f"`{vector_col}`").cast("array<double>"))
@@ -207,9 +213,13 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     every = parts[0].unionByName(parts[1]).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
     if carried == [id_col]:
         return every.select(F.col("id").alias(id_col), "n_links", "component_id", "kept")
-    once = every.dropDuplicates(["id"]).withColumnRenamed("id", "id2")  # ids that repeat are marked alike
-    both = rows.select("row", "id").join(once.hint("merge"), F.col("id").eqNullSafe(F.col("id2")))
-    return flattened(both, "n_links", "component_id", "kept")
+    # whole rows come back by class; those without one are known by having none
+    whole = rows.withColumn("v", F.when(~F.exists("v", lambda x: x.isNull()), F.col("v")))
+    whole = whole.mapInArrow(_with_key, T.StructType([whole.schema["row"], whole.schema["id"], T.StructField("key", T.BinaryType())]))
+    parts = [whole.where("key IS NULL").select("row", "id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id")),
+             join_groups(whole.where("key IS NOT NULL"), marked, "key", "size", total).select("row", "id", "n_links", "component_id")]
+    every = parts[0].unionByName(parts[1]).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))
+    return flattened(every, "n_links", "component_id", "kept")
 
 
 def _search(classes: DataFrame, cosine: float, train_rows: int, list_rows: int, block_rows: int) -> DataFrame:

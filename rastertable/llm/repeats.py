@@ -339,7 +339,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Texts are UTF-8 bytes, null as empty; a text shorter than ``length`` keeps all. Rows that repeat
     both id and text are texts of their own, so all of them are removed where they are long enough.
+    ``length`` is at least ``gram``, the bytes an anchor is made of.
     """
+    if not 1 <= gram <= length:
+        raise ValueError(f"length is at least {gram}, the bytes of an anchor, not {length}")
     carried = docs.columns if with_columns is None else list(with_columns)
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), text_or_empty(f"`{text_col}`").alias("text"))
     rows = rows.withColumn("print", F.xxhash64("text"))

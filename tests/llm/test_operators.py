@@ -246,7 +246,8 @@ def test_trigram_queries():
     assert q("abcd") == ("and", frozenset({b"abc", b"bcd"}))
     assert q("(abc|xyz)[0-9]+") == ("or", frozenset({b"abc", b"xyz"}))
     assert q("(abc|x*)") is secret_scan.ANY
-    assert q("a[bB]c+") is not secret_scan.ANY or True  # a repeated end may only widen the query
+    assert q("a[bB]c+") is secret_scan.ANY  # a repeated end is no part of a string, and "ab" has no trigram
+    assert q("ab[cC]d+") == b"abc"
     assert q("-----BEGIN [A-Z ]*PRIVATE KEY-----") is not secret_scan.ANY
 
 
@@ -475,6 +476,32 @@ def test_anchors_lose_no_repeated_window(texts):
 
 # --- all ---------------------------------------------------------------------------------------
 
+def test_ids_that_no_vocabulary_has(spark, tokenizer):
+    lists = [[5, 10**7, 6], [-1], [None, 7], [], None, [5, 6]]
+    df = spark.createDataFrame([(i, x, "d") for i, x in enumerate(lists)], "doc_id int, ids array<bigint>, decoded string")
+    want = {i: (None if x is None else tokenizer.decode([t for t in x if t is not None and t >= 0], skip_special_tokens=False),)
+            for i, x in enumerate(lists)}
+    assert by_id(bpe.decode(df), "decoded") == want
+    assert bpe.decode(df.where("doc_id > 99")).collect() == []
+
+
+def test_repeated_vector_ids_keep_their_own_links(spark):
+    """One id with two vectors, one of which links; a third row of that id without a vector."""
+    rows = [(1, [1.0, 0.0], 0, "a"), (1, [0.0, 1.0], 0, "b"), (1, None, 0, "c"), (2, [1.0, 0.001], 0, "d"), (None, [0.0, 1.0], 0, "e")]
+    df = spark.createDataFrame(rows, "vec_id int, embedding array<double>, label int, key string")
+    whole = {r.key: (r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert whole == {"a": (1, 1, 1, True), "b": (1, 1, 1, True), "c": (1, 0, 1, True), "d": (2, 1, 1, False),
+                     "e": (None, 1, 1, False)}
+    lean = embedding_dedup.near_duplicates(df, with_columns=["vec_id"]).collect()
+    assert sorted(map(str, whole.values())) == sorted(str((r.vec_id, r.n_links, r.component_id, r.kept)) for r in lean)
+    assert embedding_dedup.near_duplicates(df.where("false")).collect() == []
+
+
+def test_length_below_an_anchor(docs):
+    with pytest.raises(ValueError, match="length is at least"):
+        repeats.remove_repeats(docs, length=3)
+
+
 def test_empty_tables(nothing, spark):
     model = quality.fit(quality.features(nothing), spark.createDataFrame([], "doc_id bigint, quality int"))
     results = [exact_dedup.mark_duplicates(nothing), exact_dedup.drop_duplicates(nothing), bpe.encode(nothing),
