@@ -110,3 +110,32 @@ def _(spark, sf):
        **_HORN_PARTS)
 def _(spark, sf):
     return rounded(cells(rt.tobler(fx1_cells(spark, sf), 0.01)))
+
+
+# --- radius 40 -------------------------------------------------------------------------------
+
+# dense cells of the tiles that hold data and of those around them
+_DENSE = """SELECT c.x, c.y, f.v FROM (SELECT unnest(range(-40, 168)) AS x) a,
+      (SELECT unnest(range(-40, (SELECT max(y) + 57 FROM fx1b0))) AS y) b, LATERAL (SELECT a.x, b.y) c
+    LEFT JOIN fx1b0 f ON f.x = c.x AND f.y = c.y"""
+_LINES = "SELECT x, y, {fn}(v) OVER (PARTITION BY y ORDER BY x ROWS BETWEEN 40 PRECEDING AND 40 FOLLOWING) AS v FROM dense"
+_SQUARES = "SELECT x, y, {fn}(v) OVER (PARTITION BY x ORDER BY y ROWS BETWEEN 40 PRECEDING AND 40 FOLLOWING) AS v FROM lines"
+for _name, _fn in (("Sum", "sum"), ("Min", "min"), ("Max", "max")):
+    @query(f"focal_{_name}_wide", "grid fx1b0", """SELECT x, y, 0 AS band, CAST(v AS BIGINT) AS v
+        FROM squares SEMI JOIN grid USING (x, y) WHERE v IS NOT NULL""",
+           dense=_DENSE, lines=_LINES.format(fn=_fn), squares=_SQUARES.format(fn=_fn))
+    def _(spark, sf, name=_name):
+        return cells(rt.focal(fx1_cells(spark, sf), name, rt.Square(40)))
+
+
+# each row of the circle is a difference of two running sums
+@query("focal_Mean_wide", "grid fx1b0", """SELECT g.x, g.y, 0 AS band,
+      round(sum(e.s - w.s) / sum(e.n - w.n), 6) AS v
+    FROM grid g JOIN (SELECT unnest(range(-40, 41)) AS dy) o ON true
+    JOIN sums e ON e.y = g.y + dy AND e.x = g.x + CAST(floor(sqrt(1600 - dy * dy)) AS BIGINT)
+    JOIN sums w ON w.y = g.y + dy AND w.x = g.x - CAST(floor(sqrt(1600 - dy * dy)) AS BIGINT) - 1
+    GROUP BY 1, 2 HAVING sum(e.n - w.n) > 0""", dense=_DENSE.replace("range(-40, 168)", "range(-41, 168)"), sums="""
+    SELECT x, y, coalesce(sum(v) OVER q, 0) AS s, count(v) OVER q AS n FROM dense
+    WINDOW q AS (PARTITION BY y ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
+def _(spark, sf):
+    return rounded(cells(rt.focal(fx1_cells(spark, sf), "Mean", rt.Circle(40))))

@@ -81,3 +81,29 @@ def neighborhood(name: str, p1: float = 0, p2: float = 0, p3: float = 0):
 
 def reach(offsets: Offsets) -> int:
     return max(max(abs(dx), abs(dy)) for dx, dy in offsets) if offsets else 0
+
+
+def rectangles(offsets: Offsets) -> list[tuple[int, int, int, int]]:
+    """The offsets as disjoint rectangles (first dx, last dx, first dy, last dy): runs of each row, joined
+    with equal runs of the rows below."""
+    rows: dict[int, list[tuple[int, int]]] = {}
+    for dx, dy in sorted(offsets, key=lambda o: (o[1], o[0])):
+        runs = rows.setdefault(dy, [])
+        if runs and runs[-1][1] == dx - 1:
+            runs[-1] = runs[-1][0], dx
+        else:
+            runs.append((dx, dx))
+    out: list[tuple[int, int, int, int]] = []
+    growing: dict[tuple[int, int], int] = {}  # run -> its rectangle, where it reaches the row before
+    for dy in sorted(rows):
+        now = {}
+        for run in rows[dy]:
+            k = growing.get(run)
+            if k is not None and out[k][3] == dy - 1:
+                out[k] = (*out[k][:3], dy)
+            else:
+                k = len(out)
+                out.append((*run, dy, dy))
+            now[run] = k
+        growing = now
+    return out

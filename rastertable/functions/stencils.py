@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .neighborhoods import rectangles
+
 BLOCK_BYTES = 64 * 1024 * 1024
 
 
@@ -60,9 +62,130 @@ def _mode(stack):
     return best
 
 
+class Wide:
+    """Neighbourhoods as rectangles: the work follows their number, not that of the cells in them."""
+
+    def __init__(self, offsets, r: int):
+        self.boxes, self.r = rectangles(offsets), r
+
+    def worth(self, offsets, operation: str) -> bool:
+        """Whether rectangles cost less than offsets; counts that slide pay off in wide ones only."""
+        return operation != "Mode" and len(offsets) > (400 if operation == "Median" else 8 * len(self.boxes))
+
+    def sums(self, values):
+        """Sum over the neighbourhood, by sums of everything north-west of a cell: four lookups a
+        rectangle. What is summed is best near zero, or whole."""
+        n, height, width = values.shape
+        r, h, w = self.r, height - 2 * self.r, width - 2 * self.r
+        before = np.zeros((n, height + 1, width + 1))
+        before[:, 1:, 1:] = values.cumsum(axis=1).cumsum(axis=2)
+        out = np.zeros((n, h, w))
+        for x0, x1, y0, y1 in self.boxes:
+            top, bottom, left, right = r + y0, r + y1 + 1, r + x0, r + x1 + 1
+            out += (before[:, bottom:bottom + h, right:right + w] - before[:, top:top + h, right:right + w]
+                    - before[:, bottom:bottom + h, left:left + w] + before[:, top:top + h, left:left + w])
+        return out
+
+    def extreme(self, padded, pick):
+        """Least or greatest data value: of spans that double in length, two overlapping ones cover a run."""
+        r, h, w = self.r, padded.shape[1] - 2 * self.r, padded.shape[2] - 2 * self.r
+        doubled = [padded]  # spans of 1, 2, 4 .. cells to the east
+        out = np.full((len(padded), h, w), np.nan)
+        for x0, x1, y0, y1 in self.boxes:
+            k = (x1 - x0 + 1).bit_length() - 1
+            while len(doubled) <= k:
+                last, step = doubled[-1], 1 << len(doubled) - 1
+                doubled.append(pick(last[:, :, :last.shape[2] - step], last[:, :, step:]))
+            rows = pick(doubled[k][:, :, r + x0:r + x0 + w], doubled[k][:, :, r + x1 + 1 - (1 << k):r + x1 + 1 - (1 << k) + w])
+            high, span = y1 - y0 + 1, 1
+            tall = rows[:, r + y0:r + y1 + h]  # the rows that any cell's rectangle reaches
+            while 2 * span <= high:
+                tall = pick(tall[:, :tall.shape[1] - span], tall[:, span:])
+                span *= 2
+            out = pick(out, pick(tall[:, :h], tall[:, high - span:high - span + h]))
+        return out
+
+    def median(self, padded):
+        """By counts per value that slide along each line: a step takes in one column of cells and lets one
+        go. Values are numbered; counts of about as many ranges as a range has values find the middle."""
+        out = np.empty((len(padded), padded.shape[1] - 2 * self.r, padded.shape[2] - 2 * self.r))
+        for tile, into in zip(padded, out):
+            values = np.unique(tile[~np.isnan(tile)])
+            if not len(values):
+                into[:] = np.nan
+                continue
+            step = max(1, int(np.sqrt(len(values))))
+            size = -(-len(values) // step)
+            number = np.where(np.isnan(tile), size * step, np.searchsorted(values, tile))  # the last one: no data
+            lines = max(1, min(into.shape[0], BLOCK_BYTES // (4 * (size + 1) * step)))
+            for y in range(0, into.shape[0], lines):
+                self._slide(number[y:y + lines + 2 * self.r], values, step, size, into[y:y + lines])
+        return out
+
+    def _slide(self, number, values, step: int, size: int, into) -> None:
+        r, (h, w) = self.r, into.shape
+        counts, coarse = np.zeros((h, (size + 1) * step), np.int32), np.zeros((h, size + 1), np.int32)
+        line = np.arange(h)
+
+        def take(dx: int, y0: int, y1: int, x: int, sign: int) -> None:
+            for dy in range(y0, y1 + 1):
+                which = number[r + dy:r + dy + h, r + x + dx]
+                counts[line, which] += sign
+                coarse[line, which // step] += sign
+
+        for x in range(w):
+            for x0, x1, y0, y1 in self.boxes:
+                if x == 0:
+                    for dx in range(x0, x1 + 1):
+                        take(dx, y0, y1, 0, 1)
+                else:
+                    take(x0, y0, y1, x - 1, -1)
+                    take(x1, y0, y1, x, 1)
+            total = coarse[:, :size].sum(axis=1)
+            up_to = coarse[:, :size].cumsum(axis=1)
+            found = []
+            for nth in ((total - 1) // 2, total // 2):  # the middle, or the middle two
+                part = (up_to <= nth[:, None]).sum(axis=1).clip(max=size - 1)
+                rest = nth - np.where(part > 0, up_to[line, part - 1], 0)
+                inside = counts.reshape(h, size + 1, step)[line, part].cumsum(axis=1)
+                found.append(part * step + (inside <= rest[:, None]).sum(axis=1).clip(max=step - 1))
+            low, high = (values[np.minimum(f, len(values) - 1)] for f in found)
+            into[:, x] = np.where(total > 0, (low + high) / 2, np.nan)
+
+
+def _wide_statistic(operation: str, wide: Wide, padded):
+    if operation in ("Min", "Max"):
+        return wide.extreme(padded, np.fmin if operation == "Min" else np.fmax)
+    if operation == "Median":
+        return wide.median(padded)
+    data = ~np.isnan(padded)
+    count = wide.sums(data.astype(float))
+    empty = count < 0.5
+    count = np.where(empty, np.nan, np.rint(count))
+    whole = not np.any(data & (padded != np.rint(padded)))
+    # sums of whole numbers are exact; others are taken about the middle of the data
+    middle = 0.0 if whole and operation != "StandardDeviation" or not data.any() else np.rint(np.nanmean(padded))
+    about = np.where(data, padded - middle, 0.0)
+    total = wide.sums(about)
+    if operation == "Sum":
+        return total + middle * count
+    if operation == "Mean":
+        return middle + total / count
+    variance = wide.sums(about * about) / count - (total / count) ** 2
+    return np.sqrt(np.maximum(variance, 0.0))
+
+
 def focal_statistic(operation: str, offsets, r: int):
-    """Stencil of a statistic over the data cells among the offsets; no data cell gives NaN."""
+    """Stencil of a statistic over the data cells among the offsets; no data cell gives NaN.
+
+    Wide neighbourhoods go by rectangles, so that their cost hardly grows with the radius; Mode and
+    ragged ones go by offset.
+    """
+    wide = Wide(offsets, r)
+
     def run(padded):
+        if wide.worth(offsets, operation):
+            return _wide_statistic(operation, wide, padded)
         if operation == "Min":
             return _fold(padded, offsets, r, np.full_like(_view(padded, 0, 0, r), np.nan), np.fmin)
         if operation == "Max":

@@ -134,7 +134,8 @@ def focal(layer: Layer, operation: str, neighborhood=Square(1), band: int = 0,
     offsets = neighborhood.offsets()
     r = reach(offsets)
     whole = operation in STATISTICS[3:] and not layer.is_floating
-    many = len(offsets) if operation in ("Median", "Mode") else 8
+    stacked = operation in ("Median", "Mode") and not stencils.Wide(offsets, r).worth(offsets, operation)
+    many = len(offsets) if stacked else 8
     return run_stencil(layer, stencils.focal_statistic(operation, offsets, r), r, band, target,
                        "int32" if whole else "float64", many)
 

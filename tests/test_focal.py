@@ -105,3 +105,38 @@ def test_instants_do_not_see_each_other(spark):
     out = rt.focal(both, "Sum", rt.Square(1))
     second = rt.to_spatial(out, "2024-01-02 00:00:00")
     np.testing.assert_array_equal(as_array(second, 8, 8), 2 * brute(a, rt.Square(1).offsets(), sum))
+
+
+@pytest.mark.parametrize("area", [rt.Square(9), rt.Circle(9), rt.Nesw(40), rt.Annulus(5, 9), rt.Wedge(12, 20, 200), rt.Square(3)])
+def test_wide_neighbourhoods_equal_offsets(area):
+    """Rectangles cover each offset once, and give what the offsets give."""
+    from rastertable.functions import stencils
+    from rastertable.functions.neighborhoods import reach, rectangles
+    offsets = area.offsets()
+    boxes = rectangles(offsets)
+    covered = [(x, y) for x0, x1, y0, y1 in boxes for x in range(x0, x1 + 1) for y in range(y0, y1 + 1)]
+    assert sorted(covered) == sorted(offsets) and len(covered) == len(set(covered))
+    r = reach(offsets)
+    rng = np.random.default_rng(4)
+    for kind in ("whole", "real", "far", "empty"):
+        padded = rng.integers(0, 30, (2, 7 + 2 * r, 9 + 2 * r)).astype(float)
+        padded += {"whole": 0, "real": rng.random(padded.shape), "far": 1e7 + rng.random(padded.shape), "empty": np.nan}[kind]
+        padded[rng.random(padded.shape) < 0.4] = np.nan
+        wide = stencils.Wide(offsets, r)
+        for operation in ("Sum", "Mean", "StandardDeviation", "Min", "Max", "Median"):
+            got = stencils._wide_statistic(operation, wide, padded)
+            plain = _plain(operation, offsets, r, padded)
+            np.testing.assert_allclose(got, plain, rtol=1e-9, atol=1e-6, err_msg=f"{operation} {kind}")
+
+
+def _plain(operation, offsets, r, padded):
+    h, w = padded.shape[1] - 2 * r, padded.shape[2] - 2 * r
+    stack = np.stack([padded[:, r + dy:r + dy + h, r + dx:r + dx + w] for dx, dy in offsets])
+    fn = {"Sum": np.nansum, "Mean": np.nanmean, "StandardDeviation": np.nanstd, "Min": np.nanmin, "Max": np.nanmax,
+          "Median": np.nanmedian}[operation]
+    with np.errstate(all="ignore"):
+        import warnings
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")
+            out = fn(stack, axis=0)
+    return np.where(np.isnan(stack).all(axis=0), np.nan, out)
