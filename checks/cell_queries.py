@@ -144,13 +144,12 @@ for _boundary, _case in _CLASS_SQL.items():
         return cells(rt.reclassify(fx1_cells(spark, sf), _BREAKS, boundary))
 
 
-@query("reclassify_many_breaks", "fx3", CELLS3.format(
-    "CASE WHEN v < 3000 THEN CAST((floor((v + 3000) / 20.0) + 1) AS BIGINT) ELSE NULL END")
-    .replace("FROM fx3", "FROM fx3 WHERE v < 3000 AND v >= -3000"))
+@query("reclassify_many_breaks", "fx3", "SELECT * FROM (" + CELLS3.format(
+    "CASE WHEN v < -300 THEN 0 WHEN v < 300 THEN CAST(floor((v + 300) / 2.0) + 1 AS BIGINT) END") + ") q WHERE v IS NOT NULL")
 def _(spark, sf):
-    breaks = {-3000 + 20 * i: i for i in range(0, 301)}
-    out = rt.reclassify(fx3_tiles(spark, sf), breaks, "LessThan")
-    return cells(out).where("v > 0")
+    """301 breaks; values below the first are class 0, values from the last on have none."""
+    breaks = {-300 + 2 * i: i for i in range(0, 301)}
+    return cells(rt.reclassify(fx3_tiles(spark, sf), breaks, "LessThan"))
 
 
 @query("reclassify_double", "fx1", f"""SELECT * FROM ({FX1_SELECT.format(

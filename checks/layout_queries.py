@@ -187,7 +187,7 @@ def _levels(first: str, top: int, step: str, n: int) -> dict[str, str]:
     """Level tables l0..ln, each from the one above."""
     out = {"l0": first}
     for k in range(1, n + 1):
-        out[f"l{k}"] = step.format(prior=f"l{k - 1}")
+        out[f"l{k}"] = step.format(prior=f"l{k - 1}", k=k)
     return out
 
 
@@ -228,6 +228,14 @@ def _(spark, sf):
     return rt.pyramid_cells(rt.pyramid(fx1_cells(spark, sf), end_zoom=15))
 
 
+@query("pyramid_max_to_top", "fx1", " UNION ALL ".join(f"SELECT x, y, band, v, {18 - k} AS zoom FROM l{k}" for k in range(19)),
+       **_levels("SELECT x, y, band, CAST(v AS DOUBLE) AS v FROM fx1", 18,
+                 "SELECT x // (CASE WHEN {k} <= 3 THEN 2 ELSE 1 END) AS x, y // 2 AS y, band, max(v) AS v FROM {prior} GROUP BY 1, 2, 3", 18))
+def _(spark, sf):
+    """All levels; from the fourth on the layout is one tile wide and shrinks in height alone."""
+    return rt.pyramid_cells(rt.pyramid(fx1_cells(spark, sf), "Max"))
+
+
 # --- coordinates and reprojection ------------------------------------------------------------
 
 @query("transform_xy", "pt1", """SELECT point_id,
@@ -376,15 +384,24 @@ def _(spark, sf):
 
 @query("rasterize_temporal", "geo", """SELECT x, y, '2024-02-03 04:05:06' AS instant, 0 AS band,
     CAST(5 AS BIGINT) AS v FROM (SELECT DISTINCT x, y FROM (
-      SELECT e.geom_id, c.x, r.y FROM geo e, (SELECT unnest(range(0, 64)) AS x) c,
-        (SELECT unnest(range(0, 64)) AS y) r
-      WHERE 2 * r.y + 1 >= least(e.y0, e.y1) AND 2 * r.y + 1 < greatest(e.y0, e.y1)
-        AND e.x0 + (2 * r.y + 1 - e.y0) * (e.x1 - e.x0) / (e.y1 - e.y0) <= 2 * c.x + 1
+      SELECT e.geom_id, c.x, e.y FROM (SELECT g.*, unnest(range(CAST(floor(least(y0, y1) / 2) AS BIGINT) - 1,
+          CAST(ceil(greatest(y0, y1) / 2) AS BIGINT) + 1)) AS y FROM geo g) e, (SELECT unnest(range(0, 64)) AS x) c
+      WHERE 2 * e.y + 1 >= least(e.y0, e.y1) AND 2 * e.y + 1 < greatest(e.y0, e.y1)
+        AND e.x0 + (2 * e.y + 1 - e.y0) * (e.x1 - e.x0) / (e.y1 - e.y0) <= 2 * c.x + 1
       GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1) i) d""")
 def _(spark, sf):
+    """All polygons; the extent reaches as far south as they do."""
+    edges = map_edges(spark, sf)
+    rows = int(-edges.agg(F.least(F.min("y0"), F.min("y1"))).first()[0]) // 2 + 1
     return texted(cells(rt.rasterize_single(
-        rt.Extent(0.0, -128.0, 128.0, 0.0), 3857, "2024-02-03 04:05:06", 64, 64, 5,
-        map_edges(spark, sf))))
+        rt.Extent(0.0, -2.0 * rows, 128.0, 0.0), 3857, "2024-02-03 04:05:06", 64, rows, 5, edges)))
+
+
+@query("rasterize_partial", "geo inside_all", f"""SELECT DISTINCT x, y, 0 AS band, CAST(7 AS BIGINT) AS v
+    FROM (SELECT x, y FROM inside_all UNION ALL SELECT x, y FROM ({_LINE_CELLS}) c) u""")
+def _(spark, sf):
+    """Cells that polygons cover in part count as well."""
+    return cells(rt.rasterize_on(TALL, 3857, 7, polygons=map_edges(spark, sf), partial=True))
 
 
 @query("euclidean_distance", "pt1", """SELECT x, y, 0 AS band, round(sqrt(min(

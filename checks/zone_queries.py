@@ -144,25 +144,29 @@ def _(spark, sf):
         "v", F.col("v").cast("bigint"))
 
 
-@query("point_values_bilinear", "fx1 pt1", """SELECT p.point_id,
-    round(sum(w * f.v) / sum(w), 6) AS v FROM (
-      SELECT point_id, floor(x - 0.5) + dx AS cx, floor(y - 0.5) + dy AS cy,
-        (1 - abs(x - 0.5 - floor(x - 0.5) - dx)) * (1 - abs(y - 0.5 - floor(y - 0.5) - dy)) AS w
-      FROM pt1, (SELECT unnest([0, 1]) AS dx) a, (SELECT unnest([0, 1]) AS dy) b) p
-    JOIN fx1 f ON f.x = p.cx AND f.y = p.cy AND f.band = 0 WHERE w > 0 GROUP BY 1""")
+@query("point_values_bilinear", "fx1 pt1", """SELECT p.point_id, b.band, t.v FROM pt1 p
+    CROSS JOIN (SELECT 0 AS band UNION ALL SELECT 1) b LEFT JOIN (
+      SELECT p.point_id, f.band, round(sum(w * f.v) / sum(w), 6) AS v FROM (
+        SELECT point_id, floor(x - 0.5) + dx AS cx, floor(y - 0.5) + dy AS cy,
+          (1 - abs(x - 0.5 - floor(x - 0.5) - dx)) * (1 - abs(y - 0.5 - floor(y - 0.5) - dy)) AS w
+        FROM pt1, (SELECT unnest([0, 1]) AS dx) a, (SELECT unnest([0, 1]) AS dy) b) p
+      JOIN fx1 f ON f.x = p.cx AND f.y = p.cy WHERE w > 0 GROUP BY 1, 2) t
+    ON t.point_id = p.point_id AND t.band = b.band""")
 def _(spark, sf):
     found = rt.point_values(fx1_cells(spark, sf), map_points(spark, sf), "Bilinear")
-    v = F.get("values", F.lit(0))
-    return rounded(found.select("point_id", v.alias("v")).where(F.col("v").isNotNull()))
+    both = F.coalesce("values", F.array(F.lit(None), F.lit(None)).cast("array<double>"))
+    return rounded(found.select("point_id", F.posexplode(both).alias("band", "v")))
 
 
-@query("point_values_temporal", "fx2 pt1", """SELECT p.point_id, CAST(f.instant AS VARCHAR) AS instant,
-    f.v FROM (SELECT point_id, floor(x) AS x, floor(y) AS y FROM pt1) p
-    JOIN fx2 f ON f.x = p.x AND f.y = p.y""")
+@query("point_values_temporal", "fx2 pt1", """SELECT p.point_id, CAST(t.instant AS VARCHAR) AS instant, f.v
+    FROM (SELECT point_id, CAST(floor(x) AS BIGINT) AS x, CAST(floor(y) AS BIGINT) AS y FROM pt1) p
+    LEFT JOIN (SELECT DISTINCT x // 8 AS tx, y // 8 AS ty, instant FROM fx2) t ON t.tx = p.x // 8 AND t.ty = p.y // 8
+    LEFT JOIN fx2 f ON f.x = p.x AND f.y = p.y AND f.instant = t.instant""")
 def _(spark, sf):
+    """Every point at every instant that has its tile, and points off the layer once."""
     found = rt.point_values(fx2_cells(spark, sf), map_points(spark, sf))
     v = F.get("values", F.lit(0)).cast("bigint")
-    return texted(found.select("point_id", "instant", v.alias("v"))).where(F.col("v").isNotNull())
+    return texted(found.select("point_id", "instant", v.alias("v")))
 
 
 # --- aggregation -----------------------------------------------------------------------------

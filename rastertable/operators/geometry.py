@@ -187,11 +187,9 @@ def near(tiles: DataFrame, layout: Layout, area: Extent | None, cells: int = 1)
     return tiles.where(F.col("col").between(c0, c1) & F.col("row").between(r0, r1))
 
 
-def segment_cells(edges: DataFrame, layout: Layout) -> DataFrame:
-    """Cells that segments pass through, as distinct (geom_id, x, y).
-
-    Per row, the cells between the x where the segment enters and the x where it leaves.
-    """
+def segment_spans(edges: DataFrame, layout: Layout) -> DataFrame:
+    """Runs of cells ``[x0, x1)`` that segments pass through, per segment and row: from the x where the
+    segment enters the row to the x where it leaves."""
     g = grid_edges(edges, layout)
     low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
     last = F.greatest(F.ceil(high) - 1, F.floor(low))
@@ -208,9 +206,14 @@ def segment_cells(edges: DataFrame, layout: Layout) -> DataFrame:
     rows = rows.select("geom_id", "y", F.least(enter, leave).alias("a"),
                        F.greatest(enter, leave).alias("b"))
     end = F.greatest(F.ceil("b") - 1, F.floor("a"))
-    cells = explode_range(rows, "x", F.greatest(F.floor("a"), F.lit(0)),
-                          F.least(end, F.lit(layout.cols - 1)))
-    return cells.select("geom_id", "x", "y").distinct()
+    return rows.select("geom_id", "y", F.greatest(F.floor("a"), F.lit(0)).cast("bigint").alias("x0"),
+                       (F.least(end, F.lit(layout.cols - 1)) + 1).cast("bigint").alias("x1")).where("x0 < x1")
+
+
+def segment_cells(edges: DataFrame, layout: Layout) -> DataFrame:
+    """Cells that segments pass through, as distinct (geom_id, x, y)."""
+    spans = segment_spans(edges, layout)
+    return explode_range(spans, "x", F.col("x0"), F.col("x1") - 1).select("geom_id", "x", "y").distinct()
 
 
 def tile_layout(layout: Layout) -> Layout:

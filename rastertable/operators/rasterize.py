@@ -7,27 +7,30 @@ from pyspark.sql import functions as F
 
 from ..model import CellType, Extent, Layer, Layout, Meta, global_level
 from .filters import Moment, moment
-from .geometry import mask_cells, polygon_spans, segment_cells, tile_masks
+from .geometry import mask_cells, polygon_spans, segment_cells, segment_spans, tile_masks
 from .shape import to_tiles
 
 
 def rasterize_on(layout: Layout, epsg: int, fill: float, cell_type: str = "int32",
                  polygons: DataFrame | None = None, lines: DataFrame | None = None,
                  points: DataFrame | None = None, instant: Moment | None = None,
-                 zoom: int | None = None) -> Layer:
-    """Tiles with ``fill`` in the cells that polygons hold, lines cross or points fall in."""
+                 zoom: int | None = None, partial: bool = False) -> Layer:
+    """Tiles with ``fill`` in the cells that polygons hold, lines cross or points fall in.
+
+    A polygon holds the cells whose centre is inside; with ``partial`` also those its edges cross.
+    """
     kind = CellType.parse(cell_type)
     meta = Meta(kind, layout, epsg, 1, zoom=zoom)
     value = F.lit(fill).cast(kind.compute_type)
     if polygons is not None and lines is None and points is None:
-        masks = tile_masks(polygon_spans(polygons, layout), layout, by_geometry=False)
+        masks = tile_masks(_spans(polygons, layout, partial), layout, by_geometry=False)
         cells = F.transform(mask_cells(F.col("mask"), layout),
                             lambda inside: F.when(inside, value))
         out = Layer(masks.select("col", "row", F.array(cells).alias("bands")), meta, "tile")
     else:
         parts = []
         if polygons is not None:
-            spans = polygon_spans(polygons, layout)
+            spans = _spans(polygons, layout, partial)
             parts.append(spans.select(F.explode(F.sequence("x0", F.col("x1") - 1)).alias("x"), "y"))
         if lines is not None:
             parts.append(segment_cells(lines, layout).select("x", "y"))
@@ -49,6 +52,12 @@ def rasterize_on(layout: Layout, epsg: int, fill: float, cell_type: str = "int32
                        temporal=True)
 
 
+def _spans(polygons: DataFrame, layout: Layout, partial: bool) -> DataFrame:
+    """Runs of the cells that polygons hold; they may overlap where cells are held in part."""
+    inside = polygon_spans(polygons, layout)
+    return inside.unionByName(segment_spans(polygons, layout)) if partial else inside
+
+
 def rasterize(epsg: int, zoom: int, fill: float, cell_type: str = "int32", tile_size: int = 256,
               **geometry) -> Layer:
     """``rasterize_on`` over the global layout of a zoom level."""
@@ -57,7 +66,7 @@ def rasterize(epsg: int, zoom: int, fill: float, cell_type: str = "int32", tile_
 
 
 def rasterize_single(extent: Extent, epsg: int, instant: Moment, cols: int, rows: int, fill: float,
-                     polygons: DataFrame, cell_type: str = "int32") -> Layer:
+                     polygons: DataFrame, cell_type: str = "int32", partial: bool = False) -> Layer:
     """A temporal layer of one tile over the given extent."""
     return rasterize_on(Layout(extent, 1, 1, cols, rows), epsg, fill, cell_type,
-                        polygons=polygons, instant=instant)
+                        polygons=polygons, instant=instant, partial=partial)
