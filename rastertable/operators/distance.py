@@ -200,12 +200,17 @@ def _block_cells(pairs: DataFrame, points: DataFrame, level: int, n: int, size:
     side, (cw, ch), (x0, y0, x1, y1) = 1 << level, size, inside
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, best, mx, my = None, None, None, None
+        last, best, mx, my, done = None, None, None, None, []
 
-        def done() -> pa.RecordBatch:
+        def finished() -> None:
             gx, gy = np.meshgrid(np.arange(side) + last[0] * side, np.arange(side) + last[1] * side)
             ok = (gx >= x0) & (gx < x1) & (gy >= y0) & (gy < y1)
-            return pa.RecordBatch.from_arrays([pa.array(gx[ok]), pa.array(gy[ok]), pa.array(np.sqrt(best[ok]))], ["x", "y", "v"])
+            done.append((gx[ok], gy[ok], np.sqrt(best[ok])))
+
+        def passed_on() -> pa.RecordBatch:
+            columns = [pa.array(np.concatenate(c)) for c in zip(*done)]
+            done.clear()
+            return pa.RecordBatch.from_arrays(columns, ["x", "y", "v"])
 
         for batch in batches:
             keys = zip(batch.column("tx").to_pylist(), batch.column("ty").to_pylist())
@@ -214,7 +219,9 @@ def _block_cells(pairs: DataFrame, points: DataFrame, level: int, n: int, size:
             for key, a, b in zip(keys, ends, ends[1:]):
                 if key != last:
                     if last is not None:
-                        yield done()
+                        finished()
+                        if len(done) >= 64:
+                            yield passed_on()
                     last, best = key, np.full((side, side), np.inf)
                     mx = ((np.arange(side) + key[0] * side) + 0.5) * cw
                     my = ((np.arange(side) + key[1] * side) + 0.5) * ch
@@ -223,7 +230,8 @@ def _block_cells(pairs: DataFrame, points: DataFrame, level: int, n: int, size:
                     dy = (my[:, None] - ys[at:min(b, at + 256)]) ** 2
                     np.minimum(best, (dy[:, None, :] + dx[None, :, :]).min(axis=2), out=best)
         if last is not None:
-            yield done()
+            finished()
+            yield passed_on()
 
     ordered = met.select("tx", "ty", "px", "py").sortWithinPartitions("tx", "ty")
     return ordered.mapInArrow(run, "x bigint, y bigint, v double")

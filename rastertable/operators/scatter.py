@@ -29,6 +29,8 @@ from .fold import HELD_BYTES, NO_RANK, Extreme, First, Fold, Mean, read_cells, u
 #: Cells of a target tile that is computed as one; larger ones are computed in blocks.
 GRAIN = 1 << 18
 _SAMPLES = 9
+#: Bytes of finished tiles that go on together.
+BATCH_BYTES = 8 << 20
 
 
 class Kernel(Fold):
@@ -80,6 +82,15 @@ class _Source:
 
         In another CRS from a grid of samples; borders may bulge between these by no more than
         neighbouring steps differ."""
+        if warp[0] == warp[1]:
+            ends = []
+            for near, far, origin, step, most in (
+                    (self.left + (self.ox - margin) * self.cw, self.left + (self.ox + self.cols + margin) * self.cw,
+                     target.extent.xmin, target.cell_width, target.cols),
+                    (self.top - (self.oy - margin) * self.ch, self.top - (self.oy + self.rows + margin) * self.ch,
+                     target.extent.ymax, -target.cell_height, target.rows)):
+                ends += [max(0, math.floor((near - origin) / step) - 1), min(most - 1, math.ceil((far - origin) / step) + 1)]
+            return tuple(ends)
         x = self.left + np.linspace(self.ox - margin, self.ox + self.cols + margin, _SAMPLES) * self.cw
         y = self.top - np.linspace(self.oy - margin, self.oy + self.rows + margin, _SAMPLES) * self.ch
         x, y = np.meshgrid(x, y)
@@ -91,13 +102,11 @@ class _Source:
                 finite = at[np.isfinite(at)]
                 if not finite.size:
                     return 0, -1, 0, -1
-                bulge = 0.0
-                if warp[0] != warp[1]:
-                    steps = np.concatenate([np.abs(np.diff(at, 2, axis=0)).ravel(), np.abs(np.diff(at, 2, axis=1)).ravel()])
-                    steps = steps[np.isfinite(steps)]
-                    bulge = steps.max() if steps.size else 0.0
-                    if finite.size < at.size:  # some samples have no place in the target CRS
-                        bulge += (finite.max() - finite.min()) / 2
+                steps = np.concatenate([np.abs(np.diff(at, 2, axis=0)).ravel(), np.abs(np.diff(at, 2, axis=1)).ravel()])
+                steps = steps[np.isfinite(steps)]
+                bulge = steps.max() if steps.size else 0.0
+                if finite.size < at.size:  # some samples have no place in the target CRS
+                    bulge += (finite.max() - finite.min()) / 2
                 out += [max(0, math.floor(finite.min() - bulge) - 1), min(most - 1, math.ceil(finite.max() + bulge) + 1)]
         return tuple(out)
 
@@ -289,9 +298,13 @@ def scattered(layer: Layer, target: Layout, method: str, kind: CellType, warp: t
             for col in range(x0 // w, x1 // w + 1):
                 xs = np.arange(max(x0, col * w), min(x1 + 1, (col + 1) * w))
                 u, v = source.place(target, xs, ys, warp)
-                near = ((u >= -margin) & (u <= source.cols + margin) & (v >= -margin) & (v <= source.rows + margin))
-                across, down = np.flatnonzero(near.any(axis=0)), np.flatnonzero(near.any(axis=1))
-                if not len(across):
+                west, north = (u >= -margin) & (u <= source.cols + margin), (v >= -margin) & (v <= source.rows + margin)
+                if warp[0] == warp[1]:
+                    across, down = np.flatnonzero(west[0]), np.flatnonzero(north[:, 0])
+                else:
+                    near = west & north
+                    across, down = np.flatnonzero(near.any(axis=0)), np.flatnonzero(near.any(axis=1))
+                if not (len(across) and len(down)):
                     continue
                 cut = (slice(down[0], down[-1] + 1), slice(across[0], across[-1] + 1))
                 u, v = (p[cut[0] if p.shape[0] > 1 else slice(None), cut[1] if p.shape[1] > 1 else slice(None)] for p in (u, v))
@@ -333,28 +346,35 @@ def scattered(layer: Layer, target: Layout, method: str, kind: CellType, warp: t
             yield passed_on()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held, key_types = None, _Held(fold, bands, grid), []
+        last, held, key_types, done = None, _Held(fold, bands, grid), [], []
+
+        def finished() -> None:
+            v, ok = fold.finish(held.tiles.pop(last)[0])
+            if ok.any():
+                done.append((last, v.ravel(), ok.ravel()))
 
-        def finished() -> pa.RecordBatch | None:
-            state = held.tiles.pop(last)[0]
-            v, ok = fold.finish(state)
-            if not ok.any():
-                return None
+        def passed_on() -> pa.RecordBatch:
+            found, v, ok = zip(*done)
+            done.clear()
             return pa.RecordBatch.from_arrays(
-                [*[pa.array([k], t) for k, t in zip(last, key_types)], write_cells([v.ravel()], [ok.ravel()])], [*keys, "flat"])
+                [*[pa.array(c, t) for c, t in zip(zip(*found), key_types)], write_cells(v, ok)], [*keys, "flat"])
 
         for batch in batches:
             key_types = [batch.schema.field(k).type for k in keys]
-            boxes = [batch.column(c).to_numpy() for c in ("px", "py", "w", "h")]
+            boxes = [batch.column(c).to_pylist() for c in ("px", "py", "w", "h")]
             states = [read_cells(batch.column(s)) for s in state_names]
             for i, key in enumerate(zip(*[batch.column(k).to_pylist() for k in keys])):
-                if key != last and last is not None and (done := finished()) is not None:
-                    yield done
+                if key != last and last is not None:
+                    finished()
+                    if len(done) * bands * grid.tile_cells * 16 > BATCH_BYTES:
+                        yield passed_on()
                 last = key
-                px, py, w, h = (int(b[i]) for b in boxes)
+                px, py, w, h = (b[i] for b in boxes)
                 held.add(key, px, py, tuple(v[e[i]:e[i + 1]].reshape(-1, h, w) for v, _, e in states))
-        if last is not None and (done := finished()) is not None:
-            yield done
+        if last is not None:
+            finished()
+        if done:
+            yield passed_on()
 
     keys = ["col", "row", *instant]
     state_names = [f"s{i}" for i in range(len(fold.types))]
