@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.kernels import kernel_weight, least_weight, support
 from ..model import Extent, Layer
 from ..plans.joins import lookup_join
-from .geometry import (envelope, extent_edges, in_mask, mask_bytes, mask_cells, near,
+from .fold import read_cells
+from .geometry import (WORD, envelope, extent_edges, in_mask, mask_bytes, mask_cells, near,
                        polygon_spans, tile_bound, tile_masks, tiles_for_geometry, tiles_for_points)
 from .shape import to_tiles, unnest
 
@@ -56,58 +62,147 @@ def _zone_cells(layer: Layer, edges: DataFrame, by_geometry: bool,
             .select(*tags, "band", "v"))
 
 
+#: Masks that meet a tile in one row.
+TOGETHER = 64
+
+
+def _packed(masks: DataFrame, zone: str) -> DataFrame:
+    """Masks of a tile, some of them in a row, so that its cells are read once for all of these; no
+    shuffle, and a tile with very many polygons has several rows."""
+    kind = dict(masks.dtypes)[zone]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            col, row = (batch.column(c).to_numpy() for c in ("col", "row"))
+            new = np.concatenate([[True], (col[1:] != col[:-1]) | (row[1:] != row[:-1])])
+            starts = np.flatnonzero(new)
+            nth = np.arange(len(col)) - np.repeat(starts, np.diff([*starts, len(col)]))
+            starts = np.flatnonzero(nth % TOGETHER == 0)
+            each = pa.StructArray.from_arrays([batch.column(zone), batch.column("mask")], [zone, "mask"])
+            lists = pa.ListArray.from_arrays(pa.array([*starts, len(col)], pa.int32()), each)
+            yield pa.RecordBatch.from_arrays([pa.array(col[starts]), pa.array(row[starts]), lists], ["col", "row", "zones"])
+
+    packed = masks.select("col", "row", zone, "mask").sortWithinPartitions("col", "row")
+    return packed.mapInArrow(run, f"col int, row int, zones array<struct<{zone}: {kind}, mask: array<bigint>>>")
+
+
+def _zone_parts(layer: Layer, edges: DataFrame, by_geometry: bool, band: int | None = None) -> DataFrame:
+    """(geom_id | nothing, instant, band, cells, total, low, high): a row per tile, zone and band with
+    data inside. Cells never become rows; the raster is not shuffled."""
+    tiles = to_tiles(layer)
+    layout, number = layer.meta.layout, layer.meta.cell_type.compute_type
+    masks = tile_masks(polygon_spans(edges, layout), layout, by_geometry)
+    zone = "geom_id"
+    if not by_geometry:
+        masks = masks.withColumn(zone, F.lit(0))
+    area, most, each = tile_bound(edges, layout)
+    zones = _packed(masks, zone)
+    joined = lookup_join(near(tiles.df, layout, area), zones, ["col", "row"], "inner", mask_bytes(layout) * (TOGETHER if by_geometry else 1),
+                         _spread(layer), ["zones"] if by_geometry else None, -(-each // TOGETHER) + most if by_geometry else most)
+    instant = ["instant"] if layer.meta.temporal else []
+    bands = F.col("bands") if band is None else F.array(F.get("bands", F.lit(band)))
+    rows = joined.select(*instant, F.flatten(bands).cast(f"array<{number}>").alias("flat"), "zones").where("flat IS NOT NULL")
+    types = dict(rows.dtypes)
+    names = [zone, *instant, "band", "cells", "total", "low", "high"]
+    kind = dict(masks.dtypes)[zone]
+    tr, tc, per_row, first = layout.tile_rows, layout.tile_cols, -(-layout.tile_cols // WORD), band or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, ok, ends = read_cells(batch.column("flat"))
+            out: list[tuple] = []
+            times = batch.column("instant").to_pylist() if instant else None
+            zones = batch.column("zones")
+            parts, at = zones.values, zones.offsets.to_numpy()
+            words = parts.field("mask")
+            bits, starts = pc.fill_null(words.values, 0).to_numpy(zero_copy_only=False), words.offsets.to_numpy()
+            zone_names = parts.field(zone).to_pylist()
+            for i in range(len(batch)):
+                v = values[ends[i]:ends[i + 1]].reshape(-1, tr, tc)
+                data = ok[ends[i]:ends[i + 1]].reshape(-1, tr, tc)
+                for k in range(at[i], at[i + 1]):
+                    mask = np.unpackbits(bits[starts[k]:starts[k + 1]].astype("<u4").view(np.uint8), bitorder="little")
+                    mask = mask.reshape(tr, per_row * WORD)[:, :tc].astype(bool)
+                    lines = np.flatnonzero(mask.any(axis=1))
+                    if not len(lines):
+                        continue
+                    cut = slice(lines[0], lines[-1] + 1)
+                    for b in range(len(v)):
+                        inside = v[b, cut][mask[cut] & data[b, cut]]
+                        if len(inside):
+                            out.append((zone_names[k], *((times[i],) if instant else ()), first + b, len(inside),
+                                        inside.sum(), inside.min(), inside.max()))
+            if out:
+                cell = pa.int64() if number == "bigint" else pa.float64()
+                kinds = [parts.field(zone).type, *[batch.schema.field(c).type for c in instant], pa.int32(), pa.int64(), cell, cell, cell]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+
+    found = rows.mapInArrow(run, ", ".join([f"{zone} {kind}", *(f"{c} {types[c]}" for c in instant), "band int", "cells bigint",
+                                            *(f"{c} {number}" for c in ("total", "low", "high"))]))
+    return found if by_geometry else found.drop(zone)
+
+
+def _total() -> Column:
+    return F.sum("total")
+
+
+def _mean() -> Column:
+    return F.sum("total").cast("double") / F.sum("cells")
+
+
 def _polygonal(layer: Layer, edges: DataFrame, agg: Column, by_geometry: bool) -> DataFrame:
     keys = (["geom_id"] if by_geometry else []) + (["instant"] if layer.meta.temporal else [])
-    return _zone_cells(layer, edges, by_geometry).groupBy(*keys, "band").agg(agg.alias("value"))
+    return _zone_parts(layer, edges, by_geometry).groupBy(*keys, "band").agg(agg.alias("value"))
 
 
 def polygonal_min(layer: Layer, edges: DataFrame, by_geometry: bool = True) -> DataFrame:
     """Smallest value per band (and geometry). Without ``by_geometry`` all polygons are one zone."""
-    return _polygonal(layer, edges, F.min("v"), by_geometry)
+    return _polygonal(layer, edges, F.min("low"), by_geometry)
 
 
 def polygonal_max(layer: Layer, edges: DataFrame, by_geometry: bool = True) -> DataFrame:
-    return _polygonal(layer, edges, F.max("v"), by_geometry)
+    return _polygonal(layer, edges, F.max("high"), by_geometry)
 
 
 def polygonal_mean(layer: Layer, edges: DataFrame, by_geometry: bool = True) -> DataFrame:
-    return _polygonal(layer, edges, F.avg("v"), by_geometry)
+    return _polygonal(layer, edges, _mean(), by_geometry)
 
 
 def polygonal_sum(layer: Layer, edges: DataFrame, by_geometry: bool = True) -> DataFrame:
-    return _polygonal(layer, edges, F.sum("v"), by_geometry)
+    return _polygonal(layer, edges, _total(), by_geometry)
 
 
 def polygonal_summary(layer: Layer, edges: DataFrame, by_geometry: bool = True) -> DataFrame:
     """All zonal statistics in one pass."""
     keys = (["geom_id"] if by_geometry else []) + (["instant"] if layer.meta.temporal else [])
-    return (_zone_cells(layer, edges, by_geometry).groupBy(*keys, "band")
-            .agg(F.count("v").alias("cells"), F.min("v").alias("min"), F.max("v").alias("max"),
-                 F.sum("v").alias("sum"), F.avg("v").alias("mean")))
+    return (_zone_parts(layer, edges, by_geometry).groupBy(*keys, "band")
+            .agg(F.sum("cells").alias("cells"), F.min("low").alias("min"), F.max("high").alias("max"),
+                 _total().alias("sum"), _mean().alias("mean")))
 
 
 def _series(layer: Layer, edges: DataFrame, agg: Column, band: int) -> DataFrame:
     if not layer.meta.temporal:
         raise ValueError("a series needs a temporal layer")
-    cells = _zone_cells(layer, edges, False, band)
-    return cells.groupBy("instant").agg(agg.alias("value")).orderBy("instant")
+    return _zone_parts(layer, edges, False, band).groupBy("instant").agg(agg.alias("value")).orderBy("instant")
 
 
 def sum_series(layer: Layer, edges: DataFrame, band: int = 0) -> DataFrame:
     """Sum per instant over the union of the polygons; overlaps count once."""
-    return _series(layer, edges, F.sum("v"), band)
+    return _series(layer, edges, _total(), band)
 
 
 def min_series(layer: Layer, edges: DataFrame, band: int = 0) -> DataFrame:
-    return _series(layer, edges, F.min("v"), band)
+    return _series(layer, edges, F.min("low"), band)
 
 
 def max_series(layer: Layer, edges: DataFrame, band: int = 0) -> DataFrame:
-    return _series(layer, edges, F.max("v"), band)
+    return _series(layer, edges, F.max("high"), band)
 
 
 def mean_series(layer: Layer, edges: DataFrame, band: int = 0) -> DataFrame:
-    return _series(layer, edges, F.avg("v"), band)
+    return _series(layer, edges, _mean(), band)
 
 
 def histogram_series(layer: Layer, edges: DataFrame, band: int = 0) -> DataFrame:
