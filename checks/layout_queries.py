@@ -404,6 +404,14 @@ def _(spark, sf):
     return cells(rt.rasterize_on(TALL, 3857, 7, polygons=map_edges(spark, sf), partial=True))
 
 
+@query("rasterize_coverage", "covered", """SELECT x, CAST(y AS BIGINT) AS y, 0 AS band,
+    round(sum(share) + 1.3e-7, 6) AS v FROM covered GROUP BY 1, 2""")
+def _(spark, sf):
+    """Shares of all polygons added up."""
+    out = cells(rt.rasterize_coverage(TALL, 3857, map_edges(spark, sf)))
+    return rounded(out.withColumn("v", F.col("v") + 1.3e-7))
+
+
 @query("euclidean_distance", "pt1", """SELECT x, y, 0 AS band, round(sqrt(min(
       (x + 0.5 - px) * (x + 0.5 - px) + (y + 0.5 - py) * (y + 0.5 - py))), 6) AS v
     FROM (SELECT unnest(range(0, 128)) AS x) a, (SELECT unnest(range(0, (SELECT CAST(

@@ -40,9 +40,27 @@ PARTS = {
         WHERE e.y + 0.5 >= least(e.y0, e.y1) AND e.y + 0.5 < greatest(e.y0, e.y1)
           AND e.x0 + (e.y + 0.5 - e.y0) * (e.x1 - e.x0) / (e.y1 - e.y0) <= c.x + 0.5
         GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1""",
+    # the share of each cell that a geometry covers: a row cut at all corners, edges in each slab in turn
+    # entering and leaving, and the mean width of the cell right of each edge
+    "covered": """SELECT geom_id, x, y, share FROM (
+        SELECT geom_id, x, y, sum(sign * h * CASE WHEN abs(u - v) < 1e-6 THEN
+            (least(greatest(u, 0), 1) + least(greatest(v, 0), 1)) / 2 ELSE (
+              CASE WHEN u <= 0 THEN 0 WHEN u <= 1 THEN u * u / 2 ELSE u - 0.5 END
+              - CASE WHEN v <= 0 THEN 0 WHEN v <= 1 THEN v * v / 2 ELSE v - 0.5 END) / (u - v) END) AS share
+        FROM (SELECT geom_id, y, h, c.x, c.x + 1 - xa AS u, c.x + 1 - xb AS v, CASE WHEN row_number() OVER (
+                PARTITION BY geom_id, lo, c.x ORDER BY xa + xb) % 2 = 1 THEN 1 ELSE -1 END AS sign
+          FROM (SELECT s.geom_id, s.y, s.lo, s.hi - s.lo AS h, e.x0 + (s.lo - e.y0) * (e.x1 - e.x0) / (e.y1 - e.y0) AS xa,
+                  e.x0 + (s.hi - e.y0) * (e.x1 - e.x0) / (e.y1 - e.y0) AS xb
+            FROM (SELECT geom_id, floor(lo) AS y, lo, lead(lo) OVER (PARTITION BY geom_id ORDER BY lo) AS hi FROM (
+                SELECT geom_id, y0 AS lo FROM geo UNION SELECT geom_id, unnest(range(CAST(floor(min(y0)) AS BIGINT),
+                  CAST(ceil(max(y0)) AS BIGINT) + 1)) FROM geo GROUP BY geom_id) b) s
+            JOIN geo e ON e.geom_id = s.geom_id AND e.y0 <> e.y1
+              AND least(e.y0, e.y1) <= s.lo AND greatest(e.y0, e.y1) >= s.hi) t,
+            (SELECT unnest(range(0, 128)) AS x) c) p
+        GROUP BY 1, 2, 3) q WHERE share > 1e-9""",
     "fx5m": "SELECT x, y, arg_min(v, priority) AS v FROM fx5 GROUP BY 1, 2",
 }
-NEEDS = {"fx1b0": ("fx1",), "grid": ("fx1",), "inside": ("fx1", "geo"), "inside_all": ("geo",),
+NEEDS = {"fx1b0": ("fx1",), "grid": ("fx1",), "inside": ("fx1", "geo"), "inside_all": ("geo",), "covered": ("geo",),
          "fx5m": ("fx5",)}
 
 

@@ -51,6 +51,24 @@ def _(spark, sf):
     return rounded(rt.polygonal_mean(fx1_cells(spark, sf), map_edges(spark, sf)), "value")
 
 
+@query("polygon_coverage", "covered", """SELECT geom_id, x, CAST(y AS BIGINT) AS y,
+    round(share + 1.3e-7, 6) AS share FROM covered""")
+def _(spark, sf):
+    """Runs of equal shares, cell by cell."""
+    spans = rt.coverage_spans(map_edges(spark, sf), TALL)
+    return spans.select("geom_id", F.explode(F.sequence("x0", F.col("x1") - 1)).alias("x"), "y",
+                        F.round(F.col("share") + 1.3e-7, 6).alias("share"))
+
+
+@query("polygonal_weighted", "fx1 covered", """SELECT c.geom_id, f.band, round(sum(c.share) + 1.3e-7, 6) AS weight,
+    round(sum(c.share * f.v) + 1.3e-7, 6) AS sum, round(sum(c.share * f.v) / sum(c.share) + 1.3e-7, 6) AS mean
+    FROM fx1 f JOIN covered c ON c.x = f.x AND c.y = f.y GROUP BY 1, 2""")
+def _(spark, sf):
+    """Cells count by the share that a polygon covers."""
+    out = rt.polygonal_weighted(fx1_cells(spark, sf), map_edges(spark, sf))
+    return rounded(out.withColumns({n: F.col(n) + 1.3e-7 for n in ("weight", "sum", "mean")}), "weight", "sum", "mean")
+
+
 @query("polygonal_sum_double", "inside", _ZONAL.format("round(sum(f.v / 4.0), 6)"))
 def _(spark, sf):
     layer = rt.local_divide(fx1_cells(spark, sf), 4.0)

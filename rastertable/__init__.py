@@ -18,13 +18,13 @@ from .operators.cost import cost_distance
 from .operators.distance import euclidean_distance
 from .operators.filters import (filter_by_keys, filter_by_times, lookup, lookup_many, to_spatial)
 from .operators.focal import aspect, focal, hillshade, slope, tobler
-from .operators.geometry import (edges_from_rings, extent_edges, polygon_spans, segment_cells,
+from .operators.geometry import (coverage_spans, edges_from_rings, extent_edges, polygon_spans, segment_cells,
                                  tiles_for_geometry, tiles_for_points)
 from .operators.local import (color_map, composite, convert, local_abs, local_add, local_add_all,
                               local_divide, local_multiply, local_pow, local_subtract, normalize,
                               r_local_divide, r_local_pow, r_local_subtract, reclassify,
                               render_rgba, select_bands, with_sentinels, without_sentinels)
-from .operators.rasterize import rasterize, rasterize_on, rasterize_single
+from .operators.rasterize import rasterize, rasterize_coverage, rasterize_on, rasterize_single
 from .operators.requests import read_tiles_zoomed
 from .operators.resample import (pyramid, pyramid_cells, reproject, resample,
                                  resample_to_power_of_two, stitch_cells, tile_to_layout)
@@ -32,7 +32,8 @@ from .operators.sets import combine_bands, union_layers
 from .operators.shape import grid, keys, to_cells, to_tiles
 from .operators.zonal import (crop, filter_by_geometry, histogram_series, mask, max_series,
                               mean_series, min_series, point_values, polygonal_max, polygonal_mean,
-                              polygonal_min, polygonal_sum, polygonal_summary, sum_series)
+                              polygonal_min, polygonal_sum, polygonal_summary, polygonal_weighted,
+                              sum_series)
 from .sources.catalog import Catalog
 from .sources.scenes import export_scenes, read_scenes, split_scenes
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..model import Extent, Layout
+from ..plans.joins import lookup_join
 
 WORD = 32  # cells per mask word
 EDGE_SCHEMA = "geom_id bigint, ring int, x0 double, y0 double, x1 double, y1 double"
@@ -216,6 +217,89 @@ def segment_cells(edges: DataFrame, layout: Layout) -> DataFrame:
     return explode_range(spans, "x", F.col("x0"), F.col("x1") - 1).select("geom_id", "x", "y").distinct()
 
 
+#: Shares of a cell below this are rounding.
+LEAST_SHARE = 1e-9
+
+
+def _row_pieces(edges: DataFrame, layout: Layout) -> DataFrame:
+    """Edges cut at the rows of the grid: (geom_id, ring, y, a, b, xa, xb, up), where ``a`` < ``b`` are heights
+    within row y, xa and xb the places there, and ``up`` tells whether the edge runs along or against y."""
+    gx0, gy0 = layout.to_grid(F.col("x0"), F.col("y0"))
+    gx1, gy1 = layout.to_grid(F.col("x1"), F.col("y1"))
+    g = edges.select("geom_id", "ring", gx0.alias("x0"), gy0.alias("y0"), gx1.alias("x1"), gy1.alias("y1")).where("y0 <> y1")
+    low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
+    rows = explode_range(g, "y", F.greatest(F.floor(low), F.lit(0)), F.least(F.ceil(high) - 1, F.lit(layout.rows - 1)))
+    a, b = F.greatest(low - F.col("y"), F.lit(0.0)), F.least(high - F.col("y"), F.lit(1.0))
+    at = lambda h: F.col("x0") + (h - (F.col("y0") - F.col("y"))) * (F.col("x1") - F.col("x0")) / (F.col("y1") - F.col("y0"))
+    return rows.select("geom_id", "ring", "y", a.alias("a"), b.alias("b"), at(a).alias("xa"), at(b).alias("xb"),
+                       F.signum(F.col("y1") - F.col("y0")).alias("up")).where("a < b")
+
+
+def _ring_sides(pieces: DataFrame) -> DataFrame:
+    """(geom_id, ring, side): 1 where edges that run along y have the inside to their right, else -1. A
+    ring inside an odd number of others is a hole; only pieces of its own polygon and of one row meet its point."""
+    width = (F.col("xa") + F.col("xb")) / 2
+    height = F.col("b") - F.col("a")
+    rings = pieces.groupBy("geom_id", "ring").agg(
+        F.sum(F.col("up") * width * height).alias("area"),
+        F.max(F.struct(height.alias("h"), "y", ((F.col("a") + F.col("b")) / 2).alias("at"), width.alias("x"))).alias("point"))
+    rings = rings.select("geom_id", F.col("ring").alias("own"), "area", "point.y", "point.at", "point.x")
+    there = F.col("xa") + (F.col("at") - F.col("a")) * (F.col("xb") - F.col("xa")) / (F.col("b") - F.col("a"))
+    around = (rings.join(pieces, ["geom_id", "y"])
+              .where("own <> ring AND a <= at AND at < b").where(there < F.col("x"))
+              .groupBy("geom_id", "own").agg(F.count("*").alias("n")))
+    nested = F.when(F.coalesce("n", F.lit(0)) % 2 == 1, -1).otherwise(1)
+    return rings.join(around, ["geom_id", "own"], "left").select(
+        "geom_id", F.col("own").alias("ring"), (-F.signum("area") * nested).alias("side"))
+
+
+def coverage_spans(edges: DataFrame, layout: Layout, by_geometry: bool = True) -> DataFrame:
+    """Runs of cells ``[x0, x1)`` per (geom_id, y) and the ``share`` of each that the polygon covers, exact but
+    for rounding; without ``by_geometry`` the sum of the shares of all polygons, per y.
+
+    An edge adds to every cell the area to its right within the cell's row, positive where the inside
+    begins and negative where it ends. That area changes only in the cells the edge passes through, so an edge is
+    as many rows as it crosses cells, and the sums along a row are bounded by the width of the grid.
+    Rings may run either way round but must not cross each other or themselves.
+    """
+    pieces = _row_pieces(edges, layout)
+    signed = lookup_join(pieces, _ring_sides(pieces), ["geom_id", "ring"], spread_by=["y"])
+    first = F.greatest(F.floor(F.least("xa", "xb")), F.lit(0))
+    last = F.least(F.greatest(F.ceil(F.greatest("xa", "xb")), first), F.lit(layout.cols - 1))
+    steps = explode_range(signed.withColumn("first", first), "x", F.col("first"), last)
+
+    def right(c: Column) -> Column:
+        """Mean width of cell ``c`` that lies right of the piece."""
+        u, v = c + 1 - F.col("xa"), c + 1 - F.col("xb")
+        held = lambda w: F.least(F.greatest(w, F.lit(0.0)), F.lit(1.0))
+        summed = lambda w: held(w) * held(w) / 2 + F.greatest(w - 1, F.lit(0.0))
+        return F.when(F.abs(u - v) < 1e-6, (held(u) + held(v)) / 2).otherwise((summed(u) - summed(v)) / (u - v))
+
+    before = F.when(F.col("x") > F.col("first"), right(F.col("x") - 1)).otherwise(0.0)
+    step = F.col("side") * F.col("up") * (F.col("b") - F.col("a")) * (right(F.col("x")) - before)
+    keys = ["geom_id", "y"] if by_geometry else ["y"]
+    changes = steps.groupBy(*keys, "x").agg(F.sum(step).alias("step"))
+    w = Window.partitionBy(*keys).orderBy("x")
+    share = F.sum("step").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (changes.select(*keys, F.col("x").alias("x0"), F.lead("x", 1, layout.cols).over(w).alias("x1"),
+                           (F.least(share, F.lit(1.0)) if by_geometry else share).alias("share"))
+            .where(F.col("share") > LEAST_SHARE))
+
+
+def tile_shares(spans: DataFrame, layout: Layout, by_geometry: bool = True) -> DataFrame:
+    """One row per tile (and geometry): ``shares``, an array of (i, n, share), runs of ``n`` cells from cell ``i``
+    on within one row of the tile, in order; no more than the tile has cells."""
+    tc, tr = layout.tile_cols, layout.tile_rows
+    keys = (["geom_id"] if by_geometry else []) + ["col", "row"]
+    parts = explode_range(spans, "col", F.floor(F.col("x0") / tc), F.floor((F.col("x1") - 1) / tc))
+    left = F.greatest(F.col("x0") - F.col("col") * tc, F.lit(0))
+    end = F.least(F.col("x1") - F.col("col") * tc, F.lit(tc))
+    run = F.struct(((F.col("y") % tr) * tc + left).cast("int").alias("i"), (end - left).cast("int").alias("n"), "share")
+    return (parts.withColumn("row", F.floor(F.col("y") / tr).cast("int")).withColumn("run", run)
+            .withColumn("col", F.col("col").cast("int"))
+            .groupBy(*keys).agg(F.sort_array(F.collect_list("run")).alias("shares")))
+
+
 def tile_layout(layout: Layout) -> Layout:
     """The layout seen with one cell per tile."""
     return Layout(layout.extent, layout.layout_cols, layout.layout_rows, 1, 1)

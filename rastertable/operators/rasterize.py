@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..model import CellType, Extent, Layer, Layout, Meta, global_level
 from .filters import Moment, moment
-from .geometry import mask_cells, polygon_spans, segment_cells, segment_spans, tile_masks
+from .geometry import (coverage_spans, mask_cells, polygon_spans, segment_cells, segment_spans, tile_masks,
+                       tile_shares)
 from .shape import to_tiles
 
 
@@ -58,6 +59,27 @@ def _spans(polygons: DataFrame, layout: Layout, partial: bool) -> DataFrame:
     return inside.unionByName(segment_spans(polygons, layout)) if partial else inside
 
 
+def rasterize_coverage(layout: Layout, epsg: int, polygons: DataFrame, instant: Moment | None = None,
+                       zoom: int | None = None) -> Layer:
+    """Tiles with the share of each cell that polygons cover, ``float64``; NoData where none does.
+
+    Shares of several polygons add up, so where they overlap a cell may hold more than 1. Rings of a
+    polygon may run either way round but must not cross.
+    """
+    meta = Meta(CellType.parse("float64"), layout, epsg, 1, zoom=zoom)
+    tiles = tile_shares(coverage_spans(polygons, layout, by_geometry=False), layout, by_geometry=False)
+    runs, none = F.col("shares"), F.lit(None).cast("double")
+    gap = lambda e, k: e["i"] - F.coalesce(F.get(runs, k - 1)["i"] + F.get(runs, k - 1)["n"], F.lit(0))
+    end = F.element_at(runs, -1)
+    cells = F.concat(F.flatten(F.transform(runs, lambda e, k: F.concat(
+        F.array_repeat(none, gap(e, k)), F.array_repeat(e["share"], e["n"])))),
+        F.array_repeat(none, layout.tile_cells - end["i"] - end["n"]))
+    if instant is None:
+        return Layer(tiles.select("col", "row", F.array(cells).alias("bands")), meta, "tile")
+    out = tiles.select("col", "row", moment(instant).alias("instant"), F.array(cells).alias("bands"))
+    return Layer(out, meta, "tile").with_df(out, temporal=True)
+
+
 def rasterize(epsg: int, zoom: int, fill: float, cell_type: str = "int32", tile_size: int = 256,
               **geometry) -> Layer:
     """``rasterize_on`` over the global layout of a zoom level."""

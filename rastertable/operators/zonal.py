@@ -14,8 +14,9 @@ from ..functions.kernels import kernel_weight, least_weight, support
 from ..model import Extent, Layer
 from ..plans.joins import lookup_join
 from .fold import read_cells
-from .geometry import (WORD, envelope, extent_edges, in_mask, mask_bytes, mask_cells, near,
-                       polygon_spans, tile_bound, tile_masks, tiles_for_geometry, tiles_for_points)
+from .geometry import (WORD, coverage_spans, envelope, extent_edges, in_mask, mask_bytes, mask_cells, near,
+                       polygon_spans, tile_bound, tile_masks, tile_shares, tiles_for_geometry,
+                       tiles_for_points)
 from .shape import to_tiles, unnest
 
 
@@ -182,6 +183,56 @@ def polygonal_summary(layer: Layer, edges: DataFrame, by_geometry: bool = True)
                  _total().alias("sum"), _mean().alias("mean")))
 
 
+def polygonal_weighted(layer: Layer, edges: DataFrame) -> DataFrame:
+    """(geom_id, [instant], band, weight, sum, mean): cells count by the share that the polygon covers.
+
+    ``weight`` is the covered area of cells with data, in cells. A tile is summed along its rows once per
+    polygon it meets, and a run of equal shares costs two lookups; cells never become rows. Polygons without
+    data under them are left out. Rings of a polygon may run either way round but must not cross.
+    """
+    tiles = to_tiles(layer)
+    layout = layer.meta.layout
+    shares = tile_shares(coverage_spans(edges, layout), layout)
+    area, _, each = tile_bound(edges, layout)
+    joined = lookup_join(near(tiles.df, layout, area, 1), shares, ["col", "row"], "inner", 32 + 16 * layout.tile_cells,
+                         _spread(layer), ["geom_id"], each)
+    instant = ["instant"] if layer.meta.temporal else []
+    rows = joined.select("geom_id", *instant, F.flatten("bands").cast("array<double>").alias("flat"), "shares")
+    rows = rows.where("flat IS NOT NULL")
+    types, names = dict(rows.dtypes), ["geom_id", *instant, "band", "weight", "total"]
+    tr, tc = layout.tile_rows, layout.tile_cols
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, ok, ends = read_cells(batch.column("flat"))
+            runs, at = batch.column("shares").values, batch.column("shares").offsets.to_numpy()
+            i, n, share = (runs.field(k).to_numpy() for k in range(3))
+            which, bands, weights, totals = [], [], [], []
+            for k in range(len(batch)):
+                here = slice(at[k], at[k + 1])
+                a, b, s = i[here], i[here] + n[here], share[here]
+                y, a, b = a // tc, a % tc, b - a // tc * tc
+                v = values[ends[k]:ends[k + 1]].reshape(-1, tr, tc)
+                data = ok[ends[k]:ends[k + 1]].reshape(-1, tr, tc)
+                summed = np.zeros((2, len(v), tr, tc + 1))
+                np.cumsum(data, axis=2, out=summed[0, :, :, 1:])
+                np.cumsum(np.where(data, v, 0), axis=2, out=summed[1, :, :, 1:])
+                weight, total = ((summed[:, :, y, b] - summed[:, :, y, a]) * s).sum(axis=2)
+                some = np.flatnonzero(weight > 0)
+                which += [k] * len(some)
+                bands += some.tolist()
+                weights += weight[some].tolist()
+                totals += total[some].tolist()
+            if which:
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(pa.array(which)) for c in ("geom_id", *instant)), pa.array(bands, pa.int32()),
+                     pa.array(weights, pa.float64()), pa.array(totals, pa.float64())], names)
+
+    parts = rows.mapInArrow(run, ", ".join([*(f"{c} {types[c]}" for c in names[:-3]), "band int, weight double, total double"]))
+    return parts.groupBy("geom_id", *instant, "band").agg(
+        F.sum("weight").alias("weight"), F.sum("total").alias("sum"), (F.sum("total") / F.sum("weight")).alias("mean"))
+
+
 def _series(layer: Layer, edges: DataFrame, agg: Column, band: int) -> DataFrame:
     if not layer.meta.temporal:
         raise ValueError("a series needs a temporal layer")
