@@ -75,3 +75,12 @@ def test_stages(spark):
     got = corpus_pipeline.STAGES[-1][1](spark, table, SF).collect()
     assert sorted((r.doc_id, r.ids) for r in got) == want
     assert quality.THRESHOLD == 0.3
+
+
+def test_empty_documents(spark, tmp_path):
+    """Stages without rows, or without a row that the one before keeps."""
+    for name in ("documents", "labels"):
+        whole = spark.read.parquet(f"{SF}/{name}.parquet")
+        whole.where("false").write.parquet(str(tmp_path / f"{name}.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    assert out.count() == 0 and {"doc_id", "n_tokens", "ids"} <= set(out.columns)
