@@ -17,8 +17,9 @@ which loses one:
 
 An anchor with more than ``HOT_CLASSES`` classes is cut by where its windows begin: windows that
 begin in the same ``RANGES``-th share all bytes but a few. Equal pieces count as one before they meet,
-and pieces that share these bytes but differ are compared window by window, by digests. Both are sums
-by key and joins that spread a large key over tasks, so no task holds all documents of a passage.
+and pieces that share these bytes but differ are merged as contexts are. Where more than ``HOT_CLASSES``
+pieces share them, these are compared window by window, by digests. That and the count of equal pieces
+are sums by key and joins that spread a large key over tasks, so no task holds all documents of a passage.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ LENGTH = 200
 GRAM = 50
 HOT_CLASSES, RANGES = 2000, 8
 #: Bytes of contexts that one task merges at a time, and the shards they are dealt to.
-BUCKET_BYTES, SHARDS = 1 << 20, 4
+BUCKET_BYTES, SHARDS = 1 << 17, 4
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -401,10 +402,15 @@ def _with_wanted(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, int]:
 def _several(rows: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFrame:
     """(anchor, context, ranges) of contexts that differ but share an anchor."""
     both, n = _with_wanted(rows, classes)
-    buckets = max(1, n * (2 * length - gram) // BUCKET_BYTES)
     found = both.mapInArrow(_fetched(length), "anchor bigint, context bigint, weight bigint, lead int, bytes binary")
-    found = found.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(buckets)))
-    return found.groupBy("bucket").applyInArrow(_merged(length), "anchor bigint, context bigint, ranges array<int>")
+    return _met(found, n * (2 * length - gram), length)
+
+
+def _met(strings: DataFrame, size: int, length: int) -> DataFrame:
+    """(anchor, context, ranges) of strings whose anchors are equal, merged in buckets of about
+    ``BUCKET_BYTES``, of ``size`` bytes in all; an anchor has at most ``HOT_CLASSES`` of them."""
+    dealt = strings.withColumn("bucket", F.pmod(F.xxhash64("anchor"), F.lit(max(1, size // BUCKET_BYTES))))
+    return dealt.groupBy("bucket").applyInArrow(_merged(length), "anchor bigint, context bigint, ranges array<int>")
 
 
 def _hot(rows: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFrame:
@@ -418,19 +424,35 @@ def _hot(rows: DataFrame, classes: DataFrame, length: int, gram: int) -> DataFra
     pieces = shared_table(own.groupBy("piece", "grp", "anchor", "least", "lead", "size").agg(
         F.min("context").alias("context"), F.sum("weight").alias("weight"), F.count("*").alias("contexts")), "pieces")
     groups = pieces.groupBy("grp").agg(F.count("*").alias("rivals")).where("rivals > 1")
-    rivals = shared_table(join_groups(pieces, groups, "grp", "rivals", pieces.count()).select(*place, "piece", "lead"), "rivals")
-    held = in_filter(cut.select(*place, "bytes"), F.xxhash64(*place), rivals.select(F.xxhash64(*place).alias("h")),
-                     filter_size(4 * rivals.count())).where("maybe").drop("maybe").dropDuplicates(place)
-    windows = shared_table(held.join(rivals.hint("merge"), place).select("piece", "anchor", "lead", "bytes").mapInArrow(
-        _windows(length), "piece binary, at int, window binary"), "windows")
-    equal = windows.groupBy("window").agg(F.count("*").alias("pieces")).where("pieces > 1")
-    shared = (join_groups(windows, equal, "window", "pieces", windows.count())
-              .groupBy("piece").agg(F.collect_set("at").alias("at")))
-    starts = F.sort_array(F.filter("at", lambda k: ~F.array_contains("at", k - 1)))
-    ends = F.sort_array(F.filter("at", lambda k: ~F.array_contains("at", k + 1)))
-    some = F.flatten(F.zip_with(starts, ends, lambda a, b: F.array(a - F.col("lead"), b - F.col("lead") + length)))
+    rivals = shared_table(join_groups(pieces, groups, "grp", "rivals", pieces.count()).select(
+        *place, "grp", "piece", "lead", "rivals"), "rivals")
+
+    def with_bytes(some: DataFrame, n: int) -> DataFrame:
+        held = in_filter(cut.select(*place, "bytes"), F.xxhash64(*place), some.select(F.xxhash64(*place).alias("h")),
+                         filter_size(4 * n)).where("maybe").drop("maybe").dropDuplicates(place)
+        return held.join(some.hint("merge"), place)
+
+    few, many = rivals.where(F.col("rivals") <= HOT_CLASSES), rivals.where(F.col("rivals") > HOT_CLASSES)
+    n_few, n_many = few.count(), many.count()
+    # a piece is named by its group and the least of its contexts
+    merged = _met(with_bytes(few, n_few).select(F.col("grp").alias("anchor"), "context", F.lit(1).cast("bigint").alias("weight"),
+                                                "lead", "bytes"), n_few * (length + (length - gram) // RANGES), length)
+    found = pieces.join(merged.select(F.col("anchor").alias("grp"), "context", F.col("ranges").alias("met")),
+                        ["grp", "context"], "left")
+    some = F.col("met")
+    if n_many:
+        windows = shared_table(with_bytes(many, n_many).select("piece", "anchor", "lead", "bytes").mapInArrow(
+            _windows(length), "piece binary, at int, window binary"), "windows")
+        equal = windows.groupBy("window").agg(F.count("*").alias("pieces")).where("pieces > 1")
+        shared = (join_groups(windows, equal, "window", "pieces", windows.count())
+                  .groupBy("piece").agg(F.collect_set("at").alias("at")))
+        starts = F.sort_array(F.filter("at", lambda k: ~F.array_contains("at", k - 1)))
+        ends = F.sort_array(F.filter("at", lambda k: ~F.array_contains("at", k + 1)))
+        some = F.coalesce(some, F.flatten(F.zip_with(
+            starts, ends, lambda a, b: F.array(a - F.col("lead"), b - F.col("lead") + length))))
+        found = found.join(shared, "piece", "left")
     # a piece that occurs twice repeats by itself
     ranges = F.when(F.col("weight") > 1, F.array(-F.col("lead"), F.col("size") - F.col("lead"))).otherwise(some)
-    found = pieces.join(shared, "piece", "left").select("piece", "contexts", ranges.alias("ranges")).where("ranges IS NOT NULL")
+    found = found.select("piece", "contexts", ranges.alias("ranges")).where("ranges IS NOT NULL")
     return (join_groups(own.select("piece", "anchor", "context"), shared_table(found, "pieces-that-repeat"), "piece",
                         "contexts", own.count()).select("anchor", "context", "ranges"))

@@ -415,9 +415,9 @@ def test_components(spark):
 
 # --- 10 ----------------------------------------------------------------------------------------
 
-@pytest.mark.parametrize("hot", [2000, 1])
+@pytest.mark.parametrize("hot", [2000, 2, 1])
 def test_repeats(docs, monkeypatch, hot):
-    """Also where every anchor counts as hot."""
+    """Also where every anchor counts as hot, and where pieces of few rivals are merged."""
     monkeypatch.setattr(repeats, "HOT_CLASSES", hot)
     out = repeats.remove_repeats(docs)
     want = brute.repeats(DOCS)
