@@ -29,6 +29,8 @@ from .shape import to_tiles
 
 #: Cells along a side of a region, at least one tile.
 REGION = 256
+#: Tables of news of one age that are put together.
+AGED = 8
 #: Regions that a task solves side by side.
 TOGETHER = 4
 # the sides a strip can come from, as seen by its receiver
@@ -86,6 +88,11 @@ class _Regions:
         self.kx = min(max(1, REGION // layout.tile_cols), layout.layout_cols)
         self.ky = min(max(1, REGION // layout.tile_rows), layout.layout_rows)
         self.tc, self.tr = layout.tile_cols, layout.tile_rows
+        # on a map narrower than a region, rounds follow its length: as many cells, but longer
+        if self.kx * self.tc < REGION and self.kx == layout.layout_cols:
+            self.ky = min(max(self.ky, REGION * REGION // (self.kx * self.tc * self.tr)), layout.layout_rows)
+        elif self.ky * self.tr < REGION and self.ky == layout.layout_rows:
+            self.kx = min(max(self.kx, REGION * REGION // (self.ky * self.tr * self.tc)), layout.layout_cols)
         self.w, self.h = self.kx * self.tc, self.ky * self.tr
         self.across, self.down = -(-layout.layout_cols // self.kx), -(-layout.layout_rows // self.ky)
 
@@ -120,14 +127,14 @@ def _reachable(tiles: DataFrame, layout: Layout, band: int, area: Extent | None,
 def _solved(at: _Regions, layout: Layout, limit: float, batch: pa.RecordBatch) -> Iterator[tuple[range, np.ndarray, np.ndarray]]:
     """Rows of a batch, their padded friction and the least costs inside."""
     cells, cw, ch = at.w * at.h, layout.cell_width, layout.cell_height
-    own = batch.column("f").flatten().to_numpy(zero_copy_only=False).reshape(-1, at.h, at.w)
     starts, strips = batch.column("starts"), batch.column("strips")
     for first in range(0, len(batch), TOGETHER):
         rows = range(first, min(len(batch), first + TOGETHER))
+        own = batch.column("f").slice(first, TOGETHER).flatten().to_numpy(zero_copy_only=False).reshape(-1, at.h, at.w)
         f = np.full((len(rows), at.h + 2, at.w + 2), np.nan)
         d = np.full(f.shape, np.inf)
         for k, row in enumerate(rows):
-            f[k, 1:-1, 1:-1] = own[row]
+            f[k, 1:-1, 1:-1] = own[k]
             inner = np.full(cells, np.inf)
             inner[starts[row].as_py() or []] = 0.0
             d[k, 1:-1, 1:-1] = inner.reshape(at.h, at.w)
@@ -212,41 +219,62 @@ def cost_distance(layer: Layer, sources: DataFrame | None = None, max_distance:
                          *[pa.array(c, batch.schema.field(k).type) for c, k in zip(columns[2:], others)],
                          nullable_lists(np.where(np.isfinite(values), values, np.nan))], ["col", "row", *others, "d"])
 
-    n_starts = starts.count()
     none = F.lit(None).cast("array<struct<side:int,d:array<double>,f:array<double>>>")
     columns = [*keys, "f", "starts", "strips"]
-    strip_bytes, start_bytes = 64 * (at.w + at.h + 2), 4 * at.w * at.h
+    start_bytes = starts.agg(F.coalesce(F.sum(64 + 4 * F.size("starts")), F.lit(0))).first()[0]
+    strip_bytes = F.coalesce(F.sum(64 + 16 * F.size("d").cast("bigint")), F.lit(0))
 
     def met(side: DataFrame, on: list[str], most: int, how: str = "inner") -> DataFrame:
-        """Friction with ``side``, which is broadcast where it is small at its largest."""
+        """Friction with ``side``, which is broadcast where it is small."""
         return friction.join(F.broadcast(side) if most <= BROADCAST_BYTES else side.hint("merge"), on, how)
 
+    def latest(strips: DataFrame) -> DataFrame:
+        return strips.groupBy(*keys, "side").agg(F.max_by(F.struct("d", "f"), "nth").alias("s")).select(*keys, "side", "s.*")
+
     def ringed(strips: DataFrame) -> DataFrame:
         """The strips of each region, eight at most."""
         return strips.groupBy(*keys).agg(F.collect_list(F.struct("side", "d", "f")).alias("strips"))
 
-    work = met(starts, ["rc", "rr"], n_starts * start_bytes).withColumn("strips", none)
-    strips, nth, held = None, 0, 0
+    work = met(starts, ["rc", "rr"], start_bytes).withColumn("strips", none)
+    strip_schema = f"{head}, side int, d array<double>, f array<double>, nth int"
+    written: list[tuple[int, str]] = []  # ages and paths of the tables of news
+    strips, around, nth, total = None, None, 0, 0
+
+    def of_regions(found: DataFrame, few: int) -> DataFrame:
+        """The latest strips of ``found``'s regions, their keys broadcast where there are ``few``."""
+        small = few * 64 <= BROADCAST_BYTES
+        return latest(strips.join(F.broadcast(found) if small else found.hint("merge"), keys, "left_semi"))
+
     while True:
         sent = work.select(*columns).mapInArrow(send, f"{head}, side int, d array<double>, f array<double>")
-        if strips is None:
-            merged = sent.withColumn("changed", F.lit(True))
-        else:
-            new = sent.withColumnsRenamed({"d": "new_d", "f": "new_f"})
-            news = F.col("new_d").isNotNull() & ~F.col("new_d").eqNullSafe(F.col("d"))
-            merged = strips.drop("changed").join(new, [*keys, "side"], "full").select(
-                *keys, "side", F.coalesce("new_d", "d").alias("d"), F.coalesce("new_f", "f").alias("f"),
-                news.alias("changed"))
-        strips = through_table(merged, f"{folder}/round={nth}")
-        held, changed = strips.agg(F.count("*"), F.count_if("changed")).first()
+        if strips is not None:  # what a region sends that its neighbour has had in no round before is news
+            known = of_regions(around, 9 * changed).withColumnsRenamed({"d": "old_d", "f": "old_f"})
+            sent = sent.join(known, [*keys, "side"], "left").where(~F.col("d").eqNullSafe(F.col("old_d"))).drop("old_d", "old_f")
+        path = f"{folder}/round={nth}"
+        news = through_table(sent.withColumn("nth", F.lit(nth)), path)
+        changed, size = news.agg(F.count("*"), strip_bytes).first()
         if not changed:
             break
-        news = strips.where("changed").select(*keys).distinct()
-        active = ringed(strips.join(news, keys, "left_semi")).join(starts, ["rc", "rr"], "left")
-        work = met(active, keys, min(changed, held) * strip_bytes + n_starts * start_bytes)
+        total += size
+        written.append((0, path))
+        while len(written) >= AGED and written[-AGED][0] == written[-1][0]:
+            age, paths = written[-1][0] + 1, [p for _, p in written[-AGED:]]
+            path = f"{folder}/age={age}-{nth}"
+            aged = spark.read.schema(strip_schema).parquet(*paths).groupBy(*keys, "side").agg(
+                F.max_by(F.struct("d", "f", "nth"), "nth").alias("s")).select(*keys, "side", "s.*")
+            through_table(aged, path)
+            written[-AGED:] = [(age, path)]
+        strips = spark.read.schema(strip_schema).parquet(*[p for _, p in written])
+        regions = news.select(*keys).distinct()
+        nine = F.array(*[F.struct((F.col("rc") + dx).alias("rc"), (F.col("rr") + dy).alias("rr")) for dx, dy in [*SIDES, (0, 0)]])
+        around = regions.select(*others, F.explode(nine).alias("at")).select("at.*", *others).distinct()
+        active = ringed(of_regions(regions, changed)).join(starts, ["rc", "rr"], "left")
+        # a region has eight strips at most, the longest along its sides, and no more than were ever written
+        work = met(active, keys, min(total, 8 * changed * (64 + 16 * max(at.w, at.h))) + start_bytes)
         nth += 1
-    reached = met(ringed(strips.select(*keys, "side", "d", "f")), keys, held * strip_bytes, "left")
-    small = n_starts * start_bytes <= BROADCAST_BYTES
+    held = latest(strips) if strips is not None else news.drop("nth")
+    reached = met(ringed(held), keys, min(total, held.agg(strip_bytes).first()[0]) if total > BROADCAST_BYTES else total, "left")
+    small = start_bytes <= BROADCAST_BYTES
     whole = reached.join(F.broadcast(starts) if small else starts.hint("merge"), ["rc", "rr"], "left")
     whole = whole.where("starts IS NOT NULL OR strips IS NOT NULL")
     types |= dict(tiles.df.dtypes)
