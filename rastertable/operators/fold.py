@@ -10,6 +10,7 @@ beside a validity mask, so no value is rounded on the way.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HELD_BYTES = 128 * 1024 * 1024
+#: Bytes of accumulators that a task holds before it passes them on.
+HELD_BYTES = 64 * 1024 * 1024
+#: Bytes of a batch that are worked on, or passed on, at once.
+PART_BYTES = 4 * 1024 * 1024
 #: Rank of a cell without data: higher than any other.
 NO_RANK = np.iinfo(np.int64).max
 
@@ -25,13 +29,16 @@ NO_RANK = np.iinfo(np.int64).max
 # --- cells in Arrow --------------------------------------------------------------------------
 
 def read_cells(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Values of all lists in a row (integers or doubles), which of them are data, where lists end."""
-    values = column.values
+    """Values of all lists in a row (integers or doubles), which of them are data, where lists end.
+
+    Of a slice of a column, the values of its own lists only."""
+    ends = column.offsets.to_numpy()
+    values, ends = column.values.slice(ends[0], ends[-1] - ends[0]), ends - ends[0]
     if pa.types.is_integer(values.type):
         ok = values.is_valid().to_numpy(zero_copy_only=False)
-        return pc.fill_null(values, 0).to_numpy(zero_copy_only=False), ok, column.offsets.to_numpy()
+        return pc.fill_null(values, 0).to_numpy(zero_copy_only=False), ok, ends
     flat = values.to_numpy(zero_copy_only=False)
-    return flat, ~np.isnan(flat), column.offsets.to_numpy()
+    return flat, ~np.isnan(flat), ends
 
 
 def write_cells(rows: list[np.ndarray], ok: list[np.ndarray] | None = None) -> pa.ListArray:
@@ -41,6 +48,15 @@ def write_cells(rows: list[np.ndarray], ok: list[np.ndarray] | None = None) -> p
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows), mask=mask))
 
 
+def in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into runs of rows of about PART_BYTES: copies made of a run stay small, however large
+    the batches are that Spark sends."""
+    for batch in batches:
+        rows = max(1, len(batch) * PART_BYTES // max(1, batch.nbytes))
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+
+
 # --- accumulators ----------------------------------------------------------------------------
 
 class Fold:
@@ -191,12 +207,17 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str, nu
     def before(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, tuple] = {}
         key_types: list = []
+        size = n * 8 * len(names)
 
-        def passed_on() -> pa.RecordBatch:
-            columns = [write_cells([state[i] for state in held.values()]) for i in range(len(names))]
-            return table(list(held), key_types, columns, names)
+        def passed_on() -> Iterator[pa.RecordBatch]:
+            """What is held, let go part by part."""
+            while held:
+                found = list(islice(held, max(1, PART_BYTES // size)))
+                states = [held.pop(key) for key in found]
+                columns = [write_cells([state[i] for state in states]) for i in range(len(names))]
+                yield table(found, key_types, columns, names)
 
-        for batch in batches:
+        for batch in in_parts(batches):
             key_types = [batch.schema.field(k).type for k in keys]
             found = zip(*[batch.column(k).to_pylist() for k in keys])
             ranks = batch.column("rank").to_pylist()
@@ -204,11 +225,9 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str, nu
             for key, r, a, b in zip(found, ranks, ends, ends[1:]):
                 state = fold.lift(values[a:b], ok[a:b], r)
                 held[key] = merged(held[key], state) if key in held else state
-                if len(held) * n * 8 * len(names) > HELD_BYTES:
-                    yield passed_on()
-                    held.clear()
-        if held:
-            yield passed_on()
+                if len(held) * size > HELD_BYTES:
+                    yield from passed_on()
+        yield from passed_on()
 
     def after(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, state, key_types = None, None, []
@@ -217,7 +236,7 @@ def fold_tiles(df: DataFrame, keys: list[str], flat: Column, n: int, op: str, nu
             ends = [fold.finish(s) for _, s in done]
             return table([k for k, _ in done], key_types, [write_cells([v for v, _ in ends], [o for _, o in ends])], ["flat"])
 
-        for batch in batches:
+        for batch in in_parts(batches):
             key_types = [batch.schema.field(k).type for k in keys]
             done: list[tuple] = []
             found = zip(*[batch.column(k).to_pylist() for k in keys])

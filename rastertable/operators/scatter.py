@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import replace
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 from ..functions import projection
 from ..functions.kernels import SUPPORT, kernel_array, least_weight, negative_lobes
 from ..model import CellType, Extent, Layer, Layout
-from .fold import HELD_BYTES, NO_RANK, Extreme, First, Fold, Mean, read_cells, unflatten, write_cells
+from .fold import HELD_BYTES, NO_RANK, PART_BYTES, Extreme, First, Fold, Mean, in_parts, read_cells, unflatten, write_cells
 
 #: Cells of a target tile that is computed as one; larger ones are computed in blocks.
 GRAIN = 1 << 18
@@ -232,14 +233,15 @@ class _Held:
     def full(self) -> bool:
         return len(self.tiles) * self.bytes > HELD_BYTES
 
-    def passed_on(self) -> tuple[list[tuple], list[tuple], list[list[np.ndarray]]]:
-        """Keys, rectangles (px, py, w, h) and the states inside, one list per part of a state."""
-        keys = list(self.tiles)
-        boxes = [(x0, y0, x1 - x0, y1 - y0) for _, x0, y0, x1, y1 in self.tiles.values()]
-        states = [[np.ascontiguousarray(t[0][i][:, y:y + h, x:x + w]).ravel()
-                   for t, (x, y, w, h) in zip(self.tiles.values(), boxes)] for i in range(len(self.fold.types))]
-        self.tiles = {}
-        return keys, boxes, states
+    def passed_on(self) -> Iterator[tuple[list[tuple], list[tuple], list[list[np.ndarray]]]]:
+        """Keys, rectangles (px, py, w, h) and the states inside, one list per part of a state; all
+        tiles are let go, part by part."""
+        while self.tiles:
+            keys = list(islice(self.tiles, max(1, PART_BYTES // self.bytes)))
+            tiles = [self.tiles.pop(key) for key in keys]
+            boxes = [(x0, y0, x1 - x0, y1 - y0) for _, x0, y0, x1, y1 in tiles]
+            yield keys, boxes, [[np.ascontiguousarray(t[0][i][:, y:y + h, x:x + w]).ravel()
+                                 for t, (x, y, w, h) in zip(tiles, boxes)] for i in range(len(self.fold.types))]
 
 
 def _whole_rank(layer: Layer) -> str:
@@ -314,16 +316,16 @@ def scattered(layer: Layer, target: Layout, method: str, kind: CellType, warp: t
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, part, sent = _Held(fold, bands, grid), TaskContext.get().partitionId(), 0
 
-        def passed_on() -> pa.RecordBatch:
+        def passed_on() -> Iterator[pa.RecordBatch]:
             nonlocal sent
-            keys, boxes, states = held.passed_on()
-            columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate(key_types)]
-            columns += [pa.array(list(c), pa.int32()) for c in zip(*boxes)]
             sent += 1
-            columns.append(pa.array([part << 32 | sent] * len(keys), pa.int64()))
-            return pa.RecordBatch.from_arrays([*columns, *map(write_cells, states)], names)
+            for keys, boxes, states in held.passed_on():
+                columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate(key_types)]
+                columns += [pa.array(list(c), pa.int32()) for c in zip(*boxes)]
+                columns.append(pa.array([part << 32 | sent] * len(keys), pa.int64()))
+                yield pa.RecordBatch.from_arrays([*columns, *map(write_cells, states)], names)
 
-        for batch in batches:
+        for batch in in_parts(batches):
             key_types = [pa.int32(), pa.int32(), *[batch.schema.field(k).type for k in instant]]
             found = zip(*[batch.column(c).to_pylist() for c in facts])
             ranks = batch.column("rank").to_pylist()
@@ -341,9 +343,8 @@ def scattered(layer: Layer, target: Layout, method: str, kind: CellType, warp: t
                         state = (state[0], np.where(state[1] == NO_RANK, NO_RANK, r))
                     held.add((int(col), int(row), *time), int(px), int(py), state)
                     if held.full():
-                        yield passed_on()
-        if held.tiles:
-            yield passed_on()
+                        yield from passed_on()
+        yield from passed_on()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, held, key_types, done = None, _Held(fold, bands, grid), [], []
@@ -359,7 +360,7 @@ def scattered(layer: Layer, target: Layout, method: str, kind: CellType, warp: t
             return pa.RecordBatch.from_arrays(
                 [*[pa.array(c, t) for c, t in zip(zip(*found), key_types)], write_cells(v, ok)], [*keys, "flat"])
 
-        for batch in batches:
+        for batch in in_parts(batches):
             key_types = [batch.schema.field(k).type for k in keys]
             boxes = [batch.column(c).to_pylist() for c in ("px", "py", "w", "h")]
             states = [read_cells(batch.column(s)) for s in state_names]

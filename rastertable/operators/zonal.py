@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.kernels import kernel_weight, least_weight, support
 from ..model import Extent, Layer
 from ..plans.joins import lookup_join
-from .fold import read_cells
+from .fold import in_parts, read_cells
 from .geometry import (WORD, coverage_spans, envelope, extent_edges, in_mask, mask_bytes, mask_cells, near,
                        polygon_spans, tile_bound, tile_masks, tile_shares, tiles_for_geometry,
                        tiles_for_points)
@@ -111,11 +111,11 @@ def _zone_parts(layer: Layer, edges: DataFrame, by_geometry: bool, band: int | N
     tr, tc, per_row, first = layout.tile_rows, layout.tile_cols, -(-layout.tile_cols // WORD), band or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             values, ok, ends = read_cells(batch.column("flat"))
             out: list[tuple] = []
             times = batch.column("instant").to_pylist() if instant else None
-            zones = batch.column("zones")
+            zones = pa.concat_arrays([batch.column("zones")])  # those of the part only
             parts, at = zones.values, zones.offsets.to_numpy()
             words = parts.field("mask")
             bits, starts = pc.fill_null(words.values, 0).to_numpy(zero_copy_only=False), words.offsets.to_numpy()
@@ -203,9 +203,10 @@ def polygonal_weighted(layer: Layer, edges: DataFrame) -> DataFrame:
     tr, tc = layout.tile_rows, layout.tile_cols
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_parts(batches):
             values, ok, ends = read_cells(batch.column("flat"))
-            runs, at = batch.column("shares").values, batch.column("shares").offsets.to_numpy()
+            shares = pa.concat_arrays([batch.column("shares")])  # those of the part only
+            runs, at = shares.values, shares.offsets.to_numpy()
             i, n, share = (runs.field(k).to_numpy() for k in range(3))
             which, bands, weights, totals = [], [], [], []
             for k in range(len(batch)):
