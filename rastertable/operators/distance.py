@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import CellType, Layer, Layout, Meta
-from ..plans.joins import BROADCAST_BYTES, salted_join
+from ..plans.joins import BROADCAST_BYTES, salted_join, split_join
 from ..plans.lineage import run_folder, through_table
 from .geometry import polygon_spans, segment_cells
 
@@ -31,6 +31,9 @@ NODE_POINTS = 32
 #: Level of the blocks that are compared as arrays (2^5 cells a side), and points of a node at most there.
 BLOCK_LEVEL = 5
 BLOCK_POINTS = 4096
+#: Blocks along a side of the squares that a node's points are sent to, and squares that one task sends them to.
+SQUARE = 8
+HOT_SQUARES = 4096
 NODE_BYTES = 96
 DEEPEST = -40
 SLACK = 1 + 1e-9
@@ -135,7 +138,9 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
         children = _nodes(base, level).drop("n")
         children = children.withColumns({"px": F.floor(F.col("sx") / 2).cast("bigint"),
                                          "py": F.floor(F.col("sy") / 2).cast("bigint")})
-        bound = min(n, 4 ** max(max(across).bit_length() - level, 0))
+        # of one level there are no more nodes than the sources' box has room for
+        bound = min(n, math.prod(math.floor((v - o) / 2.0 ** level) - math.floor((u - o) / 2.0 ** level) + 1
+                                 for u, v, o in ((lo_x, hi_x, ox), (lo_y, hi_y, oy))))
         small = bound * NODE_BYTES <= BROADCAST_BYTES
         pairs = pairs.withColumnsRenamed({"sx": "px", "sy": "py"})
         # one source may be the candidate of any share of the targets, hence the salt
@@ -164,7 +169,7 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
                  .drop("near", "far", "best"))
     if as_arrays:
         inside = (tx0 - ox, ty0 - oy, tx1 - ox, ty1 - oy)
-        cells = _block_cells(pairs, base, block, n, (cw, ch), inside)
+        cells = _block_cells(pairs, base, block, n, (cw, ch), inside, f"{folder}/pairs")
         return Layer(cells.select((F.col("x") + ox).alias("x"), (F.col("y") + oy).alias("y"), F.lit(0).alias("band"), "v"),
                      meta, "cell")
     leaves = base.select(_node("gx", level).alias("sx"), _node("gy", level).alias("sy"),
@@ -181,25 +186,20 @@ def euclidean_distance(layout: Layout, epsg: int, points: DataFrame | None = Non
 
 
 def _block_cells(pairs: DataFrame, points: DataFrame, level: int, n: int, size: tuple[float, float],
-                 inside: tuple[int, int, int, int]) -> DataFrame:
+                 inside: tuple[int, int, int, int], path: str) -> DataFrame:
     """(x, y, v) of the cells of target blocks, from the points of their candidate nodes.
 
     A block's candidates stream by in one task, and one array of least distances is held. A node has
-    BLOCK_POINTS points at most.
+    BLOCK_POINTS points at most. Where there are too many points to broadcast, a node's points travel once
+    to each square of SQUARE x SQUARE blocks that has it as a candidate, and not to every block.
     """
     packed = points.groupBy(_node("gx", level).alias("sx"), _node("gy", level).alias("sy")).agg(
         F.collect_list("mx").alias("px"), F.collect_list("my").alias("py"))
     keys = [c for c in ("ax", "ay") if c in pairs.columns]
-    if n * 32 <= BROADCAST_BYTES:
-        met = pairs.join(F.broadcast(packed), ["sx", "sy"])
-    else:
-        met = salted_join(pairs, packed, ["sx", "sy"], ["tx", "ty"])
-        keys = []
-    if not keys:
-        met = met.repartition("tx", "ty")
     side, (cw, ch), (x0, y0, x1, y1) = 1 << level, size, inside
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        """Cells from (target node, xs, ys) in the order of targets."""
         last, best, mx, my, done = None, None, None, None, []
 
         def finished() -> None:
@@ -212,26 +212,52 @@ def _block_cells(pairs: DataFrame, points: DataFrame, level: int, n: int, size:
             done.clear()
             return pa.RecordBatch.from_arrays(columns, ["x", "y", "v"])
 
-        for batch in batches:
-            keys = zip(batch.column("tx").to_pylist(), batch.column("ty").to_pylist())
-            px, py = batch.column("px"), batch.column("py")
-            xs, ys, ends = px.values.to_numpy(), py.values.to_numpy(), px.offsets.to_numpy()
-            for key, a, b in zip(keys, ends, ends[1:]):
-                if key != last:
-                    if last is not None:
-                        finished()
-                        if len(done) >= 64:
-                            yield passed_on()
-                    last, best = key, np.full((side, side), np.inf)
-                    mx = ((np.arange(side) + key[0] * side) + 0.5) * cw
-                    my = ((np.arange(side) + key[1] * side) + 0.5) * ch
-                for at in range(a, b, 256):
-                    dx = (mx[:, None] - xs[at:min(b, at + 256)]) ** 2
-                    dy = (my[:, None] - ys[at:min(b, at + 256)]) ** 2
-                    np.minimum(best, (dy[:, None, :] + dx[None, :, :]).min(axis=2), out=best)
+        for key, xs, ys in found:
+            if key != last:
+                if last is not None:
+                    finished()
+                    if len(done) >= 64:
+                        yield passed_on()
+                last, best = key, np.full((side, side), np.inf)
+                mx = ((np.arange(side) + key[0] * side) + 0.5) * cw
+                my = ((np.arange(side) + key[1] * side) + 0.5) * ch
+            for at in range(0, len(xs), 256):
+                dx = (mx[:, None] - xs[at:at + 256]) ** 2
+                dy = (my[:, None] - ys[at:at + 256]) ** 2
+                np.minimum(best, (dy[:, None, :] + dx[None, :, :]).min(axis=2), out=best)
         if last is not None:
             finished()
             yield passed_on()
 
-    ordered = met.select("tx", "ty", "px", "py").sortWithinPartitions("tx", "ty")
-    return ordered.mapInArrow(run, "x bigint, y bigint, v double")
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            targets = zip(batch.column("tx").to_pylist(), batch.column("ty").to_pylist())
+            px, py = batch.column("px"), batch.column("py")
+            xs, ys, ends = px.values.to_numpy(), py.values.to_numpy(), px.offsets.to_numpy()
+            for key, a, b in zip(targets, ends, ends[1:]):
+                yield key, xs[a:b], ys[a:b]
+
+    def looked_up(nodes: pa.Table, lists: pa.Table) -> Iterator[tuple]:
+        lists, nodes = lists.combine_chunks(), nodes.sort_by([("tx", "ascending"), ("ty", "ascending")])
+        place = {key: k for k, key in enumerate(zip(*(lists.column(c).to_pylist() for c in ("its_sx", "its_sy"))))}
+        px, py = (lists.column(c).chunk(0) for c in ("its_px", "its_py"))
+        xs, ys, ends = px.values.to_numpy(), py.values.to_numpy(), px.offsets.to_numpy()
+        for tx, ty, *node in zip(*(nodes.column(c).to_pylist() for c in ("tx", "ty", "sx", "sy"))):
+            k = place[tuple(node)]
+            yield (tx, ty), xs[ends[k]:ends[k + 1]], ys[ends[k]:ends[k + 1]]
+
+    schema = "x bigint, y bigint, v double"
+    if n * 32 <= BROADCAST_BYTES:
+        met = pairs.join(F.broadcast(packed), ["sx", "sy"])
+        met = met if keys else met.repartition("tx", "ty")
+        ordered = met.select("tx", "ty", "px", "py").sortWithinPartitions("tx", "ty")
+        return ordered.mapInArrow(lambda batches: run(listed(batches)), schema)
+    square = [F.floor(F.col(t) / SQUARE).alias(a) for t, a in (("tx", "ax"), ("ty", "ay"))]
+    pairs = through_table(pairs.select(*square, "tx", "ty", "sx", "sy"), path)
+    wanted = pairs.select("ax", "ay", "sx", "sy").distinct()
+    carried = split_join(wanted, packed, ["sx", "sy"], "inner", ["ax", "ay"], hot_rows=HOT_SQUARES)
+    # names of its own: both sides of a cogroup come from one table
+    carried = carried.toDF(*[f"its_{c}" for c in carried.columns])
+    return pairs.groupBy("ax", "ay").cogroup(carried.groupBy("its_ax", "its_ay")).applyInArrow(
+        lambda nodes, lists: pa.Table.from_batches(run(looked_up(nodes, lists)), pa.schema(
+            [("x", pa.int64()), ("y", pa.int64()), ("v", pa.float64())])), schema)
