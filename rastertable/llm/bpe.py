@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import flattened, nested, slices, text_or_empty, texts, words
+from .common import flattened, give_back, nested, slices, text_or_empty, texts, words
 from .encoding import encode_words, gathered, word_tokenizer
 
 BLOCK_BYTES = 8 << 20
+#: Words of a block whose ids are gathered and decoded at once.
+WORDS_TOGETHER = 1 << 17
 
 
 def _in_buckets(distinct: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -55,6 +57,7 @@ def _packed(batches):
                 [pa.array(block[order][edges], pa.int32()),
                  pa.array([pack(memoryview(_message(rows.slice(a, b - a)).serialize()))
                            for a, b in zip(edges, [*edges[1:], len(order)])], pa.binary())], ["block", "docs"])
+            give_back()
 
 
 def _message(rows: pa.RecordBatch) -> pa.RecordBatch:
@@ -74,6 +77,7 @@ def _block_words(buckets: int, kind: pa.DataType):
     def run(key, table):
         import zstandard
 
+        give_back()
         flat, _ = words(texts(_unpacked(table, kind), "text"))
         distinct = flat.unique()
         order, at = _in_buckets(distinct, buckets) if len(distinct) else (np.empty(0, int),) * 2
@@ -89,13 +93,18 @@ def _block_words(buckets: int, kind: pa.DataType):
 
 
 def _bucket_ids(tokenizer_path: str | None):
+    held: list = []  # the tokenizer, loaded once in a task
+
     def run(key, table):
         import zstandard
 
+        give_back()
+        if not held:
+            held.append(word_tokenizer(tokenizer_path))
         unpack, pack = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
         lists = [unpack(w).decode("utf-8", "surrogatepass").split("\n") for w in table.column("words").to_pylist()]
         coded = pa.array([w for x in lists for w in x], pa.large_string()).dictionary_encode()
-        ids, sizes = encode_words(word_tokenizer(tokenizer_path), coded.dictionary.to_pylist())
+        ids, sizes = encode_words(held[0], coded.dictionary.to_pylist())
         starts, which = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
         ends, answers = np.cumsum([len(x) for x in lists]), []
         wide = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
@@ -110,14 +119,20 @@ def _bucket_ids(tokenizer_path: str | None):
 
 
 def _block_ids(tokenizer_path: str | None, buckets: int, kind: pa.DataType, with_ids: bool, with_digests: bool):
+    held: list = []  # the pieces, read once in a task
+
     def run(left, right):
         import zstandard
 
+        give_back()
+        if with_digests and not held:
+            held.append(pieces(tokenizer_path))
         unpack = zstandard.ZstdDecompressor().decompress
         batch = _unpacked(left, kind)
         flat, at = words(texts(batch))
-        coded = flat.dictionary_encode()
-        distinct = coded.dictionary
+        batch, coded = batch.select(["id", "print"]), flat.dictionary_encode()
+        distinct, place = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        del flat, coded
         order, _ = _in_buckets(distinct, buckets) if len(distinct) else (np.empty(0, int),) * 2
         sizes, ids = [], []
         right = right.sort_by("bucket")
@@ -130,22 +145,32 @@ def _block_ids(tokenizer_path: str | None, buckets: int, kind: pa.DataType, with
         ids = np.concatenate(ids or [np.empty(0, np.uint16)])
         if len(sizes) != len(order):
             raise RuntimeError("a block's answers do not match its words")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        which = place[coded.indices.to_numpy(zero_copy_only=False)] if len(flat) else place
-        own = gathered(ids, np.cumsum(sizes) - sizes, sizes, which)
+        nth, starts = np.empty(len(order), np.int32), np.cumsum(sizes) - sizes
+        nth[order] = np.arange(len(order))
+        del distinct, order, right
+        give_back()
+        found, first = [], 0
+        while first < len(batch):  # the ids of some documents at a time
+            last = max(first + 1, int(np.searchsorted(at, at[first] + WORDS_TOGETHER, "right")) - 1)
+            found.append(rows(batch.slice(first, last - first), nth[place[at[first]:at[last]]],
+                              at[first:last + 1] - at[first], ids, starts, sizes))
+            first = last
+        return pa.Table.from_batches(found) if found else rows(batch, nth[:0], at, ids, starts, sizes, pa.table)
+
+    def rows(some, which, at, ids, starts, sizes, made=pa.RecordBatch.from_pydict):
+        own = gathered(ids, starts, sizes, which)
         ends = np.concatenate([[0], np.cumsum(sizes[which])])[at]
-        out = {"id": batch.column("id"), "print": batch.column("print"),
+        out = {"id": some.column("id"), "print": some.column("print"),
                "n_tokens": pa.array(np.diff(ends), pa.int64())}
         if with_digests:
             raw = memoryview(own.astype("<u4").tobytes())
             out["ids_sha256"] = pa.array([hashlib.sha256(raw[4 * a:4 * b]).hexdigest()
                                           for a, b in zip(ends[:-1], ends[1:])], pa.string())
-            text = decoded_texts(own, ends, pieces(tokenizer_path))
+            text = decoded_texts(own, ends, held[0])
             out["decoded_sha256"] = pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in text], pa.string())
         if with_ids:
             out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(own.astype(np.int32)))
-        return pa.table(out)
+        return made(out)
     return run
 
 

@@ -3,6 +3,8 @@ batches, words as Arrow arrays, tables in the shared folder."""
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +57,14 @@ def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Itera
         start = end
 
 
+def give_back() -> None:
+    """Return what a Python worker has freed to the system. Workers live on from stage to stage, and what
+    their allocators keep after one would count beside what the next one needs."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def flat_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a large_string or large_binary array without nulls, and its offsets."""
     array = pa.concat_arrays([array])

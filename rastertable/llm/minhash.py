@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import flattened, join_groups, mixed, nested, shared_table, slices, text_or_empty, texts, words
+from .common import flattened, give_back, join_groups, mixed, nested, shared_table, slices, text_or_empty, texts, words
 from .components import components, least_reached
 
 SHINGLE = 5
@@ -117,6 +117,7 @@ def _sketch(n_bands: int, n_rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("print"), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(keys, pa.binary()), lists], ["id", "print", "n", "key", "bands"])
+            give_back()
     return run
 
 
@@ -128,6 +129,7 @@ def _sets(batches):
                 pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]), pa.int32()),
                 pa.array(np.concatenate(sets).view(np.int64), pa.int64()))
             yield pa.RecordBatch.from_arrays([part.column("key"), lists], ["key", "shingles"])
+        give_back()
 
 
 def _verified(similarity: int):
