@@ -155,9 +155,9 @@ def _block_ids(tokenizer_path: str | None, buckets: int, kind: pa.DataType, with
             found.append(rows(batch.slice(first, last - first), nth[place[at[first]:at[last]]],
                               at[first:last + 1] - at[first], ids, starts, sizes))
             first = last
-        return pa.Table.from_batches(found) if found else rows(batch, nth[:0], at, ids, starts, sizes, pa.table)
+        return pa.concat_tables(found or [rows(batch, nth[:0], at, ids, starts, sizes)])
 
-    def rows(some, which, at, ids, starts, sizes, made=pa.RecordBatch.from_pydict):
+    def rows(some, which, at, ids, starts, sizes):
         own = gathered(ids, starts, sizes, which)
         ends = np.concatenate([[0], np.cumsum(sizes[which])])[at]
         out = {"id": some.column("id"), "print": some.column("print"),
@@ -170,7 +170,7 @@ def _block_ids(tokenizer_path: str | None, buckets: int, kind: pa.DataType, with
             out["decoded_sha256"] = pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in text], pa.string())
         if with_ids:
             out["ids"] = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(own.astype(np.int32)))
-        return made(out)
+        return pa.table(out)
     return run
 
 
