@@ -3,7 +3,8 @@
 A task joins the links it reads to a spanning forest. Then, round by round, every node moves to the
 neighbour of lowest random rank and links between nodes that met vanish; the expected number of
 rounds is logarithmic. Each round is a table in the shared folder, and no node's links need to fit in
-a task.
+a task. Once only ``FEW_LINKS`` are left, one task joins them: a round plans some twenty stages,
+whose tasks and plans the driver keeps track of however few links they carry.
 """
 
 from __future__ import annotations
@@ -60,12 +61,31 @@ def _forest(batches):
             parent = {}
 
 
+#: Links that are left to one task, a fixed number whatever the input.
+FEW_LINKS = 1 << 14
+
+
+def _least(batches):
+    """Every node of a task's links, and the least node that they reach."""
+    import pyarrow as pa
+
+    parent: dict = {}
+    for batch in batches:
+        kind = batch.schema.field(0).type
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = find(parent, a), find(parent, b)
+            parent[max(x, y)] = min(x, y)
+    if parent:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(parent), kind), pa.array([find(parent, x) for x in list(parent)], kind)], ["node", "parent"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that links reach, for every node of ``links`` (a, b)."""
     links = links.select("a", "b").where("a != b")
     links = shared_table(links.mapInArrow(_forest, links.schema), "links")
     moves: list[DataFrame] = []
-    while (n := links.count()):
+    while (n := links.count()) > FEW_LINKS:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         turn = F.lit(len(moves))
         best = F.min(F.struct(F.xxhash64("b", turn).alias("rank"), F.col("b").alias("at")))
@@ -80,6 +100,12 @@ def components(links: DataFrame) -> DataFrame:
         links = (links.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                  .distinct())
         links = shared_table(links, "links")
+    if n:
+        kind = links.schema["a"].dataType.simpleString()
+        last = shared_table(links.coalesce(1).mapInArrow(_least, f"node {kind}, parent {kind}"), "moves")
+        if not moves:
+            return last.select("node", F.col("parent").alias("component"))
+        moves.append(last)
     if not moves:
         return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     at = moves[0].select("node", "parent")
